@@ -6,18 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftspark.llm import quality_rules
+from siftspark.llm import mixing, quality_rules, url_filter
 from siftspark.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_verdicts(table(spark, sf_dir, "pages"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_mixing": op1_mixing,
+        "op6_url_filter": op6_url_filter,
         "op9_quality_rules": op9_quality_rules,
     }
 
