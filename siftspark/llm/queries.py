@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftspark.llm import mixing, quality_rules, url_filter
+from siftspark.llm import mixing, quality_model, quality_rules, toxicity, url_filter
 from siftspark.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"))
 
@@ -24,11 +28,17 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mixing": op1_mixing,
+        "op4_quality_model": op4_quality_model,
         "op6_url_filter": op6_url_filter,
         "op9_quality_rules": op9_quality_rules,
+        "op10_toxicity": op10_toxicity,
     }
 
 
