@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftspark.llm import mixing, pii, quality_model, quality_rules, toxicity, url_filter
+from siftspark.llm import mixing, pii, quality_model, quality_rules, simhash, toxicity, url_filter
 from siftspark.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ def queries() -> dict[str, Query]:
         "op3_pii": op3_pii,
         "op4_quality_model": op4_quality_model,
         "op6_url_filter": op6_url_filter,
+        "op8_simhash": op8_simhash,
         "op9_quality_rules": op9_quality_rules,
         "op10_toxicity": op10_toxicity,
     }
