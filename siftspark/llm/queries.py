@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siftspark.llm import mixing, pii, quality_model, quality_rules, simhash, toxicity, url_filter
+from siftspark.llm import decontaminate, mixing, pii, quality_model, quality_rules, simhash, toxicity, url_filter
 from siftspark.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    covered = F.array_join(F.transform("spans", lambda s: F.format_string("%d:%d-%d", s["item_id"], s["first"], s["last"])), ",")
+    return found.select("doc_id", "n_tokens", (F.col("n_items") > 0).alias("contaminated"), "n_items", F.array_join(F.col("items").cast("array<string>"), ",").alias("items"), covered.alias("spans"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents"))
 
@@ -43,6 +50,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_mixing": op1_mixing,
+        "op2_decontamination": op2_decontamination,
         "op3_pii": op3_pii,
         "op4_quality_model": op4_quality_model,
         "op6_url_filter": op6_url_filter,
