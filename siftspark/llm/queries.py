@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftspark.llm import decontaminate, mixing, pii, quality_model, quality_rules, simhash, toxicity, url_filter
+from siftspark.llm import decontaminate, line_dedup, mixing, pii, quality_model, quality_rules, simhash, toxicity, url_filter
 from siftspark.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,11 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.line_verdicts(table(spark, sf_dir, "documents"))
+    return found.withColumn("removed", F.array_join(F.col("removed").cast("array<string>"), ","))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ def queries() -> dict[str, Query]:
         "op3_pii": op3_pii,
         "op4_quality_model": op4_quality_model,
         "op6_url_filter": op6_url_filter,
+        "op7_line_dedup": op7_line_dedup,
         "op8_simhash": op8_simhash,
         "op9_quality_rules": op9_quality_rules,
         "op10_toxicity": op10_toxicity,
