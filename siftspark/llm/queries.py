@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftspark.llm import decontaminate, line_dedup, mixing, pii, quality_model, quality_rules, simhash, toxicity, url_filter
+from siftspark.llm import decontaminate, katz, line_dedup, mixing, pii, quality_model, quality_rules, simhash, toxicity, url_filter
 from siftspark.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,10 @@ def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.language_scores(table(spark, sf_dir, "documents"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"))
 
@@ -58,6 +62,7 @@ def queries() -> dict[str, Query]:
         "op2_decontamination": op2_decontamination,
         "op3_pii": op3_pii,
         "op4_quality_model": op4_quality_model,
+        "op5_katz": op5_katz,
         "op6_url_filter": op6_url_filter,
         "op7_line_dedup": op7_line_dedup,
         "op8_simhash": op8_simhash,
