@@ -116,8 +116,10 @@ def _base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
-def _votes() -> Column:
-    return F.array(*[v.cast("int") for v in rules().values()])
+def _pattern() -> Column:
+    """Whether the base rules fail, then the votes. An array is never null, so that Spark derives no filter
+    from a join on it, which would work the statistics out once more for each place that names them."""
+    return F.array(_base_failed().cast("int"), *[v.cast("int") for v in rules().values()])
 
 
 def _log_odds(votes: Column, model: Column) -> Column:
@@ -178,14 +180,17 @@ def accuracy_model(patterns: DataFrame) -> DataFrame:
     return gathered.select(F.aggregate(F.sequence(F.lit(1), F.lit(EM_ROUNDS)), F.col("_start"), lambda m, _: step(m)).alias("model"))
 
 
-def _pattern_verdicts(votes: DataFrame) -> DataFrame:
-    """(_votes, _posterior) for each pattern that occurs: at most 3 ** len(rules()) rows.
+def _pattern_verdicts(patterns: DataFrame) -> DataFrame:
+    """(_pattern, _posterior, _kept) for each pattern that occurs: at most 2 * 3 ** len(rules()) rows.
 
     The model is learned from the documents that pass the base rules, as only those are judged by it.
     """
-    patterns = votes.groupBy("_votes").agg(F.count_if(~_base_failed()).alias("_n"))
-    model = accuracy_model(patterns)
-    return patterns.crossJoin(F.broadcast(model)).select("_votes", (1 / (1 + F.exp(-_log_odds(F.col("_votes"), F.col("model"))))).alias("_posterior"))
+    passed = F.get("_pattern", F.lit(0)) == 0
+    counted = patterns.groupBy("_pattern").agg(F.count("*").alias("_n"))
+    counted = counted.select("_pattern", F.slice("_pattern", 2, len(rules())).alias("_votes"), F.when(passed, F.col("_n")).otherwise(0).alias("_n"))
+    posterior = 1 / (1 + F.exp(-_log_odds(F.col("_votes"), F.col("model"))))
+    judged = counted.crossJoin(F.broadcast(accuracy_model(counted))).select("_pattern", posterior.alias("_posterior"))
+    return judged.withColumn("_kept", passed & (F.col("_posterior") >= 0.5))
 
 
 def quality_verdicts(docs: DataFrame) -> DataFrame:
@@ -196,9 +201,9 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
     """
     from siftspark.session import checkpointed
 
-    stats = checkpointed(statistics(F.col("text"), docs, [F.col("doc_id")]).withColumn("_votes", _votes()))
-    verdicts = F.broadcast(_pattern_verdicts(stats))
-    return stats.join(verdicts, "_votes").select(
+    stats = checkpointed(statistics(F.col("text"), docs, [F.col("doc_id")]).withColumn("_pattern", _pattern()))
+    verdicts = F.broadcast(_pattern_verdicts(stats.select("_pattern")))
+    return stats.join(verdicts, "_pattern").select(
         "doc_id",
         "n_words",
         "word_chars",
@@ -206,14 +211,18 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
         "n_dup_lines",
         "n_repeat_words",
         _base_failed().alias("base_failed"),
-        (~_base_failed() & (F.col("_posterior") >= 0.5)).alias("kept"),
+        F.col("_kept").alias("kept"),
         F.round("_posterior", 6).alias("posterior"),
     )
 
 
 def filter_quality(docs: DataFrame) -> DataFrame:
     """The documents that :func:`quality_verdicts` keeps, with all their columns."""
+    from siftspark.session import checkpointed
+
+    patterns = statistics(F.col("text"), docs, []).select(_pattern().alias("_pattern"))
+    # Filtered only after it is written: Spark would push the filter below the grouping, into the scan.
+    kept = checkpointed(_pattern_verdicts(patterns)).filter("_kept").select("_pattern")
     row = docs.select(F.struct("*").alias("_row"))
-    scored = statistics(F.col("_row.text"), row, [F.col("_row")]).withColumn("_votes", _votes())
-    verdicts = F.broadcast(_pattern_verdicts(statistics(F.col("text"), docs, []).withColumn("_votes", _votes())))
-    return scored.filter(~_base_failed()).join(verdicts, "_votes").filter("_posterior >= 0.5").select("_row.*")
+    scored = statistics(F.col("_row.text"), row, [F.col("_row")]).withColumn("_pattern", _pattern())
+    return scored.join(F.broadcast(kept), "_pattern").select("_row.*")

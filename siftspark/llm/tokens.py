@@ -27,8 +27,13 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
-    """Texts, null as empty; large offsets, as one slice may be long."""
-    return pc.fill_null(batch.column(column).cast(pa.large_string()), "")
+    """Texts, null as empty; large offsets, as one slice may be long.
+
+    The copy starts at the first byte of its buffer: Arrow's ascii_lower writes wrong offsets
+    for large strings that start elsewhere.
+    """
+    texts = pc.fill_null(batch.column(column).cast(pa.large_string()), "")
+    return pa.concat_arrays([texts, pa.array([], pa.large_string())])
 
 
 def words(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]:
