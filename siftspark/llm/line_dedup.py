@@ -17,7 +17,8 @@ earliest few candidates per task; the sets that none of those remove and that
 had more come again with all of theirs.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, lines end at ``\\n``.
-Words are compared by 64-bit hashes. Defined results: null text counts as
+Words are compared by 48-bit hashes, which
+two different words of a line pair share with a chance below one in 10 ** 10. Defined results: null text counts as
 empty; lines without a word always stay; between rows of one doc_id the order
 goes on by a hash of the text, so repeated rows keep or lose the same lines; a
 null doc_id comes first. An empty table gives an empty result; other columns
@@ -26,7 +27,7 @@ are ignored by :func:`line_verdicts` and kept untouched by :func:`drop_lines`.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftspark.llm.tokens import hashed, mixed, pieces, texts_of, words
+from siftspark.llm.tokens import PIECE, hashed, mixed, pack, pieces, ragged, texts_of, unpack, words
 
 
 @dataclass(frozen=True)
@@ -54,8 +55,8 @@ class Params:
 
 @dataclass
 class Lines:
-    """The lines with words of some texts: row and number of each; words of line k are h[off[k]:off[k+1]],
-    distinct and in the global order."""
+    """The lines with words of some texts: row and number of each; the distinct words of line k are
+    h[off[k]:off[k+1]], by 48-bit hash."""
 
     row: np.ndarray
     number: np.ndarray
@@ -63,126 +64,139 @@ class Lines:
     off: np.ndarray
     set_id: np.ndarray
 
+    @property
+    def n(self) -> np.ndarray:
+        return np.diff(self.off)
+
+
+#: Bits of a word's hash, below the number of its line.
+WORD_BITS = np.uint64(48)
+WORD = np.uint64(2**48 - 1)
+
 
 def _slot(h: np.ndarray, slots: int) -> np.ndarray:
-    return (h >> np.uint64(64 - (slots.bit_length() - 1))).astype(np.int64)
+    return (h >> (WORD_BITS - np.uint64(slots.bit_length() - 1))).astype(np.int64)
 
 
 def _split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """row and number of every line; word hashes and their offsets by line."""
+    """row and number of every line; 48-bit word hashes and their offsets by line."""
     parts = pc.split_pattern(texts, "\n")
     n = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
     row = np.repeat(np.arange(len(n)), n)
-    number = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
     flat, off = words(parts.flatten())
-    return row, number, hashed(flat), off
+    return row, ragged(np.zeros(len(n), np.int64), n), hashed(flat) >> np.uint64(16), off
 
 
-def lines_of(texts: pa.Array, counts: np.ndarray) -> Lines:
+def lines_of(texts: pa.Array) -> Lines:
     row, number, h, off = _split(texts)
-    line = np.repeat(np.arange(len(row)), np.diff(off))
-    common = counts[_slot(h, len(counts))].astype(np.uint64)
-    order = np.lexsort((common << np.uint64(32) | h >> np.uint64(32), line))
-    h, line = h[order], line[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
-    h, line = h[new], line[new]
-    filled, start, n = np.unique(line, return_index=True, return_counts=True)
+    found = []
+    for first in range(0, len(row), 1 << 16):  # the number of a line has 16 bits here
+        part = off[first : first + (1 << 16) + 1]
+        line = np.repeat(np.arange(len(part) - 1, dtype=np.uint64), np.diff(part))
+        keys = np.sort(line << WORD_BITS | h[part[0] : part[-1]])
+        keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+        found.append((keys & WORD, (keys >> WORD_BITS).astype(np.int64) + first))
+    h = np.concatenate([np.zeros(0, np.uint64), *(x for x, _ in found)])
+    line = np.concatenate([np.zeros(0, np.int64), *(x for _, x in found)])
+    new = np.concatenate([[True], line[1:] != line[:-1]]) if len(line) else np.zeros(0, bool)
+    start = np.flatnonzero(new)
+    filled = line[start]
+    n = np.diff(np.append(start, len(h)))
     total = np.add.reduceat(mixed(h), start) if len(start) else np.zeros(0, np.uint64)
     set_id = mixed(total + n.astype(np.uint64)).view(np.int64)
     return Lines(row[filled], number[filled], h, np.append(start, len(h)).astype(np.int64), set_id)
 
 
-def _ragged(start: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """start[0], start[0]+1, ... n[0] of them, then start[1] and so on."""
-    return np.repeat(start - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else np.zeros(0, np.int64)
+SLICES = 64
 
 
-def _total(df: DataFrame, count: Callable[[pa.RecordBatch, np.ndarray], None], slots: int) -> np.ndarray:
-    """Sum of the arrays that each partition counts into; they meet slice by slice, and one array comes back."""
-    slices = 64
+def slices_of(sums: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """Number and content of the slices of an array that are not all zero."""
+    for k, part in enumerate(sums.reshape(SLICES, -1)):
+        if part.any():
+            yield k, pack(part.astype(np.uint32))
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(slots, np.int64)
-        for batch in pieces(batches):
-            count(batch, sums)
-        for k, part in enumerate(sums.reshape(slices, -1)):
-            if part.any():
-                yield pa.record_batch([pa.array([k], pa.int32()), pa.array([pa.compress(part.astype(np.uint32).tobytes(), "zstd", asbytes=True)])], names=["k", "v"])
+
+def total_of(parts: DataFrame, slots: int) -> np.ndarray:
+    """Sum of the arrays whose slices (k, v) the partitions have; they meet slice by slice, and one array comes back."""
 
     def add(part: pa.Table) -> pa.Table:
-        sums = np.zeros(slots // slices, np.int64)
+        sums = np.zeros(slots // SLICES, np.int64)
         for v in part.column("v").to_pylist():
-            sums += np.frombuffer(pa.decompress(v, slots // slices * 4, "zstd", asbytes=True), np.uint32)
-        return pa.table({"k": part.column("k").slice(0, 1), "v": pa.array([np.minimum(sums, 2**32 - 1).astype(np.uint32).tobytes()])})
+            sums += unpack(v, np.uint32)
+        return pa.table({"k": part.column("k").slice(0, 1), "v": pa.array([pack(np.minimum(sums, 2**32 - 1).astype(np.uint32))])})
 
-    out = np.zeros((slices, slots // slices), np.uint32)
-    for r in df.mapInArrow(partial, "k int, v binary").groupBy("k").applyInArrow(add, "k int, v binary").collect():
-        out[r["k"]] = np.frombuffer(r["v"], np.uint32)
+    out = np.zeros((SLICES, slots // SLICES), np.uint32)
+    for r in parts.groupBy("k").applyInArrow(add, "k int, v binary").collect():
+        out[r["k"]] = unpack(r["v"], np.uint32)
     return out.ravel()
 
 
 def word_counts(docs: DataFrame, params: Params) -> np.ndarray:
     """Occurrences of words by slot, over all texts."""
 
-    def count(batch: pa.RecordBatch, sums: np.ndarray) -> None:
-        _, _, h, _ = _split(texts_of(batch))
-        sums += np.bincount(_slot(h, params.slots), minlength=params.slots)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(params.slots, np.int64)
+        for batch in pieces(batches):
+            flat, _ = words(texts_of(batch))
+            sums += np.bincount(_slot(hashed(flat) >> np.uint64(16), params.slots), minlength=params.slots)
+        yield from (pa.record_batch([pa.array([k], pa.int32()), pa.array([v])], names=["k", "v"]) for k, v in slices_of(sums))
 
-    return _total(docs.select("text"), count, params.slots)
+    return total_of(docs.select("text").mapInArrow(count, "k int, v binary"), params.slots)
 
 
-def _prefixes(lines: Lines, params: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First lines of the distinct sets that can have a similar one, and for their prefix words the
-    place among these lines and the position in the set."""
+def _prefixes(lines: Lines, counts: np.ndarray, params: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The prefix words of the distinct sets that can have a similar one: line, word, and place in the
+    order of rarity. Words of about equal frequency go by hash."""
     _, first = np.unique(lines.set_id, return_index=True)
-    n = np.diff(lines.off)[first]
-    first = first[n * (params.den - params.num) >= params.num]  # smaller sets are only similar to equal ones
-    n = np.diff(lines.off)[first]
+    first = np.sort(first[lines.n[first] * (params.den - params.num) >= params.num])  # smaller sets are only similar to equal ones
+    n = lines.n[first]
+    at = ragged(lines.off[first], n)
+    common = np.round(np.log2(counts[_slot(lines.h[at], len(counts))] + 1.0) * 1024).astype(np.uint64)
+    places = []
+    for k in range(0, len(first), 1 << 16):
+        a, b = (np.cumsum(n) - n)[k], np.cumsum(n)[min(k + (1 << 16), len(first)) - 1]
+        line = np.repeat(np.arange(len(n[k : k + (1 << 16)]), dtype=np.uint64), n[k : k + (1 << 16)])
+        keys = np.sort(line << WORD_BITS | common[a:b] << np.uint64(32) | np.arange(b - a, dtype=np.uint64))
+        places.append(at[a:b][(keys & np.uint64(2**32 - 1)).astype(np.int64)])
+    at = np.concatenate([np.zeros(0, np.int64), *places])
     length = n - -(-n * params.num // params.den) + 1
-    return first, np.repeat(np.arange(len(first)), length), _ragged(np.zeros(len(first), np.int64), length)
+    taken = ragged(np.cumsum(n) - n, length)
+    return np.repeat(first, length), lines.h[at[taken]], ragged(np.zeros(len(n), np.int64), length)
 
 
-def prefix_counts(docs: DataFrame, counts: np.ndarray, params: Params) -> np.ndarray:
-    """Rows that each slot of prefix words will have."""
-
-    def count(batch: pa.RecordBatch, sums: np.ndarray) -> None:
-        lines = lines_of(texts_of(batch), counts)
-        first, at, pos = _prefixes(lines, params)
-        sums += np.bincount(_slot(lines.h[lines.off[first][at] + pos], params.slots), minlength=params.slots)
-
-    return _total(docs.select("text"), count, params.slots)
-
-
-ROWS = "bucket int, word bigint, set_id bigint, sketch bigint, doc_id bigint, number int, n int, pos int"
+#: A blob holds these numbers of the prefix words of one piece in one bucket.
+PARTS = ("word", "set_id", "sketch", "doc_id", "number", "n", "pos")
 
 
 def prefix_rows(docs: DataFrame, counts: np.ndarray, crowd: np.ndarray, buckets: int, params: Params) -> DataFrame:
-    """A row for each prefix word of each distinct set of a piece. Words of a crowded slot go to pairs of blocks."""
+    """(bucket, rows): the prefix words of each distinct set of a piece. Words of a crowded slot go to pairs of blocks."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            lines = lines_of(texts_of(batch), counts)
-            first, at, pos = _prefixes(lines, params)
-            if not len(first):
+        for batch in pieces(batches, limit=2 * PIECE):
+            lines = lines_of(texts_of(batch))
+            line, word, pos = _prefixes(lines, counts, params)
+            if not len(line):
                 continue
-            word = lines.h[lines.off[first][at] + pos]
-            n = np.diff(lines.off)
             sketch = np.bitwise_xor.reduceat(np.uint64(1) << (lines.h & np.uint64(63)), lines.off[:-1])
             blocks = 1 + crowd[_slot(word, params.slots)].astype(np.int64) // params.block
-            # Row of block b of B goes to the pairs (min(b, j), max(b, j)) for each j but itself, or to (0, 0).
+            # What is in block b of B goes to the pairs of b and each other block, or to itself if B is 1.
             copies = np.maximum(blocks - 1, 1)
-            own = np.repeat(mixed(lines.set_id[first][at].view(np.uint64)) % blocks.astype(np.uint64), copies).astype(np.int64)
-            other = _ragged(np.zeros(len(copies), np.int64), copies)
+            own = np.repeat(mixed(lines.set_id[line].view(np.uint64)) % blocks.astype(np.uint64), copies).astype(np.int64)
+            other = ragged(np.zeros(len(copies), np.int64), copies)
             other = np.where(np.repeat(blocks, copies) == 1, 0, other + (other >= own))
-            at, pos, word = np.repeat(at, copies), np.repeat(pos, copies), np.repeat(word, copies)
+            line, pos, word = np.repeat(line, copies), np.repeat(pos, copies), np.repeat(word, copies)
             pair = mixed(word + np.minimum(own, other).astype(np.uint64) * np.uint64(1_000_003) + np.maximum(own, other).astype(np.uint64))
-            line = first[at]
+            bucket = (pair % np.uint64(buckets)).astype(np.int64)
+            order = np.lexsort((pair, bucket))
+            line, pair = line[order], pair[order]
             ids = pc.fill_null(batch.column("doc_id").cast(pa.int64()), -(2**63)).to_numpy(zero_copy_only=False)
-            columns = [(pair % np.uint64(buckets)).astype(np.int32), pair.view(np.int64), lines.set_id[line], sketch[line].view(np.int64), ids[lines.row[line]], lines.number[line].astype(np.int32), n[line].astype(np.int32), pos.astype(np.int32)]
-            yield pa.record_batch([pa.array(c) for c in columns], names=["bucket", "word", "set_id", "sketch", "doc_id", "number", "n", "pos"])
+            columns = np.stack([pair, lines.set_id[line].view(np.uint64), sketch[line], ids[lines.row[line]].view(np.uint64), lines.number[line].astype(np.uint64), lines.n[line].astype(np.uint64), pos[order].astype(np.uint64)])
+            found, first = np.unique(bucket[order], return_index=True)
+            blobs = [pack(c.ravel()) for c in np.split(columns, first[1:], axis=1)]
+            yield pa.record_batch([pa.array(found.astype(np.int32)), pa.array(blobs, pa.binary())], names=["bucket", "rows"])
 
-    return docs.select("doc_id", "text").mapInArrow(make, ROWS)
+    return docs.select("doc_id", "text").mapInArrow(make, "bucket int, rows binary")
 
 
 def candidate_pairs(t: dict[str, np.ndarray], params: Params, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -200,7 +214,7 @@ def candidate_pairs(t: dict[str, np.ndarray], params: Params, wanted: np.ndarray
         end = max(at + 1, int(np.searchsorted(done, done[at] + 2_000_000, "right")) - 1)
         k = before[at:end]
         b = np.repeat(np.arange(at, end), k)
-        a = _ragged(begin[group[at:end]], k)
+        a = ragged(begin[group[at:end]], k)
         na, nb = t["n"][a].astype(np.int64), t["n"][b].astype(np.int64)
         need = -(-params.num * (na + nb) // (params.num + params.den))
         left = np.minimum(na - t["pos"][a], nb - t["pos"][b])
@@ -215,7 +229,9 @@ def candidate_pairs(t: dict[str, np.ndarray], params: Params, wanted: np.ndarray
 
 def _offered(part: pa.Table, params: Params, wanted: np.ndarray | None) -> pa.Table:
     """(a, b, more): sets a before b that pass the filters; the first few of each b, or all."""
-    t = {c: part.column(c).to_numpy() for c in part.column_names}
+    blobs = [unpack(v, np.uint64).reshape(len(PARTS), -1) for v in part.column("rows").to_pylist()]
+    t = {name: np.concatenate([b[k] for b in blobs]) for k, name in enumerate(PARTS)}
+    t |= {name: t[name].view(np.int64) for name in PARTS[1:] if name != "sketch"}
     # One row for each word and set: its earliest line.
     order = np.lexsort((t["number"], t["doc_id"], t["set_id"], t["word"]))
     t = {c: v[order] for c, v in t.items()}
@@ -223,7 +239,6 @@ def _offered(part: pa.Table, params: Params, wanted: np.ndarray | None) -> pa.Ta
     t = {c: v[one] for c, v in t.items()}
     order = np.lexsort((t["set_id"], t["number"], t["doc_id"], t["word"]))
     t = {c: v[order] for c, v in t.items()}
-    t["sketch"] = t["sketch"].view(np.uint64)
     mine = None if wanted is None else wanted[_filter_slot(t["set_id"], len(wanted))]
     a, b = candidate_pairs(t, params, mine)
     # A pair may share several words; keep it once, then the earliest few of each later set.
@@ -254,43 +269,41 @@ def _filter_of(ids: DataFrame, params: Params) -> np.ndarray:
     return out
 
 
-def set_words(docs: DataFrame, counts: np.ndarray, wanted: np.ndarray) -> DataFrame:
+def set_words(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     """(set_id, words): the word hashes of the sets that pass the filter."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed = np.packbits(wanted)  # what goes to the tasks is the bits
         for batch in pieces(batches):
-            lines = lines_of(texts_of(batch), counts)
+            lines = lines_of(texts_of(batch))
             _, first = np.unique(lines.set_id, return_index=True)
             slot = _filter_slot(lines.set_id[first], len(wanted))
             first = first[(packed[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)]
-            n = np.diff(lines.off)[first]
-            values = lines.h[_ragged(lines.off[first], n)].view(np.int64)
+            n = lines.n[first]
+            values = lines.h[ragged(lines.off[first], n)].view(np.int64)
             yield pa.record_batch([pa.array(lines.set_id[first]), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(values))], names=["set_id", "words"])
 
     return docs.select("text").mapInArrow(make, "set_id bigint, words array<bigint>").dropDuplicates(["set_id"])
 
 
-def similar_sets(docs: DataFrame, params: Params) -> DataFrame:
+def similar_sets(docs: DataFrame, counts: np.ndarray, crowd: np.ndarray, params: Params) -> DataFrame:
     """(b): the sets to which an earlier set is similar but not equal."""
-    from siftspark.session import checkpointed
+    from siftspark.session import checkpointed, free_shuffles
 
-    docs = docs.select("doc_id", "text")
-    counts = word_counts(docs, params)
-    crowd = prefix_counts(docs, counts, params)
-    # About four times as many rows as a partition of the input makes lines.
     buckets = max(16, int(crowd.sum(dtype=np.int64)) // 150_000)
-    rows = prefix_rows(docs, counts, crowd, buckets, params)
 
     def verified(wanted: np.ndarray | None) -> tuple[DataFrame, DataFrame]:
-        offered = rows.groupBy("bucket").applyInArrow(lambda part: _offered(part, params, wanted), "a bigint, b bigint, more boolean")
+        offered = prefix_rows(docs, counts, crowd, buckets, params).groupBy("bucket").applyInArrow(lambda part: _offered(part, params, wanted), "a bigint, b bigint, more boolean")
         pairs = checkpointed(offered.groupBy("a", "b").agg(F.bool_or("more").alias("more")))
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-        sets = checkpointed(set_words(docs, counts, _filter_of(ids, params)))
+        del offered
+        free_shuffles(docs.sparkSession)
+        sets = checkpointed(set_words(docs, _filter_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), params)))
         one, two = sets.select(F.col("set_id").alias("a"), F.col("words").alias("_wa")), sets.select(F.col("set_id").alias("b"), F.col("words").alias("_wb"))
         shared = F.size(F.array_intersect("_wa", "_wb"))
         similar = params.den * shared >= params.num * (F.size("_wa") + F.size("_wb") - shared)
-        return pairs, checkpointed(pairs.join(one, "a").join(two, "b").filter(similar).select("b").distinct())
+        found = checkpointed(pairs.join(one, "a").join(two, "b").filter(similar).select("b").distinct())
+        free_shuffles(docs.sparkSession)
+        return pairs, found
 
     pairs, found = verified(None)
     open_ = pairs.filter("more").select("b").distinct().join(found, "b", "left_anti")
@@ -299,18 +312,25 @@ def similar_sets(docs: DataFrame, params: Params) -> DataFrame:
     return found
 
 
-def document_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, number, set_id) of every line with a word."""
-    no_counts = np.zeros(2, np.uint32)
+def document_lines(docs: DataFrame, counts: np.ndarray, params: Params) -> DataFrame:
+    """(doc_id, text_key, number, set_id) of every line with a word, and in rows of their own (k, v)
+    the slices of how many prefix words fall into each slot."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(params.slots, np.int64)
+        names = ["doc_id", "text_key", "number", "set_id", "k", "v"]
         for batch in pieces(batches):
-            lines = lines_of(texts_of(batch), no_counts)
+            lines = lines_of(texts_of(batch))
+            _, word, _ = _prefixes(lines, counts, params)
+            sums += np.bincount(_slot(word, params.slots), minlength=params.slots)
             at = pa.array(lines.row)
-            yield pa.record_batch([batch.column("doc_id").take(at), batch.column("text_key").take(at), pa.array(lines.number.astype(np.int32)), pa.array(lines.set_id)], names=["doc_id", "text_key", "number", "set_id"])
+            kind = batch.column("doc_id").type
+            yield pa.record_batch([batch.column("doc_id").take(at), batch.column("text_key").take(at), pa.array(lines.number.astype(np.int32)), pa.array(lines.set_id), pa.nulls(len(at), pa.int32()), pa.nulls(len(at), pa.binary())], names=names)
+        for k, v in slices_of(sums):
+            yield pa.record_batch([pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([v], pa.binary())], names=names)
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text", _text_key().alias("text_key")).mapInArrow(make, f"doc_id {kind}, text_key bigint, number int, set_id bigint")
+    return docs.select("doc_id", "text", _text_key().alias("text_key")).mapInArrow(make, f"doc_id {kind}, text_key bigint, number int, set_id bigint, k int, v binary")
 
 
 def _text_key(prefix: str = "") -> Column:
@@ -321,8 +341,11 @@ def removed_lines(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """(doc_id, text_key, removed): line numbers, counted from 0, of the documents that lose a line."""
     from siftspark.session import checkpointed
 
-    similar = similar_sets(docs, params)
-    lines = checkpointed(document_lines(docs))
+    texts = docs.select("doc_id", "text")
+    counts = word_counts(texts, params)
+    both = checkpointed(document_lines(texts, counts, params))
+    lines = both.filter("k IS NULL").drop("k", "v")
+    similar = similar_sets(texts, counts, total_of(both.filter("k IS NOT NULL").select("k", "v"), params.slots), params)
     place = F.struct("doc_id", "text_key", "number")
     first = lines.groupBy("set_id").agg(F.min(place).alias("_first"))
     first = first.join(similar.select(F.col("b").alias("set_id"), F.lit(True).alias("_similar")), "set_id", "left")

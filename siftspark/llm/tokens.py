@@ -8,9 +8,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 
 #: Bytes of text in one piece, unless a single text is longer.
 PIECE = 4 << 20
+#: Bytes from which a word is hashed by itself.
+LONG_WORD = 4096
+#: Masks of the 0 to 8 low bytes of a number.
+LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def pieces(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = PIECE) -> Iterator[pa.RecordBatch]:
@@ -45,12 +50,29 @@ def words(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]:
     return flat.filter(full), np.concatenate([[0], kept[ends]]) if len(ends) else np.zeros(1, np.int64)
 
 
-def hashed(flat: pa.Array, seed: int = 0) -> np.ndarray:
-    """A 64-bit hash of each string; each distinct string is hashed once."""
-    coded = flat.dictionary_encode()
-    digest = xxhash.xxh3_64_intdigest
-    known = np.fromiter((digest(w, seed) for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
-    return known[coded.indices.to_numpy(zero_copy_only=False)] if len(flat) else np.zeros(0, np.uint64)
+def hashed(flat: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each string, eight bytes at a time for all strings together."""
+    if not len(flat):
+        return np.zeros(0, np.uint64)
+    _, offsets, data = flat.buffers()
+    kind = np.int64 if pa.types.is_large_string(flat.type) else np.int32
+    ends = np.frombuffer(offsets, kind)[flat.offset : flat.offset + len(flat) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.zeros(0, np.uint8)
+    raw = np.concatenate([raw, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
+    start, n = ends[:-1] - ends[0], np.diff(ends)
+    h = mixed(n.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    at = np.arange(len(n))
+    for done in range(0, min(int(n.max()), LONG_WORD) + 1, 8):
+        left = n[at] - done
+        word = eight[start[at] + done] & LOW_BYTES[np.minimum(left, 8)]
+        h[at] = mixed(h[at] ^ word)
+        at = at[(left > 8) & (n[at] <= LONG_WORD)]
+        if not len(at):
+            break
+    for i in np.flatnonzero(n > LONG_WORD):
+        h[i] = xxhash.xxh3_64_intdigest(raw[start[i] : start[i] + n[i]].tobytes())
+    return h
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -62,3 +84,18 @@ def mixed(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0xD6E8FEB86659FD93)
     x ^= x >> np.uint64(32)
     return x
+
+
+def ragged(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... n[0] numbers, then start[1] and so on."""
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+def pack(x: np.ndarray) -> bytes:
+    """Numbers byte by byte of equal weight, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes())
+
+
+def unpack(b: bytes, dtype: type) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8)
+    return raw.reshape(np.dtype(dtype).itemsize, -1).T.copy().view(dtype).ravel()
