@@ -50,7 +50,9 @@ class Params:
     slots: int = 1 << 18
     filter_slots: int = 1 << 22
     block: int = 20_000
-    few: int = 8
+    few: int = 16
+    #: Sets from this size on have sketches of four words, as one is soon full.
+    wide: int = 80
 
 
 @dataclass
@@ -165,12 +167,14 @@ def _prefixes(lines: Lines, counts: np.ndarray, params: Params) -> tuple[np.ndar
     return np.repeat(first, length), lines.h[at[taken]], ragged(np.zeros(len(n), np.int64), length)
 
 
-#: A blob holds these numbers of the prefix words of one piece in one bucket.
+#: A blob holds these numbers of the prefix words of one piece in one bucket, and another blob three
+#: of the four sketch words of the large sets among them; the fourth follows, as all four make the sketch.
 PARTS = ("word", "set_id", "sketch", "doc_id", "number", "n", "pos")
+WIDE = ("wide0", "wide1", "wide2")
 
 
 def prefix_rows(docs: DataFrame, counts: np.ndarray, crowd: np.ndarray, buckets: int, params: Params) -> DataFrame:
-    """(bucket, rows): the prefix words of each distinct set of a piece. Words of a crowded slot go to pairs of blocks."""
+    """(bucket, rows, wide): the prefix words of each distinct set of a piece. Words of a crowded slot go to pairs of blocks."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, limit=2 * PIECE):
@@ -178,7 +182,9 @@ def prefix_rows(docs: DataFrame, counts: np.ndarray, crowd: np.ndarray, buckets:
             line, word, pos = _prefixes(lines, counts, params)
             if not len(line):
                 continue
-            sketch = np.bitwise_xor.reduceat(np.uint64(1) << (lines.h & np.uint64(63)), lines.off[:-1])
+            bit, which = np.uint64(1) << (lines.h & np.uint64(63)), lines.h >> np.uint64(6) & np.uint64(3)
+            sketch = np.bitwise_xor.reduceat(bit, lines.off[:-1])
+            wide = np.stack([np.bitwise_xor.reduceat(np.where(which == k, bit, np.uint64(0)), lines.off[:-1]) for k in range(len(WIDE))])
             blocks = 1 + crowd[_slot(word, params.slots)].astype(np.int64) // params.block
             # What is in block b of B goes to the pairs of b and each other block, or to itself if B is 1.
             copies = np.maximum(blocks - 1, 1)
@@ -193,10 +199,10 @@ def prefix_rows(docs: DataFrame, counts: np.ndarray, crowd: np.ndarray, buckets:
             ids = pc.fill_null(batch.column("doc_id").cast(pa.int64()), -(2**63)).to_numpy(zero_copy_only=False)
             columns = np.stack([pair, lines.set_id[line].view(np.uint64), sketch[line], ids[lines.row[line]].view(np.uint64), lines.number[line].astype(np.uint64), lines.n[line].astype(np.uint64), pos[order].astype(np.uint64)])
             found, first = np.unique(bucket[order], return_index=True)
-            blobs = [pack(c.ravel()) for c in np.split(columns, first[1:], axis=1)]
-            yield pa.record_batch([pa.array(found.astype(np.int32)), pa.array(blobs, pa.binary())], names=["bucket", "rows"])
+            parts = [(pack(c.ravel()), pack(w[:, c[5] >= params.wide].ravel())) for c, w in zip(np.split(columns, first[1:], axis=1), np.split(wide[:, line], first[1:], axis=1), strict=True)]
+            yield pa.record_batch([pa.array(found.astype(np.int32)), *(pa.array(b, pa.binary()) for b in zip(*parts, strict=True))], names=["bucket", "rows", "wide"])
 
-    return docs.select("doc_id", "text").mapInArrow(make, "bucket int, rows binary")
+    return docs.select("doc_id", "text").mapInArrow(make, "bucket int, rows binary, wide binary")
 
 
 def candidate_pairs(t: dict[str, np.ndarray], params: Params, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -221,8 +227,16 @@ def candidate_pairs(t: dict[str, np.ndarray], params: Params, wanted: np.ndarray
         ok = (np.minimum(na, nb) * params.den >= np.maximum(na, nb) * params.num) & (left >= need)
         a, b, most = a[ok], b[ok], (na + nb - 2 * need)[ok]
         ok = np.bitwise_count(t["sketch"][a] ^ t["sketch"][b]) <= most
-        out_a.append(a[ok])
-        out_b.append(b[ok])
+        a, b, most = a[ok], b[ok], most[ok]
+        large = np.flatnonzero(np.minimum(t["n"][a], t["n"][b]) >= params.wide)
+        if len(large):
+            words_ = [t[w][a[large]] ^ t[w][b[large]] for w in WIDE]
+            words_.append(t["sketch"][a[large]] ^ t["sketch"][b[large]] ^ words_[0] ^ words_[1] ^ words_[2])
+            ok = np.ones(len(a), bool)
+            ok[large] = sum(np.bitwise_count(w).astype(np.int64) for w in words_) <= most[large]
+            a, b = a[ok], b[ok]
+        out_a.append(a)
+        out_b.append(b)
         at = end
     return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
@@ -232,6 +246,10 @@ def _offered(part: pa.Table, params: Params, wanted: np.ndarray | None) -> pa.Ta
     blobs = [unpack(v, np.uint64).reshape(len(PARTS), -1) for v in part.column("rows").to_pylist()]
     t = {name: np.concatenate([b[k] for b in blobs]) for k, name in enumerate(PARTS)}
     t |= {name: t[name].view(np.int64) for name in PARTS[1:] if name != "sketch"}
+    wide = np.concatenate([unpack(v, np.uint64).reshape(len(WIDE), -1) for v in part.column("wide").to_pylist()], axis=1)
+    for k, name in enumerate(WIDE):
+        t[name] = np.zeros(len(t["n"]), np.uint64)
+        t[name][t["n"] >= params.wide] = wide[k]
     # One row for each word and set: its earliest line.
     order = np.lexsort((t["number"], t["doc_id"], t["set_id"], t["word"]))
     t = {c: v[order] for c, v in t.items()}
