@@ -50,7 +50,7 @@ class Params:
 
     shingle: int = 3
     radius: int = 3
-    leaf: int = 20_000
+    leaf: int = 100_000
     sample: int = 50_000
     small: int = 256
 
