@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,5 +51,17 @@ def free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where they share the driver's file system but not its path.
+
+    Elsewhere, install it on the executors or send it with ``--py-files``.
+    """
+    home = str(Path(__file__).resolve().parents[1])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([home, *filter(None, paths)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
