@@ -1,0 +1,313 @@
+"""Operators against brute force, exact round trips and held-out accuracy."""
+
+import itertools
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from siftspark.llm import decontaminate, katz, line_dedup, mixing, pii, quality_model, quality_rules, simhash, toxicity, url_filter
+from siftspark.llm.components import components
+from siftspark.llm.tokens import hashed, pieces, texts_of, words
+from siftspark.session import table
+
+DATA = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+TO_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return table(spark, DATA, "documents")
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+
+
+def some_texts(seed, n=300):
+    rng = random.Random(seed)
+    return ["".join(rng.choice("aAbB é漢\t\n\x0b\x1c  ") for _ in range(rng.randint(0, 60))) for _ in range(n)]
+
+
+def test_words_of_slices():
+    values = [*some_texts(1), None, "", "z" * 5000]
+    batch = pa.record_batch([pa.array(values, pa.string())], names=["text"])
+    at = 0
+    for piece in pieces([batch.slice(3)], limit=200):
+        flat, off = words(texts_of(piece))
+        flat = flat.to_pylist()
+        for i in range(piece.num_rows):
+            assert flat[off[i] : off[i + 1]] == WORD.findall((values[3 + at] or "").translate(TO_LOWER))
+            at += 1
+    assert at == len(values) - 3
+
+
+def test_hashes_depend_on_the_string_alone():
+    values = ["", "a", "ab", "abcdefgh", "abcdefghi", "x" * 5000, "é", "a", "abcdefgh\0"]
+    h = hashed(pa.array(values, pa.large_string()))
+    assert len(set(h.tolist())) == 8 and h[1] == h[7]
+    assert (hashed(pa.array(["q", *values], pa.large_string()).slice(1)) == h).all()
+    assert (hashed(pa.array(values, pa.string())) == h).all()
+
+
+def brute_repeats(w):
+    seen = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+    covered = set()
+    for i in range(len(w) - 2):
+        if seen[tuple(w[i : i + 3])] > 1:
+            covered |= {i, i + 1, i + 2}
+    return len(covered)
+
+
+def test_quality_statistics(spark):
+    values = [*some_texts(2, 100), "a b c a b c", "a a a a a", "x\nx\n \n x\nx ", "## a|b <>"]
+    df = spark.createDataFrame(list(enumerate(values)), "doc_id int, text string")
+    for r in quality_rules.quality_verdicts(df).collect():
+        t = values[r.doc_id]
+        w, lines = WORD.findall(t), [x for x in t.split("\n") if WORD.search(x)]
+        want = (len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), brute_repeats(w))
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+        assert r.base_failed == (len(w) < 50 or 100 * want[-1] > 50 * len(w))
+
+
+def test_quality_rules_agree_with_labels(spark, docs):
+    j = quality_rules.quality_verdicts(docs).filter("NOT base_failed").join(table(spark, DATA, "labels"), "doc_id").collect()
+    assert sum(r.kept == bool(r.quality) for r in j) >= 0.97 * len(j)
+    assert {r.doc_id for r in quality_rules.filter_quality(docs).collect()} == {r.doc_id for r in quality_rules.quality_verdicts(docs).filter("kept").collect()}
+
+
+def test_mixing_meets_its_marginals(docs):
+    mix = mixing.PRODUCTION
+    got = mixing.mix_documents(docs).toPandas()
+    total = got.n_tokens.sum()
+    for axis, (_, keys, targets) in zip(("source", "lang", "topic"), mix.axes(), strict=True):
+        have = got.groupby(axis).apply(lambda g: (g.n_tokens * g.rate).sum() / total, include_groups=False)
+        wanted = {k: v for k, v in zip(keys, targets, strict=True) if k in have.index and got[got[axis] == k].n_tokens.sum()}
+        for k, v in wanted.items():
+            assert abs(have[k] - mix.budget * v / sum(wanted.values())) < 2e-3, (axis, k)
+    assert abs((got.copies - got.rate).mean()) < 0.15
+
+
+def test_masks_hit_every_window_within_the_tolerance():
+    p = decontaminate.Params()
+    for subs in itertools.combinations(range(p.window), p.window - p.least_equal):
+        assert any(all(s + o not in subs for o in m) for m in decontaminate.MASKS for s in range(p.window - m[-1]))
+
+
+def test_leaks_equal_brute_force(spark):
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(12)]
+    items = [(i, [rng.choice(vocabulary) for _ in range(rng.randint(8, 30))]) for i in range(12)]
+    rows = []
+    for k in range(80):
+        w = [rng.choice(vocabulary) for _ in range(rng.randint(0, 60))]
+        if k % 2:
+            w[5:5] = [x if rng.random() > 0.15 else "sub" for x in rng.choice(items)[1]]
+        rows.append((k, " ".join(x.upper() + "," if rng.random() < 0.3 else x for x in w), w))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id int, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id int, text string")
+    for params in (decontaminate.Params(), decontaminate.Params(block_chars=200)):
+        got = {r.doc_id: list(r["items"]) for r in decontaminate.leaks(docs, bench, params).collect()}
+        for k, _, w in rows:
+            want = [i for i, b in items if any(sum(x == y for x, y in zip(w[p : p + 13], b[q : q + 13], strict=False)) >= 11 for q in range(len(b) - 12) for p in range(len(w) - 12))]
+            assert got[k] == want
+    kept = {r.doc_id for r in decontaminate.drop_leaks(docs, bench).collect()}
+    assert kept == {k for k, v in got.items() if not v}
+
+
+SAMPLES = "mail a.b9@x.com, +1 (017) 555-7713; 4845168114407329 7536784127813050 97.51.17.173 SSN 123-45-6789 on 2024-02-29 or 31/12/1999, 12/31/1999, 03/04/2001. DE89 3704 0044 0532 0130 00"
+
+
+def test_pseudonyms_round_trip():
+    new, found = pii.pseudonymised(SAMPLES, b"key")
+    assert sum(found.values()) == 11
+    assert pii.pseudonymised(new, b"key", back=True)[0] == SAMPLES
+    assert len(new.split()) == len(SAMPLES.split()) and re.sub(r"[A-Za-z0-9]", "", re.sub(r"\d+\.\d+\.\d+\.\d+", "", new)) == re.sub(r"[A-Za-z0-9]", "", re.sub(r"\d+\.\d+\.\d+\.\d+", "", SAMPLES))
+    for value in re.findall(r"\d{16}", SAMPLES):
+        assert value not in new
+    assert pii.pseudonym("card", "4845168114407329", b"key") != pii.pseudonym("card", "4845168114407329", b"other")
+    for plain in ("4845168114407328 is no card", "300.1.1.1 v4.0. 2023-02-29 000-12-3456", "1234567890123456"):
+        assert pii.pseudonymised(plain, b"key")[0] == plain
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 97, 1000])
+def test_feistel_permutes(n):
+    image = [pii._feistel(x, n, b"k", "t") for x in range(n)]
+    assert sorted(image) == list(range(n)) and [pii._feistel(y, n, b"k", "t", back=True) for y in image] == list(range(n))
+
+
+def test_equal_values_stay_linked(spark):
+    df = spark.createDataFrame([(1, "call +1 (212) 555-0100 now"), (2, "or +1 (212) 555-0100."), (3, None)], "doc_id int, text string")
+    got = {r.doc_id: r for r in pii.pseudonymise(df).collect()}
+    first, second = (re.search(r"\+1 \(\d{3}\) \d{3}-\d{4}", got[i].text)[0] for i in (1, 2))
+    assert first == second != "+1 (212) 555-0100" and got[3].text is None and got[1].n_phone == 1
+
+
+def test_quality_model_held_out(spark):
+    d = "/root/testdata/sf0.01"
+    got = quality_model.quality_scores(table(spark, d, "documents"), table(spark, d, "labels")).join(table(spark, d, "labels"), "doc_id").filter("held_out").collect()
+    assert sum(r.predicted == r.quality for r in got) >= 0.95 * len(got)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in got)
+
+
+def test_katz_base_score(docs, texts):
+    got = katz.language_scores(docs).collect()
+    tok = {i: [*WORD.findall(t.translate(TO_LOWER)), None] for i, t in texts.items()}
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in tok}
+    c = Counter(w for i, ws in tok.items() if not held[i] for w in ws)
+    n, v = sum(c.values()), len(c)
+    for r in got:
+        ws = tok[r.doc_id]
+        base = sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws)
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(ws), sum(c[w] > 0 for w in ws), n)
+        assert math.isclose(r.base_score, base, rel_tol=1e-9)
+    out = [r for r in got if r.held_out]
+    assert sum(r.score for r in out) > sum(r.base_score for r in out)
+
+
+def test_katz_sums_to_one():
+    rng = np.random.default_rng(0)
+    k = 40
+    params = katz.Params(rare_bits=3)
+    classes = katz.Classes(rng.integers(1, 2**63, 30).astype(np.uint64), rng.integers(5, 50, 30).astype(float), rng.integers(0, 20, 8).astype(float), rng.integers(0, 5, 8).astype(float), 1000, params)
+    k = len(classes.p)
+    counts = rng.poisson(0.4, (k + 1, k)) * (rng.random((k + 1, 1)) > 0.2)
+    counts[3] = rng.integers(1, 9, k)  # every class seen
+    counts[4] = 9 * (rng.random(k) > 0.5)  # nothing discounted
+    discount = katz.good_turing(np.bincount(np.minimum(counts, 7).ravel(), minlength=8), 5)
+    model = katz.Katz(classes, discount, counts.sum(1).astype(float), katz.discounted(counts.astype(float), discount).sum(1), np.where(counts > 0, classes.p, 0).sum(1))
+    for b in range(k + 1):
+        p = model.probability(np.full(k, b), np.arange(k), counts[b].astype(float))
+        assert math.isclose(p.sum(), 1, rel_tol=1e-9) and (p > 0).all()
+    in_class = 10 ** classes.log_in_class(np.arange(1, 9).astype(np.uint64), np.zeros(8))
+    assert (in_class <= 1).all()
+
+
+def brute_lines(texts):
+    seen, gone = [], {}
+    for i in sorted(texts):
+        for k, line in enumerate(texts[i].split("\n")):
+            w = frozenset(WORD.findall(line.translate(TO_LOWER)))
+            if not w:
+                continue
+            if any(5 * len(w & x) >= 4 * len(w | x) for x in seen):
+                gone.setdefault(i, []).append(k)
+            seen.append(w)
+    return gone
+
+
+@pytest.mark.parametrize("params", [line_dedup.Params(), line_dedup.Params(block=2, few=1, wide=6)], ids=["as set", "small blocks"])
+def test_lines_equal_brute_force(spark, params):
+    rng = random.Random(9)
+    lines = [[f"w{int(rng.expovariate(0.15))}" for _ in range(rng.randint(1, 14))] for _ in range(60)]
+    for _ in range(150):  # near copies
+        x = list(rng.choice(lines))
+        x[rng.randrange(len(x))] = f"n{rng.randrange(9)}"
+        lines.append(x)
+    lines += [lines[3]] * 20
+    rng.shuffle(lines)
+    texts = {i: "\n".join(" ".join(x) for x in lines[i * 5 : i * 5 + 5]) for i in range(len(lines) // 5)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = {r.doc_id: list(r.removed) for r in line_dedup.line_verdicts(df, params).collect() if r.n_removed}
+    assert got == brute_lines(texts)
+    kept = {r.doc_id: r.text for r in line_dedup.drop_lines(df, params).collect()}
+    for i, t in texts.items():
+        left = "\n".join(x for k, x in enumerate(t.split("\n")) if k not in got.get(i, []))
+        assert kept.get(i, "") == left
+
+
+def brute_fingerprint(text):
+    w = WORD.findall(text.translate(TO_LOWER))
+    if not w:
+        return 0
+    h = [xxhash.xxh64_intdigest(" ".join(w[i : i + 3]).encode(), 42) for i in range(max(1, len(w) - 2))]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_simhash_equals_brute_force(docs, texts):
+    got = {r.doc_id: r for r in simhash.near_duplicates(docs).collect()}
+    fp = {i: brute_fingerprint(t) for i, t in texts.items()}
+    assert all(got[i].fingerprint == f"{v:016x}" for i, v in fp.items())
+    root = {i: i for i in fp}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in itertools.combinations(sorted(fp), 2):
+        if (fp[i] ^ fp[j]).bit_count() <= 3:
+            a, b = top(i), top(j)
+            root[max(a, b)] = min(a, b)
+    assert all(got[i].component_id == top(i) for i in fp)
+    assert {r.doc_id for r in simhash.drop_near_duplicates(docs).collect()} == {i for i in fp if top(i) == i}
+
+
+@pytest.mark.parametrize("leaf", [50, 400])
+def test_tree_loses_no_link(leaf):
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 2**63, 1500, dtype=np.uint64)
+    near = x[:500] ^ np.uint64(1) << rng.integers(0, 64, 500, dtype=np.uint64)
+    dense = np.uint64(7) ^ (np.uint64(1) << rng.integers(0, 64, 800, dtype=np.uint64) | np.uint64(1) << rng.integers(0, 64, 800, dtype=np.uint64))
+    x = np.unique(np.concatenate([x, near, dense]))
+    want = {(int(i), int(j)) for i, j in zip(*np.nonzero(np.triu(np.bitwise_count(x[:, None] ^ x[None, :]) <= 3, 1)), strict=True)}
+    tree = simhash.Tree(x[::3], len(x), leaf, 3)
+    shards = [set(at.tolist()) for _, at in tree.deal(x)]
+    for i, j in want:
+        assert any(i in s and j in s for s in shards)
+    forest = simhash.spanning_links(x, 3, small=64)
+    assert set(map(lambda p: tuple(sorted(p)), forest)) <= want
+    root = list(range(len(x)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in forest:
+        assert top(i) != top(j)
+        root[top(i)] = top(j)
+    assert all(top(i) == top(j) for i, j in want)
+
+
+def test_components_of_a_path(spark):
+    links = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
+    got = {r.v: r.root for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
+
+
+def test_toxicity_folds_and_excuses():
+    found = toxicity.automaton(list(toxicity.TERMS))
+    name = lambda t: sorted(toxicity.TERMS[k] for k in toxicity.matches(t, found))
+    assert name("You 1D10T! stуpid, $TUPID") == ["idiot", "stupid"]
+    assert name("the trash can is by the circus clown") == [] and name("you trash, you clown") == ["clown", "trash"]
+    assert name("classic idiotism grapes") == [] and name("") == []
+
+
+def test_toxicity_held_out(spark):
+    d = "/root/testdata/sf0.01"
+    got = toxicity.toxicity_scores(table(spark, d, "documents"), table(spark, d, "labels")).join(table(spark, d, "labels"), "doc_id").filter("held_out").collect()
+    assert not any(r.predicted and not r.toxic for r in got)
+    assert sum(r.predicted == r.toxic for r in got) >= 0.93 * len(got)
+
+
+def test_url_rules(spark):
+    urls = ["http://example.com/en/a", "http://www.example.com/en/a", "https://m.b.net/es/1?q#f", "http://badexample.com/en/", "http://x.org/", "HTTP://Foo.COM/?a=b/c"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.url_verdicts(pages).collect()}
+    assert got[0] == ("example.com/en/", "block") and got[1] == ("www.example.com/en/", "allow") and got[2] == ("net/es/", "block")
+    assert got[3] == ("com/", "allow") and got[4][0] is None and got[5] == ("com/", "allow")
+
+
+def test_entropy(spark):
+    df = spark.createDataFrame([("aabb",), ("",), ("aaaa",)], "s string")
+    assert [round(r[0], 6) for r in df.select(url_filter._entropy(F.col("s"))).collect()] == [1.0, 0.0, 0.0]
