@@ -12,9 +12,9 @@ on the whole sets.
 The order of the words needs no table of all words: a word counts as frequent
 as its slot in an array of fixed size, ties go by hash, and any order that is
 the same everywhere gives the same result. Prefix words that would gather too
-many sets in one task are dealt to pairs of blocks. Each set first offers its
-earliest few candidates per task; the sets that none of those remove and that
-had more come again with all of theirs.
+many sets in one task are dealt to pairs of blocks. Each set offers its
+earliest few candidates per task; the few sets that none of those remove and
+that had more are then searched for among all lines, in blocks of bounded size.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, lines end at ``\\n``.
 Words are compared by 48-bit hashes, which
@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftspark.llm.tokens import PIECE, hashed, mixed, pack, pieces, ragged, texts_of, unpack, words
+from siftspark.llm.tokens import hashed, mixed, pack, pieces, ragged, texts_of, unpack, words
 
 
 @dataclass(frozen=True)
@@ -51,6 +51,8 @@ class Params:
     filter_slots: int = 1 << 22
     block: int = 20_000
     few: int = 16
+    #: Sets that one pass over the texts searches for by themselves.
+    open_block: int = 10_000
     #: Sets from this size on have sketches of four words, as one is soon full.
     wide: int = 80
 
@@ -76,6 +78,11 @@ WORD_BITS = np.uint64(48)
 WORD = np.uint64(2**48 - 1)
 
 
+def _ids(batch: pa.RecordBatch) -> np.ndarray:
+    """Document ids; null comes before all others."""
+    return pc.fill_null(batch.column("doc_id").cast(pa.int64()), -(2**63)).to_numpy(zero_copy_only=False)
+
+
 def _slot(h: np.ndarray, slots: int) -> np.ndarray:
     return (h >> (WORD_BITS - np.uint64(slots.bit_length() - 1))).astype(np.int64)
 
@@ -177,7 +184,7 @@ def prefix_rows(docs: DataFrame, counts: np.ndarray, crowd: np.ndarray, buckets:
     """(bucket, rows, wide): the prefix words of each distinct set of a piece. Words of a crowded slot go to pairs of blocks."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, limit=2 * PIECE):
+        for batch in pieces(batches):
             lines = lines_of(texts_of(batch))
             line, word, pos = _prefixes(lines, counts, params)
             if not len(line):
@@ -196,7 +203,7 @@ def prefix_rows(docs: DataFrame, counts: np.ndarray, crowd: np.ndarray, buckets:
             bucket = (pair % np.uint64(buckets)).astype(np.int64)
             order = np.lexsort((pair, bucket))
             line, pair = line[order], pair[order]
-            ids = pc.fill_null(batch.column("doc_id").cast(pa.int64()), -(2**63)).to_numpy(zero_copy_only=False)
+            ids = _ids(batch)
             columns = np.stack([pair, lines.set_id[line].view(np.uint64), sketch[line], ids[lines.row[line]].view(np.uint64), lines.number[line].astype(np.uint64), lines.n[line].astype(np.uint64), pos[order].astype(np.uint64)])
             found, first = np.unique(bucket[order], return_index=True)
             parts = [(pack(c.ravel()), pack(w[:, c[5] >= params.wide].ravel())) for c, w in zip(np.split(columns, first[1:], axis=1), np.split(wide[:, line], first[1:], axis=1), strict=True)]
@@ -205,19 +212,17 @@ def prefix_rows(docs: DataFrame, counts: np.ndarray, crowd: np.ndarray, buckets:
     return docs.select("doc_id", "text").mapInArrow(make, "bucket int, rows binary, wide binary")
 
 
-def candidate_pairs(t: dict[str, np.ndarray], params: Params, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def candidate_pairs(t: dict[str, np.ndarray], params: Params) -> tuple[np.ndarray, np.ndarray]:
     """(earlier, later) places of pairs under one word that pass all filters. t is sorted by word, then by order."""
     out_a, out_b = [], []
     new = np.concatenate([[True], t["word"][1:] != t["word"][:-1]])
     begin = np.flatnonzero(new)
     group = np.cumsum(new) - 1
     before = np.arange(len(new)) - begin[group]  # earlier rows of the same word
-    if wanted is not None:
-        before = np.where(wanted, before, 0)
     done = np.concatenate([[0], np.cumsum(before)])
     at = 0
     while at < len(new):
-        end = max(at + 1, int(np.searchsorted(done, done[at] + 2_000_000, "right")) - 1)
+        end = max(at + 1, int(np.searchsorted(done, done[at] + 400_000, "right")) - 1)
         k = before[at:end]
         b = np.repeat(np.arange(at, end), k)
         a = ragged(begin[group[at:end]], k)
@@ -241,8 +246,8 @@ def candidate_pairs(t: dict[str, np.ndarray], params: Params, wanted: np.ndarray
     return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def _offered(part: pa.Table, params: Params, wanted: np.ndarray | None) -> pa.Table:
-    """(a, b, more): sets a before b that pass the filters; the first few of each b, or all."""
+def _offered(part: pa.Table, params: Params) -> pa.Table:
+    """(a, b, more): sets a before b that pass the filters, the first few of each b, and whether it had more."""
     blobs = [unpack(v, np.uint64).reshape(len(PARTS), -1) for v in part.column("rows").to_pylist()]
     t = {name: np.concatenate([b[k] for b in blobs]) for k, name in enumerate(PARTS)}
     t |= {name: t[name].view(np.int64) for name in PARTS[1:] if name != "sketch"}
@@ -257,8 +262,7 @@ def _offered(part: pa.Table, params: Params, wanted: np.ndarray | None) -> pa.Ta
     t = {c: v[one] for c, v in t.items()}
     order = np.lexsort((t["set_id"], t["number"], t["doc_id"], t["word"]))
     t = {c: v[order] for c, v in t.items()}
-    mine = None if wanted is None else wanted[_filter_slot(t["set_id"], len(wanted))]
-    a, b = candidate_pairs(t, params, mine)
+    a, b = candidate_pairs(t, params)
     # A pair may share several words; keep it once, then the earliest few of each later set.
     order = np.lexsort((t["set_id"][a], t["number"][a], t["doc_id"][a], t["set_id"][b]))
     sa, sb = t["set_id"][a][order], t["set_id"][b][order]
@@ -267,7 +271,7 @@ def _offered(part: pa.Table, params: Params, wanted: np.ndarray | None) -> pa.Ta
     new = np.concatenate([[True], sb[1:] != sb[:-1]]) if len(sb) else np.zeros(0, bool)
     rank = np.arange(len(sb)) - np.flatnonzero(new)[np.cumsum(new) - 1] if len(sb) else np.zeros(0, np.int64)
     size = np.diff(np.append(np.flatnonzero(new), len(sb)))[np.cumsum(new) - 1] if len(sb) else rank
-    keep = rank < params.few if wanted is None else np.ones(len(sb), bool)
+    keep = rank < params.few
     return pa.table({"a": sa[keep], "b": sb[keep], "more": size[keep] > params.few})
 
 
@@ -289,13 +293,13 @@ def _filter_of(ids: DataFrame, params: Params) -> np.ndarray:
 
 def set_words(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     """(set_id, words): the word hashes of the sets that pass the filter."""
+    packed, slots = np.packbits(wanted), len(wanted)  # what goes to the tasks is the bits
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = np.packbits(wanted)  # what goes to the tasks is the bits
         for batch in pieces(batches):
             lines = lines_of(texts_of(batch))
             _, first = np.unique(lines.set_id, return_index=True)
-            slot = _filter_slot(lines.set_id[first], len(wanted))
+            slot = _filter_slot(lines.set_id[first], slots)
             first = first[(packed[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)]
             n = lines.n[first]
             values = lines.h[ragged(lines.off[first], n)].view(np.int64)
@@ -304,30 +308,65 @@ def set_words(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     return docs.select("text").mapInArrow(make, "set_id bigint, words array<bigint>").dropDuplicates(["set_id"])
 
 
-def similar_sets(docs: DataFrame, counts: np.ndarray, crowd: np.ndarray, params: Params) -> DataFrame:
-    """(b): the sets to which an earlier set is similar but not equal."""
-    from siftspark.session import checkpointed, free_shuffles
+def found_by_search(docs: DataFrame, open_: DataFrame, counts: np.ndarray, params: Params) -> DataFrame:
+    """(b): those of the open sets (b, words, doc_id, number of the first line) that an earlier line is similar to.
+
+    A block of open sets goes to all tasks; a line is compared with those that have a prefix word in it.
+    """
+    n = -(-open_.count() // params.open_block)
+    out = None
+    for k in range(n):
+        rows = open_.filter(F.pmod(F.xxhash64(F.lit(1), "b"), F.lit(n)) == k).collect()
+        sets = [np.sort(np.array(r["words"], np.int64).view(np.uint64)) for r in rows]
+        mine = Lines(np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64), np.concatenate(sets), np.cumsum([0, *map(len, sets)]), np.array([r["b"] for r in rows], np.int64))
+        owner, word, _ = _prefixes(mine, counts, params)
+        order = np.argsort(word, kind="stable")
+        owner, word = owner[order], word[order]
+        places = [(r["doc_id"], r["number"], r["b"]) for r in rows]
+
+        def search(batches: Iterator[pa.RecordBatch], sets=sets, owner=owner, word=word, places=places) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+            found = set()
+            for batch in pieces(batches):
+                lines = lines_of(texts_of(batch))
+                lo, hi = np.searchsorted(word, lines.h, "left"), np.searchsorted(word, lines.h, "right")
+                line = np.repeat(np.repeat(np.arange(len(lines.n)), lines.n), hi - lo)
+                pairs = np.unique(np.stack([line, owner[ragged(lo, hi - lo)]]), axis=1)
+                ids = _ids(batch)
+                for i, j in pairs.T.tolist():
+                    if j in found or not (ids[lines.row[i]], lines.number[i], lines.set_id[i]) < places[j] or lines.set_id[i] == places[j][2]:
+                        continue
+                    shared = len(np.intersect1d(lines.h[lines.off[i] : lines.off[i + 1]], sets[j], assume_unique=True))
+                    if params.den * shared >= params.num * (lines.n[i] + len(sets[j]) - shared):
+                        found.add(j)
+            yield pa.record_batch([pa.array([places[j][2] for j in sorted(found)], pa.int64())], names=["b"])
+
+        hits = docs.mapInArrow(search, "b bigint")
+        out = hits if out is None else out.union(hits)
+    return out
 
-    buckets = max(16, int(crowd.sum(dtype=np.int64)) // 150_000)
 
-    def verified(wanted: np.ndarray | None) -> tuple[DataFrame, DataFrame]:
-        offered = prefix_rows(docs, counts, crowd, buckets, params).groupBy("bucket").applyInArrow(lambda part: _offered(part, params, wanted), "a bigint, b bigint, more boolean")
-        pairs = checkpointed(offered.groupBy("a", "b").agg(F.bool_or("more").alias("more")))
-        del offered
-        free_shuffles(docs.sparkSession)
-        sets = checkpointed(set_words(docs, _filter_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), params)))
-        one, two = sets.select(F.col("set_id").alias("a"), F.col("words").alias("_wa")), sets.select(F.col("set_id").alias("b"), F.col("words").alias("_wb"))
-        shared = F.size(F.array_intersect("_wa", "_wb"))
-        similar = params.den * shared >= params.num * (F.size("_wa") + F.size("_wb") - shared)
-        found = checkpointed(pairs.join(one, "a").join(two, "b").filter(similar).select("b").distinct())
-        free_shuffles(docs.sparkSession)
-        return pairs, found
+def similar_sets(docs: DataFrame, lines: DataFrame, counts: np.ndarray, crowd: np.ndarray, params: Params) -> DataFrame:
+    """(b): the sets to which an earlier set is similar but not equal."""
+    from siftspark.session import checkpointed, free_shuffles
 
-    pairs, found = verified(None)
-    open_ = pairs.filter("more").select("b").distinct().join(found, "b", "left_anti")
-    if open_.limit(1).count():
-        found = found.union(verified(_filter_of(open_, params))[1]).distinct()
-    return found
+    buckets = max(16, int(crowd.sum(dtype=np.int64)) // 120_000)
+    offered = prefix_rows(docs, counts, crowd, buckets, params).groupBy("bucket").applyInArrow(lambda part: _offered(part, params), "a bigint, b bigint, more boolean")
+    pairs = checkpointed(offered.groupBy("a", "b").agg(F.bool_or("more").alias("more")))
+    del offered
+    free_shuffles(docs.sparkSession)
+    sets = checkpointed(set_words(docs, _filter_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), params)))
+    one, two = sets.select(F.col("set_id").alias("a"), F.col("words").alias("_wa")), sets.select(F.col("set_id").alias("b"), F.col("words").alias("_wb"))
+    shared = F.size(F.array_intersect("_wa", "_wb"))
+    similar = params.den * shared >= params.num * (F.size("_wa") + F.size("_wb") - shared)
+    found = checkpointed(pairs.join(one, "a").join(two, "b").filter(similar).select("b").distinct())
+    free_shuffles(docs.sparkSession)
+    left = checkpointed(pairs.filter("more").select("b").distinct().join(found, "b", "left_anti"))
+    if not left.limit(1).count():
+        return found
+    place = F.struct(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("doc_id"), "number")
+    first = lines.join(left.select(F.col("b").alias("set_id")), "set_id", "left_semi").groupBy(F.col("set_id").alias("b")).agg(F.min(place).alias("_p"))
+    open_ = checkpointed(first.join(sets.select(F.col("set_id").alias("b"), "words"), "b").select("b", "words", "_p.*"))
+    return found.union(found_by_search(docs, open_, counts, params)).distinct()
 
 
 def document_lines(docs: DataFrame, counts: np.ndarray, params: Params) -> DataFrame:
@@ -363,7 +402,7 @@ def removed_lines(docs: DataFrame, params: Params = Params()) -> DataFrame:
     counts = word_counts(texts, params)
     both = checkpointed(document_lines(texts, counts, params))
     lines = both.filter("k IS NULL").drop("k", "v")
-    similar = similar_sets(texts, counts, total_of(both.filter("k IS NOT NULL").select("k", "v"), params.slots), params)
+    similar = similar_sets(texts, lines, counts, total_of(both.filter("k IS NOT NULL").select("k", "v"), params.slots), params)
     place = F.struct("doc_id", "text_key", "number")
     first = lines.groupBy("set_id").agg(F.min(place).alias("_first"))
     first = first.join(similar.select(F.col("b").alias("set_id"), F.lit(True).alias("_similar")), "set_id", "left")
