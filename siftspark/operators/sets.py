@@ -27,7 +27,9 @@ def missing_keys(a: DataFrame, b: DataFrame, key: Column) -> DataFrame:
 
 def inchikey_layer(key: Column, layers: int) -> Column:
     """The first layer of an InChIKey, or the first two without the protonation flag."""
-    return F.substring_index(key, "-", 1) if layers == 1 else F.expr("left({0}, length({0}) - 2)".format("inchikey")) if layers == 2 else key
+    if layers == 1:
+        return F.substring_index(key, "-", 1)
+    return F.left(key, F.length(key) - 2) if layers == 2 else key
 
 
 def cumulative_training(splits: DataFrame, iteration: int) -> DataFrame:

@@ -219,3 +219,28 @@ def test_contacts_equal_brute_force(spark):
     got = sorted((r.d, r.a) for r in structure.contacts(df.filter("id < 40"), df.filter("id >= 40"), 0.5).collect())
     want = sorted((p[0], q[0]) for p in pts[:40] for q in pts[40:] if math.dist(p[1:], q[1:]) <= 0.5)
     assert got == want
+
+
+def test_inchikey_layers(spark):
+    df = spark.createDataFrame([("AAAA-BBBB-N",)], "k string")
+    assert tuple(df.select(*[sets.inchikey_layer(F.col("k"), n) for n in (1, 2, 3)]).first()) == ("AAAA", "AAAA-BBBB", "AAAA-BBBB-N")
+
+
+def test_model_selection_and_schedule(spark):
+    assert [sampling.linear_schedule(100, 10, i, 4) for i in (1, 2, 4)] == [100, 70, 10]
+    models = spark.createDataFrame([(i, 1.0, 0.9 - i / 100, 0.5 + i / 10, 0.8, 0.8) for i in range(4)], "model_no int, cutoff double, re_te double, pr_te double, re_vl double, re_pr double")
+    got = evaluation.select_models(models, 0.95).collect()
+    assert [(r.model_no, r.place) for r in got] == [(1, 1)]
+    eer = evaluation.equal_error_rate(spark.createDataFrame([(0.1, 0), (0.2, 0), (0.8, 1), (0.9, 1)], "s double, y int"), "s", "y").first()
+    assert (eer.threshold, eer.eer) == (0.801, 0.25)  # the first threshold at which misses outnumber false alarms
+
+
+def test_funnel_skips_missing_inputs(spark):
+    from siftspark.plans.config import Config
+    from siftspark.plans.screening import Screening
+
+    library = spark.createDataFrame([(0, "CC", "a"), (1, "C.C", "b"), (2, "CO", "a"), (3, "CN", "c")], "row_id int, smiles string, name string")
+    scores = spark.createDataFrame([("a", "-7.5"), ("c", "N/A"), ("b", "-9")], "name string, dock_score string")
+    state = Screening(Config(), library, dock_scores=scores)
+    assert [r.name for r in state.results().collect()] == ["a"]
+    assert rows(state.prepared().library.select("row_id")) == [(0,), (3,)]
