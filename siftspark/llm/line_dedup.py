@@ -55,6 +55,8 @@ class Params:
     open_block: int = 10_000
     #: Sets from this size on have sketches of four words, as one is soon full.
     wide: int = 80
+    #: 0: the sets are the words of each line; k: the k-word shingles of each whole text, as one line.
+    shingle: int = 0
 
 
 @dataclass
@@ -96,8 +98,24 @@ def _split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return row, ragged(np.zeros(len(n), np.int64), n), hashed(flat) >> np.uint64(16), off
 
 
-def lines_of(texts: pa.Array) -> Lines:
-    row, number, h, off = _split(texts)
+def _shingles(texts: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The same of whole texts, by the hashes of their shingles; a shorter text is one shingle, padded."""
+    flat, off = words(texts)
+    n = np.diff(off).astype(np.int64)
+    m = np.maximum(n, shingle)
+    begin = np.cumsum(m) - m
+    padded = np.zeros(int(m.sum()), np.uint64)
+    padded[ragged(begin, n)] = hashed(flat)
+    at = ragged(begin, m - shingle + 1)
+    h = padded[at]
+    for k in range(1, shingle):
+        h = mixed(h) + padded[at + k]
+    row = np.arange(len(n))
+    return row, np.zeros_like(row), mixed(h) >> np.uint64(16), np.concatenate([[0], np.cumsum(m - shingle + 1)]).astype(np.int64)
+
+
+def lines_of(texts: pa.Array, shingle: int = 0) -> Lines:
+    row, number, h, off = _shingles(texts, shingle) if shingle else _split(texts)
     found = []
     for first in range(0, len(row), 1 << 16):  # the number of a line has 16 bits here
         part = off[first : first + (1 << 16) + 1]
@@ -147,8 +165,8 @@ def word_counts(docs: DataFrame, params: Params) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(params.slots, np.int64)
         for batch in pieces(batches):
-            flat, _ = words(texts_of(batch))
-            sums += np.bincount(_slot(hashed(flat) >> np.uint64(16), params.slots), minlength=params.slots)
+            _, _, h, _ = _shingles(texts_of(batch), params.shingle) if params.shingle else _split(texts_of(batch))
+            sums += np.bincount(_slot(h, params.slots), minlength=params.slots)
         yield from (pa.record_batch([pa.array([k], pa.int32()), pa.array([v])], names=["k", "v"]) for k, v in slices_of(sums))
 
     return total_of(docs.select("text").mapInArrow(count, "k int, v binary"), params.slots)
@@ -185,7 +203,7 @@ def prefix_rows(docs: DataFrame, counts: np.ndarray, crowd: np.ndarray, buckets:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            lines = lines_of(texts_of(batch))
+            lines = lines_of(texts_of(batch), params.shingle)
             line, word, pos = _prefixes(lines, counts, params)
             if not len(line):
                 continue
@@ -291,13 +309,13 @@ def _filter_of(ids: DataFrame, params: Params) -> np.ndarray:
     return out
 
 
-def set_words(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
+def set_words(docs: DataFrame, wanted: np.ndarray, params: Params) -> DataFrame:
     """(set_id, words): the word hashes of the sets that pass the filter."""
     packed, slots = np.packbits(wanted), len(wanted)  # what goes to the tasks is the bits
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            lines = lines_of(texts_of(batch))
+            lines = lines_of(texts_of(batch), params.shingle)
             _, first = np.unique(lines.set_id, return_index=True)
             slot = _filter_slot(lines.set_id[first], slots)
             first = first[(packed[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)]
@@ -327,7 +345,7 @@ def found_by_search(docs: DataFrame, open_: DataFrame, counts: np.ndarray, param
         def search(batches: Iterator[pa.RecordBatch], sets=sets, owner=owner, word=word, places=places) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
             found = set()
             for batch in pieces(batches):
-                lines = lines_of(texts_of(batch))
+                lines = lines_of(texts_of(batch), params.shingle)
                 lo, hi = np.searchsorted(word, lines.h, "left"), np.searchsorted(word, lines.h, "right")
                 line = np.repeat(np.repeat(np.arange(len(lines.n)), lines.n), hi - lo)
                 pairs = np.unique(np.stack([line, owner[ragged(lo, hi - lo)]]), axis=1)
@@ -354,7 +372,7 @@ def similar_sets(docs: DataFrame, lines: DataFrame, counts: np.ndarray, crowd: n
     pairs = checkpointed(offered.groupBy("a", "b").agg(F.bool_or("more").alias("more")))
     del offered
     free_shuffles(docs.sparkSession)
-    sets = checkpointed(set_words(docs, _filter_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), params)))
+    sets = checkpointed(set_words(docs, _filter_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), params), params))
     one, two = sets.select(F.col("set_id").alias("a"), F.col("words").alias("_wa")), sets.select(F.col("set_id").alias("b"), F.col("words").alias("_wb"))
     shared = F.size(F.array_intersect("_wa", "_wb"))
     similar = params.den * shared >= params.num * (F.size("_wa") + F.size("_wb") - shared)
@@ -377,7 +395,7 @@ def document_lines(docs: DataFrame, counts: np.ndarray, params: Params) -> DataF
         sums = np.zeros(params.slots, np.int64)
         names = ["doc_id", "text_key", "number", "set_id", "k", "v"]
         for batch in pieces(batches):
-            lines = lines_of(texts_of(batch))
+            lines = lines_of(texts_of(batch), params.shingle)
             _, word, _ = _prefixes(lines, counts, params)
             sums += np.bincount(_slot(word, params.slots), minlength=params.slots)
             at = pa.array(lines.row)
