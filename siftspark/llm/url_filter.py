@@ -37,12 +37,12 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 @dataclass(frozen=True)
 class Params:
     """``max_training``: expected number of labelled URLs that the trees are fitted
-    on; more are thinned by a hash of the URL. ``suffix_slots``: host suffixes share
-    this many slots by hash, which bounds the table of their statistics.
+    on; more are thinned by a hash of the URL. ``hot_share``: suffixes with more than this
+    share of the URLs, at most 2 / hot_share of them, are broadcast to be joined.
     """
 
     max_training: int = 50_000
-    suffix_slots: int = 1024
+    hot_share: float = 0.001
     trees: int = 20
     depth: int = 4
     seed: int = 7
@@ -102,14 +102,13 @@ def _entropy(text: Column) -> Column:
     return F.when(n == 0, 0.0).otherwise(F.aggregate(F.array_distinct(F.split(text, "")), F.lit(0.0), lambda a, c: a - F.when(c == "", 0.0).otherwise(share(c) * F.log2(share(c)))))
 
 
-def lexical(urls: DataFrame, params: Params) -> DataFrame:
-    """Add the features that depend on the URL alone, and the slots of its host's suffixes."""
+def lexical(urls: DataFrame) -> DataFrame:
+    """Add the features that depend on the URL alone, and its host's suffixes of one and two labels."""
     c = F.col
     digits = lambda x: F.length(x) - F.length(F.translate(x, "0123456789", ""))
     count = lambda x, y: F.length(x) - F.length(F.replace(x, F.lit(y), F.lit("")))
     # What follows the first ? up to the fragment; its parameters are separated by &.
     query = F.regexp_extract("url", "^[^?#]*\\?([^#]*)", 1)
-    slot = lambda n: F.pmod(F.xxhash64(F.lit(n), F.substring_index("host", ".", -n)), F.lit(params.suffix_slots)).cast("int")
     return urls.select(
         "*",
         F.length("url").cast("double").alias("url_length"),
@@ -126,35 +125,43 @@ def lexical(urls: DataFrame, params: Params) -> DataFrame:
         (F.instr("url", "?") > 0).cast("double").alias("has_query"),
         (F.instr("url", "#") > 0).cast("double").alias("has_fragment"),
         F.length(F.coalesce(F.get(F.split("path", "/"), F.lit(1)), F.lit(""))).cast("double").alias("first_segment_length"),
-        slot(1).alias("_slot1"),
-        slot(2).alias("_slot2"),
+        F.substring_index("host", ".", -1).alias("_suffix1"),
+        F.substring_index("host", ".", -2).alias("_suffix2"),
     )
 
 
 def suffix_statistics(urls: DataFrame) -> DataFrame:
-    """(_slot, _n, _blocked): URLs and the smoothed share of blocked ones among the labelled, by suffix slot.
-
-    Both suffixes of a host are counted into one table of at most ``suffix_slots`` rows.
-    """
-    slots = urls.select(F.explode(F.array("_slot1", "_slot2")).alias("_slot"), "label")
-    sums = slots.groupBy("_slot").agg(F.count("*").alias("_n"), F.count("label").alias("_known"), F.sum("label").alias("_bad"))
-    return sums.select("_slot", F.log1p("_n").alias("_n"), ((F.coalesce("_bad", F.lit(0.0)) + 5.0) / (F.col("_known") + 10.0)).alias("_blocked"))
-
-
-def with_suffixes(urls: DataFrame, stats: DataFrame) -> DataFrame:
-    """Add the suffix features; the statistics have a bounded number of rows."""
-    first = F.broadcast(stats.select(F.col("_slot").alias("_slot1"), F.col("_n").alias("suffix_count"), F.col("_blocked").alias("suffix_blocked")))
-    second = F.broadcast(stats.select(F.col("_slot").alias("_slot2"), F.col("_blocked").alias("second_suffix_blocked")))
-    return urls.join(first, "_slot1", "left").join(second, "_slot2", "left").drop("_slot1", "_slot2")
+    """(_labels, _suffix, _rows, _n, _blocked): URLs and the smoothed share of blocked ones among the labelled,
+    by suffix of one label and of two."""
+    level = lambda k: F.struct(F.lit(k).alias("_labels"), F.col(f"_suffix{k}").alias("_suffix"))
+    rows = urls.select(F.explode(F.array(level(1), level(2))).alias("_s"), "label").select("_s.*", "label")
+    sums = rows.groupBy("_labels", "_suffix").agg(F.count("*").alias("_rows"), F.count("label").alias("_known"), F.sum("label").alias("_bad"))
+    return sums.select("_labels", "_suffix", "_rows", F.log1p("_rows").alias("_n"), ((F.coalesce("_bad", F.lit(0.0)) + 5.0) / (F.col("_known") + 10.0)).alias("_blocked"))
+
+
+def with_suffixes(urls: DataFrame, stats: DataFrame, params: Params = Params()) -> DataFrame:
+    """Add the suffix features. Hot suffixes are broadcast; the others meet their URLs by shuffle."""
+    total = stats.filter("_labels = 1").agg(F.sum("_rows")).first()[0] or 0
+    is_hot = F.col("_rows") > total * params.hot_share
+    for k, names in ((1, ("suffix_count", "suffix_blocked")), (2, (None, "second_suffix_blocked"))):
+        mine = stats.filter(F.col("_labels") == k)
+        # URLs of hot suffixes are dealt evenly: no host has a slash.
+        key = F.when(F.col("_hot_blocked").isNull(), F.col(f"_suffix{k}")).otherwise(F.concat(F.lit("/"), F.xxhash64("url", "page_id").cast("string")))
+        hot = F.broadcast(mine.filter(is_hot).select(F.col("_suffix").alias(f"_suffix{k}"), F.col("_n").alias("_hot_n"), F.col("_blocked").alias("_hot_blocked")))
+        rest = mine.filter(~is_hot).select(F.col("_suffix").alias("_key"), "_n", "_blocked")
+        urls = urls.join(hot, f"_suffix{k}", "left").withColumn("_key", key).join(rest, "_key", "left")
+        values = dict(zip(names, (F.coalesce("_hot_n", "_n"), F.coalesce("_hot_blocked", "_blocked")), strict=True))
+        urls = urls.withColumns({name: v for name, v in values.items() if name}).drop("_key", "_hot_n", "_hot_blocked", "_n", "_blocked", f"_suffix{k}")
+    return urls
 
 
 def url_verdicts(pages: DataFrame, rules: dict[str, str] = RULES, params: Params = Params()) -> DataFrame:
     """One row per page: host, path, rule, verdict and the trees' probability of blocking."""
     from siftspark.session import checkpointed
 
-    base = checkpointed(lexical(with_rule(parsed(pages), rules), params))
+    base = checkpointed(lexical(with_rule(parsed(pages), rules)))
     stats = checkpointed(suffix_statistics(base))
-    urls = with_suffixes(base, stats)
+    urls = checkpointed(with_suffixes(base, stats, params))
     seen = {r["label"]: r["n"] for r in base.filter(F.col("label").isNotNull()).groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(seen) == 2:
         share = min(1.0, params.max_training / sum(seen.values()))

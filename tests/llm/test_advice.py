@@ -1,10 +1,12 @@
 """What the first review found missing."""
 
+import math
 import random
 import re
+from collections import Counter
 
 import corpus_pipeline
-from siftspark.llm import document_dedup
+from siftspark.llm import document_dedup, url_filter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -33,3 +35,22 @@ def test_near_duplicate_stage_equals_brute_force(spark):
     assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, "").collect()} == want
     few = document_dedup.line_dedup.Params(shingle=5, block=2, few=1, open_block=7)
     assert {r.doc_id for r in document_dedup.drop_near_documents(df, few).collect()} == want
+
+
+def test_url_suffixes_are_counted_apart(spark):
+    hosts = [f"d{i % 3000}.{'org' if i % 3 else 'com'}" for i in range(7000)] + ["localhost", ""]
+    pages = spark.createDataFrame([(i, f"http://{h}/x") for i, h in enumerate(hosts)], "page_id int, url string")
+    base = url_filter.lexical(url_filter.with_rule(url_filter.parsed(pages), {f"d{k}.com/": "block" for k in range(0, 30, 3)} | {"d300.com/": "allow"}))
+    rows = {r.page_id: r for r in url_filter.with_suffixes(base, url_filter.suffix_statistics(base)).collect()}
+    ends = [(h.split(".")[-1], ".".join(h.split(".")[-2:])) for h in hosts]
+    known, bad = Counter(), Counter()
+    for i, (one, two) in enumerate(ends):
+        for key in ((1, one), (2, two)):
+            known[key] += rows[i].label is not None
+            bad[key] += rows[i].label or 0
+    count = Counter(one for one, _ in ends)
+    assert len(rows) == len(hosts)
+    for i, (one, two) in enumerate(ends):
+        assert math.isclose(rows[i].suffix_count, math.log1p(count[one]))
+        assert math.isclose(rows[i].suffix_blocked, (bad[1, one] + 5) / (known[1, one] + 10))
+        assert math.isclose(rows[i].second_suffix_blocked, (bad[2, two] + 5) / (known[2, two] + 10))
