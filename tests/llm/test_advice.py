@@ -7,6 +7,7 @@ from collections import Counter
 
 import corpus_pipeline
 from siftspark.llm import document_dedup, url_filter
+from siftspark.operators import similarity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -54,3 +55,10 @@ def test_url_suffixes_are_counted_apart(spark):
         assert math.isclose(rows[i].suffix_count, math.log1p(count[one]))
         assert math.isclose(rows[i].suffix_blocked, (bad[1, one] + 5) / (known[1, one] + 10))
         assert math.isclose(rows[i].second_suffix_blocked, (bad[2, two] + 5) / (known[2, two] + 10))
+
+
+def test_similarity_of_many_queries(spark):
+    df = spark.createDataFrame([(i, [i * 2654435761 % 2**40]) for i in range(50)], "id bigint, fp array<bigint>")
+    key = lambda r: tuple(r)
+    want = sorted(map(key, similarity.similarity_matrix(df, df).collect()))
+    assert len(want) == 2500 and sorted(map(key, similarity.similarity_matrix(df, df, most_queries=7).collect())) == want
