@@ -6,13 +6,17 @@ dates by the calendar, and so on. A valid value is ranked within the set of all
 valid values of its format, permuted there by a keyed Feistel network, and
 written back in the same format. Equal values get equal pseudonyms in all
 documents, different values different ones, and the key holder can go back.
-Whatever doesn't validate stays as it is.
+Whatever doesn't validate stays as it is; where a number runs into its neighbours,
+the groups of digits inside are tried as well, and the search goes on after the
+first of them.
 
 Defined results: null text stays null, with no values found; empty text stays
 empty. Repeated rows come out alike; an empty table gives an empty result; a
 value that a line break cuts in two is not one value. Other columns are
 ignored. A permutation may map a value to itself, with a chance of one in the
-number of values of its format.
+number of values of its format. Going back is exact for values that stand alone;
+where a value was found next to other digits, a longer run of digits may validate
+by chance afterwards (one in 10 for cards, one in 97 for accounts).
 """
 
 from __future__ import annotations
@@ -200,6 +204,28 @@ def _card(v: str, key: bytes, back: bool) -> str | None:
     return _refill(v, payload + luhn_digit(payload), DIGITS)
 
 
+#: Digits by group as cards are written; such runs are tried before others.
+WRITTEN = {(4, 4, 4, 4, 3), (4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 5), *((n,) for n in range(13, 20))}
+_GROUP = re.compile(r"[A-Za-z0-9]+")
+
+
+def _inside(kind: str, value: str) -> list[tuple[int, int]]:
+    """Where else a value may lie in a match, in the order of trial: runs of whole groups, the likely and long ones first."""
+    groups = [m.span() for m in _GROUP.finditer(value)]
+    if kind == "iban":  # a later one is found when the search goes on
+        return [(0, b) for _, b in reversed(groups) if len(value[:b].replace(" ", "")) >= 12]
+    if kind != "card":
+        return [(0, len(value))]
+    found = []
+    for i in range(len(groups)):
+        for j in range(i, len(groups)):
+            sizes = tuple(b - a for a, b in groups[i : j + 1])
+            if 13 <= sum(sizes) <= 19:
+                whole = j - i + 1 == len(groups)
+                found.append((sizes not in WRITTEN, not whole, -sum(sizes), groups[i][0], groups[j][1]))
+    return [f[-2:] for f in sorted(found)]
+
+
 _KINDS = {"email": _email, "secret": _secret, "iban": _iban, "phone": _phone, "ssn": _ssn, "date": _date, "ip": _ip, "card": _card}
 KINDS = tuple(_KINDS)
 
@@ -214,16 +240,25 @@ def pseudonymised(text: str, key: bytes, back: bool = False) -> tuple[str, Count
     """The whole text with its values replaced, and how many of each kind there were."""
     found: Counter = Counter()
 
-    def put(m: re.Match) -> str:
-        new = pseudonym(m.lastgroup, m[0], key, back)
-        if new is None:
-            return m[0]
-        found[m.lastgroup] += 1
-        return new
+    def put(line: str) -> str:
+        out, done, at = [], 0, 0
+        while m := PATTERN.search(line, at):
+            kind, start = m.lastgroup, m.start()
+            for a, b in _inside(kind, m[0]):
+                new = pseudonym(kind, m[0][a:b], key, back)
+                if new is not None:
+                    found[kind] += 1
+                    out += [line[done:start], put(m[0][:a]) if a else "", new]
+                    done = at = start + b
+                    break
+            else:
+                first = _GROUP.search(line, start)
+                at = max(start + 1, first.end() if first else 0)
+        return "".join([*out, line[done:]])
 
     if not _MAYBE.search(text):
         return text, found
-    return "\n".join(PATTERN.sub(put, line) if _MAYBE.search(line) else line for line in text.split("\n")), found
+    return "\n".join(put(line) if _MAYBE.search(line) else line for line in text.split("\n")), found
 
 
 def pseudonymise(docs: DataFrame, params: Params = Params()) -> DataFrame:

@@ -5,8 +5,10 @@ import random
 import re
 from collections import Counter
 
+import pytest
+
 import corpus_pipeline
-from siftspark.llm import document_dedup, url_filter
+from siftspark.llm import document_dedup, pii, url_filter
 from siftspark.operators import similarity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -62,3 +64,20 @@ def test_similarity_of_many_queries(spark):
     key = lambda r: tuple(r)
     want = sorted(map(key, similarity.similarity_matrix(df, df).collect()))
     assert len(want) == 2500 and sorted(map(key, similarity.similarity_matrix(df, df, most_queries=7).collect())) == want
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "value"),
+    [
+        ("pay 4111 1111 1111 1111 12/25", "card", "4111 1111 1111 1111"),
+        ("no 7 4111 1111 1111 1111", "card", "4111 1111 1111 1111"),
+        ("no 7-4111-1111-1111-1111 x", "card", "4111-1111-1111-1111"),
+        ("12 3782 822463 10005 ok", "card", "3782 822463 10005"),
+        ("+123 4111 1111 1111 1111", "card", "4111 1111 1111 1111"),
+        ("AT61 1904 3002 3457 3201 EUR", "iban", "AT61 1904 3002 3457 3201"),
+        ("AB12 DE89 3704 0044 0532 0130 00", "iban", "DE89 3704 0044 0532 0130 00"),
+    ],
+)
+def test_values_beside_others_are_found(text, kind, value):
+    new, found = pii.pseudonymised(text, b"key")
+    assert found == {kind: 1} and new == text.replace(value, pii.pseudonym(kind, value, b"key")) != text
