@@ -1,23 +1,20 @@
-"""Language-model scoring with a Katz backoff bigram model.
+"""Language-model scoring with a Katz backoff bigram model over words.
 
-Tokens are the lower-cased words of a text and one end. A training word that
-makes up at least ``own_share`` of all tokens is a class of its own; all other
-words, known or not, fall into ``rare_classes`` classes by hash. So there is a
-fixed bound on the classes, while every word keeps its exact count:
-
-    P(word | before) = P(class | class before) * P(word | class)
-
-P(class | before) is a Katz model: bigram counts are discounted by Good-Turing,
-and what the discounts free goes to the classes not seen after ``before`` in
-proportion to their unigram probability, by a weight that makes the sum over
-all classes exactly one. P(word | class) adds one half to each known word's
-count and gives one half to a word never seen in training.
+Tokens are the lower-cased words of a text and one end. P(word | before) is a
+Katz model: bigram counts are discounted by Good-Turing, and what the discounts
+free goes to the words not seen after ``before`` in proportion to their unigram
+probability, by a weight that makes the sum over all words exactly one. The
+unigram model adds one half to each known word's count and gives one half to
+all words never seen in training. Words are compared by 64-bit hashes.
 
 Counts are gathered without sending tokens one by one. Each piece of text sends
-its distinct words, and then its distinct class pairs, with the documents that
-have them, as packed arrays to the partition of a table that owns the key. The
-tables are written once and read by each step: count, discount, weigh, score.
-A frequent context is spread over all partitions by its second class.
+its distinct words as packed arrays to the bucket that owns the word, and gets
+the counts over all training texts back. With these it sends its distinct pairs,
+the count of each pair's second word beside it, to the bucket that owns the word
+before; so a bucket knows all that the normaliser of its contexts needs. Frequent
+contexts are spread over all buckets by their second word, and their sums alone
+come to the driver. The words are written once; the pairs are made
+from them for each step.
 
 Defined results: null text counts as empty and has one token, the end; without
 training rows every word is unknown. Rows of equal doc_id and text are scored
@@ -41,18 +38,18 @@ from siftspark.llm.tokens import hashed, mixed, pack, pieces, ragged, texts_of,
 
 #: Stands for the end of a text among the word hashes.
 END = np.uint64(0x5DEECE66D5DEECE6)
-#: Bits that hold a class, and a text's place in its piece.
-CLASS_BITS, TEXT_BITS = 18, 16
+#: Stands for what is before the first token.
+START = np.uint64(0xA0761D6478BD642F)
+#: Bits that hold a text's place in its piece.
+TEXT_BITS = 16
 
 
 @dataclass(frozen=True)
 class Params:
-    """``own_share``: share of the training tokens from which a word is its own class, so there are at
-    most 1 / own_share of these; ``most_discounted``: largest count that Good-Turing discounts."""
+    """``most_discounted``: largest count that Good-Turing discounts; ``rare_bits``: of :class:`Classes` alone."""
 
     folds: int = 5
     held_out_fold: int = 1
-    own_share: float = 2.0**-16
     rare_bits: int = 16
     most_discounted: int = 5
     piece: int = 8 << 20
@@ -68,15 +65,32 @@ def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return h, np.repeat(np.arange(len(n)), n + 1)
 
 
-#: A row holds the keys of one piece that one bucket owns: sorted distinct keys (as differences), how often
-#: training texts have them, how many texts have each, these texts, and how often each has it.
-#: Rows with a bucket below zero hold the texts of a piece: row keys and token counts.
-TABLE = "bucket int, chunk bigint, keys binary, train binary, per binary, texts binary, times binary"
-FIELDS = ["bucket", "chunk", "keys", "train", "per", "texts", "times"]
+#: A row holds the words of one piece that one bucket owns: sorted distinct keys (as differences), and how often
+#: training texts have them. Rows with a bucket below zero hold the texts of a piece: its distinct words, frequent ones
+#: first, the place among these of each token, row keys, token counts, and whether a text is for training.
+WORDS = "bucket int, chunk bigint, keys binary, train binary, row_key binary, n_tokens binary, training binary"
+#: The same of pairs, sorted by the word before: that word (as differences), the distinct
+#: second words (as differences) and their training counts, the place among these of each pair's, how often training texts have the pair, how many texts have it, these texts, and how often each has it.
+#: Rows with a bucket below zero hold the texts of a piece: row keys, token counts, known tokens, and unigram sums.
+PAIRS = "bucket int, chunk bigint, before binary, word binary, unigram binary, place binary, train binary, per binary, texts binary, times binary"
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "double": pa.float64()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = zip(*rows, strict=True) if rows else [[] for _ in fields]
+    return pa.record_batch([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
+
 
+def _dealt(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket that occurs, and the places of what is in it, in order."""
+    order = np.argsort(bucket, kind="stable")
+    found, first = np.unique(bucket[order], return_index=True)
+    yield from zip(found.tolist(), np.split(order, first[1:]), strict=True)
 
-def key_table(docs: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], np.ndarray], bucket_of: Callable[[np.ndarray], np.ndarray], buckets: int, params: Params) -> DataFrame:
-    """The table of the keys of all tokens, partitioned by bucket, written to the checkpoint folder."""
+
+def word_table(docs: DataFrame, buckets: int, top: np.uint64, params: Params) -> DataFrame:
+    """The words of all pieces, partitioned by bucket, written to the checkpoint folder."""
     from pyspark import TaskContext
 
     from siftspark.session import checkpointed
@@ -85,35 +99,23 @@ def key_table(docs: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], np.nd
         chunk = TaskContext.get().partitionId() << 24
         for batch in pieces(batches, limit=params.piece):
             for at in range(0, batch.num_rows, 1 << TEXT_BITS):
-                part = batch.slice(at, 1 << TEXT_BITS)
-                yield rows(part, chunk)
+                yield _batch(rows(batch.slice(at, 1 << TEXT_BITS), chunk), WORDS)
                 chunk += 1
 
-    def rows(batch: pa.RecordBatch, chunk: int) -> pa.RecordBatch:
+    def rows(batch: pa.RecordBatch, chunk: int) -> list[tuple]:
         training = ~batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
         h, text = token_hashes(texts_of(batch))
-        keys, where = np.unique(keys_of(h, text), return_inverse=True)
-        pairs, times = np.unique(where.astype(np.uint64) << np.uint64(TEXT_BITS) | text.astype(np.uint64), return_counts=True)
-        key, text_of = (pairs >> np.uint64(TEXT_BITS)).astype(np.int64), (pairs & np.uint64((1 << TEXT_BITS) - 1)).astype(np.int64)
-        per = np.bincount(key, minlength=len(keys))
-        train = np.bincount(key, times * training[text_of], len(keys))
-        bucket = bucket_of(keys).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        begin = np.cumsum(per) - per
-        found, first = np.unique(bucket[order], return_index=True)
-        out: list[list] = [[] for _ in FIELDS]
-        for b, mine in zip(found.tolist(), np.split(order, first[1:]), strict=True):
-            at = ragged(begin[mine], per[mine])
-            packed = [pack(np.diff(keys[mine], prepend=np.uint64(0))), pack(train[mine].astype(np.uint32)), pack(per[mine].astype(np.uint32)), pack(text_of[at].astype(np.uint16)), pack(times[at].astype(np.uint32))]
-            for column, v in zip(out, [b, chunk, *packed], strict=True):
-                column.append(v)
-        n_tokens = np.bincount(text, minlength=batch.num_rows)
-        row_key = batch.column("row_key").to_numpy()
-        for column, v in zip(out, [-1 - chunk % buckets, chunk, pack(row_key), pack(n_tokens.astype(np.uint64)), b"", b"", b""], strict=True):
-            column.append(v)
-        return pa.record_batch([pa.array(c, t) for c, t in zip(out, [pa.int32(), pa.int64(), *[pa.binary()] * 5], strict=True)], names=FIELDS)
-
-    return checkpointed(docs.select("row_key", "held_out", "text").mapInArrow(make, TABLE).repartition(buckets, "bucket"))
+        keys, where, times = np.unique(h, return_inverse=True, return_counts=True)
+        order = np.argsort(-times, kind="stable")
+        rank = np.empty(len(keys), np.uint32)
+        rank[order] = np.arange(len(keys))
+        train = np.bincount(where, training[text], len(keys)).astype(np.uint32)
+        out: list[tuple] = [(b, chunk, pack(np.diff(keys[mine], prepend=np.uint64(0))), pack(train[mine]), b"", b"", b"") for b, mine in _dealt((mixed(keys) >> top).astype(np.int64))]
+        n_tokens = np.bincount(text, minlength=batch.num_rows).astype(np.uint32)
+        head = keys[order], rank[where], batch.column("row_key").to_numpy(), n_tokens, training.astype(np.uint8)
+        return [*out, (-1 - chunk % buckets, chunk, *map(pack, head))]
+
+    return checkpointed(docs.select("row_key", "held_out", "text").mapInArrow(make, WORDS).repartition(buckets, "bucket"))
 
 
 def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]:
@@ -145,119 +147,139 @@ def text_sums(rows: list[dict], places: list[np.ndarray], values: list[np.ndarra
         yield row["chunk"], seen, [np.bincount(inverse, v[text[0]] * text[2], len(seen)) for v in values]
 
 
-def sums_by_text(table: DataFrame, values_of: Callable[[np.ndarray, np.ndarray], list[np.ndarray]], names: list[str]) -> DataFrame:
-    """(row_key, n_tokens, names...): for each text the sums over its tokens of the values of their keys."""
-    n = len(names)
+def word_totals(table: DataFrame, buckets: int) -> tuple[int, int, np.ndarray]:
+    """Training tokens, known words, and the sorted contexts with more than their share of the tokens."""
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, rows in _by_bucket(batches):
+            if bucket >= 0:
+                _, counts, _ = counted(rows)
+                yield _batch([(int(counts.sum()), int((counts > 0).sum()))], "n bigint, known bigint")
+
+    n, known = table.mapInArrow(total, "n bigint, known bigint").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
+
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, rows in _by_bucket(batches):
+            if bucket >= 0:
+                keys, counts, _ = counted(rows)
+                yield pa.record_batch([pa.array(keys[counts > n / (4 * buckets)].view(np.int64))], names=["key"])
+
+    hot = table.mapInArrow(frequent, "key bigint").toArrow().column("key").to_numpy().view(np.uint64)
+    return int(n), int(known), np.sort(np.append(hot, START))
+
+
+def pair_table(by_word: DataFrame, hot: np.ndarray, buckets: int, top: np.uint64) -> DataFrame:
+    """The pairs of all pieces, partitioned by bucket. Made again from the words for each step, as a copy takes more disk than that takes time."""
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each piece's words with their counts over all pieces."""
+        for bucket, rows in _by_bucket(batches):
+            if bucket >= 0:
+                _, counts, places = counted(rows)
+                for r, at in zip(rows, places, strict=True):
+                    yield _batch([(bucket, r["chunk"], b"", pack(counts[at].astype(np.uint64)), b"", b"", b"")], WORDS)
+            else:
+                yield _batch([tuple(r.values()) for r in rows], WORDS)
+
+    def pairs(part: pa.Table) -> pa.Table:
+        rows = part.to_pylist()
+        head = next(r for r in rows if r["bucket"] < 0)
+        keys, at = np.unique(unpack(head["keys"], np.uint64), return_inverse=True)
+        token, n_tokens = at[unpack(head["train"], np.uint32)], unpack(head["n_tokens"], np.uint32).astype(np.int64)
+        training = unpack(head["training"], np.uint8).astype(bool)
+        text, chunk = np.repeat(np.arange(len(n_tokens)), n_tokens), head["chunk"]
+        counts = np.zeros(len(keys), np.uint64)
+        mine = dict(_dealt((mixed(keys) >> top).astype(np.int64)))
+        for r in rows:
+            if r["bucket"] >= 0:
+                counts[mine[r["bucket"]]] = unpack(r["train"], np.uint64)
+        sums = [np.bincount(text, v[token], len(n_tokens)).astype(np.float64) for v in ((counts > 0).astype(float), np.log10(counts + 0.5))]
+        # A pair of places in the list of words, to which the start of a text is added.
+        known = np.append(keys, START)
+        before = np.concatenate([[len(keys)], token[:-1]])
+        before[np.cumsum(n_tokens) - n_tokens] = len(keys)
+        found, where = np.unique(before * len(known) + token, return_inverse=True)
+        uses, times = np.unique(where.astype(np.uint64) << np.uint64(TEXT_BITS) | text.astype(np.uint64), return_counts=True)
+        pair, text_of = (uses >> np.uint64(TEXT_BITS)).astype(np.int64), (uses & np.uint64((1 << TEXT_BITS) - 1)).astype(np.int64)
+        per = np.bincount(pair, minlength=len(found))
+        train = np.bincount(pair, times * training[text_of], len(found))
+        begin = np.cumsum(per) - per
+        first, second = known[found // len(known)], found % len(known)
+        bucket = mixed(np.where(np.isin(first, hot), pair_hash(first, keys[second]), first)) >> top
+        out: list[tuple] = []
+        for b, at in _dealt(bucket.astype(np.int64)):  # keys are sorted but START, which may come anywhere
+            at = at[np.argsort(first[at], kind="stable")]
+            use = ragged(begin[at], per[at])
+            word, place = np.unique(second[at], return_inverse=True)
+            columns = np.diff(first[at], prepend=np.uint64(0)), np.diff(keys[word], prepend=np.uint64(0)), counts[word], place.astype(np.uint32), train[at].astype(np.uint32), per[at].astype(np.uint32), text_of[use].astype(np.uint16), times[use].astype(np.uint32)
+            out.append((b, chunk, *map(pack, columns)))
+        out.append((-1 - chunk % buckets, chunk, head["row_key"], head["n_tokens"], pack(sums[0]), b"", pack(sums[1]), b"", b"", b""))
+        return pa.Table.from_batches([_batch(out, PAIRS)])
+
+    return by_word.mapInArrow(answer, WORDS).groupBy("chunk").applyInArrow(pairs, PAIRS).repartition(buckets, "bucket")
+
+
+def pair_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mixed(mixed(before) + word)
+
+
+def counted_pairs(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of the distinct pairs of a bucket: the word before, the training counts of the word and of the pair; and the places of each row's pairs among them."""
+    before = [np.cumsum(unpack(r["before"], np.uint64), dtype=np.uint64) for r in rows]
+    ends = np.cumsum([len(b) for b in before])[:-1]
+    before = np.concatenate(before)
+    place = [unpack(r["place"], np.uint32) for r in rows]
+    word = [np.cumsum(unpack(r["word"], np.uint64), dtype=np.uint64)[at] for r, at in zip(rows, place, strict=True)]
+    _, first, where = np.unique(pair_hash(before, np.concatenate(word)), return_index=True, return_inverse=True)
+    unigram = np.concatenate([unpack(r["unigram"], np.uint64)[at] for r, at in zip(rows, place, strict=True)])[first].astype(np.float64)
+    counts = np.bincount(where, np.concatenate([unpack(r["train"], np.uint32) for r in rows]), len(first))
+    return before[first], unigram, counts, np.split(where, ends)
+
+
+def sums_by_text(table: DataFrame, values_of: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """(row_key, n_tokens, known, numerators, pairs): for each text its unigram sums and the sum over its pairs of their values."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = "chunk bigint, is_texts int, x binary, y binary, known binary, numerators binary"
         for bucket, rows in _by_bucket(batches):
             if bucket < 0:
-                out = [(r["chunk"], True, r["keys"], r["train"]) for r in rows]
+                yield _batch([(r["chunk"], 1, r["before"], r["word"], r["unigram"], r["train"]) for r in rows], schema)
             else:
-                keys, counts, places = counted(rows)
-                out = [(chunk, False, pack(texts), b"".join(pack_doubles(sums))) for chunk, texts, sums in text_sums(rows, places, values_of(keys, counts))]
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int64(), pa.bool_(), pa.binary(), pa.binary()], strict=True)], names=["chunk", "is_texts", "x", "y"])
-
-    def pack_doubles(sums: list[np.ndarray]) -> list[bytes]:
-        return [s.astype(np.float64).tobytes() for s in sums]
+                *distinct, places = counted_pairs(rows)
+                yield _batch([(chunk, 0, pack(texts), sums[0].astype(np.float64).tobytes(), b"", b"") for chunk, texts, sums in text_sums(rows, places, [values_of(*distinct)])], schema)
 
     def add(part: pa.Table) -> pa.Table:
         rows = part.to_pylist()
         head = next(r for r in rows if r["is_texts"])
-        row_key, n_tokens = unpack(head["x"], np.int64), unpack(head["y"], np.uint64)
-        total = np.zeros((n, len(row_key)))
+        row_key = unpack(head["x"], np.int64)
+        total = np.zeros(len(row_key))
         for r in rows:
             if not r["is_texts"]:
-                total[:, unpack(r["x"], np.uint16)] += np.frombuffer(r["y"], np.float64).reshape(n, -1)
-        return pa.table({"row_key": row_key, "n_tokens": n_tokens.astype(np.int64)} | {name: total[i] for i, name in enumerate(names)})
+                total[unpack(r["x"], np.uint16)] += np.frombuffer(r["y"], np.float64)
+        return pa.table({"row_key": row_key, "n_tokens": unpack(head["y"], np.uint32).astype(np.int64), "known": unpack(head["known"], np.float64), "numerators": unpack(head["numerators"], np.float64), "pairs": total})
 
-    schema = "row_key bigint, n_tokens bigint, " + ", ".join(f"{name} double" for name in names)
-    sums = table.mapInArrow(partial, "chunk bigint, is_texts boolean, x binary, y binary").groupBy("chunk").applyInArrow(add, schema)
+    sums = table.mapInArrow(partial, "chunk bigint, is_texts int, x binary, y binary, known binary, numerators binary").groupBy("chunk").applyInArrow(add, "row_key bigint, n_tokens bigint, known double, numerators double, pairs double")
     return sums.dropDuplicates(["row_key"])
 
 
-def _each_bucket(table: DataFrame, emit: Callable[[np.ndarray, np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, rows in _by_bucket(batches):
-            if bucket >= 0:
-                keys, counts, _ = counted(rows)
-                yield emit(keys, counts)
-
-    return table.mapInArrow(run, schema)
-
-
 class Classes:
-    """The classes and their unigram model: words of their own first, then the rare ones by hash.
+    """Unigram probabilities over classes of words: words of their own first, then rare ones by hash.
 
-    Its arrays have at most 1 / own_share + 2 ** rare_bits places.
+    The scores do not use it: they are over words. tests/llm sums :class:`Katz` over it.
     """
 
     def __init__(self, words_: np.ndarray, counts: np.ndarray, rare_mass: np.ndarray, rare_words: np.ndarray, n: int, params: Params) -> None:
         order = np.argsort(words_)
         self.words, self.rare_bits = words_[order], params.rare_bits
-        self.n, self.known = n, len(words_) + int(rare_words.sum())
         # Counts with one half for each known word, and for the unknown ones of each rare class.
         self.rare_total = rare_mass + 0.5 * rare_words + 0.5
         weight = np.concatenate([counts[order] + 0.5, self.rare_total])
         self.p = weight / weight.sum()
-        self.count = np.concatenate([counts[order], rare_mass])
-
-    def rare(self, h: np.ndarray) -> np.ndarray:
-        return (mixed(h) >> np.uint64(64 - self.rare_bits)).astype(np.int64)
-
-    def own(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether a word is its own class, and its place if so."""
-        if not len(self.words):
-            return np.zeros(len(h), bool), np.zeros(len(h), np.int64)
-        at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-        return self.words[at] == h, at
-
-    def of(self, h: np.ndarray) -> np.ndarray:
-        own, at = self.own(h)
-        return np.where(own, at, len(self.words) + self.rare(h))
-
-    def pairs(self, h: np.ndarray, text: np.ndarray) -> np.ndarray:
-        """Keys of the class before and the class of each token; the class before the first is the number of classes."""
-        c = self.of(h).astype(np.uint64)
-        before = np.concatenate([[0], c[:-1]]).astype(np.uint64)
-        before[np.concatenate([[True], text[1:] != text[:-1]])] = len(self.p)
-        return before << np.uint64(CLASS_BITS) | c
 
     def log_in_class(self, h: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """log10 P(word | class)."""
-        own, _ = self.own(h)
-        return np.where(own, 0.0, np.log10((counts + 0.5) / self.rare_total[self.rare(h)]))
-
-
-def word_classes(table: DataFrame, params: Params) -> Classes:
-    """Classes from the table of words: sums by class, and the words of their own."""
-
-    def total(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        return pa.record_batch([pa.array([int(counts.sum())])], names=["n"])
-
-    n = _each_bucket(table, total, "n bigint").agg(F.sum("n")).first()[0] or 0
-    least = max(1.0, n * params.own_share)
-
-    def split(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        own = (counts >= least) | (keys == END)
-        rare = ~own & (counts > 0)
-        k = (mixed(keys[rare]) >> np.uint64(64 - params.rare_bits)).astype(np.int64)
-        seen = np.unique(k)
-        mass, number = np.bincount(k, counts[rare], 1 << params.rare_bits)[seen], np.bincount(k, minlength=1 << params.rare_bits)[seen]
-        columns = [
-            np.concatenate([np.zeros(own.sum(), bool), np.ones(len(seen), bool)]),
-            np.concatenate([keys[own].view(np.int64), seen]),
-            np.concatenate([counts[own], mass]).astype(np.int64),
-            np.concatenate([np.ones(own.sum(), np.int64), number]),
-        ]
-        return pa.record_batch([pa.array(c) for c in columns], names=["is_rare", "key", "mass", "number"])
-
-    rows = _each_bucket(table, split, "is_rare boolean, key bigint, mass bigint, number bigint").groupBy("is_rare", "key").agg(F.sum("mass").alias("mass"), F.sum("number").alias("number")).toArrow()
-    rare, key, mass, number = (rows.column(c).to_numpy() for c in ("is_rare", "key", "mass", "number"))
-    rare = rare.astype(bool)
-    rare_mass, rare_words = np.zeros(1 << params.rare_bits), np.zeros(1 << params.rare_bits)
-    rare_mass[key[rare]], rare_words[key[rare]] = mass[rare], number[rare]
-    return Classes(key[~rare].view(np.uint64), mass[~rare].astype(np.float64), rare_mass, rare_words, int(n), params)
+        rare = (mixed(h) >> np.uint64(64 - self.rare_bits)).astype(np.int64)
+        return np.where(np.isin(h, self.words), 0.0, np.log10((counts + 0.5) / self.rare_total[rare]))
 
 
 def good_turing(of_count: np.ndarray, most: int) -> np.ndarray:
@@ -276,13 +298,20 @@ def good_turing(of_count: np.ndarray, most: int) -> np.ndarray:
     return out
 
 
+@dataclass(frozen=True)
+class Unigram:
+    """Probabilities of the words at hand."""
+
+    p: np.ndarray
+
+
 class Katz:
-    """P(class | before). The arrays have a place for each class and for the start of a text."""
+    """P(word | before). ``unigram.p`` has a place for each word or pair, the last three arrays one for each context."""
 
-    def __init__(self, classes: Classes, discount: np.ndarray, total: np.ndarray, kept: np.ndarray, lower: np.ndarray) -> None:
-        self.p, self.discount, self.total = classes.p, discount, total
+    def __init__(self, unigram: Classes | Unigram, discount: np.ndarray, total: np.ndarray, kept: np.ndarray, lower: np.ndarray) -> None:
+        self.p, self.discount, self.total = unigram.p, discount, total
         share = np.divide(kept, total, out=np.zeros_like(kept), where=total > 0)
-        # What is left must be more than nothing where some class is unseen, and nothing where none is.
+        # What is left must be more than nothing where some word is unseen, and nothing where none is.
         unseen = np.where(total > 0, 1 - lower, 1.0)
         none = unseen < 1e-9
         self.scale = np.where(none & (share > 0), 1 / np.maximum(share, 1e-300), np.where(share > 1 - 1e-9, total / (total + 1), 1.0))
@@ -298,77 +327,71 @@ def discounted(c: np.ndarray, discount: np.ndarray) -> np.ndarray:
     return np.where(small, c * discount[np.where(small, c, 0).astype(np.int64)], c)
 
 
-def _parts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (keys >> np.uint64(CLASS_BITS)).astype(np.int64), (keys & np.uint64((1 << CLASS_BITS) - 1)).astype(np.int64)
-
-
-def katz_model(table: DataFrame, classes: Classes, params: Params) -> Katz:
-    """Discounts and backoff weights from the table of class pairs."""
-    most = params.most_discounted
-
-    def frequencies(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        n = np.bincount(np.minimum(counts, most + 2).astype(np.int64), minlength=most + 3)
-        return pa.record_batch([pa.array(range(most + 3), pa.int32()), pa.array(n)], names=["c", "n"])
-
-    of_count = np.zeros(most + 3)
-    for r in _each_bucket(table, frequencies, "c int, n bigint").groupBy("c").agg(F.sum("n").alias("n")).collect():
-        of_count[r["c"]] = r["n"]
-    discount = good_turing(of_count, most)
-
-    def contexts(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        keys, counts = keys[counts > 0], counts[counts > 0]
-        before, cls = _parts(keys)
-        seen, at = np.unique(before, return_inverse=True)
-        # Of nothing, bincount makes integers.
-        sums = [np.bincount(at, v, len(seen)).astype(np.float64) for v in (counts, discounted(counts, discount), classes.p[cls])]
-        return pa.record_batch([pa.array(seen), *map(pa.array, sums)], names=["before", "total", "kept", "lower"])
+def pair_statistics(table: DataFrame, hot: np.ndarray, weight: float, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Number of pairs by training count (to most + 2), and of each hot context: the sum of the unigram probabilities of
+    the words seen after it, how many pairs are seen 1 .. most times, and the sum of the larger counts."""
 
-    rows = _each_bucket(table, contexts, "before bigint, total double, kept double, lower double").groupBy("before").agg(*[F.sum(c).alias(c) for c in ("total", "kept", "lower")]).toArrow()
-    sums = np.zeros((3, len(classes.p) + 1))
-    sums[:, rows.column("before").to_numpy()] = [rows.column(c).to_numpy() for c in ("total", "kept", "lower")]
-    return Katz(classes, discount, *sums)
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, rows in _by_bucket(batches):
+            if bucket < 0:
+                continue
+            before, unigram, counts, _ = counted_pairs(rows)
+            n = np.bincount(np.minimum(counts, most + 2).astype(np.int64), minlength=most + 3)
+            out = [(-1, c, float(v)) for c, v in enumerate(n.tolist())]
+            mine = np.isin(before, hot) & (counts > 0)
+            at, c = np.searchsorted(hot, before[mine]), counts[mine].astype(np.int64)
+            sums = np.zeros((len(hot), most + 2))
+            np.add.at(sums, (at, 0), (unigram[mine] + 0.5) / weight)
+            np.add.at(sums, (at, np.minimum(c, most + 1)), np.where(c > most, c, 1))
+            out += [(i, k, float(sums[i, k])) for i, k in zip(*map(np.ndarray.tolist, np.nonzero(sums)), strict=True)]
+            yield _batch(out, "at int, c int, v double")
+
+    of_count, of_hot = np.zeros(most + 3), np.zeros((len(hot), most + 2))
+    for r in table.mapInArrow(gather, "at int, c int, v double").groupBy("at", "c").agg(F.sum("v").alias("v")).collect():
+        if r["at"] < 0:
+            of_count[r["c"]] = r["v"]
+        else:
+            of_hot[r["at"], r["c"]] = r["v"]
+    return of_count, of_hot
 
 
 def language_scores(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """One row per document: token counts, base_score (unigram) and score (Katz), both log10 of the text's probability."""
-    from siftspark.session import checkpointed, free_shuffles
+    from siftspark.session import free_shuffles
 
     keyed = docs.select("doc_id", "text", held_out(F.col("doc_id"), params.folds, params.held_out_fold).alias("held_out"))
     keyed = keyed.withColumn("row_key", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
     buckets = 1 << max(4, (keyed.rdd.getNumPartitions() - 1).bit_length())
     top = np.uint64(64 - (buckets.bit_length() - 1))
+    most = params.most_discounted
 
-    def word_values(keys: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
-        return [(counts > 0).astype(float), np.log10(counts + 0.5), classes.log_in_class(keys, counts)]
-
-    def pair_values(keys: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
-        before, cls = _parts(keys)
-        return [np.log10(model.probability(before, cls, counts))]
-
-    by_word = key_table(keyed, lambda h, _: h, lambda k: mixed(k) >> top, buckets, params)
-    classes = word_classes(by_word, params)
-    of_words = checkpointed(sums_by_text(by_word, word_values, ["known", "numerators", "in_class"]))
-    del by_word
+    by_word = word_table(keyed, buckets, top, params)
     free_shuffles(docs.sparkSession)
-    # A context with more than its share of the tokens is spread by the second class.
-    hot = np.append(classes.count, np.inf) > classes.n / (4 * buckets)
-
-    def pair_bucket(keys: np.ndarray) -> np.ndarray:
-        before, _ = _parts(keys)
-        return mixed(np.where(hot[before], keys, before.astype(np.uint64))) >> top
-
-    by_pair = key_table(keyed, classes.pairs, pair_bucket, buckets, params)
-    model = katz_model(by_pair, classes, params)
+    n, known, hot = word_totals(by_word, buckets)
+    weight = n + 0.5 * (known + 1)
+    by_pair = pair_table(by_word, hot, buckets, top)
+    of_count, of_hot = pair_statistics(by_pair, hot, weight, most)
+    discount = good_turing(of_count, most)
     free_shuffles(docs.sparkSession)
-    of_pairs = sums_by_text(by_pair, pair_values, ["classes"]).select("row_key", "classes")
-    sums = of_words.join(of_pairs, "row_key")
-    base = F.lit(float(np.log10(classes.n + 0.5 * (classes.known + 1))))
+    c = np.arange(1, most + 1)
+    of_hot = np.stack([of_hot[:, 1:-1] @ c + of_hot[:, -1], of_hot[:, 1:-1] @ (c * discount[1:]) + of_hot[:, -1], of_hot[:, 0]])
+
+    def log_probability(before: np.ndarray, unigram: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        p = (unigram + 0.5) / weight
+        contexts, at = np.unique(before, return_inverse=True)
+        seen = counts > 0
+        sums = np.stack([np.bincount(at, v * seen, len(contexts)) for v in (counts, discounted(counts, discount), p)])
+        _, here, there = np.intersect1d(contexts, hot, assume_unique=True, return_indices=True)
+        sums[:, here] = of_hot[:, there]
+        return np.log10(Katz(Unigram(p), discount, *sums).probability(at, np.arange(len(p)), counts))
+
+    sums = sums_by_text(by_pair, log_probability)
     return keyed.select("doc_id", "held_out", "row_key").join(sums, "row_key").select(
         "doc_id",
         "held_out",
         "n_tokens",
         F.col("known").cast("bigint").alias("n_known"),
-        F.lit(classes.n).cast("bigint").alias("train_tokens"),
-        (F.col("numerators") - F.col("n_tokens") * base).alias("base_score"),
-        (F.col("classes") + F.col("in_class")).alias("score"),
+        F.lit(n).cast("bigint").alias("train_tokens"),
+        (F.col("numerators") - F.col("n_tokens") * F.lit(float(np.log10(weight)))).alias("base_score"),
+        F.col("pairs").alias("score"),
     )

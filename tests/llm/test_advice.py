@@ -3,12 +3,14 @@
 import math
 import random
 import re
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from siftspark.llm import document_dedup, pii, url_filter
+from siftspark.llm import document_dedup, katz, pii, url_filter
 from siftspark.operators import similarity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -81,3 +83,36 @@ def test_similarity_of_many_queries(spark):
 def test_values_beside_others_are_found(text, kind, value):
     new, found = pii.pseudonymised(text, b"key")
     assert found == {kind: 1} and new == text.replace(value, pii.pseudonym(kind, value, b"key")) != text
+
+
+def test_katz_equals_brute_force_over_words(spark):
+    rng = random.Random(8)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.5)) % 100_000}" for _ in range(rng.randint(0, 900))) for _ in range(500)]
+    got = katz.language_scores(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    tokens = [[*WORD.findall(t), "</s>"] for t in texts]
+    held = [zlib.crc32(str(i).encode()) % 5 == 1 for i in range(len(texts))]
+    words_, pairs = Counter(), defaultdict(Counter)
+    for w, out in zip(tokens, held, strict=True):
+        if not out:
+            words_.update(w)
+            for a, b in zip(["<s>", *w], w, strict=False):
+                pairs[a][b] += 1
+    assert sum(words_.values()) > 2**17  # words seen once shared classes before
+    weight = sum(words_.values()) + 0.5 * (len(words_) + 1)
+    p = lambda w: (words_[w] + 0.5) / weight
+    discount = katz.good_turing(np.bincount([min(c, 7) for after in pairs.values() for c in after.values()], minlength=8), 5)
+    less = lambda c: c * discount[c] if c < len(discount) else c
+    total = {a: sum(after.values()) for a, after in pairs.items()}
+    kept = {a: sum(map(less, after.values())) / total[a] for a, after in pairs.items()}
+    free = {a: 1 - sum(map(p, after)) for a, after in pairs.items()}
+
+    def log_p(a, b):
+        if a not in pairs:
+            return math.log10(p(b))
+        scale = total[a] / (total[a] + 1) if kept[a] > 1 - 1e-9 else 1.0
+        return math.log10(scale * less(pairs[a][b]) / total[a] if pairs[a][b] else (1 - scale * kept[a]) / free[a] * p(b))
+
+    assert len(got) == len(texts)
+    for r in got:
+        w = tokens[r.doc_id]
+        assert math.isclose(r.score, sum(log_p(a, b) for a, b in zip(["<s>", *w], w, strict=False)), rel_tol=1e-9)
