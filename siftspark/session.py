@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
 from pathlib import Path
@@ -26,10 +25,14 @@ def local_session(cores: int | str = "*", name: str = "siftspark", **conf: str)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Keep the folder that the cluster names; make one only where none is set."""
+    """Keep the folder that the cluster names. Only a local master gets one where none is set: on a cluster, a folder
+    of the driver's machine is out of the executors' reach."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siftspark-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="siftspark-"))
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -39,18 +42,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     when ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on.
     """
     ensure_checkpoint_dir(df.sparkSession)
+    find_package(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that nothing refers to any more.
-
-    Its cleaner acts on the driver's garbage collection, which a small driver may put off for long.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def find_package(spark: SparkSession) -> None:
     """Let Python workers import this package where they share the driver's file system but not its path.
 
