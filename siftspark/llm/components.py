@@ -35,3 +35,12 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     roots = edges.select(F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("v"), F.col("v").alias("root")).union(roots.select(F.col("root").alias("v"), "root"))
+
+
+def join_hot(rows: DataFrame, table: DataFrame, counts: DataFrame, key: str, share: float = 0.001) -> DataFrame:
+    """Rows joined with the one row of ``table`` for their key. Keys with more than ``share`` of the rows in
+    ``counts`` (key, n), at most 1 / share of them, are broadcast; the others meet by shuffle."""
+    total = F.broadcast(counts.agg(F.sum("n").alias("_total")))
+    hot = counts.crossJoin(total).filter(F.col("n") > share * F.col("_total")).select(key)
+    common = rows.join(F.broadcast(table.join(F.broadcast(hot), key)), key)
+    return common.unionByName(rows.join(F.broadcast(hot), key, "left_anti").join(table, key))

@@ -2,27 +2,31 @@
 
 A line is the set of its words. A line goes if an earlier line, in order of
 doc_id and line number, has a Jaccard similarity of at least the threshold.
-Equal sets are settled first by grouping on a hash of the set, so that copies
-cost one row each. The distinct sets are joined by prefix filtering: with the
-words of each set in one global order, rare ones first, two similar sets share
-a word among their first few. Candidates also pass the length filter, the
-positional filter and a bound from 64-bit parity sketches; the rest is verified
-on the whole sets.
-
-The order of the words needs no table of all words: a word counts as frequent
-as its slot in an array of fixed size, ties go by hash, and any order that is
-the same everywhere gives the same result. Prefix words that would gather too
-many sets in one task are dealt to pairs of blocks. Each set offers its
-earliest few candidates per task; the few sets that none of those remove and
-that had more are then searched for among all lines, in blocks of bounded size.
+Equal sets are settled by their hash, so that copies cost little. The distinct
+sets are joined by prefix filtering: with the words of each set in one global
+order, rare ones first, two similar sets share a word among their first few.
+Candidates also pass the length filter, the positional filter and a bound from
+parity sketches; the rest is verified on the whole sets.
+
+The texts are read once. Each piece of them becomes one row of a written table:
+its distinct words, its distinct sets as places among these, and its lines. All
+further steps work on that table. How frequent a word is comes from an array of
+fixed size over all texts, in which words share slots; ties go by hash, and any
+order that is the same everywhere gives the same result. Prefix words that would
+gather too many sets in one task are dealt to pairs of blocks. In each task a set
+offers its earliest few candidates; the few sets that none of those remove and
+that had more are compared with all sets that share a prefix word with them, which
+meet in a shuffle by that word.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, lines end at ``\\n``.
-Words are compared by 48-bit hashes, which
-two different words of a line pair share with a chance below one in 10 ** 10. Defined results: null text counts as
-empty; lines without a word always stay; between rows of one doc_id the order
-goes on by a hash of the text, so repeated rows keep or lose the same lines; a
-null doc_id comes first. An empty table gives an empty result; other columns
-are ignored by :func:`line_verdicts` and kept untouched by :func:`drop_lines`.
+Words are compared by 48-bit hashes, which two different words of a line pair
+share with a chance below one in 10 ** 10. Defined results: null text counts as
+empty; lines without a word always stay. Between rows of one doc_id the order
+goes on by line number and then by a hash of the line's words or, for equal
+ones, of the text, so repeated rows keep or lose the same lines; a null doc_id
+comes first. Ids that are no integers are numbered in their order first. An empty
+table gives an empty result; other columns are ignored by :func:`line_verdicts`
+and kept untouched by :func:`drop_lines`.
 """
 
 from __future__ import annotations
@@ -36,69 +40,77 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftspark.llm.tokens import hashed, mixed, pack, pieces, ragged, texts_of, unpack, words
+from siftspark.llm.order import order_table, with_order
+from siftspark.llm.tokens import SLICED, Filter, added, expand, filter_of, hashed, mixed, pack, pieces, ragged, runs, sliced, squeeze, texts_of, unpack, words
 
 
 @dataclass(frozen=True)
 class Params:
-    """Threshold ``num / den``. ``slots``: a power of two, the size of the frequency array and of the
-    filters on set hashes; ``block``: sets with one prefix word that one task should compare;
-    ``few``: candidates that a set offers at first."""
+    """Threshold ``num / den``. ``slots``: a power of two, the size of the frequency array; ``block``:
+    sets with one prefix word that one task should compare; ``few``: candidates that a set offers at first."""
 
     num: int = 4
     den: int = 5
     slots: int = 1 << 18
-    filter_slots: int = 1 << 22
     block: int = 20_000
     few: int = 16
-    #: Sets that one pass over the texts searches for by themselves.
-    open_block: int = 10_000
     #: Sets from this size on have sketches of four words, as one is soon full.
-    wide: int = 80
+    wide: int = 100
+    #: Prefix words that one task should get, and the bytes of text in one piece.
+    bucket: int = 400_000
+    piece: int = 8 << 20
     #: 0: the sets are the words of each line; k: the k-word shingles of each whole text, as one line.
     shingle: int = 0
 
 
+#: Bits of a word's hash.
+WORD_BITS = 48
+LOW = np.uint64(2**32 - 1)
+
+
+def _slot(keys: np.ndarray, slots: int) -> np.ndarray:
+    return (keys >> np.uint64(WORD_BITS - (slots.bit_length() - 1))).astype(np.int64)
+
+
+# --- pieces ------------------------------------------------------------------------------------
+
+
 @dataclass
-class Lines:
-    """The lines with words of some texts: row and number of each; the distinct words of line k are
-    h[off[k]:off[k+1]], by 48-bit hash."""
+class Piece:
+    """The lines with words of some texts: row (the text's place), number, and which of the distinct sets each is.
+
+    Set j has the id set_id[j] and the words keys[codes[off[j]:off[j + 1]]]; keys are sorted 48-bit hashes.
+    """
 
     row: np.ndarray
     number: np.ndarray
-    h: np.ndarray
-    off: np.ndarray
+    which: np.ndarray
     set_id: np.ndarray
+    codes: np.ndarray
+    off: np.ndarray
+    keys: np.ndarray
 
     @property
     def n(self) -> np.ndarray:
         return np.diff(self.off)
 
-
-#: Bits of a word's hash, below the number of its line.
-WORD_BITS = np.uint64(48)
-WORD = np.uint64(2**48 - 1)
-
-
-def _ids(batch: pa.RecordBatch) -> np.ndarray:
-    """Document ids; null comes before all others."""
-    return pc.fill_null(batch.column("doc_id").cast(pa.int64()), -(2**63)).to_numpy(zero_copy_only=False)
+    def words(self, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The word hashes of some sets, and their number."""
+        n = self.n[sets]
+        return self.keys[self.codes[ragged(self.off[sets], n)]], n
 
 
-def _slot(h: np.ndarray, slots: int) -> np.ndarray:
-    return (h >> (WORD_BITS - np.uint64(slots.bit_length() - 1))).astype(np.int64)
-
-
-def _split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """row and number of every line; 48-bit word hashes and their offsets by line."""
+def _lines(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """row and number of every line; the sorted word hashes, the place among these of each word, and offsets by line."""
     parts = pc.split_pattern(texts, "\n")
     n = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
-    row = np.repeat(np.arange(len(n)), n)
     flat, off = words(parts.flatten())
-    return row, ragged(np.zeros(len(n), np.int64), n), hashed(flat) >> np.uint64(16), off
+    coded = flat.dictionary_encode()
+    keys, place = np.unique(hashed(coded.dictionary) >> np.uint64(64 - WORD_BITS), return_inverse=True)
+    return np.repeat(np.arange(len(n)), n), ragged(np.zeros(len(n), np.int64), n), keys, place[coded.indices.to_numpy()], off
 
 
-def _shingles(texts: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _shingles(texts: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The same of whole texts, by the hashes of their shingles; a shorter text is one shingle, padded."""
     flat, off = words(texts)
     n = np.diff(off).astype(np.int64)
@@ -110,338 +122,507 @@ def _shingles(texts: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray, np
     h = padded[at]
     for k in range(1, shingle):
         h = mixed(h) + padded[at + k]
+    keys, codes = np.unique(mixed(h) >> np.uint64(64 - WORD_BITS), return_inverse=True)
     row = np.arange(len(n))
-    return row, np.zeros_like(row), mixed(h) >> np.uint64(16), np.concatenate([[0], np.cumsum(m - shingle + 1)]).astype(np.int64)
-
-
-def lines_of(texts: pa.Array, shingle: int = 0) -> Lines:
-    row, number, h, off = _shingles(texts, shingle) if shingle else _split(texts)
-    found = []
-    for first in range(0, len(row), 1 << 16):  # the number of a line has 16 bits here
-        part = off[first : first + (1 << 16) + 1]
-        line = np.repeat(np.arange(len(part) - 1, dtype=np.uint64), np.diff(part))
-        keys = np.sort(line << WORD_BITS | h[part[0] : part[-1]])
-        keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
-        found.append((keys & WORD, (keys >> WORD_BITS).astype(np.int64) + first))
-    h = np.concatenate([np.zeros(0, np.uint64), *(x for x, _ in found)])
-    line = np.concatenate([np.zeros(0, np.int64), *(x for _, x in found)])
-    new = np.concatenate([[True], line[1:] != line[:-1]]) if len(line) else np.zeros(0, bool)
-    start = np.flatnonzero(new)
+    return row, np.zeros_like(row), keys, codes, np.concatenate([[0], np.cumsum(m - shingle + 1)]).astype(np.int64)
+
+
+def piece_of(texts: pa.Array, shingle: int = 0) -> Piece:
+    row, number, keys, codes, off = _shingles(texts, shingle) if shingle else _lines(texts)
+    line = np.repeat(np.arange(len(off) - 1, dtype=np.uint64), np.diff(off))
+    both = np.sort(line << np.uint64(32) | codes.astype(np.uint64))
+    both = both[runs(both)]
+    line, codes = (both >> np.uint64(32)).astype(np.int64), (both & LOW).astype(np.int64)
+    start = np.flatnonzero(runs(line))
+    n = np.diff(np.append(start, len(line)))
+    total = np.add.reduceat(mixed(keys)[codes], start) if len(start) else np.zeros(0, np.uint64)
+    set_id, first, which = np.unique(mixed(total + n.astype(np.uint64)).view(np.int64), return_index=True, return_inverse=True)
     filled = line[start]
-    n = np.diff(np.append(start, len(h)))
-    total = np.add.reduceat(mixed(h), start) if len(start) else np.zeros(0, np.uint64)
-    set_id = mixed(total + n.astype(np.uint64)).view(np.int64)
-    return Lines(row[filled], number[filled], h, np.append(start, len(h)).astype(np.int64), set_id)
-
-
-SLICES = 64
+    size = n[first]
+    return Piece(row[filled], number[filled], which, set_id, codes[ragged(start[first], size)], np.concatenate([[0], np.cumsum(size)]), keys)
 
 
-def slices_of(sums: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """Number and content of the slices of an array that are not all zero."""
-    for k, part in enumerate(sums.reshape(SLICES, -1)):
-        if part.any():
-            yield k, pack(part.astype(np.uint32))
+#: A row for each piece, in binary: place in the order and text key of each text; of the lines, the text, the number and
+#: the set; of the sets, the ids, the sizes and the words (as differences of places); and the words (as differences).
+#: Rows of their own (k, v) hold how often the words of each slot occur.
+PIECES = f"piece bigint, o binary, text_key binary, row binary, number binary, which binary, set_id binary, size binary, codes binary, keys binary, {SLICED}"
+_KINDS = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}
 
 
-def total_of(parts: DataFrame, slots: int) -> np.ndarray:
-    """Sum of the arrays whose slices (k, v) the partitions have; they meet slice by slice, and one array comes back."""
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    fields = [f.split() for f in schema.split(", ")]
+    columns = zip(*rows, strict=True) if rows else [[] for _ in fields]
+    return pa.record_batch([pa.array(c, _KINDS[k]) for c, (_, k) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
 
-    def add(part: pa.Table) -> pa.Table:
-        sums = np.zeros(slots // SLICES, np.int64)
-        for v in part.column("v").to_pylist():
-            sums += unpack(v, np.uint32)
-        return pa.table({"k": part.column("k").slice(0, 1), "v": pa.array([pack(np.minimum(sums, 2**32 - 1).astype(np.uint32))])})
 
-    out = np.zeros((SLICES, slots // SLICES), np.uint32)
-    for r in parts.groupBy("k").applyInArrow(add, "k int, v binary").collect():
-        out[r["k"]] = unpack(r["v"], np.uint32)
-    return out.ravel()
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    return pa.Table.from_batches([_batch(rows, schema)])
 
 
-def word_counts(docs: DataFrame, params: Params) -> np.ndarray:
-    """Occurrences of words by slot, over all texts."""
+def _differences(codes: np.ndarray, off: np.ndarray) -> np.ndarray:
+    out = np.diff(codes, prepend=0)
+    out[off[:-1]] = codes[off[:-1]]
+    return out
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(params.slots, np.int64)
-        for batch in pieces(batches):
-            _, _, h, _ = _shingles(texts_of(batch), params.shingle) if params.shingle else _split(texts_of(batch))
-            sums += np.bincount(_slot(h, params.slots), minlength=params.slots)
-        yield from (pa.record_batch([pa.array([k], pa.int32()), pa.array([v])], names=["k", "v"]) for k, v in slices_of(sums))
-
-    return total_of(docs.select("text").mapInArrow(count, "k int, v binary"), params.slots)
-
-
-def _prefixes(lines: Lines, counts: np.ndarray, params: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The prefix words of the distinct sets that can have a similar one: line, word, and place in the
-    order of rarity. Words of about equal frequency go by hash."""
-    _, first = np.unique(lines.set_id, return_index=True)
-    first = np.sort(first[lines.n[first] * (params.den - params.num) >= params.num])  # smaller sets are only similar to equal ones
-    n = lines.n[first]
-    at = ragged(lines.off[first], n)
-    common = np.round(np.log2(counts[_slot(lines.h[at], len(counts))] + 1.0) * 1024).astype(np.uint64)
-    places = []
-    for k in range(0, len(first), 1 << 16):
-        a, b = (np.cumsum(n) - n)[k], np.cumsum(n)[min(k + (1 << 16), len(first)) - 1]
-        line = np.repeat(np.arange(len(n[k : k + (1 << 16)]), dtype=np.uint64), n[k : k + (1 << 16)])
-        keys = np.sort(line << WORD_BITS | common[a:b] << np.uint64(32) | np.arange(b - a, dtype=np.uint64))
-        places.append(at[a:b][(keys & np.uint64(2**32 - 1)).astype(np.int64)])
-    at = np.concatenate([np.zeros(0, np.int64), *places])
-    length = n - -(-n * params.num // params.den) + 1
-    taken = ragged(np.cumsum(n) - n, length)
-    return np.repeat(first, length), lines.h[at[taken]], ragged(np.zeros(len(n), np.int64), length)
 
+def _summed(steps: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """What :func:`_differences` took."""
+    total = np.cumsum(steps)
+    start = off[:-1]
+    return total - np.repeat(total[start] - steps[start], np.diff(off))
 
-#: A blob holds these numbers of the prefix words of one piece in one bucket, and another blob three
-#: of the four sketch words of the large sets among them; the fourth follows, as all four make the sketch.
-PARTS = ("word", "set_id", "sketch", "doc_id", "number", "n", "pos")
-WIDE = ("wide0", "wide1", "wide2")
 
+def piece_table(docs: DataFrame, params: Params) -> DataFrame:
+    """The written pieces of texts (_o, text, text_key)."""
+    from pyspark import TaskContext
 
-def prefix_rows(docs: DataFrame, counts: np.ndarray, crowd: np.ndarray, buckets: int, params: Params) -> DataFrame:
-    """(bucket, rows, wide): the prefix words of each distinct set of a piece. Words of a crowded slot go to pairs of blocks."""
+    from siftspark.session import checkpointed
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            lines = lines_of(texts_of(batch), params.shingle)
-            line, word, pos = _prefixes(lines, counts, params)
-            if not len(line):
-                continue
-            bit, which = np.uint64(1) << (lines.h & np.uint64(63)), lines.h >> np.uint64(6) & np.uint64(3)
-            sketch = np.bitwise_xor.reduceat(bit, lines.off[:-1])
-            wide = np.stack([np.bitwise_xor.reduceat(np.where(which == k, bit, np.uint64(0)), lines.off[:-1]) for k in range(len(WIDE))])
-            blocks = 1 + crowd[_slot(word, params.slots)].astype(np.int64) // params.block
-            # What is in block b of B goes to the pairs of b and each other block, or to itself if B is 1.
-            copies = np.maximum(blocks - 1, 1)
-            own = np.repeat(mixed(lines.set_id[line].view(np.uint64)) % blocks.astype(np.uint64), copies).astype(np.int64)
-            other = ragged(np.zeros(len(copies), np.int64), copies)
-            other = np.where(np.repeat(blocks, copies) == 1, 0, other + (other >= own))
-            line, pos, word = np.repeat(line, copies), np.repeat(pos, copies), np.repeat(word, copies)
-            pair = mixed(word + np.minimum(own, other).astype(np.uint64) * np.uint64(1_000_003) + np.maximum(own, other).astype(np.uint64))
-            bucket = (pair % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((pair, bucket))
-            line, pair = line[order], pair[order]
-            ids = _ids(batch)
-            columns = np.stack([pair, lines.set_id[line].view(np.uint64), sketch[line], ids[lines.row[line]].view(np.uint64), lines.number[line].astype(np.uint64), lines.n[line].astype(np.uint64), pos[order].astype(np.uint64)])
-            found, first = np.unique(bucket[order], return_index=True)
-            parts = [(pack(c.ravel()), pack(w[:, c[5] >= params.wide].ravel())) for c, w in zip(np.split(columns, first[1:], axis=1), np.split(wide[:, line], first[1:], axis=1), strict=True)]
-            yield pa.record_batch([pa.array(found.astype(np.int32)), *(pa.array(b, pa.binary()) for b in zip(*parts, strict=True))], names=["bucket", "rows", "wide"])
-
-    return docs.select("doc_id", "text").mapInArrow(make, "bucket int, rows binary, wide binary")
-
-
-def candidate_pairs(t: dict[str, np.ndarray], params: Params) -> tuple[np.ndarray, np.ndarray]:
-    """(earlier, later) places of pairs under one word that pass all filters. t is sorted by word, then by order."""
-    out_a, out_b = [], []
-    new = np.concatenate([[True], t["word"][1:] != t["word"][:-1]])
-    begin = np.flatnonzero(new)
-    group = np.cumsum(new) - 1
-    before = np.arange(len(new)) - begin[group]  # earlier rows of the same word
-    done = np.concatenate([[0], np.cumsum(before)])
-    at = 0
-    while at < len(new):
-        end = max(at + 1, int(np.searchsorted(done, done[at] + 400_000, "right")) - 1)
-        k = before[at:end]
-        b = np.repeat(np.arange(at, end), k)
-        a = ragged(begin[group[at:end]], k)
-        na, nb = t["n"][a].astype(np.int64), t["n"][b].astype(np.int64)
-        need = -(-params.num * (na + nb) // (params.num + params.den))
-        left = np.minimum(na - t["pos"][a], nb - t["pos"][b])
-        ok = (np.minimum(na, nb) * params.den >= np.maximum(na, nb) * params.num) & (left >= need)
-        a, b, most = a[ok], b[ok], (na + nb - 2 * need)[ok]
-        ok = np.bitwise_count(t["sketch"][a] ^ t["sketch"][b]) <= most
-        a, b, most = a[ok], b[ok], most[ok]
-        large = np.flatnonzero(np.minimum(t["n"][a], t["n"][b]) >= params.wide)
-        if len(large):
-            words_ = [t[w][a[large]] ^ t[w][b[large]] for w in WIDE]
-            words_.append(t["sketch"][a[large]] ^ t["sketch"][b[large]] ^ words_[0] ^ words_[1] ^ words_[2])
-            ok = np.ones(len(a), bool)
-            ok[large] = sum(np.bitwise_count(w).astype(np.int64) for w in words_) <= most[large]
-            a, b = a[ok], b[ok]
-        out_a.append(a)
-        out_b.append(b)
-        at = end
-    return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        number = TaskContext.get().partitionId() << 32
+        counts = np.zeros(params.slots, np.int64)
+        for batch in pieces(batches, limit=params.piece):
+            p = piece_of(texts_of(batch), params.shingle)
+            np.add.at(counts, _slot(p.keys, params.slots), np.bincount(p.codes, minlength=len(p.keys)))
+            ids = [pack(batch.column(c).to_numpy(zero_copy_only=False)) for c in ("_o", "text_key")]
+            lines = [squeeze(np.diff(p.row, prepend=0)), squeeze(p.number), squeeze(p.which)]
+            sets = [pack(p.set_id), squeeze(p.n), squeeze(_differences(p.codes, p.off)), squeeze(np.diff(p.keys, prepend=np.uint64(0)))]
+            yield _batch([(number, *ids, *lines, *sets, None, None)], PIECES)
+            number += 1
+        for part in sliced(np.minimum(counts, 2**32 - 1)):
+            yield _batch([(None, *[None] * 9, part.column(0)[0].as_py(), part.column(1)[0].as_py())], PIECES)
+
+    return checkpointed(docs.select("_o", "text", "text_key").mapInArrow(make, PIECES))
+
+
+def _sets_of(batch: pa.RecordBatch) -> Iterator[tuple[dict, Piece]]:
+    """The rows of a batch of pieces, with the sets of each; the lines stay packed."""
+    for r in batch.to_pylist():
+        off = np.concatenate([[0], np.cumsum(expand(r["size"]))])
+        keys = np.cumsum(expand(r["keys"]).view(np.uint64), dtype=np.uint64)
+        codes = _summed(expand(r["codes"]), off) if off[-1] else np.zeros(0, np.int64)
+        yield r, Piece(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), unpack(r["set_id"], np.int64), codes, off, keys)
+
+
+def _lines_of(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each line of a packed piece: place in the order and key of its text, text, number and set."""
+    row = np.cumsum(expand(r["row"]))
+    return unpack(r["o"], np.int64)[row], unpack(r["text_key"], np.int64)[row], row, expand(r["number"]), expand(r["which"])
+
+
+def _earliest(n_sets: int, which: np.ndarray, *order: np.ndarray) -> np.ndarray:
+    """The first line of each set."""
+    by = np.lexsort(order[::-1])[::-1]
+    first = np.zeros(n_sets, np.int64)
+    first[which[by]] = by
+    return first
+
+
+# --- prefix words ------------------------------------------------------------------------------
+
+
+def prefixes(p: Piece, counts: np.ndarray, params: Params, chosen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The prefix words of those sets (all, or chosen) that can have a similar one: set, word, and place in the order of
+    rarity. Words of about equal frequency go by hash."""
+    chosen = np.arange(len(p.set_id)) if chosen is None else chosen
+    n = p.n[chosen]
+    chosen, n = chosen[n * (params.den - params.num) >= params.num], n[n * (params.den - params.num) >= params.num]  # smaller sets are only similar to equal ones
+    order = np.argsort(np.round(np.log2(counts[_slot(p.keys, params.slots)] + 1.0) * 1024), kind="stable")
+    rank = np.empty(len(order), np.uint64)
+    rank[order] = np.arange(len(order), dtype=np.uint64)
+    owner = np.repeat(np.arange(len(chosen), dtype=np.uint64), n)
+    both = np.sort(owner << np.uint64(32) | rank[p.codes[ragged(p.off[chosen], n)]])
+    length = n - -(-n * params.num // params.den) + 1
+    taken = both[ragged(np.cumsum(n) - n, length)]
+    return np.repeat(chosen, length), p.keys[order[(taken & LOW).astype(np.int64)]], ragged(np.zeros(len(n), np.int64), length)
 
 
-def _offered(part: pa.Table, params: Params) -> pa.Table:
-    """(a, b, more): sets a before b that pass the filters, the first few of each b, and whether it had more."""
-    blobs = [unpack(v, np.uint64).reshape(len(PARTS), -1) for v in part.column("rows").to_pylist()]
-    t = {name: np.concatenate([b[k] for b in blobs]) for k, name in enumerate(PARTS)}
-    t |= {name: t[name].view(np.int64) for name in PARTS[1:] if name != "sketch"}
-    wide = np.concatenate([unpack(v, np.uint64).reshape(len(WIDE), -1) for v in part.column("wide").to_pylist()], axis=1)
-    for k, name in enumerate(WIDE):
-        t[name] = np.zeros(len(t["n"]), np.uint64)
-        t[name][t["n"] >= params.wide] = wide[k]
-    # One row for each word and set: its earliest line.
-    order = np.lexsort((t["number"], t["doc_id"], t["set_id"], t["word"]))
-    t = {c: v[order] for c, v in t.items()}
-    one = np.concatenate([[True], (t["word"][1:] != t["word"][:-1]) | (t["set_id"][1:] != t["set_id"][:-1])])
-    t = {c: v[one] for c, v in t.items()}
-    order = np.lexsort((t["set_id"], t["number"], t["doc_id"], t["word"]))
-    t = {c: v[order] for c, v in t.items()}
-    a, b = candidate_pairs(t, params)
-    # A pair may share several words; keep it once, then the earliest few of each later set.
-    order = np.lexsort((t["set_id"][a], t["number"][a], t["doc_id"][a], t["set_id"][b]))
-    sa, sb = t["set_id"][a][order], t["set_id"][b][order]
-    one = np.concatenate([[True], (sa[1:] != sa[:-1]) | (sb[1:] != sb[:-1])]) if len(sa) else np.zeros(0, bool)
-    sa, sb = sa[one], sb[one]
-    new = np.concatenate([[True], sb[1:] != sb[:-1]]) if len(sb) else np.zeros(0, bool)
-    rank = np.arange(len(sb)) - np.flatnonzero(new)[np.cumsum(new) - 1] if len(sb) else np.zeros(0, np.int64)
-    size = np.diff(np.append(np.flatnonzero(new), len(sb)))[np.cumsum(new) - 1] if len(sb) else rank
-    keep = rank < params.few
-    return pa.table({"a": sa[keep], "b": sb[keep], "more": size[keep] > params.few})
+def crowds(table: DataFrame, counts: np.ndarray, params: Params) -> np.ndarray:
+    """How many prefix words fall into each slot."""
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(params.slots, np.int64)
+        for batch in batches:
+            for _, p in _sets_of(batch):
+                total += np.bincount(_slot(prefixes(p, counts, params)[1], params.slots), minlength=params.slots)
+        yield from sliced(np.minimum(total, 2**32 - 1))
+
+    return added(table.mapInArrow(count, SLICED), params.slots)
+
+
+#: The prefix words of the sets of one piece that fall into one bucket: part of the word's hash, set id, sketch, place of
+#: the set's first line (differences to the least in the order, line number), size, and position of the word; for the large
+#: sets among them three of the four sketch words (the fourth follows, as all four make the sketch). ``words``: the whole sets, where asked for.
+ENTRIES = "bucket int, word binary, set_id binary, sketch binary, least bigint, o binary, number binary, n binary, pos binary, wide binary, words binary"
+WIDE = 3
+
+
+def entries(table: DataFrame, counts: np.ndarray, crowd: np.ndarray, buckets: int, params: Params, only: Filter | None = None) -> DataFrame:
+    """The prefix words of all sets, or those that pass ``only``, with the whole sets. Words of a crowded slot go to pairs of blocks."""
+
+    def rows(r: dict, p: Piece) -> Iterator[tuple]:
+        chosen = None
+        if only is not None:  # sets with such a word among all of theirs
+            known = only.has(p.keys)[p.codes]
+            chosen = np.flatnonzero(np.add.reduceat(known, p.off[:-1]) > 0) if len(known) else np.zeros(0, np.int64)
+        j, word, pos = prefixes(p, counts, params, chosen)
+        if only is not None:
+            mine = only.has(word)
+            j, word, pos = j[mine], word[mine], pos[mine]
+        if not len(j):
+            return
+        o, _, _, number, which = _lines_of(r)
+        first = _earliest(len(p.set_id), which, o, number)
+        bit = (np.uint64(1) << (p.keys & np.uint64(63)))[p.codes]
+        sketch = np.bitwise_xor.reduceat(bit, p.off[:-1])
+        part = (p.keys >> np.uint64(6) & np.uint64(3))[p.codes]
+        large = np.flatnonzero(p.n >= params.wide)
+        place = np.full(len(p.n), -1)
+        place[large] = np.arange(len(large))
+        at = ragged(p.off[large], p.n[large])
+        begin = np.cumsum(p.n[large]) - p.n[large]
+        wide = np.stack([np.bitwise_xor.reduceat(np.where(part[at] == k, bit[at], np.uint64(0)), begin) for k in range(WIDE)]) if len(large) else np.zeros((WIDE, 0), np.uint64)
+        blocks = 1 + crowd[_slot(word, params.slots)].astype(np.int64) // params.block
+        # What is in block b of B goes to the pairs of b and each other block, or to itself if B is 1.
+        copies = np.maximum(blocks - 1, 1)
+        own = np.repeat(mixed(p.set_id[j].view(np.uint64)) % blocks.astype(np.uint64), copies).astype(np.int64)
+        other = ragged(np.zeros(len(copies), np.int64), copies)
+        other = np.where(np.repeat(blocks, copies) == 1, 0, other + (other >= own))
+        j, pos, word = np.repeat(j, copies), np.repeat(pos, copies), np.repeat(word, copies)
+        pair = mixed(word + np.minimum(own, other).astype(np.uint64) * np.uint64(1_000_003) + np.maximum(own, other).astype(np.uint64))
+        bucket = ((pair & LOW) * np.uint64(buckets)) >> np.uint64(32)
+        order = np.argsort(bucket << np.uint64(32) | pair >> np.uint64(32))
+        bucket, j, pos, short = bucket[order], j[order], pos[order], (pair >> np.uint64(32)).astype(np.uint32)[order]
+        least = o.min()
+        o, number = (o.view(np.uint64) - least.view(np.uint64))[first], number[first]
+        for k in np.split(np.arange(len(j)), np.flatnonzero(runs(bucket))[1:]):
+            s = j[k]
+            big = place[s][place[s] >= 0]
+            whole = b""
+            if only is not None:
+                whole = pack(p.words(s)[0])
+            yield (int(bucket[k[0]]), short[k].tobytes(), p.set_id[s].tobytes(), sketch[s].tobytes(), int(least), squeeze(o[s]), squeeze(number[s]), squeeze(p.n[s]), squeeze(pos[k]), wide[:, big].tobytes(), whole)
 
-def _filter_slot(ids: np.ndarray, slots: int) -> np.ndarray:
-    return (mixed(ids.view(np.uint64)) % np.uint64(slots)).astype(np.int64)
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r, p in _sets_of(batch):
+                out = list(rows(r, p))
+                if out:
+                    yield _batch(out, ENTRIES)
+
+    return table.mapInArrow(make, ENTRIES)
+
+
+def _gathered(part: pa.Table, params: Params) -> dict[str, np.ndarray]:
+    """The entries of a bucket whose word has several, by word and then by place, each set once per word; ``group``: the word's number."""
+    rows = part.to_pylist()
+    join = lambda f: np.concatenate([f(r) for r in rows])
+    t = {
+        "word": join(lambda r: np.frombuffer(r["word"], np.uint32)),
+        "set_id": join(lambda r: np.frombuffer(r["set_id"], np.int64)),
+        "sketch": join(lambda r: np.frombuffer(r["sketch"], np.uint64)),
+        "o": join(lambda r: expand(r["o"]) + r["least"]),
+    }
+    t |= {c: join(lambda r, c=c: expand(r[c])) for c in ("number", "n", "pos")}
+    wide = np.concatenate([np.frombuffer(r["wide"], np.uint64).reshape(WIDE, -1) for r in rows], axis=1)
+    at = np.cumsum(t["n"] >= params.wide) - 1
+    if rows[0]["words"]:
+        t["words_at"] = np.cumsum(t["n"]) - t["n"]
+    order = np.argsort(t["word"], kind="stable")
+    word = t["word"][order]
+    new = runs(word)
+    size = np.diff(np.append(np.flatnonzero(new), len(word)))
+    several = np.repeat(size > 1, size)
+    order, group = order[several], np.cumsum(new)[several]
+    place = np.lexsort((t["set_id"][order], t["number"][order], t["o"][order], group))
+    order, group = order[place], group[place]
+    key = mixed(t["set_id"][order].view(np.uint64)) + group.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + t["pos"][order].astype(np.uint64)
+    _, one = np.unique(key, return_index=True)
+    one = np.sort(one)
+    order, group = order[one], group[one]
+    t = {c: v[order] for c, v in t.items()}
+    return t | {"group": group, "wide": wide[:, at[order]] if wide.size else np.zeros((WIDE, len(order)), np.uint64)}
+
+
+def _passes(t: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, params: Params) -> np.ndarray:
+    """Which of the pairs under one word may be similar: lengths, positions, and sketches."""
+    na, nb = t["n"][a], t["n"][b]
+    need = -(-params.num * (na + nb) // (params.num + params.den))
+    left = np.minimum(na - t["pos"][a], nb - t["pos"][b])
+    ok = np.flatnonzero((np.minimum(na, nb) * params.den >= np.maximum(na, nb) * params.num) & (left >= need) & (t["set_id"][a] != t["set_id"][b]))
+    a, b, most = a[ok], b[ok], (na + nb - 2 * need)[ok]
+    near = np.bitwise_count(t["sketch"][a] ^ t["sketch"][b]) <= most
+    ok, a, b, most = ok[near], a[near], b[near], most[near]
+    large = np.flatnonzero(np.minimum(t["n"][a], t["n"][b]) >= params.wide)
+    if len(large):
+        parts = [w[a[large]] ^ w[b[large]] for w in t["wide"]]
+        parts.append(t["sketch"][a[large]] ^ t["sketch"][b[large]] ^ parts[0] ^ parts[1] ^ parts[2])
+        keep = np.ones(len(a), bool)
+        keep[large] = sum(np.bitwise_count(w).astype(np.int64) for w in parts) <= most[large]
+        ok = ok[keep]
+    return ok
+
+
+def _windows(t: dict[str, np.ndarray], later: np.ndarray, done: np.ndarray, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (a, b) of places under one word, a before b, for the b in ``later``: with the first few a at first, then with
+    more and more of them for the b that the caller has not marked as done. Some hundred thousand pairs at once."""
+    new = runs(t["group"])
+    begin = np.flatnonzero(new)[np.cumsum(new) - 1]
+    before = np.arange(len(new)) - begin
+    low = 0
+    while len(later := later[~done[later] & (before[later] > low)]):
+        high = low + width
+        n = np.minimum(before[later], high) - low
+        total = np.concatenate([[0], np.cumsum(n)])
+        at = 0
+        while at < len(later):
+            end = max(at + 1, int(np.searchsorted(total, total[at] + 400_000, "right")) - 1)
+            yield ragged(begin[later[at:end]] + low, n[at:end]), np.repeat(later[at:end], n[at:end])
+            at = end
+        low, width = high, 4 * width
+
+
+def candidate_pairs(t: dict[str, np.ndarray], params: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(earlier, later) places under one word that pass all filters, until each later one has a few; and which later ones were not compared with all."""
+    found = np.zeros(len(t["group"]), np.int64)
+    done = np.zeros(len(found), bool)
+    out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for a, b in _windows(t, np.arange(len(found)), done, 2 * params.few):
+        ok = _passes(t, a, b, params)
+        out_a.append(a[ok])
+        out_b.append(b[ok])
+        np.add.at(found, b[ok], 1)
+        done |= found > params.few
+    return np.concatenate(out_a), np.concatenate(out_b), done
+
+
+OFFERS = "a bigint, b bigint, more boolean"
+
+
+def _places(x: np.ndarray) -> np.ndarray:
+    """The place of each entry among the equal ones of a sorted array."""
+    new = runs(x)
+    return np.arange(len(x)) - np.flatnonzero(new)[np.cumsum(new) - 1] if len(x) else np.zeros(0, np.int64)
 
 
-def _filter_of(ids: DataFrame, params: Params) -> np.ndarray:
-    """A bit for each slot that a set of ``ids`` (one column) falls into: a filter without false negatives."""
+def _offered(part: pa.Table, params: Params) -> pa.Table:
+    """(a, b, more): sets a before b that pass the filters, the first few of each b (for whole texts also of each a), and whether b had more."""
+    t = _gathered(part, params)
+    a, b, more = candidate_pairs(t, params)
+    sa, sb = t["set_id"][a], t["set_id"][b]
+    more = more[b]
+    # A pair may share several words: it counts once. Places are in order of the sets' lines under each word.
+    order = np.lexsort((t["set_id"][a], t["number"][a], t["o"][a], sb))
+    sa, sb, more, oa = sa[order], sb[order], more[order], np.lexsort((t["set_id"][b[order]], t["number"][b[order]], t["o"][b[order]], sa[order]))
+    one = runs(sb) | runs(sa)
+    many = np.unique(sb[more])
+    rank = np.zeros(len(sa), np.int64)
+    rank[one] = _places(sb[one])
+    keep = one & (rank < params.few)
+    beyond = np.unique(sb[one & (rank >= params.few)])
+    if params.shingle:
+        back = np.zeros(len(sa), np.int64)
+        first = oa[one[oa]]
+        back[first] = _places(sa[first])
+        keep |= one & (back < params.few)
+    sa, sb = sa[keep], sb[keep]
+    return pa.table({"a": sa, "b": sb, "more": np.isin(sb, many) | np.isin(sb, beyond)})
+
+
+def _verified(t: dict[str, np.ndarray], words_: np.ndarray, a: np.ndarray, b: np.ndarray, params: Params) -> np.ndarray:
+    """Which of the pairs are similar, by whole sets."""
+    out = []
+    for k in range(0, len(a), 4096):
+        x, y = a[k : k + 4096], b[k : k + 4096]
+        both = []
+        for s in (x, y):
+            n = t["n"][s]
+            both.append(np.repeat(np.arange(len(s), dtype=np.uint64), n) << np.uint64(WORD_BITS) | words_[ragged(t["words_at"][s], n)])
+        key = np.sort(np.concatenate(both))
+        shared = np.bincount((key[1:][key[1:] == key[:-1]] >> np.uint64(WORD_BITS)).astype(np.int64), minlength=len(x))
+        out.append(params.den * shared >= params.num * (t["n"][x] + t["n"][y] - shared))
+    return np.concatenate(out) if out else np.zeros(0, bool)
+
+
+def _searched(part: pa.Table, wanted: Filter, params: Params) -> pa.Table:
+    """(a, b): for the sets b that are wanted an earlier similar set, if one shares this bucket's prefix words."""
+    words_ = np.concatenate([unpack(v, np.uint64) for v in part.column("words").to_pylist()])
+    t = _gathered(part, params)
+    done = np.zeros(len(t["group"]), bool)
+    out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for a, b in _windows(t, np.flatnonzero(wanted.has(t["set_id"])), done, 2 * params.few):
+        ok = _passes(t, a, b, params)
+        a, b = a[ok], b[ok]
+        similar = _verified(t, words_, a, b, params)
+        out_a.append(t["set_id"][a[similar]])
+        out_b.append(t["set_id"][b[similar]])
+        if not params.shingle:  # for whole texts all links count
+            done[b[similar]] = True
+    return pa.table({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
+
+
+# --- verification ------------------------------------------------------------------------------
+
+
+def set_words(table: DataFrame, wanted: Filter) -> DataFrame:
+    """(set_id, words): the word hashes of the sets that pass the filter."""
 
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.record_batch([pa.array(np.unique(_filter_slot(batch.column(0).to_numpy(), params.filter_slots)))], names=["slot"])
+            for _, p in _sets_of(batch):
+                mine = np.flatnonzero(wanted.has(p.set_id))
+                values, n = p.words(mine)
+                yield pa.record_batch([pa.array(p.set_id[mine]), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(values.view(np.int64)))], names=["set_id", "words"])
 
-    out = np.zeros(params.filter_slots, bool)
-    out[ids.mapInArrow(slots, "slot bigint").distinct().toArrow().column("slot").to_numpy()] = True
-    return out
+    return table.mapInArrow(make, "set_id bigint, words array<bigint>").dropDuplicates(["set_id"])
 
 
-def set_words(docs: DataFrame, wanted: np.ndarray, params: Params) -> DataFrame:
-    """(set_id, words): the word hashes of the sets that pass the filter."""
-    packed, slots = np.packbits(wanted), len(wanted)  # what goes to the tasks is the bits
+def _prefix_filter(table: DataFrame, counts: np.ndarray, wanted: Filter, params: Params) -> Filter:
+    """The prefix words of the sets that pass ``wanted``."""
+    from siftspark.session import checkpointed
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            lines = lines_of(texts_of(batch), params.shingle)
-            _, first = np.unique(lines.set_id, return_index=True)
-            slot = _filter_slot(lines.set_id[first], slots)
-            first = first[(packed[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)]
-            n = lines.n[first]
-            values = lines.h[ragged(lines.off[first], n)].view(np.int64)
-            yield pa.record_batch([pa.array(lines.set_id[first]), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(values))], names=["set_id", "words"])
+        for batch in batches:
+            for _, p in _sets_of(batch):
+                mine = np.flatnonzero(wanted.has(p.set_id))
+                if len(mine):
+                    yield pa.record_batch([pa.array(np.unique(prefixes(p, counts, params, mine)[1]).view(np.int64))], names=["word"])
 
-    return docs.select("text").mapInArrow(make, "set_id bigint, words array<bigint>").dropDuplicates(["set_id"])
+    return filter_of(checkpointed(table.mapInArrow(make, "word bigint").distinct()))
 
 
-def found_by_search(docs: DataFrame, open_: DataFrame, counts: np.ndarray, params: Params) -> DataFrame:
-    """(b): those of the open sets (b, words, doc_id, number of the first line) that an earlier line is similar to.
+def similar_sets(every: DataFrame, params: Params, extra: DataFrame | None = None) -> DataFrame:
+    """(a, b): similar sets that are not equal, a before b; each set to which an earlier one is similar is a b.
 
-    A block of open sets goes to all tasks; a line is compared with those that have a prefix word in it.
+    ``extra``: candidates (a, b) that were found elsewhere, to be verified as well.
     """
-    n = -(-open_.count() // params.open_block)
-    out = None
-    for k in range(n):
-        rows = open_.filter(F.pmod(F.xxhash64(F.lit(1), "b"), F.lit(n)) == k).collect()
-        sets = [np.sort(np.array(r["words"], np.int64).view(np.uint64)) for r in rows]
-        mine = Lines(np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64), np.concatenate(sets), np.cumsum([0, *map(len, sets)]), np.array([r["b"] for r in rows], np.int64))
-        owner, word, _ = _prefixes(mine, counts, params)
-        order = np.argsort(word, kind="stable")
-        owner, word = owner[order], word[order]
-        places = [(r["doc_id"], r["number"], r["b"]) for r in rows]
-
-        def search(batches: Iterator[pa.RecordBatch], sets=sets, owner=owner, word=word, places=places) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
-            found = set()
-            for batch in pieces(batches):
-                lines = lines_of(texts_of(batch), params.shingle)
-                lo, hi = np.searchsorted(word, lines.h, "left"), np.searchsorted(word, lines.h, "right")
-                line = np.repeat(np.repeat(np.arange(len(lines.n)), lines.n), hi - lo)
-                pairs = np.unique(np.stack([line, owner[ragged(lo, hi - lo)]]), axis=1)
-                ids = _ids(batch)
-                for i, j in pairs.T.tolist():
-                    if j in found or not (ids[lines.row[i]], lines.number[i], lines.set_id[i]) < places[j] or lines.set_id[i] == places[j][2]:
-                        continue
-                    shared = len(np.intersect1d(lines.h[lines.off[i] : lines.off[i + 1]], sets[j], assume_unique=True))
-                    if params.den * shared >= params.num * (lines.n[i] + len(sets[j]) - shared):
-                        found.add(j)
-            yield pa.record_batch([pa.array([places[j][2] for j in sorted(found)], pa.int64())], names=["b"])
-
-        hits = docs.mapInArrow(search, "b bigint")
-        out = hits if out is None else out.union(hits)
-    return out
-
-
-def similar_sets(docs: DataFrame, lines: DataFrame, counts: np.ndarray, crowd: np.ndarray, params: Params) -> DataFrame:
-    """(b): the sets to which an earlier set is similar but not equal."""
-    from siftspark.session import checkpointed, free_shuffles
+    from siftspark.session import checkpointed
 
-    buckets = max(16, int(crowd.sum(dtype=np.int64)) // 120_000)
-    offered = prefix_rows(docs, counts, crowd, buckets, params).groupBy("bucket").applyInArrow(lambda part: _offered(part, params), "a bigint, b bigint, more boolean")
-    pairs = checkpointed(offered.groupBy("a", "b").agg(F.bool_or("more").alias("more")))
-    del offered
-    free_shuffles(docs.sparkSession)
-    sets = checkpointed(set_words(docs, _filter_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), params), params))
+    table = every.filter("piece IS NOT NULL").drop("k", "v")
+    counts = added(every.filter("piece IS NULL"), params.slots)
+    crowd = crowds(table, counts, params)
+    buckets = max(16, int(crowd.sum(dtype=np.int64)) // params.bucket)
+    pairs = entries(table, counts, crowd, buckets, params).groupBy("bucket").applyInArrow(lambda part: _offered(part, params), OFFERS)
+    if extra is not None:
+        pairs = pairs.unionByName(extra.select("a", "b", F.lit(False).alias("more")))
+    pairs = checkpointed(pairs.groupBy("a", "b").agg(F.bool_or("more").alias("more")))
+    sets = checkpointed(set_words(table, filter_of(pairs.select(F.explode(F.array("a", "b")).alias("id")))))
     one, two = sets.select(F.col("set_id").alias("a"), F.col("words").alias("_wa")), sets.select(F.col("set_id").alias("b"), F.col("words").alias("_wb"))
     shared = F.size(F.array_intersect("_wa", "_wb"))
     similar = params.den * shared >= params.num * (F.size("_wa") + F.size("_wb") - shared)
-    found = checkpointed(pairs.join(one, "a").join(two, "b").filter(similar).select("b").distinct())
-    free_shuffles(docs.sparkSession)
-    left = checkpointed(pairs.filter("more").select("b").distinct().join(found, "b", "left_anti"))
+    links = checkpointed(pairs.join(one, "a").join(two, "b").filter(similar).select("a", "b"))
+    left = checkpointed(pairs.filter("more").select("b").distinct().join(links.select("b").distinct(), "b", "left_anti"))
     if not left.limit(1).count():
-        return found
-    place = F.struct(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("doc_id"), "number")
-    first = lines.join(left.select(F.col("b").alias("set_id")), "set_id", "left_semi").groupBy(F.col("set_id").alias("b")).agg(F.min(place).alias("_p"))
-    open_ = checkpointed(first.join(sets.select(F.col("set_id").alias("b"), "words"), "b").select("b", "words", "_p.*"))
-    return found.union(found_by_search(docs, open_, counts, params)).distinct()
+        return links
+    wanted = filter_of(left)
+    search = entries(table, counts, crowd, buckets, params, _prefix_filter(table, counts, wanted, params))
+    hits = search.groupBy("bucket").applyInArrow(lambda part: _searched(part, wanted, params), "a bigint, b bigint")
+    return checkpointed(links.union(hits).distinct())
 
 
-def document_lines(docs: DataFrame, counts: np.ndarray, params: Params) -> DataFrame:
-    """(doc_id, text_key, number, set_id) of every line with a word, and in rows of their own (k, v)
-    the slices of how many prefix words fall into each slot."""
+# --- what goes ---------------------------------------------------------------------------------
+
+#: Of the sets of one piece in one bucket: ids, and the place of the first line of each; rows with a null piece have the ids of sets that go.
+FIRSTS = "bucket int, piece bigint, set_id binary, o binary, number binary, text_key binary"
+#: Of each of these sets whether no line stays (0), or only the first place in this piece (1).
+VERDICTS = "piece bigint, bucket int, stays binary"
+
+
+def _bucket_of(set_id: np.ndarray, buckets: int) -> np.ndarray:
+    return ((mixed(set_id.view(np.uint64)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(params.slots, np.int64)
-        names = ["doc_id", "text_key", "number", "set_id", "k", "v"]
-        for batch in pieces(batches):
-            lines = lines_of(texts_of(batch), params.shingle)
-            _, word, _ = _prefixes(lines, counts, params)
-            sums += np.bincount(_slot(word, params.slots), minlength=params.slots)
-            at = pa.array(lines.row)
-            kind = batch.column("doc_id").type
-            yield pa.record_batch([batch.column("doc_id").take(at), batch.column("text_key").take(at), pa.array(lines.number.astype(np.int32)), pa.array(lines.set_id), pa.nulls(len(at), pa.int32()), pa.nulls(len(at), pa.binary())], names=names)
-        for k, v in slices_of(sums):
-            yield pa.record_batch([pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([v], pa.binary())], names=names)
 
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text", _text_key().alias("text_key")).mapInArrow(make, f"doc_id {kind}, text_key bigint, number int, set_id bigint, k int, v binary")
+def _dealt(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket that occurs, and the places of what is in it, in order."""
+    order = np.argsort(bucket, kind="stable")
+    if len(order):
+        yield from ((int(bucket[k[0]]), k) for k in np.split(order, np.flatnonzero(runs(bucket[order]))[1:]))
 
 
-def _text_key(prefix: str = "") -> Column:
-    return F.xxhash64(F.coalesce(F.col(f"{prefix}text"), F.lit("")))
+def _judged(part: pa.Table) -> pa.Table:
+    """The verdicts on a bucket's sets, for each piece that has some of them."""
+    rows = part.to_pylist()
+    gone = np.concatenate([np.zeros(0, np.int64), *(unpack(r["set_id"], np.int64) for r in rows if r["piece"] is None)])
+    mine = [r for r in rows if r["piece"] is not None]
+    if not mine:
+        return _table([], VERDICTS)
+    parts = [[unpack(r[c], np.int64) for c in ("set_id", "o", "number", "text_key")] for r in mine]
+    ids, *place = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((*place[::-1], ids))
+    new = runs(ids[order])
+    first = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    stays = np.empty(len(ids), bool)
+    stays[order] = np.all([p[order] == p[first] for p in place], axis=0)
+    stays &= ~np.isin(ids, gone)
+    ends = np.cumsum([len(p[0]) for p in parts])[:-1]
+    return _table([(r["piece"], r["bucket"], squeeze(s.astype(np.uint8))) for r, s in zip(mine, np.split(stays, ends), strict=True)], VERDICTS)
 
 
 def removed_lines(docs: DataFrame, params: Params = Params()) -> DataFrame:
-    """(doc_id, text_key, removed): line numbers, counted from 0, of the documents that lose a line."""
-    from siftspark.session import checkpointed
+    """(_o, _key, removed): line numbers, counted from 0, of the texts that lose a line, from (_o, text).
+
+    Each piece sends the place of the first line of each of its sets to the bucket that owns the set, and
+    learns which sets go and which of its lines come first; so a line that very many texts have costs one
+    entry for each piece.
+    """
+    every = piece_table(docs.select("_o", "text", text_key().alias("text_key")), params)
+    links = similar_sets(every, params)
+    slim = every.filter("piece IS NOT NULL").select("piece", "o", "text_key", "row", "number", "which", "set_id")
+    buckets = max(16, slim.count() // 8)
 
-    texts = docs.select("doc_id", "text")
-    counts = word_counts(texts, params)
-    both = checkpointed(document_lines(texts, counts, params))
-    lines = both.filter("k IS NULL").drop("k", "v")
-    similar = similar_sets(texts, lines, counts, total_of(both.filter("k IS NOT NULL").select("k", "v"), params.slots), params)
-    place = F.struct("doc_id", "text_key", "number")
-    first = lines.groupBy("set_id").agg(F.min(place).alias("_first"))
-    first = first.join(similar.select(F.col("b").alias("set_id"), F.lit(True).alias("_similar")), "set_id", "left")
-    gone = lines.join(first, "set_id").filter(F.coalesce("_similar", F.lit(False)) | ~place.eqNullSafe(F.col("_first")))
-    return gone.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("number")).alias("removed"))
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                ids = unpack(r["set_id"], np.int64)
+                o, key, _, number, which = _lines_of(r)
+                at = _earliest(len(ids), which, o, number, key)
+                yield _batch([(b, r["piece"], *(pack(x) for x in (ids[k], o[at[k]], number[at[k]], key[at[k]]))) for b, k in _dealt(_bucket_of(ids, buckets))], FIRSTS)
+
+    def going(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("b").to_numpy(zero_copy_only=False)
+            yield _batch([(b, None, pack(ids[k]), None, None, None) for b, k in _dealt(_bucket_of(ids, buckets))], FIRSTS)
+
+    def lost(part: pa.Table) -> pa.Table:
+        rows = part.to_pylist()
+        r = next(x for x in rows if x["stays"] is None)
+        ids = unpack(r["set_id"], np.int64)
+        o, key, row, number, which = _lines_of(r)
+        at = _earliest(len(ids), which, o, number, key)
+        stays = np.zeros(len(ids), bool)
+        verdicts = {x["bucket"]: x["stays"] for x in rows if x["stays"] is not None}
+        for b, k in _dealt(_bucket_of(ids, buckets)):
+            stays[k] = expand(verdicts[b]) > 0
+        first = at[which]
+        gone = np.flatnonzero(~(stays[which] & (o == o[first]) & (number == number[first]) & (key == key[first])))
+        gone = gone[np.lexsort((number[gone], row[gone]))]
+        texts = np.flatnonzero(runs(row[gone]))
+        off = pa.array(np.append(texts, len(gone)).astype(np.int32))
+        return pa.table({"_o": o[gone[texts]], "_key": key[gone[texts]], "removed": pa.ListArray.from_arrays(off, pa.array(number[gone].astype(np.int32)))})
+
+    judged = slim.mapInArrow(firsts, FIRSTS).unionByName(links.select("b").distinct().mapInArrow(going, FIRSTS)).groupBy("bucket").applyInArrow(_judged, VERDICTS)
+    return slim.unionByName(judged, allowMissingColumns=True).groupBy("piece").applyInArrow(lost, "_o bigint, _key bigint, removed array<int>").dropDuplicates(["_o", "_key"])
+
+
+def text_key(text: str = "text") -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
 def line_verdicts(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """One row per document: its lines, and the numbers of those that go."""
-    gone = removed_lines(docs, params).withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
-    base = docs.select("doc_id", _text_key().alias("_text_key"), F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("n_lines"))
-    joined = base.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
+    texts = with_order(docs.select("doc_id", "text"), order_table(docs))
+    gone = removed_lines(texts, params)
+    base = texts.select("doc_id", "_o", text_key().alias("_key"), F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("n_lines"))
     removed = F.coalesce("removed", F.array().cast("array<int>"))
-    return joined.select("doc_id", "n_lines", F.size(removed).alias("n_removed"), removed.alias("removed"))
+    return base.join(gone, ["_o", "_key"], "left").select("doc_id", "n_lines", F.size(removed).alias("n_removed"), removed.alias("removed"))
 
 
 def drop_lines(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """The documents, with all their columns, without the lines that go; a document that loses all its words goes."""
-    gone = removed_lines(docs, params).withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
-    row = docs.select(F.struct("*").alias("_row"), _text_key().alias("_text_key"))
-    joined = row.join(gone.hint("shuffle_hash"), F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
+    ids = order_table(docs)
+    gone = removed_lines(with_order(docs.select("doc_id", "text"), ids), params)
+    row = with_order(docs.select(F.struct("*").alias("_row"), F.col("doc_id"), text_key().alias("_key")), ids)
+    joined = row.join(gone, ["_o", "_key"], "left")
     lines = F.split(F.col("_row.text"), "\n", -1)
     # Rows that lose nothing keep their text as it is, null included.
     left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("removed", i)), "\n")

@@ -14,11 +14,11 @@ links, never all pairs.
 
 Defined results: null text counts as empty; a text without words has the
 fingerprint zero, which links like any other. Repeated rows and equal texts
-have equal fingerprints; rows of one doc_id are one document, and link. A null
-doc_id takes no part in naming a component; a component of such rows only is
-named null, and they all stay. An empty table gives an empty
-result; other columns are ignored by :func:`near_duplicates` and kept untouched
-by :func:`drop_near_duplicates`.
+have equal fingerprints; rows of one doc_id are one document, so all their
+fingerprints link. A null doc_id takes no part in naming a component; a component
+of such rows only is named null. Ids that are no integers are numbered in their
+order for the search. An empty table gives an empty result; other columns are
+ignored by :func:`near_duplicates` and kept untouched by :func:`drop_near_duplicates`.
 """
 
 from __future__ import annotations
@@ -32,7 +32,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftspark.llm.components import components
+from siftspark.llm.components import components, join_hot
+from siftspark.llm.order import order_table, with_order
 from siftspark.llm.tokens import mixed, pieces, texts_of, words
 
 SEED = 42
@@ -220,7 +221,7 @@ def fingerprint_links(distinct: DataFrame, params: Params) -> DataFrame:
     """
     n = distinct.count()
     share = min(1.0, params.sample / max(n, 1))
-    drawn = distinct.filter(F.pmod(F.xxhash64(F.lit(SEED), "fp"), F.lit(1_000_000)) < int(share * 1_000_000) + 1).select("fp")
+    drawn = distinct.filter(F.pmod(F.xxhash64(F.lit(SEED), "fp"), F.lit(2**53)) < int(share * 2**53) + 1).select("fp")
     sample = np.array([r["fp"] for r in drawn.limit(4 * params.sample).collect()], np.int64).view(np.uint64)
     tree = Tree(sample, n, params.leaf, params.radius)
 
@@ -239,40 +240,47 @@ def fingerprint_links(distinct: DataFrame, params: Params) -> DataFrame:
     return distinct.mapInArrow(deal, "shard int, fp bigint, v bigint").groupBy("shard").applyInArrow(link, "a bigint, b bigint")
 
 
-def fingerprint_classes(rows: DataFrame, params: Params) -> DataFrame:
-    """(fp, component) of each distinct fingerprint in ``rows`` (doc_id, fp): the smallest doc_id that it reaches."""
+def fingerprint_classes(rows: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
+    """(fp, component) of each distinct fingerprint in ``rows`` (_o, doc_id, fp), the component by its smallest _o, null
+    where no row has an id; and the frequent fingerprints."""
     from siftspark.session import checkpointed
 
-    distinct = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").cast("bigint").alias("v")))
+    named_rows = rows.filter("doc_id IS NOT NULL")
+    distinct = checkpointed(rows.groupBy("fp").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.col("_o"))).alias("v"), F.count("*").alias("n")))
     # Without an id of its own, a fingerprint takes a name beyond all ids for the time being.
     named = distinct.select("fp", F.coalesce("v", F.lit(NAMELESS) + F.pmod("fp", F.lit(2**61))).alias("v"))
-    roots = components(fingerprint_links(named, params))
+    links = fingerprint_links(named, params)
+    several = checkpointed(named_rows.groupBy("_o").agg(F.min("fp").alias("x"), F.max("fp").alias("y")).filter("x != y").select("_o"))
+    if several.limit(1).count():
+        links = links.union(named_rows.join(several, "_o", "left_semi").select("_o", "fp").distinct().join(named, "fp").select("_o", "v"))
     component = F.coalesce("root", "v")
-    return named.join(roots, "v", "left").select("fp", F.when(component < NAMELESS, component).alias("component"))
+    classes = checkpointed(named.join(components(links), "v", "left").select("fp", F.when(component < NAMELESS, component).alias("component")))
+    return classes, distinct.select("fp", "n")
 
 
 def near_duplicates(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """One row per document: fingerprint and component_id, the smallest doc_id it reaches."""
     from siftspark.session import checkpointed
 
-    rows = checkpointed(fingerprints(docs, params, "doc_id"))
-    classes = fingerprint_classes(rows, params).select("fp", "component")
-    return rows.join(classes, "fp").select(
-        "doc_id",
-        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-        F.col("component").alias("component_id"),
-    )
+    ids = order_table(docs)
+    rows = checkpointed(fingerprints(with_order(docs.select("doc_id", "text"), ids), params, "doc_id", "_o"))
+    found = join_hot(rows, *fingerprint_classes(rows, params), "fp")
+    if ids is not None:
+        found = found.drop("_o").join(ids.select(F.col("doc_id").alias("_root"), F.col("_o").alias("component")), "component", "left").withColumn("component", F.col("_root"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, params: Params = Params()) -> DataFrame:
-    """The documents, with all their columns, of which each component keeps the one with the smallest id."""
+    """The documents, with all their columns, of which each component keeps the one with the smallest id; of several
+    texts with that id the one with the smallest hash. Rows without an id all stay."""
     from siftspark.session import checkpointed
 
-    rows = checkpointed(fingerprints(docs, params, "doc_id"))
-    classes = fingerprint_classes(rows, params)
-    kept = checkpointed(rows.join(classes, "fp").filter("doc_id = component").select(F.col("doc_id").alias("_kept")).groupBy("_kept").agg(F.count("*").alias("_rows")))
-    row = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"))
-    stay = row.join(kept.hint("shuffle_hash"), F.col("_id") == F.col("_kept"))
-    if kept.filter("_rows > 1").limit(1).count():
-        stay = stay.dropDuplicates(["_id"])
+    ids = order_table(docs)
+    key = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_key")
+    keyed = with_order(docs.select("doc_id", "text"), ids).select("doc_id", "_o", "text", key)
+    rows = checkpointed(fingerprints(keyed, params, "doc_id", "_o", "_key").filter("doc_id IS NOT NULL"))
+    found = join_hot(rows, *fingerprint_classes(rows, params), "fp")
+    kept = checkpointed(found.filter("_o = component").groupBy("_o").agg(F.min("_key").alias("_key")))
+    row = with_order(docs.select(F.struct("*").alias("_row"), "doc_id", key), ids).filter("doc_id IS NOT NULL")
+    stay = row.join(kept, ["_o", "_key"]).dropDuplicates(["_o", "_key"])
     return stay.select("_row.*").unionByName(docs.filter("doc_id IS NULL"))

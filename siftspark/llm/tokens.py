@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
+from pyspark.sql import DataFrame
 
 #: Bytes of text in one piece, unless a single text is longer.
 PIECE = 4 << 20
@@ -91,11 +92,109 @@ def ragged(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
 
 
+_ZIP, _UNZIP = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def pack(x: np.ndarray) -> bytes:
     """Numbers byte by byte of equal weight, compressed."""
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes())
+    return _ZIP.compress(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes())
 
 
 def unpack(b: bytes, dtype: type) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8)
+    raw = np.frombuffer(_UNZIP.decompress(b), np.uint8)
     return raw.reshape(np.dtype(dtype).itemsize, -1).T.copy().view(dtype).ravel()
+
+
+def squeeze(x: np.ndarray) -> bytes:
+    """Numbers of zero or more, in as many bytes each as the largest takes, compressed."""
+    most = int(x.max()) if len(x) else 0
+    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if most <= np.iinfo(k).max)
+    return bytes([np.dtype(kind).itemsize]) + pack(x.astype(kind))
+
+
+def expand(b: bytes) -> np.ndarray:
+    """The numbers that :func:`squeeze` took, as 64-bit integers."""
+    return unpack(b[1:], np.dtype(f"u{b[0]}")).astype(np.int64)
+
+
+def runs(x: np.ndarray) -> np.ndarray:
+    """Where a sorted array has a new value."""
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    return new
+
+
+#: An array that many tasks add to goes to the driver in so many slices, those that are not all zero.
+SLICES = 64
+SLICED = "k int, v binary"
+
+
+def sliced(x: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The slices (k, v) of an array of numbers below 2 ** 32."""
+    for k, part in enumerate(x.reshape(SLICES, -1)):
+        if part.any():
+            yield pa.record_batch([pa.array([k], pa.int32()), pa.array([pack(part.astype(np.uint32))])], names=["k", "v"])
+
+
+def added(parts: DataFrame, size: int, most: int = 2**32 - 1) -> np.ndarray:
+    """Sum of arrays of a fixed size from their slices, cut at ``most``; slices meet by number, and one array comes back."""
+
+    def add(part: pa.Table) -> pa.Table:
+        total = np.zeros(size // SLICES, np.int64)
+        for v in part.column("v").to_pylist():
+            total += unpack(v, np.uint32)
+        return pa.table({"k": part.column("k").slice(0, 1), "v": pa.array([pack(np.minimum(total, most).astype(np.uint32))])})
+
+    out = np.zeros((SLICES, size // SLICES), np.uint32)
+    for r in parts.select("k", "v").groupBy("k").applyInArrow(add, SLICED).collect():
+        out[r["k"]] = unpack(r["v"], np.uint32)
+    return out.ravel()
+
+
+class Filter:
+    """A bit for each slot that one of many 64-bit numbers falls into: no number is missed, a few others may pass.
+
+    It has sixteen bits for each number, but ``most`` at most: beyond that more pass, which costs time and changes no result.
+    """
+
+    def __init__(self, bits: np.ndarray) -> None:
+        self.packed, self.size = np.packbits(bits), len(bits)
+
+    def has(self, x: np.ndarray) -> np.ndarray:
+        slot = slots_of(x, self.size)
+        return (self.packed[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)
+
+
+def slots_of(x: np.ndarray, size: int) -> np.ndarray:
+    return (mixed(x.view(np.uint64)) % np.uint64(size)).astype(np.int64)
+
+
+def filter_of(numbers: DataFrame, most: int = 1 << 26) -> Filter:
+    """The filter of the numbers in one column of a written table."""
+    n = numbers.count()
+    size = min(most, 1 << max(12, (16 * n).bit_length()))
+
+    def fall(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words_ = np.zeros(size // 32, np.int64)
+        seen = np.zeros(size, bool)
+        for batch in batches:
+            seen[slots_of(batch.column(0).to_numpy(zero_copy_only=False), size)] = True
+        words_[:] = np.packbits(seen).view(">u4")
+        yield from sliced(words_)
+
+    return Filter(np.unpackbits(_either(numbers.mapInArrow(fall, SLICED), size // 32).astype(">u4").view(np.uint8)).astype(bool))
+
+
+def _either(parts: DataFrame, size: int) -> np.ndarray:
+    """Bitwise or of arrays from their slices."""
+
+    def join(part: pa.Table) -> pa.Table:
+        total = np.zeros(size // SLICES, np.uint32)
+        for v in part.column("v").to_pylist():
+            total |= unpack(v, np.uint32)
+        return pa.table({"k": part.column("k").slice(0, 1), "v": pa.array([pack(total)])})
+
+    out = np.zeros((SLICES, size // SLICES), np.uint32)
+    for r in parts.groupBy("k").applyInArrow(join, SLICED).collect():
+        out[r["k"]] = unpack(r["v"], np.uint32)
+    return out.ravel()

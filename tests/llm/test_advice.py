@@ -35,10 +35,20 @@ def test_near_duplicate_stage_equals_brute_force(spark):
     sets = [shingles(t) for t in texts]
     near = [(i, j) for j in range(len(texts)) for i in range(j) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
     assert sum(0.8 <= len(sets[i] & sets[j]) / len(sets[i] | sets[j]) < 0.95 for i, j in near) > 20
-    want = set(range(len(texts))) - {j for _, j in near}
+    root = list(range(len(texts)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in near:
+        a, b = sorted((top(i), top(j)))
+        root[b] = a
+    want = {i for i in range(len(texts)) if top(i) == i}
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, "").collect()} == want
-    few = document_dedup.line_dedup.Params(shingle=5, block=2, few=1, open_block=7)
+    few = document_dedup.line_dedup.Params(shingle=5, block=2, few=2, bucket=50, piece=5000)
     assert {r.doc_id for r in document_dedup.drop_near_documents(df, few).collect()} == want
 
 
