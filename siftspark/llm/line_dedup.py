@@ -15,8 +15,8 @@ fixed size over all texts, in which words share slots; ties go by hash, and any
 order that is the same everywhere gives the same result. Prefix words that would
 gather too many sets in one task are dealt to pairs of blocks. In each task a set
 offers its earliest few candidates; the few sets that none of those remove and
-that had more are compared with all sets that share a prefix word with them, which
-meet in a shuffle by that word.
+that had more are compared with all sets that share a prefix word with them: the
+former are broadcast where they are few, else both meet in a shuffle by that word.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, lines end at ``\\n``.
 Words are compared by 48-bit hashes, which two different words of a line pair
@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from siftspark.llm.order import order_table, with_order
 from siftspark.llm.tokens import SLICED, Filter, added, expand, filter_of, hashed, mixed, pack, pieces, ragged, runs, sliced, squeeze, texts_of, unpack, words
+from siftspark.session import find_package
 
 
 @dataclass(frozen=True)
@@ -55,7 +56,9 @@ class Params:
     block: int = 20_000
     few: int = 16
     #: Sets from this size on have sketches of four words, as one is soon full.
-    wide: int = 100
+    wide: int = 64
+    #: Sets without a verified candidate that are broadcast to be compared with all; more of them meet by shuffle.
+    broadcast: int = 50_000
     #: Prefix words that one task should get, and the bytes of text in one piece.
     bucket: int = 400_000
     piece: int = 8 << 20
@@ -192,6 +195,7 @@ def piece_table(docs: DataFrame, params: Params) -> DataFrame:
         for part in sliced(np.minimum(counts, 2**32 - 1)):
             yield _batch([(None, *[None] * 9, part.column(0)[0].as_py(), part.column(1)[0].as_py())], PIECES)
 
+    find_package(docs.sparkSession)
     return checkpointed(docs.select("_o", "text", "text_key").mapInArrow(make, PIECES))
 
 
@@ -257,6 +261,21 @@ ENTRIES = "bucket int, word binary, set_id binary, sketch binary, least bigint,
 WIDE = 3
 
 
+def _sketches(p: Piece, params: Params) -> tuple[np.ndarray, np.ndarray]:
+    """The parity sketch of each set, and of the large sets three of its four words (0 for the others)."""
+    bit = (np.uint64(1) << (p.keys & np.uint64(63)))[p.codes]
+    sketch = np.bitwise_xor.reduceat(bit, p.off[:-1]) if len(bit) else np.zeros(0, np.uint64)
+    wide = np.zeros((WIDE, len(sketch)), np.uint64)
+    large = np.flatnonzero(p.n >= params.wide)
+    if len(large):
+        at = ragged(p.off[large], p.n[large])
+        begin = np.cumsum(p.n[large]) - p.n[large]
+        part, bit = (p.keys >> np.uint64(6) & np.uint64(3))[p.codes[at]], bit[at]
+        for k in range(WIDE):
+            wide[k, large] = np.bitwise_xor.reduceat(np.where(part == k, bit, np.uint64(0)), begin)
+    return sketch, wide
+
+
 def entries(table: DataFrame, counts: np.ndarray, crowd: np.ndarray, buckets: int, params: Params, only: Filter | None = None) -> DataFrame:
     """The prefix words of all sets, or those that pass ``only``, with the whole sets. Words of a crowded slot go to pairs of blocks."""
 
@@ -273,15 +292,7 @@ def entries(table: DataFrame, counts: np.ndarray, crowd: np.ndarray, buckets: in
             return
         o, _, _, number, which = _lines_of(r)
         first = _earliest(len(p.set_id), which, o, number)
-        bit = (np.uint64(1) << (p.keys & np.uint64(63)))[p.codes]
-        sketch = np.bitwise_xor.reduceat(bit, p.off[:-1])
-        part = (p.keys >> np.uint64(6) & np.uint64(3))[p.codes]
-        large = np.flatnonzero(p.n >= params.wide)
-        place = np.full(len(p.n), -1)
-        place[large] = np.arange(len(large))
-        at = ragged(p.off[large], p.n[large])
-        begin = np.cumsum(p.n[large]) - p.n[large]
-        wide = np.stack([np.bitwise_xor.reduceat(np.where(part[at] == k, bit[at], np.uint64(0)), begin) for k in range(WIDE)]) if len(large) else np.zeros((WIDE, 0), np.uint64)
+        sketch, wide = _sketches(p, params)
         blocks = 1 + crowd[_slot(word, params.slots)].astype(np.int64) // params.block
         # What is in block b of B goes to the pairs of b and each other block, or to itself if B is 1.
         copies = np.maximum(blocks - 1, 1)
@@ -297,10 +308,8 @@ def entries(table: DataFrame, counts: np.ndarray, crowd: np.ndarray, buckets: in
         o, number = (o.view(np.uint64) - least.view(np.uint64))[first], number[first]
         for k in np.split(np.arange(len(j)), np.flatnonzero(runs(bucket))[1:]):
             s = j[k]
-            big = place[s][place[s] >= 0]
-            whole = b""
-            if only is not None:
-                whole = pack(p.words(s)[0])
+            big = s[p.n[s] >= params.wide]
+            whole = pack(p.words(s)[0]) if only is not None else b""
             yield (int(bucket[k[0]]), short[k].tobytes(), p.set_id[s].tobytes(), sketch[s].tobytes(), int(least), squeeze(o[s]), squeeze(number[s]), squeeze(p.n[s]), squeeze(pos[k]), wide[:, big].tobytes(), whole)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -344,19 +353,19 @@ def _gathered(part: pa.Table, params: Params) -> dict[str, np.ndarray]:
     return t | {"group": group, "wide": wide[:, at[order]] if wide.size else np.zeros((WIDE, len(order)), np.uint64)}
 
 
-def _passes(t: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, params: Params) -> np.ndarray:
-    """Which of the pairs under one word may be similar: lengths, positions, and sketches."""
-    na, nb = t["n"][a], t["n"][b]
+def _passes(t: dict[str, np.ndarray], a: np.ndarray, u: dict[str, np.ndarray], b: np.ndarray, params: Params) -> np.ndarray:
+    """Which of the pairs (a of t, b of u) under one word may be similar: lengths, positions, and sketches."""
+    na, nb = t["n"][a], u["n"][b]
     need = -(-params.num * (na + nb) // (params.num + params.den))
-    left = np.minimum(na - t["pos"][a], nb - t["pos"][b])
-    ok = np.flatnonzero((np.minimum(na, nb) * params.den >= np.maximum(na, nb) * params.num) & (left >= need) & (t["set_id"][a] != t["set_id"][b]))
+    left = np.minimum(na - t["pos"][a], nb - u["pos"][b])
+    ok = np.flatnonzero((np.minimum(na, nb) * params.den >= np.maximum(na, nb) * params.num) & (left >= need) & (t["set_id"][a] != u["set_id"][b]))
     a, b, most = a[ok], b[ok], (na + nb - 2 * need)[ok]
-    near = np.bitwise_count(t["sketch"][a] ^ t["sketch"][b]) <= most
+    near = np.bitwise_count(t["sketch"][a] ^ u["sketch"][b]) <= most
     ok, a, b, most = ok[near], a[near], b[near], most[near]
-    large = np.flatnonzero(np.minimum(t["n"][a], t["n"][b]) >= params.wide)
+    large = np.flatnonzero(np.minimum(t["n"][a], u["n"][b]) >= params.wide)
     if len(large):
-        parts = [w[a[large]] ^ w[b[large]] for w in t["wide"]]
-        parts.append(t["sketch"][a[large]] ^ t["sketch"][b[large]] ^ parts[0] ^ parts[1] ^ parts[2])
+        parts = [v[a[large]] ^ w[b[large]] for v, w in zip(t["wide"], u["wide"], strict=True)]
+        parts.append(t["sketch"][a[large]] ^ u["sketch"][b[large]] ^ parts[0] ^ parts[1] ^ parts[2])
         keep = np.ones(len(a), bool)
         keep[large] = sum(np.bitwise_count(w).astype(np.int64) for w in parts) <= most[large]
         ok = ok[keep]
@@ -388,7 +397,7 @@ def candidate_pairs(t: dict[str, np.ndarray], params: Params) -> tuple[np.ndarra
     done = np.zeros(len(found), bool)
     out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for a, b in _windows(t, np.arange(len(found)), done, 2 * params.few):
-        ok = _passes(t, a, b, params)
+        ok = _passes(t, a, t, b, params)
         out_a.append(a[ok])
         out_b.append(b[ok])
         np.add.at(found, b[ok], 1)
@@ -429,19 +438,21 @@ def _offered(part: pa.Table, params: Params) -> pa.Table:
     return pa.table({"a": sa, "b": sb, "more": np.isin(sb, many) | np.isin(sb, beyond)})
 
 
-def _verified(t: dict[str, np.ndarray], words_: np.ndarray, a: np.ndarray, b: np.ndarray, params: Params) -> np.ndarray:
-    """Which of the pairs are similar, by whole sets."""
-    out = []
-    for k in range(0, len(a), 4096):
-        x, y = a[k : k + 4096], b[k : k + 4096]
+def _verified(x: Words, y: Words, params: Params) -> np.ndarray:
+    """Which of the pairs of sets are similar. Each side: the words of all sets, and where each pair's set begins and how many words it has."""
+    out = [np.zeros(0, bool)]
+    for k in range(0, len(x[1]), 4096):
         both = []
-        for s in (x, y):
-            n = t["n"][s]
-            both.append(np.repeat(np.arange(len(s), dtype=np.uint64), n) << np.uint64(WORD_BITS) | words_[ragged(t["words_at"][s], n)])
+        for words_, begin, n in (x, y):
+            at = ragged(begin[k : k + 4096], n[k : k + 4096])
+            both.append(np.repeat(np.arange(len(n[k : k + 4096]), dtype=np.uint64), n[k : k + 4096]) << np.uint64(WORD_BITS) | words_[at])
         key = np.sort(np.concatenate(both))
-        shared = np.bincount((key[1:][key[1:] == key[:-1]] >> np.uint64(WORD_BITS)).astype(np.int64), minlength=len(x))
-        out.append(params.den * shared >= params.num * (t["n"][x] + t["n"][y] - shared))
-    return np.concatenate(out) if out else np.zeros(0, bool)
+        shared = np.bincount((key[1:][key[1:] == key[:-1]] >> np.uint64(WORD_BITS)).astype(np.int64), minlength=len(x[1][k : k + 4096]))
+        out.append(params.den * shared >= params.num * (x[2][k : k + 4096] + y[2][k : k + 4096] - shared))
+    return np.concatenate(out)
+
+
+Words = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def _searched(part: pa.Table, wanted: Filter, params: Params) -> pa.Table:
@@ -451,9 +462,9 @@ def _searched(part: pa.Table, wanted: Filter, params: Params) -> pa.Table:
     done = np.zeros(len(t["group"]), bool)
     out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for a, b in _windows(t, np.flatnonzero(wanted.has(t["set_id"])), done, 2 * params.few):
-        ok = _passes(t, a, b, params)
+        ok = _passes(t, a, t, b, params)
         a, b = a[ok], b[ok]
-        similar = _verified(t, words_, a, b, params)
+        similar = _verified((words_, t["words_at"][a], t["n"][a]), (words_, t["words_at"][b], t["n"][b]), params)
         out_a.append(t["set_id"][a[similar]])
         out_b.append(t["set_id"][b[similar]])
         if not params.shingle:  # for whole texts all links count
@@ -491,6 +502,77 @@ def _prefix_filter(table: DataFrame, counts: np.ndarray, wanted: Filter, params:
     return filter_of(checkpointed(table.mapInArrow(make, "word bigint").distinct()))
 
 
+def _search_few(table: DataFrame, rows: list, counts: np.ndarray, params: Params) -> DataFrame:
+    """(a, b): for the sets b in ``rows`` (b, words, o, number) the earlier similar sets, one at least for each task that has some."""
+    sizes = np.array([len(r["words"]) for r in rows], np.int64)
+    keys, codes = np.unique(np.concatenate([np.array(r["words"], np.int64) for r in rows]).view(np.uint64), return_inverse=True)
+    off = np.concatenate([[0], np.cumsum(sizes)])
+    line = np.repeat(np.arange(len(rows), dtype=np.uint64), sizes)
+    codes = (np.sort(line << np.uint64(32) | codes.astype(np.uint64)) & LOW).astype(np.int64)
+    empty = np.zeros(0, np.int64)
+    mine = Piece(empty, empty, empty, np.array([r["b"] for r in rows], np.int64), codes, off, keys)
+    owner, word, pos = prefixes(mine, counts, params)
+    order = np.argsort(word, kind="stable")
+    owner, word = owner[order], word[order]
+    sketch, wide = _sketches(mine, params)
+    u = {"set_id": mine.set_id[owner], "n": mine.n[owner], "pos": pos[order], "sketch": sketch[owner], "wide": wide[:, owner]}
+    place = tuple(np.array([r[c] for r in rows], np.int64)[owner] for c in ("o", "number")) + (u["set_id"],)
+    theirs = mine.words(np.arange(len(rows)))[0]
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = np.zeros(len(rows), bool)
+        for batch in batches:
+            for r, p in _sets_of(batch):
+                known = np.isin(p.keys, word)[p.codes]
+                chosen = np.flatnonzero(np.add.reduceat(known, p.off[:-1]) > 0) if len(known) else empty
+                j, w, at = prefixes(p, counts, params, chosen)
+                lo = np.searchsorted(word, w, "left")
+                n = np.searchsorted(word, w, "right") - lo
+                if not n.any():
+                    continue
+                o, _, _, number, which = _lines_of(r)
+                first = _earliest(len(p.set_id), which, o, number)
+                sketch, wide = _sketches(p, params)
+                t = {"set_id": p.set_id[j], "n": p.n[j], "pos": at, "sketch": sketch[j], "wide": wide[:, j]}
+                earlier = (o[first[j]], number[first[j]], t["set_id"])
+                total = np.concatenate([[0], np.cumsum(n)])
+                k = 0
+                while k < len(n):
+                    end = max(k + 1, int(np.searchsorted(total, total[k] + 400_000, "right")) - 1)
+                    a, b = np.repeat(np.arange(k, end), n[k:end]), ragged(lo[k:end], n[k:end])
+                    k = end
+                    before = np.zeros(len(a), bool)
+                    for x, y in zip(earlier[::-1], place[::-1], strict=True):
+                        before = (x[a] < y[b]) | ((x[a] == y[b]) & before)
+                    keep = before & ~done[owner[b]]
+                    a, b = a[keep], b[keep]
+                    ok = _passes(t, a, u, b, params)
+                    a, b = a[ok], b[ok]
+                    similar = _verified((p.keys[p.codes], p.off[j[a]], t["n"][a]), (theirs, mine.off[owner[b]], u["n"][b]), params)
+                    if not params.shingle:
+                        done[owner[b[similar]]] = True
+                    if similar.any():
+                        yield pa.record_batch([pa.array(t["set_id"][a[similar]]), pa.array(u["set_id"][b[similar]])], names=["a", "b"])
+
+    return table.mapInArrow(search, "a bigint, b bigint")
+
+
+def _with_places(table: DataFrame, wanted: Filter) -> DataFrame:
+    """(set_id, o, number): the place of the first line of the sets that pass the filter."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                ids = unpack(r["set_id"], np.int64)
+                mine = np.flatnonzero(wanted.has(ids))
+                o, _, _, number, which = _lines_of(r)
+                first = _earliest(len(ids), which, o, number)[mine]
+                yield pa.record_batch([pa.array(ids[mine]), pa.array(o[first]), pa.array(number[first])], names=["set_id", "o", "number"])
+
+    places = table.mapInArrow(make, "set_id bigint, o bigint, number bigint")
+    return places.groupBy("set_id").agg(F.min(F.struct("o", "number")).alias("_p")).select("set_id", "_p.*")
+
+
 def similar_sets(every: DataFrame, params: Params, extra: DataFrame | None = None) -> DataFrame:
     """(a, b): similar sets that are not equal, a before b; each set to which an earlier one is similar is a b.
 
@@ -512,9 +594,13 @@ def similar_sets(every: DataFrame, params: Params, extra: DataFrame | None = Non
     similar = params.den * shared >= params.num * (F.size("_wa") + F.size("_wb") - shared)
     links = checkpointed(pairs.join(one, "a").join(two, "b").filter(similar).select("a", "b"))
     left = checkpointed(pairs.filter("more").select("b").distinct().join(links.select("b").distinct(), "b", "left_anti"))
-    if not left.limit(1).count():
+    n = left.count()
+    if not n:
         return links
     wanted = filter_of(left)
+    if n <= params.broadcast:
+        open_ = left.join(_with_places(table, wanted), F.col("b") == F.col("set_id")).join(sets, "set_id").select("b", "words", "o", "number")
+        return checkpointed(links.union(_search_few(table, open_.collect(), counts, params)).distinct())
     search = entries(table, counts, crowd, buckets, params, _prefix_filter(table, counts, wanted, params))
     hits = search.groupBy("bucket").applyInArrow(lambda part: _searched(part, wanted, params), "a bigint, b bigint")
     return checkpointed(links.union(hits).distinct())

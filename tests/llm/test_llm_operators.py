@@ -201,7 +201,7 @@ def brute_lines(texts):
     return gone
 
 
-@pytest.mark.parametrize("params", [line_dedup.Params(), line_dedup.Params(block=2, few=1, wide=6, bucket=40, piece=300)], ids=["as set", "small blocks"])
+@pytest.mark.parametrize("params", [line_dedup.Params(), line_dedup.Params(block=2, few=1, wide=6, bucket=40, piece=300), line_dedup.Params(block=2, few=1, wide=6, bucket=40, piece=300, broadcast=0)], ids=["as set", "small blocks", "no broadcast"])
 def test_lines_equal_brute_force(spark, params):
     rng = random.Random(9)
     lines = [[f"w{int(rng.expovariate(0.15))}" for _ in range(rng.randint(1, 14))] for _ in range(60)]
