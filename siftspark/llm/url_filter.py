@@ -5,6 +5,10 @@ a path; the longest rule that fits wins. URLs without a rule are judged by
 gradient-boosted trees on lexical features, trained on the URLs that the rules
 have labelled.
 
+The trees are fitted on distinct labelled URLs, each weighted by its rows. The
+share of blocked URLs under a suffix is learned in folds: what a labelled URL
+sees of it comes from the URLs of the other folds.
+
 Defined results: a null URL, or one without ``://``, has an empty host and path
 and no rule, and is judged by the trees like any other. Where the labelled
 URLs are all of one class, that class is the verdict for the rest; where there
@@ -36,13 +40,14 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 @dataclass(frozen=True)
 class Params:
-    """``max_training``: expected number of labelled URLs that the trees are fitted
-    on; more are thinned by a hash of the URL. ``hot_share``: suffixes with more than this
+    """``max_training``: expected number of distinct labelled URLs that the trees are fitted on, half of it
+    for each class at most; more are thinned by a hash of the URL. ``hot_share``: suffixes with more than this
     share of the URLs, at most 2 / hot_share of them, are broadcast to be joined.
     """
 
     max_training: int = 50_000
     hot_share: float = 0.001
+    folds: int = 5
     trees: int = 20
     depth: int = 4
     seed: int = 7
@@ -130,19 +135,26 @@ def lexical(urls: DataFrame) -> DataFrame:
     )
 
 
-def suffix_statistics(urls: DataFrame) -> DataFrame:
-    """(_labels, _suffix, _rows, _n, _blocked): URLs and the smoothed share of blocked ones among the labelled,
-    by suffix of one label and of two."""
+def _fold(params: Params) -> Column:
+    """The fold of a labelled URL; the others come after all folds."""
+    return F.when(F.col("label").isNotNull(), F.pmod(F.xxhash64(F.lit(params.seed + 1), "url"), F.lit(params.folds))).otherwise(params.folds).cast("int")
+
+
+def suffix_statistics(urls: DataFrame, params: Params = Params()) -> DataFrame:
+    """(_labels, _suffix, _rows, _n, _blocked): URLs, and the smoothed shares of blocked ones among the labelled outside
+    each fold and among all, by suffix of one label and of two."""
     level = lambda k: F.struct(F.lit(k).alias("_labels"), F.col(f"_suffix{k}").alias("_suffix"))
-    rows = urls.select(F.explode(F.array(level(1), level(2))).alias("_s"), "label").select("_s.*", "label")
-    sums = rows.groupBy("_labels", "_suffix").agg(F.count("*").alias("_rows"), F.count("label").alias("_known"), F.sum("label").alias("_bad"))
-    return sums.select("_labels", "_suffix", "_rows", F.log1p("_rows").alias("_n"), ((F.coalesce("_bad", F.lit(0.0)) + 5.0) / (F.col("_known") + 10.0)).alias("_blocked"))
+    rows = urls.select(F.explode(F.array(level(1), level(2))).alias("_s"), "label", _fold(params).alias("_f")).select("_s.*", "label", "_f")
+    outside = lambda k: F.when(F.col("_f") != k, F.col("label"))
+    shares = [((F.coalesce(F.sum(outside(k)), F.lit(0.0)) + 5.0) / (F.count(outside(k)) + 10.0)) for k in range(params.folds + 1)]
+    return rows.groupBy("_labels", "_suffix").agg(F.count("*").alias("_rows"), F.log1p(F.count("*")).alias("_n"), F.array(*shares).alias("_blocked"))
 
 
 def with_suffixes(urls: DataFrame, stats: DataFrame, params: Params = Params()) -> DataFrame:
     """Add the suffix features. Hot suffixes are broadcast; the others meet their URLs by shuffle."""
     total = stats.filter("_labels = 1").agg(F.sum("_rows")).first()[0] or 0
     is_hot = F.col("_rows") > total * params.hot_share
+    urls = urls.withColumn("_f", _fold(params))
     for k, names in ((1, ("suffix_count", "suffix_blocked")), (2, (None, "second_suffix_blocked"))):
         mine = stats.filter(F.col("_labels") == k)
         # URLs of hot suffixes are dealt evenly: no host has a slash.
@@ -150,9 +162,21 @@ def with_suffixes(urls: DataFrame, stats: DataFrame, params: Params = Params())
         hot = F.broadcast(mine.filter(is_hot).select(F.col("_suffix").alias(f"_suffix{k}"), F.col("_n").alias("_hot_n"), F.col("_blocked").alias("_hot_blocked")))
         rest = mine.filter(~is_hot).select(F.col("_suffix").alias("_key"), "_n", "_blocked")
         urls = urls.join(hot, f"_suffix{k}", "left").withColumn("_key", key).join(rest, "_key", "left")
-        values = dict(zip(names, (F.coalesce("_hot_n", "_n"), F.coalesce("_hot_blocked", "_blocked")), strict=True))
+        values = dict(zip(names, (F.coalesce("_hot_n", "_n"), F.get(F.coalesce("_hot_blocked", "_blocked"), F.col("_f"))), strict=True))
         urls = urls.withColumns({name: v for name, v in values.items() if name}).drop("_key", "_hot_n", "_hot_blocked", "_n", "_blocked", f"_suffix{k}")
-    return urls
+    return urls.drop("_f")
+
+
+def training_urls(urls: DataFrame, params: Params = Params()) -> DataFrame:
+    """(label, weight, features): distinct labelled URLs of a bounded sample, each class by a share of its own. A class
+    with few distinct URLs gives them all, so none vanishes."""
+    labelled = urls.filter(F.col("label").isNotNull())
+    distinct = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.approx_count_distinct("url").alias("n")).collect()}
+    share = lambda k: min(1.0, params.max_training / 2 / max(distinct.get(k, 0), 1))
+    taken = F.when(F.col("label") == 1, share(1.0)).otherwise(share(0.0))
+    unit = F.pmod(F.xxhash64(F.lit(params.seed), "url"), F.lit(2**53)) / F.lit(float(2**53))
+    # Rows of one URL are alike.
+    return labelled.filter(unit < taken).groupBy("url").agg(F.first("label").alias("label"), (F.count("*") / F.first(taken)).alias("weight"), *[F.first(c).alias(c) for c in FEATURES]).drop("url")
 
 
 def url_verdicts(pages: DataFrame, rules: dict[str, str] = RULES, params: Params = Params()) -> DataFrame:
@@ -160,16 +184,15 @@ def url_verdicts(pages: DataFrame, rules: dict[str, str] = RULES, params: Params
     from siftspark.session import checkpointed
 
     base = checkpointed(lexical(with_rule(parsed(pages), rules)))
-    stats = checkpointed(suffix_statistics(base))
+    stats = checkpointed(suffix_statistics(base, params))
     urls = checkpointed(with_suffixes(base, stats, params))
-    seen = {r["label"]: r["n"] for r in base.filter(F.col("label").isNotNull()).groupBy("label").agg(F.count("*").alias("n")).collect()}
+    training = checkpointed(training_urls(urls, params))
+    seen = [r["label"] for r in training.select("label").distinct().collect()]
     if len(seen) == 2:
-        share = min(1.0, params.max_training / sum(seen.values()))
-        chosen = F.pmod(F.xxhash64(F.lit(params.seed), "url"), F.lit(1_000_000)) < int(share * 1_000_000)
         assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
-        training = assemble.transform(urls.filter(F.col("label").isNotNull() & chosen).select("label", *FEATURES)).select("label", "_features")
-        boosted = GBTClassifier(featuresCol="_features", maxIter=params.trees, maxDepth=params.depth, seed=params.seed)
-        scored = boosted.fit(training).transform(assemble.transform(urls)).withColumn("block_probability", vector_to_array("probability")[1])
+        boosted = GBTClassifier(featuresCol="_features", weightCol="weight", maxIter=params.trees, maxDepth=params.depth, seed=params.seed)
+        model = boosted.fit(assemble.transform(training).select("label", "weight", "_features"))
+        scored = model.transform(assemble.transform(urls)).withColumn("block_probability", vector_to_array("probability")[1])
     else:
         scored = urls.withColumn("block_probability", F.lit(next(iter(seen), 0.0)))
     verdict = F.coalesce(F.col("label"), F.col("block_probability")) >= 0.5

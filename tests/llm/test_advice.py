@@ -58,17 +58,20 @@ def test_url_suffixes_are_counted_apart(spark):
     base = url_filter.lexical(url_filter.with_rule(url_filter.parsed(pages), {f"d{k}.com/": "block" for k in range(0, 30, 3)} | {"d300.com/": "allow"}))
     rows = {r.page_id: r for r in url_filter.with_suffixes(base, url_filter.suffix_statistics(base)).collect()}
     ends = [(h.split(".")[-1], ".".join(h.split(".")[-2:])) for h in hosts]
+    fold = {r.page_id: r.f for r in base.select("page_id", url_filter._fold(url_filter.Params()).alias("f")).collect()}
     known, bad = Counter(), Counter()
-    for i, (one, two) in enumerate(ends):
-        for key in ((1, one), (2, two)):
-            known[key] += rows[i].label is not None
-            bad[key] += rows[i].label or 0
+    for i, ends_ in enumerate(ends):
+        for key in enumerate(ends_, 1):
+            for k in range(6):
+                outside = rows[i].label is not None and fold[i] != k
+                known[key, k] += outside
+                bad[key, k] += rows[i].label if outside else 0
     count = Counter(one for one, _ in ends)
-    assert len(rows) == len(hosts)
+    assert len(rows) == len(hosts) and len(set(fold.values())) == 6
     for i, (one, two) in enumerate(ends):
         assert math.isclose(rows[i].suffix_count, math.log1p(count[one]))
-        assert math.isclose(rows[i].suffix_blocked, (bad[1, one] + 5) / (known[1, one] + 10))
-        assert math.isclose(rows[i].second_suffix_blocked, (bad[2, two] + 5) / (known[2, two] + 10))
+        for key, have in (((1, one), rows[i].suffix_blocked), ((2, two), rows[i].second_suffix_blocked)):
+            assert math.isclose(have, (bad[key, fold[i]] + 5) / (known[key, fold[i]] + 10))
 
 
 def test_similarity_of_many_queries(spark):
