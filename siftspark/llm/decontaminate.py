@@ -9,9 +9,9 @@ together hit every window of 13 tokens with up to two substitutions, wherever
 these are (tests go through all cases), so nothing within the tolerance is
 missed.
 
-The hashes of the benchmark go to the tasks in blocks of bounded size; a larger
-benchmark takes more blocks, one after the other over the documents, which
-never move.
+The hashes of the benchmark go to the tasks in blocks of bounded size. Documents
+never move. A benchmark of several blocks is searched one block after the other;
+what is found is written before the next block is read, so that only one is in memory.
 
 Tokens are lower-cased stretches between white space without the ASCII
 punctuation at their ends. Defined results: null text counts as empty and leaks
@@ -31,10 +31,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftspark.llm.tokens import mixed, pieces, texts_of
+from siftspark.llm.tokens import mixed, pieces, ragged, texts_of
+from siftspark.session import find_package
 
 #: Positions that each mask looks at.
 MASKS = ((0, 1, 3, 5, 6, 7), (0, 1, 2, 3, 6, 8))
@@ -100,26 +101,46 @@ class Seeds:
             self.tables.append((h[order], at[order]))
 
 
+#: Seed hits that are looked at together.
+HITS = 1 << 20
+
+
 def alignments(ids: np.ndarray, row: np.ndarray, seeds: Seeds) -> np.ndarray:
-    """Distinct (place of the item's start relative to the tokens, item) of all seed hits."""
-    found = []
+    """Distinct (text, item, place of the item's start relative to the tokens) of all seed hits.
+
+    Hits are expanded a bounded number at a time: of a word repeated on both sides there are as many as
+    the product of its counts, but no more alignments than the sum of the lengths.
+    """
+    found = np.zeros((0, 3), np.int64)
     for mask, (table, places) in zip(MASKS, seeds.tables, strict=True):
         at, h = seed_hashes(ids, row, mask)
-        lo, hi = np.searchsorted(table, h, "left"), np.searchsorted(table, h, "right")
-        n = hi - lo
-        if not n.any():
-            continue
-        p = np.repeat(at, n)
-        q = places[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-        item = seeds.row[q]
-        found.append(np.column_stack([p - (q - seeds.start[item]), item, row[p]]))
-    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
+        lo = np.searchsorted(table, h, "left")
+        n = np.searchsorted(table, h, "right") - lo
+        at, lo, n = at[n > 0], lo[n > 0], n[n > 0]
+        total = np.concatenate([[0], np.cumsum(n)])
+        done = 0
+        while done < len(at):
+            end = max(done + 1, int(np.searchsorted(total, total[done] + HITS, "right")) - 1)
+            k = slice(done, end)
+            p, q = np.repeat(at[k], n[k]), places[ragged(lo[k], n[k])]
+            item = seeds.row[q]
+            found = _distinct(np.concatenate([found, np.column_stack([row[p], item, p - (q - seeds.start[item])])]))
+            done = end
+    return found
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """Distinct rows, sorted."""
+    x = x[np.lexsort(x.T[::-1])]
+    new = np.ones(len(x), bool)
+    new[1:] = (x[1:] != x[:-1]).any(1)
+    return x[new]
 
 
 def overlaps(ids: np.ndarray, off: np.ndarray, row: np.ndarray, seeds: Seeds, params: Params) -> list[tuple[int, int, int, int]]:
-    """(text, item, first, last) of every window of tokens that agrees closely enough, places counted over all texts."""
+    """(text, item, first, last) of the stretches that windows of tokens cover that agree closely enough, places counted over all texts."""
     out = []
-    for shift, item, text in alignments(ids, row, seeds).tolist():
+    for text, item, shift in alignments(ids, row, seeds).tolist():
         a, b = int(seeds.start[item]), int(seeds.start[item + 1])
         # The part of the item that lies inside the text.
         skip = max(0, int(off[text]) - shift)
@@ -129,52 +150,82 @@ def overlaps(ids: np.ndarray, off: np.ndarray, row: np.ndarray, seeds: Seeds, pa
         same = ids[shift + skip : shift + n] == seeds.ids[a + skip : a + n]
         total = np.concatenate([[0], np.cumsum(same)])
         close = np.flatnonzero(total[params.window :] - total[: -params.window] >= params.least_equal)
-        out += [(text, item, shift + skip + int(w), shift + skip + int(w) + params.window) for w in close]
+        if len(close):
+            apart = np.flatnonzero(np.diff(close) > params.window)
+            first, last = close[np.append(0, apart + 1)], close[np.append(apart, len(close) - 1)]
+            out += [(text, item, shift + skip + int(x), shift + skip + int(y) + params.window) for x, y in zip(first, last, strict=True)]
     return out
 
 
-def blocks(items: DataFrame, params: Params) -> Iterator[Seeds]:
-    """The benchmark in blocks of about ``block_chars`` characters; equal texts fall into one block."""
+def blocks(items: DataFrame, params: Params) -> Iterator[tuple[int, Seeds]]:
+    """The number of blocks of about ``block_chars`` characters that the benchmark has, with each; equal texts fall into one block."""
     items = items.select(F.col("item_id").cast("bigint").alias("item_id"), "text").dropna()
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-chars // params.block_chars)
     for k in range(n):
-        yield Seeds([(r["item_id"], r["text"]) for r in items.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == k).collect()], params)
+        yield n, Seeds([(r["item_id"], r["text"]) for r in items.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == k).collect()], params)
 
 
 def _scan(batch: pa.RecordBatch, seeds: Seeds, params: Params) -> tuple[np.ndarray, list[tuple[int, int, int, int]]]:
-    """Token counts of the texts, and the overlaps with places counted from each text's start."""
+    """Token counts of the texts, and the stretches with places counted from each text's start."""
     flat, off = tokens(texts_of(batch))
     ids = pc.fill_null(pc.index_in(flat, value_set=seeds.vocabulary), -1).to_numpy(zero_copy_only=False).astype(np.int64)
     row = np.repeat(np.arange(len(off) - 1), np.diff(off))
     return np.diff(off), [(t, i, int(a - off[t]), int(b - off[t])) for t, i, a, b in overlaps(ids, off, row, seeds, params)]
 
 
+SPAN = "struct<item_id:bigint,first:int,last:int>"
 SPANS = pa.list_(pa.struct([("item_id", pa.int64()), ("first", pa.int32()), ("last", pa.int32())]))
 
 
+def _spans(docs: DataFrame, seeds: Seeds, params: Params) -> DataFrame:
+    """(_key, n_tokens, spans) of the texts (_key, text) for one block."""
+    kind = dict(docs.dtypes)["_key"]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            n, hits = _scan(batch, seeds, params)
+            spans: list[list[dict]] = [[] for _ in range(batch.num_rows)]
+            for (t, i), (a, b) in _stretches(hits):
+                spans[t].append({"item_id": int(seeds.item_id[i]), "first": a, "last": b})
+            yield pa.record_batch([batch.column("_key"), pa.array(n, pa.int64()), pa.array(spans, SPANS)], names=["_key", "n_tokens", "spans"])
+
+    return docs.select("_key", "text").mapInArrow(scan, f"_key {kind}, n_tokens bigint, spans array<{SPAN}>")
+
+
+def _n_tokens() -> Column:
+    """Where there is no benchmark to scan for."""
+    trimmed = F.transform(F.split(F.lower(F.coalesce("text", F.lit(""))), "[\\x20\\x09-\\x0D]+"), lambda w: F.btrim(w, F.lit(string.punctuation)))
+    return F.size(F.filter(trimmed, lambda w: w != "")).cast("bigint")
+
+
 def leaks(docs: DataFrame, items: DataFrame, params: Params = Params()) -> DataFrame:
     """One row per document: n_tokens, the benchmark items found in it, and ``spans``: for each item the
     stretches of tokens (first, last exclusive) that windows of it cover."""
-    kind = dict(docs.dtypes)["doc_id"]
-    found = docs.select("doc_id", "text").withColumn("n_tokens", F.lit(0).cast("bigint")).withColumn("spans", F.array().cast("array<struct<item_id:bigint,first:int,last:int>>"))
-    for seeds in blocks(items, params):
-
-        def scan(batches: Iterator[pa.RecordBatch], seeds: Seeds = seeds) -> Iterator[pa.RecordBatch]:
-            for batch in pieces(batches):
-                n, hits = _scan(batch, seeds, params)
-                spans = batch.column("spans").to_pylist()
-                for (t, i), (a, b) in _stretches(hits):
-                    spans[t].append({"item_id": int(seeds.item_id[i]), "first": a, "last": b})
-                yield pa.record_batch([batch.column("doc_id"), batch.column("text"), pa.array(n, pa.int64()), pa.array(spans, SPANS)], names=["doc_id", "text", "n_tokens", "spans"])
-
-        found = found.mapInArrow(scan, f"doc_id {kind}, text string, n_tokens bigint, spans array<struct<item_id:bigint,first:int,last:int>>")
+    from siftspark.session import checkpointed
+
+    find_package(docs.sparkSession)
+    base = docs.select("doc_id", "text")
+    found = None
+    for n, seeds in blocks(items, params):
+        if n == 1:
+            found = _spans(base.withColumnRenamed("doc_id", "_key"), seeds, params).withColumnRenamed("_key", "doc_id")
+            break
+        if found is None:  # rows keep a number from block to block
+            numbered = checkpointed(base.withColumn("_key", F.monotonically_increasing_id()))
+        hits = checkpointed(_spans(numbered, seeds, params).filter(F.size("spans") > 0).select("_key", "spans"))
+        found = hits if found is None else checkpointed(found.union(hits).groupBy("_key").agg(F.flatten(F.collect_list("spans")).alias("spans")))
+    none = F.array().cast(f"array<{SPAN}>")
+    if found is None:
+        found = base.select("doc_id", _n_tokens().alias("n_tokens"), none.alias("spans"))
+    elif "_key" in found.columns:
+        found = numbered.join(found, "_key", "left").select("doc_id", _n_tokens().alias("n_tokens"), F.coalesce("spans", none).alias("spans"))
     items_of = F.sort_array(F.array_distinct(F.transform("spans", lambda s: s["item_id"])))
     return found.select("doc_id", "n_tokens", F.size(items_of).alias("n_items"), items_of.alias("items"), F.sort_array("spans").alias("spans"))
 
 
 def _stretches(hits: list[tuple[int, int, int, int]]) -> Iterator[tuple[tuple[int, int], tuple[int, int]]]:
-    """Overlapping windows of the same text and item put together."""
+    """Overlapping stretches of the same text and item put together."""
     merged: list[list[int]] = []
     for t, i, a, b in sorted(hits):
         if merged and merged[-1][:2] == [t, i] and a <= merged[-1][3]:
@@ -186,8 +237,11 @@ def _stretches(hits: list[tuple[int, int, int, int]]) -> Iterator[tuple[tuple[in
 
 def drop_leaks(docs: DataFrame, items: DataFrame, params: Params = Params()) -> DataFrame:
     """The documents, with all their columns, that no benchmark item leaks into."""
+    from siftspark.session import checkpointed
+
+    find_package(docs.sparkSession)
     kept = docs
-    for seeds in blocks(items, params):
+    for n, seeds in blocks(items, params):
 
         def clean(batches: Iterator[pa.RecordBatch], seeds: Seeds = seeds) -> Iterator[pa.RecordBatch]:
             for batch in pieces(batches):
@@ -197,4 +251,6 @@ def drop_leaks(docs: DataFrame, items: DataFrame, params: Params = Params()) ->
                 yield batch.filter(pa.array(keep))
 
         kept = kept.mapInArrow(clean, docs.schema)
+        if n > 1:  # the block can go before the next comes
+            kept = checkpointed(kept)
     return kept
