@@ -6,12 +6,12 @@ marginals meet their targets; each document is then taken with the calibrated
 rate of its cell. The targets name their categories, all others share the
 category ``*``, so there are at most as many cells as the targets allow,
 however many sources the data have. Fitting runs in one row over that bounded
-table; documents are only scanned, once to count and once to sample.
+table; each text is looked at once, and its cell and token count are written.
 
 Defined results: null text has no tokens; a null or unlisted category counts as
 ``*``; a category without tokens hands its share to the others; with no tokens
 at all every rate is zero. A rate above one repeats a document: ``copies`` is
-the whole part plus one with the chance of the rest. The draw depends on the
+the whole part plus one with the chance of the rest, and the sample has so many rows of it. The draw depends on the
 seed and doc_id alone, so repeated rows are drawn alike; a null doc_id draws
 as the empty text.
 """
@@ -54,7 +54,7 @@ class Mix:
 #: The mix of the registered query and of the pipeline.
 PRODUCTION = Mix(
     source={f"src{i}": 0.045 for i in range(20)} | {REST: 0.1},
-    lang={"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1},
+    lang={"en": 0.5, "de": 0.2, "fr": 0.15, "es": 0.1, REST: 0.05},
     topic={"table": 0.02, "notice": 0.04, "contact": 0.06, "brief": 0.03, REST: 0.85},
 )
 
@@ -140,12 +140,16 @@ def _copies(doc_id: Column, mix: Mix) -> Column:
     return (F.floor("_rate") + F.when(draw < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)).cast("int")
 
 
+def _counted(traits: DataFrame) -> DataFrame:
+    return traits.groupBy("_cell").agg(F.sum("_tokens").alias("_n"))
+
+
 def mix_documents(docs: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
     """One row per document: its cell, the cell's fitted share, the rate, and how often it is taken."""
-    cells = docs.select(*_traits(mix)).groupBy("_cell").agg(F.sum("_tokens").alias("_n"))
-    rates = F.broadcast(cell_rates(cells, mix))
-    traits = docs.select("doc_id", "source", "lang", *_traits(mix))
-    return traits.join(rates, "_cell").select(
+    from siftspark.session import checkpointed
+
+    traits = checkpointed(docs.select("doc_id", "source", "lang", *_traits(mix)))
+    return traits.join(F.broadcast(cell_rates(_counted(traits), mix)), "_cell").select(
         "doc_id",
         "source",
         "lang",
@@ -157,14 +161,29 @@ def mix_documents(docs: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
     )
 
 
+def fitted_marginals(docs: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
+    """(axis, category, target, fitted): the share of tokens that raking reached for each category. Where a target
+    cannot be met, as all its cells are empty or the targets contradict each other, the two differ."""
+    weights = cell_rates(_counted(docs.select(*_traits(mix))), mix)
+    size, parts = mix.n_cells(), []
+    for name, keys, targets in mix.axes():
+        size //= len(keys)
+        place = (F.floor(F.col("_cell") / size) % len(keys)).cast("int")
+        values = [F.get(F.array(*map(F.lit, v)), F.col("_k")) for v in (keys, targets)]
+        sums = weights.groupBy(place.alias("_k")).agg(F.sum("_weight").alias("fitted"))
+        parts.append(sums.select(F.lit(name).alias("axis"), values[0].alias("category"), values[1].alias("target"), "fitted"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def sample_documents(docs: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
-    """The documents taken, with all their columns in ``document`` order plus ``mix_rate`` and ``mix_copies``.
+    """The documents taken, each as often as its rate says, with all their columns plus ``mix_rate`` and ``mix_copies``.
 
     Names that the input already has are replaced.
     """
-    cells = docs.select(*_traits(mix)).groupBy("_cell").agg(F.sum("_tokens").alias("_n"))
-    rates = F.broadcast(cell_rates(cells, mix))
-    row = docs.select(F.struct("*").alias("_row")).select("_row", *_traits(mix, "_row."))
-    taken = row.join(rates, "_cell").withColumn("_copies", _copies(F.col("_row.doc_id"), mix)).filter("_copies > 0")
+    from siftspark.session import checkpointed
+
+    rows = checkpointed(docs.select(F.struct("*").alias("_row")).select("_row", *_traits(mix, "_row.")))
+    taken = rows.join(F.broadcast(cell_rates(_counted(rows), mix)), "_cell").withColumn("_copies", _copies(F.col("_row.doc_id"), mix)).filter("_copies > 0")
     kept = [F.col("_row")[c].alias(c) for c in docs.columns if c not in ("mix_rate", "mix_copies")]
-    return taken.select(*kept, F.round("_rate", 6).alias("mix_rate"), F.col("_copies").alias("mix_copies"))
+    every = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return every.select(*kept, F.round("_rate", 6).alias("mix_rate"), F.col("_copies").alias("mix_copies"))

@@ -1,7 +1,7 @@
 """Quality rules combined by weak supervision (DataFrame and SQL functions only).
 
 Each rule looks at one statistic of a document and votes good (1), bad (-1) or
-abstains (0). Votes form a pattern; there are at most 3 ** 8 patterns,
+abstains (0). Votes form a pattern; there are at most 2 * 3 ** 9 patterns,
 however many documents there are. Expectation-maximisation over the counted
 patterns estimates each rule's accuracy on good and on bad documents, and the
 posterior of a pattern decides about every document that has it.
@@ -185,9 +185,11 @@ def _pattern_verdicts(patterns: DataFrame) -> DataFrame:
 
     The model is learned from the documents that pass the base rules, as only those are judged by it.
     """
+    from siftspark.session import checkpointed
+
     passed = F.get("_pattern", F.lit(0)) == 0
     counted = patterns.groupBy("_pattern").agg(F.count("*").alias("_n"))
-    counted = counted.select("_pattern", F.slice("_pattern", 2, len(rules())).alias("_votes"), F.when(passed, F.col("_n")).otherwise(0).alias("_n"))
+    counted = checkpointed(counted.select("_pattern", F.slice("_pattern", 2, len(rules())).alias("_votes"), F.when(passed, F.col("_n")).otherwise(0).alias("_n")))
     posterior = 1 / (1 + F.exp(-_log_odds(F.col("_votes"), F.col("model"))))
     judged = counted.crossJoin(F.broadcast(accuracy_model(counted))).select("_pattern", posterior.alias("_posterior"))
     return judged.withColumn("_kept", passed & (F.col("_posterior") >= 0.5))
@@ -217,12 +219,13 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
 
 
 def filter_quality(docs: DataFrame) -> DataFrame:
-    """The documents that :func:`quality_verdicts` keeps, with all their columns."""
+    """The documents that :func:`quality_verdicts` keeps, with all their columns.
+
+    The statistics cost far more than a copy of the rows, so each row is written once with its pattern.
+    """
     from siftspark.session import checkpointed
 
-    patterns = statistics(F.col("text"), docs, []).select(_pattern().alias("_pattern"))
-    # Filtered only after it is written: Spark would push the filter below the grouping, into the scan.
-    kept = checkpointed(_pattern_verdicts(patterns)).filter("_kept").select("_pattern")
     row = docs.select(F.struct("*").alias("_row"))
-    scored = statistics(F.col("_row.text"), row, [F.col("_row")]).withColumn("_pattern", _pattern())
+    scored = checkpointed(statistics(F.col("_row.text"), row, [F.col("_row")]).select("_row", _pattern().alias("_pattern")))
+    kept = checkpointed(_pattern_verdicts(scored.select("_pattern"))).filter("_kept").select("_pattern")
     return scored.join(F.broadcast(kept), "_pattern").select("_row.*")
