@@ -26,11 +26,12 @@ from dataclasses import dataclass
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftspark.llm.labelled import held_out, labels_by_document
 from siftspark.llm.tokens import pieces
+from siftspark.session import find_package
 
 #: Insults, profanity and threats; one weight each is learned.
 TERMS = (
@@ -72,8 +73,7 @@ class Params:
     ridge: float = 1e-3
     #: Labelled training texts of each class, in expectation, that terms are learned from.
     max_training: int = 20_000
-    #: Learned terms at most; each must occur in so many toxic texts, after so many different words.
-    max_terms: int = 2_000
+    #: A learned term must occur in so many toxic texts, after so many different words.
     least_documents: int = 6
     least_contexts: int = 5
     least_log_odds: float = 1.5
@@ -131,15 +131,15 @@ def matches(text: str, found: ahocorasick.Automaton) -> dict[int, int]:
 def learned_terms(docs: DataFrame, labels: DataFrame, params: Params) -> list[str]:
     """Words that mark toxic texts, from a bounded sample of labelled training texts.
 
-    A word qualifies by the lower bound of its log-odds. Contexts are counted by
-    the word before, so that a passage copied many times does not qualify.
+    A word qualifies by the lower bound of its log-odds; all that do are taken, and the sample bounds
+    their number. Contexts are counted by the word before, so that a passage copied many times does not qualify.
     """
     training = labels_by_document(labels, "toxic").filter(~held_out(F.col("doc_id"), params.folds, params.held_out_fold))
     sizes = {r["_label"]: r["n"] for r in training.groupBy("_label").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
         return []
     share = F.when(F.col("_label") == 1, params.max_training / sizes[1]).otherwise(params.max_training / sizes[0])
-    sample = training.filter(F.pmod(F.xxhash64(F.lit("toxic"), "doc_id"), F.lit(1_000_000)) < share * 1_000_000)
+    sample = training.filter(F.pmod(F.xxhash64(F.lit("toxic"), "doc_id"), F.lit(2**53)) / F.lit(float(2**53)) < share)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, list[int]] = {}
@@ -174,7 +174,7 @@ def learned_terms(docs: DataFrame, labels: DataFrame, params: Params) -> list[st
     bound = F.log((F.col("bad") / F.col("all_bad")) / ((F.col("good") + 0.5) / (F.col("all_good") + 1))) - 1.64 * F.sqrt(1 / F.col("bad") + 1 / (F.col("good") + 0.5))
     # The totals are one row.
     ranked = frequent.filter("word != ''").crossJoin(F.broadcast(total)).withColumn("bound", bound).filter(F.col("bound") >= params.least_log_odds)
-    return [r["word"] for r in ranked.orderBy(F.desc("bound"), "word").limit(params.max_terms).collect()]
+    return [r["word"] for r in ranked.orderBy(F.desc("bound"), "word").collect()]
 
 
 def term_counts(docs: DataFrame, terms: list[str]) -> DataFrame:
@@ -216,12 +216,30 @@ def term_weights(labelled: DataFrame, terms: list[str], params: Params) -> list[
     return weights
 
 
-def _features(weights: list[float]) -> tuple[Column, Column]:
-    """The sum of weights (repeats of a term count less), by itself and per 100 words; both grow slowly."""
-    lookup = F.array(*[F.lit(float(w)) for w in weights])
-    total = F.aggregate(F.zip_with("terms", "counts", lambda t, n: F.get(lookup, t) * (1 + F.log(n))), F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0)))
-    total = F.greatest(total, F.lit(0.0))
-    return F.log1p(total), F.log1p(100 * total / F.greatest(F.col("n_words"), F.lit(20)))
+def _logs(total: float, n_words: int) -> tuple[float, float]:
+    """The sum of weights by itself and per 100 words; both grow slowly."""
+    return math.log1p(total), math.log1p(100 * total / max(n_words, 20))
+
+
+def features(counts: DataFrame, weights: list[float], terms: list[str]) -> DataFrame:
+    """Add _a and _b, the sum of weights by itself and by length (repeats of a term count less), and name the terms."""
+    find_package(counts.sparkSession)
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, names = [], [], []
+            for which, times, n in zip(*(batch.column(c).to_pylist() for c in ("terms", "counts", "n_words")), strict=True):
+                total = max(0.0, sum(weights[t] * (1 + math.log(k)) for t, k in zip(which, times, strict=True)))
+                x, y = _logs(total, n)
+                a.append(x)
+                b.append(y)
+                names.append([terms[t] for t in which])
+            at = batch.schema.get_field_index("terms")
+            batch = batch.set_column(at, "terms", pa.array(names, pa.list_(pa.string())))
+            yield batch.append_column("_a", pa.array(a, pa.float64())).append_column("_b", pa.array(b, pa.float64()))
+
+    schema = ", ".join(f"{k} {'array<string>' if k == 'terms' else v}" for k, v in counts.dtypes)
+    return counts.mapInArrow(weigh, schema + ", _a double, _b double")
 
 
 def fit_curve(rows: DataFrame, params: Params) -> list[float]:
@@ -251,20 +269,19 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, params: Params = Params(
     """One row per document: held_out, score, predicted, the matched terms and their counts."""
     from siftspark.session import checkpointed
 
+    find_package(docs.sparkSession)
     known = {folded(t) for t in TERMS}
     terms = [*dict.fromkeys(TERMS), *(t for t in learned_terms(docs, labels, params) if t not in known)]
     counts = checkpointed(term_counts(docs, terms).withColumn("held_out", held_out(F.col("doc_id"), params.folds, params.held_out_fold)))
     labelled = checkpointed(counts.filter(~F.col("held_out")).join(labels_by_document(labels, "toxic"), "doc_id").select("terms", "counts", "n_words", "_label"))
     weights = term_weights(labelled, terms, params)
-    a, b = _features(weights)
-    c = fit_curve(checkpointed(labelled.select(a.alias("_a"), b.alias("_b"), "_label")), params)
-    score = 1 / (1 + F.exp(-(F.lit(c[0]) + c[1] * a + c[2] * b)))
-    names = F.array(*map(F.lit, terms))
-    return counts.withColumn("score", score).select(
+    c = fit_curve(checkpointed(features(labelled, weights, terms).select("_a", "_b", "_label")), params)
+    score = 1 / (1 + F.exp(-(F.lit(c[0]) + c[1] * F.col("_a") + c[2] * F.col("_b"))))
+    return features(counts, weights, terms).withColumn("score", score).select(
         "doc_id",
         "held_out",
         "score",
         (F.col("score") >= params.threshold).cast("int").alias("predicted"),
-        F.transform("terms", lambda t: F.get(names, t)).alias("terms"),
+        "terms",
         "counts",
     )
