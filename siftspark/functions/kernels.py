@@ -1,100 +1,85 @@
 """Per-molecule kernels behind one registry.
 
-A kernel is a pandas UDF over SMILES. Where RDKit is installed its kernels are
-used; without it, those that follow from the SMILES text alone have a plain
-fallback, and all others give null. Values of a fallback are not those of RDKit.
+A kernel is a pandas UDF over SMILES. Where RDKit is installed its kernels are used for canonical text, weights and
+keys; else, and for all others, those of :mod:`siftspark.functions.molecules`, whose values are not all RDKit's.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable
-from hashlib import blake2b
+from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftspark.functions import molecules as m
+from siftspark.session import find_package
+
 try:
     from rdkit import Chem
-    from rdkit.Chem import Descriptors
+    from rdkit.Chem import Descriptors, inchi
 except ImportError:
     Chem = None
 
-ATOM = re.compile(r"\[(?P<iso>\d+)?(?P<sym>[A-Z][a-z]?|[a-z])(?P<rest>[^\]]*)\]|(?P<org>Cl|Br|[BCNOPSFI]|[bcnops])")
-# Atomic masses of the elements of organic molecules.
-MASSES = {"H": 1.008, "B": 10.81, "C": 12.011, "N": 14.007, "O": 15.999, "F": 18.998, "P": 30.974, "S": 32.06, "Cl": 35.45, "Br": 79.904, "I": 126.904, "Si": 28.085, "Na": 22.990, "K": 39.098, "Se": 78.971}
-
-
-def atoms(smiles: str) -> list[str]:
-    """Element symbols of the atoms that are written."""
-    return [(m["sym"] or m["org"]).capitalize() for m in ATOM.finditer(smiles)]
-
-
-def is_valid(smiles: str | None) -> bool:
-    """Balanced brackets and ring closures, and at least one atom."""
-    if not smiles or not atoms(smiles) or smiles.count("(") != smiles.count(")") or smiles.count("[") != smiles.count("]"):
-        return False
-    bare = re.sub(r"\[[^\]]*\]", "", smiles)
-    closures: dict[str, int] = {}
-    for m in re.finditer(r"%(\d\d)|(\d)", bare):
-        closures[m[0]] = closures.get(m[0], 0) + 1
-    return all(n % 2 == 0 for n in closures.values())
 
+def of_molecule(f: Callable) -> Callable:
+    """A function of a SMILES text from one of a molecule; None where there is none."""
 
-def ring_count(smiles: str) -> int:
-    """Ring closures: bonds - atoms + components."""
-    return len(re.findall(r"%\d\d|\d", re.sub(r"\[[^\]]*\]", "", smiles))) // 2
+    def run(smiles: str):  # noqa: ANN202
+        mol = m.molecule(smiles)
+        return None if mol is None else f(mol)
 
-
-def path_fingerprint(smiles: str, bits: int = 1024, longest: int = 4) -> list[int]:
-    """Hashed stretches of the SMILES tokens, of up to ``longest`` tokens: our own definition."""
-    parts = [m[0] for m in re.finditer(r"\[[^\]]*\]|Cl|Br|.", smiles)]
-    found = set()
-    for n in range(1, longest + 1):
-        for i in range(len(parts) - n + 1):
-            digest = blake2b("".join(parts[i : i + n]).encode(), digest_size=4).digest()
-            found.add(int.from_bytes(digest, "big") % bits)
-    return sorted(found)
+    return run
 
 
 def _canonical(s: str) -> str | None:
     if Chem is not None:
         mol = Chem.MolFromSmiles(s)
         return None if mol is None else Chem.MolToSmiles(mol)
-    return s.strip() if is_valid(s) else None
-
-
-def _heavy_atoms(s: str) -> float | None:
-    return float(sum(a != "H" for a in atoms(s))) if is_valid(s) else None
+    return m.canonical(s)
 
 
 def _weight(s: str) -> float | None:
     if Chem is not None:
         mol = Chem.MolFromSmiles(s)
         return None if mol is None else Descriptors.MolWt(mol)
-    return sum(MASSES.get(a, 0.0) for a in atoms(s)) if is_valid(s) else None
+    return of_molecule(m.weight)(s)
 
 
-def _organic(s: str) -> bool | None:
-    return "C" in atoms(s) if is_valid(s) else None
+def _key(s: str) -> str | None:
+    if Chem is not None:
+        mol = Chem.MolFromSmiles(s)
+        return None if mol is None else inchi.MolToInchiKey(mol)
+    return m.structure_key(s)
 
 
-def _standard(s: str) -> str | None:
-    """The largest of the components by written atoms, the first of equals."""
-    parts = [p for p in s.split(".") if is_valid(p)]
-    return max(parts, key=lambda p: len(atoms(p))) if parts else None
+def fingerprint(kind: str) -> Callable:
+    """On-bits by kind: ``keys`` (yes-or-no patterns), or ``ecfpD_N`` of diameter D hashed to N bits, such as ecfp4_1024."""
+    if kind == "keys":
+        return of_molecule(m.keys)
+    name, _, bits = kind.partition("_")
+    if not name.startswith("ecfp") or not name[4:].isdigit() or not bits.isdigit():
+        raise ValueError(f"unknown fingerprint {kind}")
+    return of_molecule(lambda mol: m.hashed_bits(mol, int(name[4:]) // 2, int(bits)))
 
 
 #: name -> (function of one SMILES, SQL type).
 _KERNELS: dict[str, tuple[Callable, str]] = {
     "canonical": (_canonical, "string"),
-    "heavy_atoms": (_heavy_atoms, "double"),
-    "rings": (lambda s: float(ring_count(s)) if is_valid(s) else None, "double"),
+    "heavy_atoms": (of_molecule(lambda mol: float(sum(a.symbol != "H" for a in mol.atoms))), "double"),
+    "all_atoms": (of_molecule(lambda mol: float(len(mol.atoms) + sum(mol.hydrogens))), "double"),
+    "rings": (of_molecule(lambda mol: float(len(mol.rings()))), "double"),
+    "acceptors": (of_molecule(lambda mol: float(m.acceptors(mol))), "double"),
     "weight": (_weight, "double"),
-    "organic": (_organic, "boolean"),
-    "largest_fragment": (_standard, "string"),
-    "fingerprint": (lambda s: path_fingerprint(s) if is_valid(s) else None, "array<int>"),
+    "physchem": (of_molecule(m.properties), "map<string,double>"),
+    "descriptors": (of_molecule(m.descriptors), "map<string,double>"),
+    "organic": (of_molecule(m.organic), "boolean"),
+    "largest_fragment": (of_molecule(lambda mol: m.write(m.largest_fragment(mol))), "string"),
+    "scaffold": (m.scaffold, "string"),
+    "key": (_key, "string"),
+    "fingerprint": (fingerprint("ecfp4_1024"), "array<int>"),
+    "keys": (fingerprint("keys"), "array<int>"),
+    "counted_environments": (of_molecule(lambda mol: dict(m.environments(mol, 2))), "map<bigint,int>"),
 }
 
 
@@ -113,17 +98,53 @@ class KernelRegistry:
     def apply(self, name: str, smiles: Column) -> Column:
         """The kernel's value; null for null input and where it fails."""
         if name not in self._kernels:
-            return F.lit(None).cast("string")
-        kernel, sql_type = self._kernels[name]
+            raise KeyError(f"no kernel {name}; there are {', '.join(self.names())}")
+        return per_value(*self._kernels[name])(smiles)
+
+
+def per_value(kernel: Callable, sql_type: str) -> Callable[[Column], Column]:
+    """A pandas UDF of one text column; null where the function fails."""
+    from pyspark.sql import SparkSession
+
+    find_package(SparkSession.active())
+
+    def guarded(s: str | None):  # noqa: ANN202
+        try:
+            return None if s is None else kernel(s)
+        except (ValueError, KeyError, IndexError, TypeError, RecursionError):
+            return None
+
+    @F.pandas_udf(sql_type)
+    def run(values: pd.Series) -> pd.Series:
+        return pd.Series([guarded(s) for s in values], dtype=object)
+
+    return run
+
+
+def substructures(df: DataFrame, column: str, patterns: Sequence[str]) -> DataFrame:
+    """Add m0, m1, ...: whether each pattern is part of the molecule, 1 or 0, null where the text is none; and any_match."""
+    wanted = list(patterns)
+    found = per_value(of_molecule(lambda mol: [int(m.matches(mol, m.pattern(p))) for p in wanted]), "array<int>")
+    rows = df.withColumn("_m", found(F.col(column)))
+    return rows.select(*df.columns, *[F.get("_m", F.lit(i)).alias(f"m{i}") for i in range(len(wanted))], F.coalesce(F.array_contains("_m", 1), F.lit(False)).alias("any_match"))
+
+
+def with_conformers(df: DataFrame, n: int, smiles: str = "smiles", name: str = "name", generate: Callable = m.conformers) -> DataFrame:
+    """(name, conf_id, file_name, atom, element, x, y, z): a row for each atom of each conformer; molecules that fail have none.
 
-        def guarded(s: str | None):  # noqa: ANN202
-            try:
-                return None if s is None else kernel(s)
-            except (ValueError, KeyError, IndexError, TypeError):
-                return None
+    ``generate``: a function (smiles, n) -> conformers, each a list of (element, x, y, z); the default is a crude stand-in.
+    """
+    find_package(df.sparkSession)
 
-        @F.pandas_udf(sql_type)
-        def run(values: pd.Series) -> pd.Series:
-            return values.map(guarded, na_action=None).astype(object).where(lambda x: x.notna(), None)
+    def run(batches):  # noqa: ANN001, ANN202
+        for batch in batches:
+            rows = []
+            for key, s in zip(batch[name], batch[smiles], strict=True):
+                try:
+                    made = list(generate(s, n)) if s is not None else []
+                except (ValueError, RuntimeError):
+                    made = []
+                rows += [(key, k, f"{key}_conf_{k}", i, *atom) for k, atoms in enumerate(made) for i, atom in enumerate(atoms)]
+            yield pd.DataFrame(rows, columns=["name", "conf_id", "file_name", "atom", "element", "x", "y", "z"])
 
-        return run(smiles)
+    return df.select(name, smiles).mapInPandas(run, "name string, conf_id int, file_name string, atom int, element string, x double, y double, z double")

@@ -43,6 +43,24 @@ def grouped(number: Column, places: int = 0) -> Column:
     return F.format_number(number, places)
 
 
+def base_name(path: Column, suffix: str = "") -> Column:
+    """The last part of a path, without a suffix, or without what follows its last dot."""
+    name = F.substring_index(path, "/", -1)
+    if suffix:
+        return F.when(F.endswith(name, F.lit(suffix)), F.left(name, F.length(name) - len(suffix))).otherwise(name)
+    return F.regexp_replace(name, r"(?<=.)\\.[^.]*$", "")
+
+
+def stamp(ts: Column) -> Column:
+    """A time as YYYY-MM-DD HH:MM:SS."""
+    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+
+
+def elapsed(start: Column, end: Column) -> Column:
+    """Whole seconds between two times."""
+    return F.unix_timestamp(end) - F.unix_timestamp(start)
+
+
 def repeat_rows(n: Column) -> Column:
     """For explode: as many entries as a row should have copies."""
     return F.sequence(F.lit(1), n)

@@ -9,7 +9,7 @@ round is written to the checkpoint folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftspark.session import checkpointed
@@ -52,9 +52,26 @@ def cluster_sizes(clusters: DataFrame) -> DataFrame:
     return sizes.withColumn("singleton", F.col("n_members") == 1).orderBy(F.desc("n_members"), "centroid")
 
 
-def cluster_report(clusters: DataFrame) -> DataFrame:
-    """One text line per cluster, members from the most similar on."""
-    members = F.sort_array(F.collect_list(F.struct((-F.col("sim")).alias("s"), F.col("member").cast("string").alias("m"))))
-    lines = clusters.groupBy("centroid").agg(F.count("*").alias("n"), members.alias("_m"))
-    text = F.concat_ws("\t", F.col("centroid").cast("string"), F.col("n").cast("string"), F.concat_ws(" ", F.transform("_m", lambda x: F.format_string("%s(%.3f)", x["m"], -x["s"]))))
-    return lines.select("centroid", "n", text.alias("value"))
+def cluster_lines(clusters: DataFrame) -> DataFrame:
+    """(n_members, centroid, place, value): the report's lines, one for each cluster and one for each member but the centroid.
+
+    In order of -n_members, centroid, place: large clusters first, members from the most similar on.
+    """
+    sizes = clusters.groupBy("centroid").agg(F.count("*").alias("n_members"))
+    heads = sizes.select("n_members", "centroid", F.lit(0).alias("place"), F.concat_ws("\t", F.lit("cluster"), F.col("centroid").cast("string"), F.col("n_members").cast("string")).alias("value"))
+    place = F.row_number().over(Window.partitionBy("centroid").orderBy(F.desc("sim"), "member"))
+    members = clusters.filter("member != centroid").withColumn("place", place).join(sizes, "centroid")
+    return heads.unionByName(members.select("n_members", "centroid", "place", F.concat_ws("\t", F.lit("member"), F.col("member").cast("string"), F.format_string("%.3f", F.col("sim"))).alias("value")))
+
+
+def write_report(clusters: DataFrame, path: str, mode: str = "error") -> None:
+    """The lines as text, in order over the files."""
+    order = [F.desc("n_members"), F.col("centroid"), F.col("place")]
+    cluster_lines(clusters).repartitionByRange(*order).sortWithinPartitions(*order).select("value").write.mode(mode).text(path)
+
+
+def write_representatives(clusters: DataFrame, library: DataFrame, path: str, mode: str = "error") -> None:
+    """The library rows (id, smiles) of the centroids, the largest clusters first."""
+    rows = cluster_sizes(clusters).join(library.withColumnRenamed("id", "centroid"), "centroid")
+    order = [F.desc("n_members"), F.col("centroid")]
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).select(F.concat_ws(" ", "smiles", F.col("centroid").cast("string")).alias("value")).write.mode(mode).text(path)

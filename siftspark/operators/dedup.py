@@ -58,6 +58,21 @@ def resolve_labels(df: DataFrame, key: str, label: str, order: str, policy: str)
     return grouped.select(key, settled.alias(label), "n_rows").filter(F.col(label).isNotNull())
 
 
+def resolve_label_rows(df: DataFrame, key: str, labels: Sequence[str], order: str, policy: str) -> DataFrame:
+    """The same for rows with several labels: keep_first, keep_all (a row per distinct set of labels), or
+    remove_both, where a key goes if any label differs between its rows."""
+    row = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(-1.0)) for c in labels])
+    rows = df.select(key, row.alias("_labels"), order)
+    if policy == "keep_all":
+        out = rows.groupBy(key, "_labels").agg(F.count("*").alias("n_rows"))
+    elif policy in ("keep_first", "remove_both"):
+        out = rows.groupBy(key).agg(F.min_by("_labels", order).alias("_labels"), F.count("*").alias("n_rows"), F.min("_labels").alias("_lo"), F.max("_labels").alias("_hi"))
+        out = out.filter("_lo = _hi") if policy == "remove_both" else out
+    else:
+        raise ValueError(f"unknown policy {policy}")
+    return out.select(key, *[F.get("_labels", F.lit(i)).alias(c) for i, c in enumerate(labels)], "n_rows")
+
+
 def split_hygiene(splits: DataFrame, order: Sequence[str] = ("train", "valid", "test"), history: DataFrame | None = None) -> DataFrame:
     """Each id stays in the first split that has it; ids of earlier iterations go."""
     rank = F.array_position(F.array(*map(F.lit, order)), F.col("split"))

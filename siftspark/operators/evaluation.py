@@ -2,19 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from functools import reduce
 from itertools import product
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siftspark.operators.filters import consensus
+from siftspark.operators.ordering import numbered, running_extreme, running_sums
+
+
+def _by_score(df: DataFrame, score: str, label: str) -> DataFrame:
+    """(threshold, tp, fp, p, n): for each distinct score its positives and negatives, and those from the highest score down to it."""
+    rows = df.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
+    by = rows.groupBy(F.col(score).alias("threshold")).agg(F.sum(F.col(label).cast("bigint")).alias("p"), F.sum(1 - F.col(label).cast("bigint")).alias("n"))
+    return running_sums(by, [F.desc("threshold")], ["p", "n"]).withColumnsRenamed({"p_sum": "tp", "n_sum": "fp"})
+
 
 def cumulative(df: DataFrame, score: str, label: str) -> DataFrame:
     """(threshold, tp, fp, n_pos, n_neg) for each distinct score, from the highest down."""
-    rows = df.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
-    by = rows.groupBy(F.col(score).alias("threshold")).agg(F.sum(F.col(label).cast("bigint")).alias("_p"), F.sum(1 - F.col(label).cast("bigint")).alias("_n"))
-    down = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    every = by.agg(F.sum("_p").alias("n_pos"), F.sum("_n").alias("n_neg"))
-    return by.select("threshold", F.sum("_p").over(down).alias("tp"), F.sum("_n").over(down).alias("fp")).crossJoin(F.broadcast(every))
+    by = _by_score(df, score, label)
+    every = by.agg(F.sum("p").alias("n_pos"), F.sum("n").alias("n_neg"))
+    return by.select("threshold", "tp", "fp").crossJoin(F.broadcast(every))
 
 
 def pr_curve(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -33,13 +43,22 @@ def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
 
     Each negative counts the positives above it, and half of those that tie.
     """
-    rows = df.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
-    by = rows.groupBy(F.col(score).alias("s")).agg(F.sum(F.col(label).cast("bigint")).alias("p"), F.sum(1 - F.col(label).cast("bigint")).alias("n"))
-    above = F.coalesce(F.sum("p").over(Window.orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    pairs = by.select("p", "n", (F.col("n") * (2 * above + F.col("p"))).alias("twice"))
+    pairs = _by_score(df, score, label).select("p", "n", (F.col("n") * (2 * F.col("tp") - F.col("p"))).alias("twice"))
     return pairs.agg(F.try_divide(F.sum("twice").cast("double"), (2 * F.sum("p") * F.sum("n")).cast("double")).alias("auc"))
 
 
+def task_aucs(df: DataFrame, tasks: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """(task, auc) from the score and label column of each task, on the rows that have both; tasks with one class are left out."""
+    parts = [roc_auc(df.filter(~F.isnan(F.col(s).cast("double")) & ~F.isnan(F.col(y).cast("double"))), s, y).select(F.lit(k).alias("task"), "auc") for k, (s, y) in tasks.items()]
+    return reduce(DataFrame.unionByName, parts).filter(F.col("auc").isNotNull())
+
+
+def consensus_report(df: DataFrame, scores: Sequence[str], thresholds: Sequence[float], label: str) -> DataFrame:
+    """One row: precision and recall of the vote of more than half of the models, and the counts behind them."""
+    hit = consensus(F.array(*scores), F.array(*[F.lit(float(t)) for t in thresholds]), len(scores)).cast("int")
+    return confusion(df.withColumn("_hit", F.coalesce(hit, F.lit(0))), label, "_hit").select("tp", "fp", "fn", "precision", "recall")
+
+
 def confusion(df: DataFrame, label: str, predicted: str) -> DataFrame:
     """One row of counts and metrics; a metric without a denominator is null."""
     y, p = F.col(label) == 1, F.col(predicted) == 1
@@ -51,10 +70,14 @@ def confusion(df: DataFrame, label: str, predicted: str) -> DataFrame:
     return c.withColumn("scaled_performance", (F.col("precision") * F.col("precision") + F.col("f1") * F.col("f1")) / 2)
 
 
+# Fixed value: what each million parameters divides the scaled performance by.
+SIZE_PENALTY = 1.03
+
+
 def size_penalised(scaled: Column, precision: Column, parameters: int) -> tuple[Column, Column]:
     """Scaled performance and precision, less for larger models."""
     millions = parameters / 1e6
-    return scaled / (1.03**millions), precision / millions
+    return scaled / (SIZE_PENALTY**millions), precision / millions
 
 
 def equal_error_rate(df: DataFrame, score: str, label: str, steps: int = 1000) -> DataFrame:
@@ -82,13 +105,37 @@ def recall_cutoff(models: DataFrame, target: float, by: str = "cutoff", recall:
     return edge.select(by, (F.lit(target) - 0.01 * steps).alias("thr"))
 
 
-def select_models(models: DataFrame, target: float, spread: float = 0.01) -> DataFrame:
-    """The best models of each cutoff by test precision: one where the recall ratio varies little, else three."""
-    stats = models.groupBy("cutoff").agg(F.stddev_samp(F.col("re_vl") / F.col("re_pr")).alias("_sd"))
+def recall_spread(models: DataFrame, by: str = "cutoff") -> DataFrame:
+    """(by, mean_ratio, std_ratio) of validation recall over predicted recall; the deviation of one model is null."""
+    ratio = F.col("re_vl") / F.col("re_pr")
+    return models.groupBy(by).agg(F.avg(ratio).alias("mean_ratio"), F.stddev_samp(ratio).alias("std_ratio"))
+
+
+def select_models(models: DataFrame, target: float, spread: float = 0.01, few_hits: int | None = None) -> DataFrame:
+    """The best models of each cutoff by test precision: one where the recall ratio varies little, or where the column
+    ``hits`` is at most ``few_hits``; else three."""
+    stats = recall_spread(models).select("cutoff", F.col("std_ratio").alias("_sd"))
     reached = models.join(recall_cutoff(models, target), "cutoff").filter(F.col("re_te") >= F.col("thr") - 1e-12)
     place = F.row_number().over(Window.partitionBy("cutoff").orderBy(F.desc("pr_te"), "model_no"))
     best = reached.withColumn("place", place).join(stats, "cutoff")
-    return best.filter(F.col("place") <= F.when(F.coalesce(F.col("_sd") < spread, F.lit(False)), 1).otherwise(3)).drop("_sd", "thr")
+    single = F.coalesce(F.col("_sd") < spread, F.lit(False))
+    if few_hits is not None:
+        single = single | (F.col("hits") <= few_hits)
+    return best.filter(F.col("place") <= F.when(single, 1).otherwise(3)).drop("_sd", "thr")
+
+
+def threshold_table(selected: DataFrame, predictions: DataFrame, recall: float) -> DataFrame:
+    """(model_no, cutoff, threshold): for each selected model the largest threshold whose recall lies above the target.
+
+    ``predictions``: (model_no, score, label). All models keep their row.
+    """
+    rows = predictions.join(F.broadcast(selected.select("model_no", "cutoff")), "model_no").filter("label IS NOT NULL AND score IS NOT NULL")
+    by = rows.groupBy("model_no", "cutoff", "score").agg(F.sum(F.col("label").cast("bigint")).alias("p"))
+    sums = running_sums(by, ["model_no", F.desc("score")], ["p"])
+    before = by.groupBy("model_no").agg(F.sum("p").alias("_all"))
+    earlier = before.select("model_no", "_all", (F.sum("_all").over(Window.orderBy("model_no").rowsBetween(Window.unboundedPreceding, -1))).alias("_before"))  # one row for each model
+    reached = sums.join(F.broadcast(earlier), "model_no").filter((F.col("p_sum") - F.coalesce("_before", F.lit(0))) / F.col("_all") > recall)
+    return reached.groupBy("model_no", "cutoff").agg(F.max("score").alias("threshold"))
 
 
 def best_cutoff(cutoffs: DataFrame) -> DataFrame:
@@ -103,10 +150,11 @@ def expected_survivors(recall: Column, positives: Column, precision: Column, lib
 def lowered_cutoff(scores: DataFrame, score: str, good: int, step: float = 0.005) -> DataFrame:
     """One row (cutoff, n_below): the mean lowered in steps until at most ``good`` scores lie below it.
 
-    That is so once the cutoff is no more than the (good + 1)-th smallest score.
+    That is so once the cutoff is no more than the (good + 1)-th smallest score, which is found among counted scores.
     """
     mean = scores.agg(F.avg(score).alias("mean"), F.count(score).alias("n"))
-    edge = scores.select(score).orderBy(score).limit(good + 1).agg(F.max(score).alias("edge"))
+    by = scores.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("_s")).agg(F.count("*").alias("_n"))
+    edge = running_sums(by, ["_s"], ["_n"]).filter(F.col("_n_sum") > good).agg(F.min("_s").alias("edge"))
     steps = F.when(F.col("n") > good, F.greatest(F.lit(1), F.ceil((F.col("mean") - F.col("edge")) / step))).otherwise(0)
     cutoff = mean.crossJoin(edge).select((F.col("mean") - steps * step).alias("cutoff"))
     return scores.crossJoin(F.broadcast(cutoff)).groupBy("cutoff").agg(F.count_if(F.col(score) < F.col("cutoff")).alias("n_below"))
@@ -131,13 +179,41 @@ def hyper_grid(spark, grid: dict[str, tuple] = GRID) -> DataFrame:  # noqa: ANN0
     return spark.createDataFrame(rows, "model_no int, " + ", ".join(f"{k} {kinds[type(v[0])]}" for k, v in grid.items()))
 
 
-def best_so_far(df: DataFrame, order: str, value: str, larger: bool = True) -> DataFrame:
-    """Running best of a metric series, and how many steps ago it was last reached: early stopping by patience."""
-    w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    best = (F.max if larger else F.min)(value).over(w)
-    marked = df.withColumn("best", best).withColumn("_step", F.row_number().over(Window.orderBy(order)))
-    hit = F.col(value) == F.col("best")
-    return marked.withColumn("waited", F.col("_step") - F.max(F.when(hit, F.col("_step"))).over(w)).drop("_step")
+def job_specs(grid: DataFrame, command: str, **settings: str) -> DataFrame:
+    """(model_no, command): a command line for each row of a grid, its columns and the settings as options."""
+    options = [F.concat(F.lit(f" --{c.replace('_', '-')} "), F.col(c).cast("string")) for c in grid.columns]
+    fixed = "".join(f" --{k.replace('_', '-')} {v}" for k, v in settings.items())
+    return grid.select("model_no", F.concat(F.lit(command), *options, F.lit(fixed)).alias("command"))
+
+
+def best_so_far(df: DataFrame, order: str, value: str, larger: bool = True, by: Sequence[str] = ()) -> DataFrame:
+    """Add the running best of a metric series, and ``waited``: how many steps ago it was last reached (early stopping by patience).
+
+    Several series at once with ``by``; a single one is worked out over ranges.
+    """
+    hit = F.when(F.col(value) == F.col("best"), F.col("_step"))
+    if by:
+        series = Window.partitionBy(*by).orderBy(order)
+        so_far = series.rowsBetween(Window.unboundedPreceding, 0)
+        marked = df.withColumn("best", (F.max if larger else F.min)(value).over(so_far)).withColumn("_step", F.row_number().over(series))
+        return marked.withColumn("waited", F.col("_step") - F.max(hit).over(so_far)).drop("_step")
+    marked = running_extreme(numbered(df, [order], "_step"), [order], value, "best", larger)
+    return running_extreme(marked.withColumn("_hit", hit), [order], "_hit", "_last").withColumn("waited", F.col("_step") - F.col("_last")).drop("_step", "_hit", "_last")
+
+
+def smoothed(df: DataFrame, order: str, value: str, width: int, by: Sequence[str] = ()) -> DataFrame:
+    """Add smooth: the mean of this value and those before it, ``width`` at most."""
+    if by:
+        return df.withColumn("smooth", F.avg(value).over(Window.partitionBy(*by).orderBy(order).rowsBetween(1 - width, 0)))
+    rows = numbered(df, [order], "_step")
+    seen = rows.select(F.explode(F.sequence(F.col("_step"), F.col("_step") + width - 1)).alias("_step"), F.col(value).alias("_v"))
+    return rows.join(seen.groupBy("_step").agg(F.avg("_v").alias("smooth")), "_step").drop("_step")
+
+
+def stop_estimate(df: DataFrame, order: str, loss: str, width: int, by: Sequence[str] = ()) -> DataFrame:
+    """One row (for each series): how many steps the smoothed loss has gone without a new least value at most, and how many it does so now."""
+    marked = best_so_far(smoothed(df, order, loss, width, by), order, "smooth", False, by)
+    return marked.groupBy(*by).agg(F.max("waited").alias("longest"), F.max_by("waited", order).alias("now"))
 
 
 def mean_by(df: DataFrame, key: str, columns: list[str]) -> DataFrame:

@@ -86,7 +86,7 @@ def share_true(*conditions: Column) -> Column:
 
 
 def rule_scores() -> dict[str, Column]:
-    """Fractions of each rule's conditions that a descriptor row meets."""
+    """Fractions of each rule's conditions that a descriptor row meets. The thresholds are fixed values."""
     c = F.col
     donors_acceptors = c("naccr") + c("ndonr")
     return {
@@ -149,6 +149,40 @@ def consensus(scores: Column, thresholds: Column, n: int) -> Column:
     return hits > n // 2
 
 
+def at_most(df: DataFrame, column: str, limit: int) -> DataFrame:
+    """Rows whose text is a whole number of at most ``limit``; the others are no error."""
+    return df.filter(F.regexp_like(F.trim(column), F.lit("^[+-]?[0-9]+$")) & (F.expr(f"try_cast(trim(`{column}`) AS BIGINT)") <= limit))
+
+
+def without_nan(df: DataFrame, features: str) -> DataFrame:
+    """Rows without NaN or null among their features."""
+    return df.filter(~F.exists(features, lambda x: x.isNull() | F.isnan(x)))
+
+
+def light(weight: Column, most: float = 1000.0) -> Column:
+    return F.coalesce(weight <= most, F.lit(False))
+
+
+def large_enough(atoms: Column, least: int = 6) -> Column:
+    """By atoms, hydrogens included."""
+    return F.coalesce(atoms >= least, F.lit(False))
+
+
+def arranged(df: DataFrame, names: Mapping[str, str], order: Sequence[str], optional: Sequence[str] = ()) -> DataFrame:
+    """Columns renamed and in order; optional ones are left out where they are missing or have no value at all."""
+    renamed = df.withColumnsRenamed(dict(names))
+    there = [c for c in optional if c in renamed.columns]
+    if there:
+        filled = renamed.agg(*[F.count(c).alias(c) for c in there]).first()
+        there = [c for c in there if filled[c]]
+    return renamed.select(*[c for c in order if c in there or c not in optional])
+
+
+def with_key_bonds(hbonds: DataFrame) -> DataFrame:
+    """Ligands with a hydrogen bond to a key residue."""
+    return hbonds.filter("key_residue_hbonds > 0")
+
+
 def is_hit(score: Column, cutoff: float) -> Column:
     return score < cutoff
 

@@ -53,9 +53,8 @@ def left_join_all(base: DataFrame, others: Sequence[DataFrame | None], key: str)
 
 
 def merge_votes(tables: dict[str, DataFrame], key: str, value: str) -> DataFrame:
-    """Full outer merge of one value per model, as one union and one grouping."""
-    stacked = reduce(DataFrame.unionByName, [t.select(key, F.lit(m).alias("_model"), F.col(value).alias("_value")) for m, t in tables.items()])
-    return stacked.groupBy(key).pivot("_model", list(tables)).agg(F.first("_value"))
+    """Full outer merge of one value per model; a key that a table has twice gives a row for each. All joins share the partitioning of the key."""
+    return reduce(lambda a, b: a.join(b, key, "full"), [t.select(key, F.col(value).alias(m)) for m, t in tables.items()])
 
 
 def route(library: DataFrame, splits: DataFrame, order: Sequence[str] = ("train", "valid", "test"), row_id: str = "row_id") -> DataFrame:
@@ -66,5 +65,47 @@ def route(library: DataFrame, splits: DataFrame, order: Sequence[str] = ("train"
 
 
 def off_target_jobs(targets: DataFrame, ligands: DataFrame, available: DataFrame, ligand: str = "ligand") -> DataFrame:
-    """Each target with each ligand that has a prepared file. Every such pair is a docking run to make."""
-    return targets.crossJoin(ligands.join(available.select(ligand).distinct(), ligand, "left_semi"))
+    """Each target with each ligand that has a prepared file. Every such pair is a docking run to make, so the result is the
+    product by definition; the targets, a list made by hand, are counted and broadcast."""
+    if (n := targets.count()) > MOST_TARGETS:
+        raise ValueError(f"{n} targets: dock them in parts")
+    return ligands.join(available.select(ligand).distinct(), ligand, "left_semi").crossJoin(F.broadcast(targets))
+
+
+#: Targets of one call of off_target_jobs.
+MOST_TARGETS = 10_000
+
+
+def with_features(labels: DataFrame, library: DataFrame, key: str = "id") -> DataFrame:
+    """Labelled rows with the features of their id; ids without features go, of repeated library rows all count."""
+    return labels.join(library, key)
+
+
+def rows_in_order(ids: DataFrame, database: DataFrame, key: str = "id", row_id: str = "row_id") -> DataFrame:
+    """A database row for each listed id, repeats included, with the list's row number; raises, when read, for an id that is missing."""
+    return must_match(ids.select(row_id, key), database.drop(row_id), key)
+
+
+def first_threshold(models: DataFrame, thresholds: DataFrame, key: str = "model_no", order: str = "row_id") -> DataFrame:
+    """Models with the first threshold row of their number."""
+    return models.join(first_wins(thresholds, [key], F.col(order)).drop(order), key)
+
+
+def look_up(rows: DataFrame, column: str, value: object, order: str = "row_id") -> DataFrame:
+    """The first row with a value: a name, a structure or a key."""
+    return rows.filter(F.col(column) == F.lit(value)).orderBy(order).limit(1)
+
+
+def pick(rows: DataFrame, start: int | None = None, stop: int | None = None, step: int = 1, row_id: str = "row_id") -> DataFrame:
+    """A slice by row number, as start:stop:step of rows from 0; negative ends count from the last row."""
+    if step < 1:
+        raise ValueError("step must be positive")
+    n = rows.agg(F.max(row_id)).first()[0]
+    n = 0 if n is None else n + 1
+    start, stop, step = slice(start, stop, step).indices(n)
+    return rows.filter((F.col(row_id) >= start) & (F.col(row_id) < stop) & (F.pmod(F.col(row_id) - start, F.lit(step)) == 0))
+
+
+def at_rows(rows: DataFrame, numbers: DataFrame, row_id: str = "row_id") -> DataFrame:
+    """The rows with listed numbers, in any order and as often as listed."""
+    return numbers.select(row_id).join(rows, row_id)

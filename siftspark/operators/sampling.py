@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from siftspark.operators.ordering import first_rows, numbered
+from siftspark.session import checkpointed
+
 
 def shuffled(seed: int, key: str) -> Column:
     """A value to order by in place of a random permutation."""
@@ -17,24 +20,36 @@ def shard_counts(df: DataFrame, shard: str) -> DataFrame:
     return df.groupBy(shard).agg(F.count("*").alias("n_rows"))
 
 
+def chunks(df: DataFrame, order: str, n_chunks: int) -> DataFrame:
+    """Add chunk: contiguous parts of ceil(n / k) rows in an order, from 0."""
+    placed = numbered(df, [order], "_place")
+    return placed.withColumn("chunk", chunk_number(df.count(), n_chunks, F.col("_place") + 1)).drop("_place")
+
+
 def allocate(counts: DataFrame, total_sample: int) -> DataFrame:
     """Sample size of each shard, in proportion to its rows, rounded down; the total is one row."""
     total = F.broadcast(counts.agg(F.sum("n_rows").alias("_total")))
     return counts.crossJoin(total).withColumn("n_sample", F.floor(F.lit(float(total_sample)) / F.col("_total") * F.col("n_rows")).cast("bigint")).drop("_total")
 
 
+def _unit(seed: int, key: str) -> Column:
+    return F.pmod(shuffled(seed, key), F.lit(2**53)) / F.lit(float(2**53))
+
+
 def stratified_split(df: DataFrame, shard: str, key: str, sizes: DataFrame, seed: int) -> DataFrame:
     """Rows of each shard in random order, the first n_train for training, then n_valid, then n_test; the rest goes.
 
     ``sizes``: (shard, n_train, n_valid, n_test), a row per shard. A shard is cut by the hash that is expected to
-    hold twice its sample and more, so that only those rows are sorted; where that falls short the whole shard is.
+    hold twice its sample and more, so that only those rows are sorted. Where that falls short, as where a few keys are
+    repeated very often, the whole shard is taken; a shard with fewer rows than wanted gives all it has.
     """
     wanted = F.col("n_train") + F.col("n_valid") + F.col("n_test")
     counts = shard_counts(df, shard).join(sizes, shard).withColumn("_share", F.least(F.lit(1.0), (2 * wanted + 100) / F.col("n_rows")))
-    unit = F.pmod(shuffled(seed, key), F.lit(2**53)) / F.lit(float(2**53))
-    near = df.join(counts, shard).withColumn("_u", unit).filter(F.col("_u") < F.col("_share"))
+    hashed = df.withColumn("_u", _unit(seed, key))
+    near = hashed.join(counts, shard).groupBy(shard).agg(F.count_if(F.col("_u") < F.col("_share")).alias("_near"))
+    cut = counts.join(near, shard).withColumn("_share", F.when(F.col("_near") < wanted, 1.0).otherwise(F.col("_share"))).drop("_near", "n_rows")
     place = F.row_number().over(Window.partitionBy(shard).orderBy("_u", key))
-    placed = near.withColumn("_place", place)
+    placed = hashed.join(cut, shard).filter(F.col("_u") < F.col("_share")).withColumn("_place", place)
     split = (
         F.when(F.col("_place") <= F.col("n_train"), "train")
         .when(F.col("_place") <= F.col("n_train") + F.col("n_valid"), "valid")
@@ -51,66 +66,115 @@ def split_ratio(total: int, train_ratio: float | None) -> tuple[int, int, int]:
 
 def chunk_number(n_rows: int, n_chunks: int, row_number: Column) -> Column:
     """Contiguous chunks of ceil(n / k) rows; row_number counts from 1."""
-    return F.floor((row_number - 1) / F.lit(ceil(n_rows / n_chunks))).cast("int")
+    return F.floor((row_number - 1) / F.lit(max(1, ceil(n_rows / n_chunks)))).cast("int")
+
+
+def _turns(loads: list[int], size: int, n: int) -> list[tuple[int, int, list[int]]]:
+    """(first, groups, folds in turn) when n groups of one size go to the lightest fold, one after the other. Changes the loads.
+
+    Folds that are lighter than the lightest plus one group take one group each, in order of load, and so on until they
+    reach the next fold; so there are few stretches, however many groups.
+    """
+    out, done = [], 0
+    while done < n:
+        order = sorted(range(len(loads)), key=lambda f: (loads[f], f))
+        low = loads[order[0]]
+        turn = [f for f in order if loads[f] < low + size]
+        above = [loads[f] for f in order if loads[f] >= low + size]
+        rounds = max(1, -(-(above[0] - low - size) // size)) if above else n
+        take = min(n - done, rounds * len(turn))
+        out.append((done, take, turn))
+        for k, f in enumerate(turn):
+            loads[f] += size * (take // len(turn) + (k < take % len(turn)))
+        done += take
+    return out
 
 
 def group_folds(df: DataFrame, group: str, k: int) -> DataFrame:
-    """(group, n, fold): the largest group goes to the lightest fold, in turn.
+    """(group, n, fold): the largest group goes to the lightest fold, in turn; groups of one size in order.
 
-    The pass runs over the groups' counts, one row each, in a single task: it is for scaffolds or sources,
-    not for rows.
+    Only the number of groups of each size comes to the driver: there are fewer sizes than the root of twice the rows.
     """
     counts = df.groupBy(group).agg(F.count("*").alias("n"))
-    ordered = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), F.col(group).alias("g"))))
-    start = F.struct(F.array_repeat(F.lit(0).cast("bigint"), k).alias("load"), F.array().cast("array<int>").alias("fold"))
+    placed = checkpointed(numbered(counts, [F.desc("n"), F.col(group)], "_place"))
+    loads, rows, before = [0] * k, [], 0
+    for r in placed.groupBy("n").agg(F.count("*").alias("groups")).orderBy(F.desc("n")).collect():
+        rows += [(r["n"], before, before + first, take, turn) for first, take, turn in _turns(loads, r["n"], r["groups"])]
+        before += r["groups"]
+    turns = df.sparkSession.createDataFrame(rows, "_n bigint, _begin bigint, _first bigint, _take bigint, _turn array<int>")
+    inside = (F.col("n") == F.col("_n")) & (F.col("_place") >= F.col("_first")) & (F.col("_place") < F.col("_first") + F.col("_take"))
+    fold = F.get("_turn", F.pmod(F.col("_place") - F.col("_first"), F.size("_turn")).cast("int"))
+    return placed.join(F.broadcast(turns), inside).select(group, "n", fold.alias("fold"))
 
-    def put(acc: Column, x: Column) -> Column:
-        lightest = (F.array_position(acc["load"], F.array_min(acc["load"])) - 1).cast("int")
-        load = F.transform(acc["load"], lambda v, i: F.when(i == lightest, v - x["m"]).otherwise(v))
-        return F.struct(load.alias("load"), F.concat(acc["fold"], F.array(lightest)).alias("fold"))
 
-    row = counts.agg(ordered.alias("_o")).select("_o", F.aggregate("_o", start, put, lambda a: a["fold"]).alias("_f"))
-    zipped = row.select(F.explode(F.arrays_zip("_o", "_f")).alias("z"))
-    return zipped.select(F.col("z._o.g").alias(group), (-F.col("z._o.m")).alias("n"), F.col("z._f").alias("fold"))
+def shuffled_folds(df: DataFrame, key: str, k: int, seed: int) -> DataFrame:
+    """Add fold: rows in random order, dealt to folds of equal size but for one row."""
+    return numbered(df, [shuffled(seed, key), F.col(key)], "_place").withColumn("fold", F.pmod("_place", F.lit(k)).cast("int")).drop("_place")
 
 
-def rebalance(df: DataFrame, label: str, key: str, seed: int) -> DataFrame:
-    """Repeat the smaller class until both have equally many rows: whole repeats, and a random part once more.
+def random_subset(df: DataFrame, n: int, key: str, seed: int) -> DataFrame:
+    """n rows at random. Rows are cut at the hash that is expected to leave a few more, and only those are sorted."""
+    total = df.count()
+    if n >= total:
+        return df
+    near = df.filter(_unit(seed, key) < (n + 6 * n**0.5 + 100) / total)
+    near = near if near.count() >= n else df
+    return first_rows(near, [_unit(seed, key), F.col(key)], n)
 
-    The part is chosen by hash rank over the remainder only.
-    """
+
+def _two_classes(df: DataFrame, label: str) -> tuple[object, object, int, int] | None:
+    """The smaller and the larger class, and their sizes; of equals the smaller label counts as smaller."""
     n = {r[0]: r[1] for r in df.groupBy(label).agg(F.count("*")).collect()}
     if len(n) != 2:
+        return None
+    small, large = sorted(n, key=lambda k: (n[k], str(k)))
+    return small, large, n[small], n[large]
+
+
+def rebalance(df: DataFrame, label: str, key: str, seed: int) -> DataFrame:
+    """Repeat the smaller class until both have equally many rows: whole repeats, and a random part once more."""
+    classes = _two_classes(df, label)
+    if classes is None:
         return df
-    minority = min(n, key=lambda k: (n[k], str(k)))
-    times, rest = divmod(max(n.values()), n[minority])
-    small = df.filter(F.col(label) == minority)
-    extra = small.orderBy(shuffled(seed, key), key).limit(rest)
-    repeated = small.withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(times)))).drop("_i")
-    return df.filter(F.col(label) != minority).unionByName(repeated).unionByName(extra)
+    small, _, n, most = classes
+    times, rest = divmod(most, n)
+    rows = df.filter(F.col(label) == small)
+    repeated = rows.withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(times)))).drop("_i")
+    out = df.filter(F.col(label) != small).unionByName(repeated)
+    return out.unionByName(random_subset(rows, rest, key, seed)) if rest else out
 
 
 def downsample(df: DataFrame, label: str, key: str, seed: int) -> DataFrame:
     """A random part of the larger class, as many rows as the smaller has."""
-    n = {r[0]: r[1] for r in df.groupBy(label).agg(F.count("*")).collect()}
-    if len(n) != 2:
+    classes = _two_classes(df, label)
+    if classes is None:
         return df
-    majority = max(n, key=lambda k: (n[k], str(k)))
-    return df.filter(F.col(label) != majority).unionByName(df.filter(F.col(label) == majority).orderBy(shuffled(seed, key), key).limit(min(n.values())))
+    small, large, n, _ = classes
+    return df.filter(F.col(label) == small).unionByName(random_subset(df.filter(F.col(label) == large), n, key, seed))
 
 
 def draws_with_replacement(df: DataFrame, label: str, key: str, factor: int, seed: int) -> DataFrame:
     """min(negatives, positives x factor) hashed draws of each class; n_draws says how often a row was drawn."""
     n = {r[0]: r[1] for r in df.groupBy(label).agg(F.count("*")).collect()}
     size = min(n.get(0, 0), n.get(1, 0) * factor)
-    numbered = df.withColumn("_i", F.row_number().over(Window.partitionBy(label).orderBy(shuffled(seed, key), key)) - 1)
-    draws = df.sparkSession.range(size).crossJoin(df.sparkSession.createDataFrame([(k, v) for k, v in n.items() if v], f"_l {dict(df.dtypes)[label]}, _n bigint"))
-    picked = draws.select("_l", F.pmod(F.xxhash64(F.lit(seed + 1), "id", "_l"), F.col("_n")).alias("_p")).groupBy("_l", "_p").agg(F.count("*").alias("n_draws"))
-    return numbered.join(picked, (F.col(label) == F.col("_l")) & (F.col("_i") == F.col("_p"))).select(*df.columns, "n_draws")
-
-
-def random_subset(df: DataFrame, n: int, key: str, seed: int) -> DataFrame:
-    return df.orderBy(shuffled(seed, key), key).limit(n)
+    placed = numbered(df.filter(F.col(label).isin(0, 1)), [F.col(label), shuffled(seed, key), F.col(key)], "_i")
+    classes = df.sparkSession.createDataFrame([(k, n[k], n.get(0, 0) * k) for k in (0, 1) if n.get(k)], f"_l {dict(df.dtypes)[label]}, _n bigint, _first bigint")
+    draws = df.sparkSession.range(size).crossJoin(F.broadcast(classes))
+    picked = draws.select((F.col("_first") + F.pmod(F.xxhash64(F.lit(seed + 1), "id", "_l"), F.col("_n"))).alias("_i")).groupBy("_i").agg(F.count("*").alias("n_draws"))
+    return placed.join(picked, "_i").select(*df.columns, "n_draws")
+
+
+def cyclic_mix(tables: dict[str, DataFrame], weights: dict[str, int], key: str, rounds: int, seed: int) -> DataFrame:
+    """(task, place, ...): in each round so many rows of each table as its weight says, each table in a random order that starts anew at its end."""
+    out = None
+    for name, table in tables.items():
+        n = table.count()
+        wanted = weights[name] * rounds
+        placed = numbered(table, [shuffled(seed, key), F.col(key)], "_i")
+        draws = table.sparkSession.range(wanted if n else 0).select(F.col("id").alias("place"), F.pmod("id", F.lit(max(n, 1))).alias("_i"))
+        part = draws.join(placed, "_i").drop("_i").select(F.lit(name).alias("task"), F.floor(F.col("place") / weights[name]).alias("round"), "place", *table.columns)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def weighted_order(df: DataFrame, weight: str, key: str, seed: int) -> DataFrame:
@@ -120,5 +184,11 @@ def weighted_order(df: DataFrame, weight: str, key: str, seed: int) -> DataFrame
 
 
 def linear_schedule(first: int, last: int, iteration: int, iterations: int) -> int:
-    """Hits to keep in an iteration, from first to last in equal steps."""
-    return first if iteration == 1 else int(((last - first) * iteration + iterations * first - last) / (iterations - 1))
+    """Hits to keep: from first in iteration 1 to last in the final one, by an equal share of the difference for each iteration passed."""
+    passed = (iteration - 1) / max(iterations - 1, 1)
+    return int(first + passed * (last - first))
+
+
+def hit_counts(spark: SparkSession, first: int, last: int, iterations: int) -> DataFrame:
+    """(iteration, n): the schedule as a table."""
+    return spark.createDataFrame([(i, linear_schedule(first, last, i, iterations)) for i in range(1, iterations + 1)], "iteration int, n bigint")

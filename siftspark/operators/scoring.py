@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -228,3 +228,11 @@ def summary(df: DataFrame, score: str, hbonds: str) -> DataFrame:
         F.max(score).alias("max_score"),
         F.round(F.count_if(F.col(hbonds) >= 1) / F.count("*"), 6).alias("hbond_share"),
     )
+
+
+def means(df: DataFrame, columns: Sequence[str], top: Sequence[int] = (), rank: str = "rank", key: str = "name") -> DataFrame:
+    """(rows, n, mean_c ...): means of the columns over all rows, and over the first rows by rank (ties by key)."""
+    exact = lambda c: (F.sum(F.col(c).cast("decimal(24,6)")).cast("double") / F.count(c)).alias(f"mean_{c}")
+    parts = [df.agg(F.lit("all").alias("rows"), F.count("*").alias("n"), *map(exact, columns))]
+    parts += [top_n(df, n, key, rank).agg(F.lit(f"top {n}").alias("rows"), F.count("*").alias("n"), *map(exact, columns)) for n in top]
+    return reduce(DataFrame.unionByName, parts)

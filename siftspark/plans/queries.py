@@ -7,32 +7,16 @@ events a log. Every query runs over its whole tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftspark.operators import clustering, dedup, evaluation, filters, joins, resources, sampling, scoring, sets, similarity, structure
 from siftspark.plans.config import Config
+from siftspark.plans.registry import ORACLES, QUERIES, Query, query
 from siftspark.plans.screening import Screening, funnel_counts
 from siftspark.session import table
-from siftspark.sources import text
 from siftspark.streaming import progress
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
 
 # --- stand-in views, in both languages ---------------------------------------------------------
 
@@ -128,7 +112,7 @@ def model_vote_filter(s: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {DOCK_SQL} SELECT p_partkey AS name, p_name AS smiles, total_hbonds, key_residue_hbonds FROM hb JOIN part ON p_partkey = name WHERE key_residue_hbonds > 0")
 def key_count_filter(s: SparkSession, d: str) -> DataFrame:
     library = table(s, d, "part").select(F.col("p_partkey").alias("name"), F.col("p_name").alias("smiles"), F.col("p_partkey").alias("row_id"))
-    return joins.lookup_last(_hbonds(s, d).filter("key_residue_hbonds > 0"), library, "name", "row_id").select("name", "smiles", "total_hbonds", "key_residue_hbonds")
+    return joins.lookup_last(filters.with_key_bonds(_hbonds(s, d)), library, "name", "row_id").select("name", "smiles", "total_hbonds", "key_residue_hbonds")
 
 
 @query("""WITH x AS (SELECT p_partkey AS name, p_retailprice / 2 AS MW, p_size / 8.0 AS LogP, p_size AS MR, p_size % 12 AS naccr, p_size % 8 AS ndonr, p_size + 10 AS nta, p_size % 5 AS nring, p_size AS nrigidbond, p_size % 14 AS nRotbond, p_retailprice / 7 AS TPSA, p_size / 9.0 AS D FROM part)
@@ -156,16 +140,15 @@ def consensus_vote(s: SparkSession, d: str) -> DataFrame:
     return rows.select("name", filters.consensus(F.array("m1", "m2", "m3"), F.array(F.lit(0.3), F.lit(0.4), F.lit(0.2)), 3).alias("hit"))
 
 
-@query("SELECT p_partkey AS name, p_name FROM part WHERE NOT contains(p_name, 'a')")
+@query("SELECT p_partkey AS name, replace(p_name, 'a', '.') AS smiles FROM part WHERE NOT contains(p_name, 'a')")
 def pattern_reject(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "part").filter(~F.contains("p_name", F.lit("a"))).select(F.col("p_partkey").alias("name"), "p_name")
+    mixtures = table(s, d, "part").select(F.col("p_partkey").alias("name"), F.translate("p_name", "a", ".").alias("smiles"))
+    return mixtures.filter(filters.single_component(F.col("smiles")))
 
 
-@query("SELECT page_id, CAST(contains(html, '<table') AS INTEGER) AS m0, CAST(contains(html, '<li>') AS INTEGER) AS m1, CAST(contains(url, 'utm_') AS INTEGER) AS m2 FROM pages WHERE contains(html, '<table') OR contains(html, '<li>') OR contains(url, 'utm_')")
+@query("SELECT page_id, CAST(contains(html, '<table') AS INTEGER) AS m0, CAST(contains(html, '<li>') AS INTEGER) AS m1, CAST(contains(html, '<p>') AS INTEGER) AS m2 FROM pages WHERE contains(html, '<table') OR contains(html, '<li>') OR contains(html, '<p>')")
 def any_match(s: SparkSession, d: str) -> DataFrame:
-    pages = table(s, d, "pages")
-    m = [F.contains(c, F.lit(p)) for c, p in (("html", "<table"), ("html", "<li>"), ("url", "utm_"))]
-    return pages.select("page_id", *[x.cast("int").alias(f"m{i}") for i, x in enumerate(m)]).filter("m0 + m1 + m2 > 0")
+    return filters.matches_any(table(s, d, "pages"), "html", ("<table", "<li>", "<p>")).filter("any_match").select("page_id", "m0", "m1", "m2")
 
 
 # --- joins, sets and de-duplication ------------------------------------------------------------
@@ -315,26 +298,33 @@ def nearest_neighbour(s: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {PRINTS_SQL} SELECT a.id AS a, b.id AS b, ROUND({SIM_SQL}, 6) AS sim FROM fp a, fp b WHERE a.id < b.id AND {SIM_SQL} >= 0.6")
 def threshold_pairs(s: SparkSession, d: str) -> DataFrame:
-    return similarity.threshold_pairs(_prints(s, d).select("id", "bits"), 0.6).withColumn("sim", F.round("sim", 6))
+    return similarity.dense_pairs(_prints(s, d).select("id", "fp"), 0.6).withColumn("sim", F.round("sim", 6))
 
 
 @query(f"WITH {PRINTS_SQL} SELECT id, label FROM fp WHERE label = 0 UNION ALL SELECT id, label FROM fp b WHERE label <> 0 AND NOT EXISTS (SELECT 1 FROM fp a WHERE a.label = 0 AND {SIM_SQL} > 0.5)")
 def ambiguity_removal(s: SparkSession, d: str) -> DataFrame:
-    return similarity.drop_ambiguous(_prints(s, d).select("id", "label", "bits"), "label", 0, 0.5).select("id", "label")
+    return similarity.drop_ambiguous(_prints(s, d).select("id", "label", "fp"), "label", 0, 0.5, similarity.dense_pairs).select("id", "label")
 
 
 @query("""WITH w AS (SELECT item_id AS id, unnest(string_split(text, ' ')) AS key FROM benchmark), c AS (SELECT id, key, COUNT(*) AS n FROM w GROUP BY 1, 2), t AS (SELECT id, SUM(n) AS total FROM c GROUP BY 1)
-SELECT x.id AS a, y.id AS b, ROUND(SUM(LEAST(x.n, y.n))::DOUBLE / (ANY_VALUE(tx.total) + ANY_VALUE(ty.total) - SUM(LEAST(x.n, y.n))), 6) AS sim FROM c x JOIN c y USING (key) JOIN t tx ON tx.id = x.id JOIN t ty ON ty.id = y.id GROUP BY 1, 2""")
+SELECT x.id AS a, y.id AS b, ROUND(SUM(LEAST(x.n, y.n))::DOUBLE / (ANY_VALUE(tx.total) + ANY_VALUE(ty.total) - SUM(LEAST(x.n, y.n))), 6) AS sim FROM c x JOIN c y USING (key) JOIN t tx ON tx.id = x.id JOIN t ty ON ty.id = y.id WHERE y.id % 20 = 0 GROUP BY 1, 2""")
 def count_tanimoto(s: SparkSession, d: str) -> DataFrame:
     words = table(s, d, "benchmark").select(F.col("item_id").alias("id"), F.explode(F.split("text", " ")).alias("key"))
     counts = words.groupBy("id", "key").agg(F.count("*").alias("n"))
-    return similarity.count_tanimoto(counts, counts).withColumn("sim", F.round("sim", 6))
+    return similarity.count_tanimoto(counts, counts.filter("id % 20 = 0")).withColumn("sim", F.round("sim", 6))
 
 
-@query()
+@query(f"""WITH RECURSIVE {PRINTS_SQL}, e AS (SELECT a.id AS a, b.id AS b, {SIM_SQL} AS sim FROM fp a, fp b WHERE a.id <> b.id AND {SIM_SQL} >= 0.5),
+r AS (SELECT id, ROW_NUMBER() OVER (ORDER BY COALESCE(deg, 0) DESC, id DESC) AS k FROM fp LEFT JOIN (SELECT a AS id, COUNT(*) AS deg FROM e GROUP BY 1) USING (id)),
+nb AS (SELECT x.k, COALESCE(list(y.k) FILTER (y.k IS NOT NULL), []) AS near FROM r x LEFT JOIN e ON e.a = x.id LEFT JOIN r y ON y.id = e.b GROUP BY 1),
+st AS (SELECT (SELECT list(near ORDER BY k) FROM nb) AS near, (SELECT COUNT(*) FROM r) AS n),
+g AS (SELECT 1::BIGINT AS i, list_transform(range(1, n + 1), lambda j: NULL::BIGINT) AS c FROM st
+  UNION ALL SELECT i + 1, CASE WHEN c[i] IS NULL THEN list_transform(range(1, n + 1), lambda j: CASE WHEN c[j] IS NULL AND (j = i OR list_contains(near[i], j)) THEN i ELSE c[j] END) ELSE c END FROM g, st WHERE i <= n),
+f AS (SELECT unnest(range(1, n + 1)) AS k, unnest(c) AS c FROM g, st WHERE i = n + 1)
+SELECT m.id AS member, h.id AS centroid, CASE WHEN m.id = h.id THEN 1.0 ELSE ROUND(e.sim, 6) END::DOUBLE AS sim FROM f JOIN r m ON m.k = f.k JOIN r h ON h.k = f.c LEFT JOIN e ON e.a = m.id AND e.b = h.id""")
 def butina_clusters(s: SparkSession, d: str) -> DataFrame:
     fp = _prints(s, d)
-    return clustering.butina(fp, similarity.threshold_pairs(fp.select("id", "bits"), 0.5))
+    return clustering.butina(fp, similarity.dense_pairs(fp.select("id", "fp"), 0.5)).withColumn("sim", F.round("sim", 6))
 
 
 # --- structures --------------------------------------------------------------------------------
@@ -385,12 +375,14 @@ def shard_allocation(s: SparkSession, d: str) -> DataFrame:
     return sampling.allocate(sampling.shard_counts(rows, "shard"), 1000)
 
 
-@query("WITH n AS (SELECT lang, COUNT(*) AS n FROM documents GROUP BY 1) SELECT lang, split, CAST(CASE split WHEN 'train' THEN n // 10 * 3 ELSE n // 10 END AS BIGINT) AS n FROM n, (VALUES ('train'), ('valid'), ('test')) v(split) WHERE n >= 10")
+@query("WITH n AS (SELECT lang, COUNT(*) AS n FROM documents GROUP BY 1) SELECT lang, split, CAST(CASE split WHEN 'train' THEN n // 10 * 3 ELSE n // 10 END AS BIGINT) AS n, CAST(CASE split WHEN 'train' THEN n // 10 * 3 ELSE n // 10 END AS BIGINT) AS n_of_lang, n // 10 * 5 AS n_ids FROM n, (VALUES ('train'), ('valid'), ('test')) v(split) WHERE n >= 10")
 def split_sizes(s: SparkSession, d: str) -> DataFrame:
     docs = table(s, d, "documents").select("doc_id", "lang")
     tenth = F.floor(F.col("n_rows") / 10).cast("bigint")
     sizes = sampling.shard_counts(docs, "lang").select("lang", (3 * tenth).alias("n_train"), tenth.alias("n_valid"), tenth.alias("n_test"))
-    return sampling.stratified_split(docs, "lang", "doc_id", sizes, 7).groupBy("lang", "split").agg(F.count("*").alias("n"))
+    drawn = sampling.stratified_split(docs, "lang", "doc_id", sizes, 7).join(docs.select("doc_id", F.col("lang").alias("_lang")), "doc_id")
+    ids = drawn.groupBy("lang").agg(F.countDistinct("doc_id").alias("n_ids"))
+    return drawn.groupBy("lang", "split").agg(F.count("*").alias("n"), F.count_if(F.col("lang") == F.col("_lang")).alias("n_of_lang")).join(ids, "lang")
 
 
 @query("""WITH sp AS (SELECT o_custkey AS id, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS r FROM orders), m AS (SELECT id, MIN(r) AS r FROM sp GROUP BY 1)
@@ -401,15 +393,19 @@ def split_hygiene(s: SparkSession, d: str) -> DataFrame:
     return dedup.split_hygiene(splits, history=table(s, d, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("id")))
 
 
-@query("SELECT CAST(SUM(n) AS BIGINT) AS n_rows, COUNT(*) AS n_groups, CAST(5 AS BIGINT) AS n_folds FROM (SELECT source, COUNT(*) AS n FROM documents GROUP BY 1)")
+@query("""WITH RECURSIVE c AS (SELECT source, COUNT(*) AS n, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, source) AS k FROM documents GROUP BY 1),
+g AS (SELECT 0::BIGINT AS k, [0, 0, 0, 0, 0]::BIGINT[] AS load, NULL::BIGINT AS fold
+  UNION ALL SELECT c.k, list_transform(range(5), lambda f: load[f + 1] + CASE WHEN f + 1 = list_position(load, list_min(load)) THEN c.n ELSE 0 END), list_position(load, list_min(load)) - 1 FROM g JOIN c ON c.k = g.k + 1)
+SELECT source, n, fold::INTEGER AS fold FROM g JOIN c USING (k)""")
 def group_kfold(s: SparkSession, d: str) -> DataFrame:
-    folds = sampling.group_folds(table(s, d, "documents"), "source", 5)
-    return folds.agg(F.sum("n").cast("bigint").alias("n_rows"), F.count("*").alias("n_groups"), F.countDistinct("fold").alias("n_folds"))
+    return sampling.group_folds(table(s, d, "documents"), "source", 5)
 
 
-@query("WITH c AS (SELECT toxic, COUNT(*) AS n FROM labels GROUP BY 1) SELECT toxic, (SELECT MAX(n) FROM c) AS n FROM c")
+@query("WITH c AS (SELECT toxic, COUNT(*) AS n, COUNT(DISTINCT doc_id) AS n_ids FROM labels GROUP BY 1), m AS (SELECT MAX(n) AS m FROM c) SELECT toxic, m AS n, n_ids, m // n AS least_copies, (m + n - 1) // n AS most_copies, m % n AS n_once_more FROM c, m")
 def class_rebalance(s: SparkSession, d: str) -> DataFrame:
-    return sampling.rebalance(table(s, d, "labels"), "toxic", "doc_id", 3).groupBy("toxic").agg(F.count("*").alias("n"))
+    copies = sampling.rebalance(table(s, d, "labels"), "toxic", "doc_id", 3).groupBy("toxic", "doc_id").agg(F.count("*").alias("c"))
+    per = copies.groupBy("toxic").agg(F.sum("c").alias("n"), F.count("*").alias("n_ids"), F.min("c").alias("least_copies"), F.max("c").alias("most_copies"))
+    return per.withColumn("n_once_more", F.col("n") - F.col("n_ids") * F.col("least_copies"))
 
 
 # --- evaluation --------------------------------------------------------------------------------
@@ -541,13 +537,11 @@ def streaming_session(s: SparkSession, d: str) -> DataFrame:
 
 @query("""WITH e AS (SELECT user_id, event_id, value, MAX(value) OVER (PARTITION BY user_id ORDER BY event_id) AS best FROM events) SELECT user_id, MAX(best) AS best, COUNT(*) FILTER (event_id > (SELECT MAX(f.event_id) FROM e f WHERE f.user_id = e.user_id AND f.value = f.best)) AS waited FROM e GROUP BY 1""")
 def early_stopping(s: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy("event_id").rowsBetween(Window.unboundedPreceding, 0)
-    e = table(s, d, "events").select("user_id", "event_id", "value", F.max("value").over(w).alias("best"))
-    last = e.groupBy("user_id").agg(F.max("best").alias("best"), F.max(F.when(F.col("value") == F.col("best"), F.col("event_id"))).alias("_at"))
-    return e.select("user_id", "event_id").join(last, "user_id").groupBy("user_id", "best").agg(F.count_if(F.col("event_id") > F.col("_at")).alias("waited"))
+    series = evaluation.best_so_far(table(s, d, "events"), "event_id", "value", by=["user_id"])
+    return series.groupBy("user_id").agg(F.max("best").alias("best"), F.max_by("waited", "event_id").alias("waited"))
 
 
-# --- funnel and text formats -------------------------------------------------------------------
+# --- funnel -------------------------------------------------------------------
 
 
 @query(f"""WITH {DOCK_SQL}, l0 AS (SELECT p_partkey AS name FROM part WHERE NOT contains(p_name, '.')),
@@ -561,16 +555,3 @@ def funnel(s: SparkSession, d: str) -> DataFrame:
     library = table(s, d, "part").select(F.col("p_partkey").alias("name"), F.col("p_name").alias("smiles"))
     state = Screening(config, library, _props(s, d), _admet(s, d).withColumnRenamed("admet_score", "score"), _votes(s, d), _dock(s, d), _hbonds(s, d))
     return funnel_counts(s, state.funnel())
-
-
-@query()
-def pose_parse(s: SparkSession, d: str) -> DataFrame:
-    pose = "MODEL 1\nREMARK VINA RESULT:      -7.5      0.000      0.000\nENDMDL\nMODEL 2\nREMARK VINA RESULT:      -7.1      1.200      2.300\nENDMDL"
-    files = s.createDataFrame([("lig1", pose), ("lig2", "no result")], "path string, value string")
-    return text.parse_poses(files)
-
-
-@query()
-def pdb_parse(s: SparkSession, d: str) -> DataFrame:
-    rows = ["ATOM      1  CA  ALA A  12      11.104   6.134  -6.504  1.00  0.00           C", "HETATM    2  O   HOH A 201       1.000   2.000   3.000  1.00  0.00           O"]
-    return text.parse_atoms(s.createDataFrame([(r,) for r in rows], "value string"))

@@ -45,7 +45,7 @@ class Screening:
         return self._kept("druglikeness", self.predictions, lambda t: filters.vote_filter(t, self.config.models, self.config.votes_least))
 
     def by_hbonds(self) -> Screening:
-        return self._kept("docking", self.hbonds, lambda t: t.filter("key_residue_hbonds > 0"))
+        return self._kept("docking", self.hbonds, filters.with_key_bonds)
 
     def funnel(self) -> list[tuple[str, Screening]]:
         """The state after each module, all in one plan; nothing has run yet."""
