@@ -160,9 +160,9 @@ def semi_join_filter(s: SparkSession, d: str) -> DataFrame:
     return joins.keep_selected(table(s, d, "orders"), rich, "o_custkey").select("o_orderkey", "o_totalprice")
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 100000)")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)")
 def anti_join_filter(s: SparkSession, d: str) -> DataFrame:
-    big = table(s, d, "orders").filter("o_totalprice > 100000").select(F.col("o_custkey").alias("c_custkey"))
+    big = table(s, d, "orders").filter("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey"))
     return joins.drop_known(table(s, d, "customer"), big, "c_custkey").select("c_custkey", "c_name")
 
 
@@ -213,9 +213,9 @@ def collection_intersect(s: SparkSession, d: str) -> DataFrame:
     return sets.common_keys(table(s, d, "customer").withColumnRenamed("c_nationkey", "k"), table(s, d, "supplier").withColumnRenamed("s_nationkey", "k"), F.col("k"))
 
 
-@query("SELECT c_custkey AS key FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("SELECT c_custkey AS key FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'")
 def collection_difference(s: SparkSession, d: str) -> DataFrame:
-    return sets.missing_keys(table(s, d, "customer").withColumnRenamed("c_custkey", "k"), table(s, d, "orders").withColumnRenamed("o_custkey", "k"), F.col("k"))
+    return sets.missing_keys(table(s, d, "customer").withColumnRenamed("c_custkey", "k"), table(s, d, "orders").filter("o_orderstatus = 'P'").withColumnRenamed("o_custkey", "k"), F.col("k"))
 
 
 @query("SELECT p_brand, COUNT(*) AS n FROM part GROUP BY 1 ORDER BY n DESC, p_brand LIMIT 10")

@@ -91,9 +91,9 @@ def progress_lines(log: DataFrame) -> DataFrame:
     return with_previous(marked, ["seq"], "message", "_b").filter(~F.col("_b").eqNullSafe(F.col("message"))).drop("_b")
 
 
-def read_log(spark: SparkSession, folder: str) -> DataFrame:
+def read_log(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
     """A stream of JSON log lines as they are added to a folder."""
-    return spark.readStream.schema(LOG).json(folder)
+    return spark.readStream.schema(LOG).option("maxFilesPerTrigger", files_per_batch).json(folder)
 
 
 Sink = Callable[[str, DataFrame, int], None]
