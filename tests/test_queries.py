@@ -4,7 +4,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from siftspark.plans.queries import ORACLES, QUERIES
+from siftspark.plans.catalogue import COVERS, ORACLES, QUERIES, by_part
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -35,3 +35,8 @@ def test_query(spark, duck, name):
         pd.testing.assert_frame_equal(ordered(got), ordered(duck.sql(ORACLES[name]).df()), check_dtype=False, rtol=1e-9)
     else:
         assert len(got)
+
+
+def test_every_query_says_what_it_covers():
+    assert all(COVERS[name] for name in QUERIES)
+    assert {"S1", "K1", "P1", "J1", "A1", "W1", "O1", "U1", "F1", "C1", "M1", "T1", "G1", "E1"} <= set(by_part())

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from siftspark.functions import scalars
@@ -61,8 +62,10 @@ def test_scalars(spark):
 def test_kernels(spark):
     k = KernelRegistry()
     df = spark.createDataFrame([("C1CCCCC1",), ("C(",), (None,)], "s string")
-    got = [tuple(r) for r in df.select(k.apply("rings", F.col("s")), k.apply("heavy_atoms", F.col("s")), k.apply("no such", F.col("s"))).collect()]
-    assert got == [(1.0, 6.0, None), (None, None, None), (None, None, None)]
+    got = [tuple(r) for r in df.select(k.apply("rings", F.col("s")), k.apply("heavy_atoms", F.col("s"))).collect()]
+    assert got == [(1.0, 6.0), (None, None), (None, None)]
+    with pytest.raises(KeyError, match="no such"):
+        k.apply("no such", F.col("s"))
 
 
 def test_reports(spark):
@@ -75,11 +78,17 @@ def test_log_stream(spark, tmp_path):
     log = [(1, "MODULE library: start"), (2, "Batch size: 30"), (3, "MODULE docking: start"), (4, "Batch size: 50"), (5, "7% 1:2=3s")]
     df = spark.createDataFrame(log, "seq bigint, message string").select("seq", F.lit("2024-01-01 00:00:00").cast("timestamp").alias("ts"), F.lit("info").alias("level"), "message")
     df.write.mode("append").json(str(tmp_path / "log"))
+    more = spark.createDataFrame([(6, "Batch size: 40"), (7, "MODULE results: start")], "seq bigint, message string").select("seq", F.lit("2024-01-01 00:00:01").cast("timestamp").alias("ts"), F.lit("info").alias("level"), "message")
     got = {}
-    views = {"done": lambda x: progress.batches_done(x, 100), "modules": progress.transitions, "percent": progress.latest_percent}
-    progress.follow(progress.read_log(spark, str(tmp_path / "log")), views, lambda name, rows, _: got.setdefault(name, [tuple(r) for r in rows.collect()]), str(tmp_path / "cp")).awaitTermination(60)
-    assert got["done"] == [(80, 80)] and got["percent"] == [(7,)]
-    assert sorted(got["modules"]) == [("docking", 3, False, 85), ("library", 1, True, 0)]
+    views = {"done": progress.batch_view(100), "modules": progress.transition_view(), "percent": progress.percent_view()}
+    for added in (None, more):  # the second run goes on from the state of the first
+        if added is not None:
+            added.write.mode("append").json(str(tmp_path / "log"))
+        for q in progress.follow(progress.read_log(spark, str(tmp_path / "log"), 1), views, lambda name, rows, _: got.__setitem__(name, sorted(tuple(r) for r in rows.collect())), str(tmp_path / "cp")):
+            q.awaitTermination(60)
+        if added is None:
+            assert got == {"done": [(80, 80)], "percent": [(7,)], "modules": [("docking", 3, False, 85), ("library", 1, True, 0)]}
+    assert got == {"done": [(120, 100)], "percent": [(7,)], "modules": [("docking", 3, True, 85), ("library", 1, True, 0), ("results", 7, False, 100)]}
 
 
 def test_active_loop(spark, tmp_path):
