@@ -9,12 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftspark.operators import evaluation, sampling
+from siftspark.functions import training
+from siftspark.operators import evaluation, filters, sampling
 
 
 @dataclass(frozen=True)
@@ -41,6 +40,11 @@ def _stored(df_of: Callable[[], DataFrame], spark: SparkSession, path: str) -> D
     return spark.read.parquet(path)
 
 
+def evaluation_label(score: Column, cutoff: float) -> Column:
+    """1 for a hit, else 0."""
+    return filters.is_hit(score, cutoff).cast("double")
+
+
 def run(library: DataFrame, label: Callable[[DataFrame], DataFrame], config: LoopConfig) -> DataFrame:
     """(id, features, p) of the last iteration's survivors.
 
@@ -61,11 +65,11 @@ def run(library: DataFrame, label: Callable[[DataFrame], DataFrame], config: Loo
         valid = labelled.filter("split = 'valid'")
         good = sampling.linear_schedule(int(valid.count() * config.hit_share), max(1, int(valid.count() * config.hit_share / 10)), i, config.iterations) if config.iterations > 1 else int(valid.count() * config.hit_share)
         cutoff = evaluation.lowered_cutoff(valid, "score", max(1, good)).first()["cutoff"]
-        rows = labelled.withColumn("label", (F.col("score") < cutoff).cast("double")).withColumn("_x", array_to_vector("features"))
+        rows = labelled.withColumn("label", evaluation_label(F.col("score"), cutoff))
         train = sampling.rebalance(rows.filter("split = 'train'"), "label", "id", config.seed)
-        model = LogisticRegression(featuresCol="_x", labelCol="label", regParam=0.01, maxIter=50).fit(train)
-        scored = lambda df, m=model: m.transform(df).withColumn("p", vector_to_array("probability")[1])
+        model = training.train(train, steps=50)
+        scored = lambda df, m=model: training.scored(m, df)
         at = evaluation.threshold_at_recall(scored(rows.filter("split = 'valid'")), "p", "label", config.recall).first()
         threshold = at["threshold"] if at["threshold"] is not None else 0.0
-        left = _stored(lambda df=left, s=scored, t=threshold: s(df.withColumn("_x", array_to_vector("features"))).filter(F.col("p") >= t).select("id", "features", "p"), spark, f"{here}/survivors").drop("p" if i < config.iterations else "_none")
+        left = _stored(lambda df=left, s=scored, t=threshold: s(df).filter(F.col("p") >= t).select("id", "features", "p"), spark, f"{here}/survivors").drop("p" if i < config.iterations else "_none")
     return left

@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 import json
-import math
 from functools import reduce
 
-import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftspark.functions import kernels, models, processes, standard
+from siftspark.functions import kernels, models, processes, standard, training
 from siftspark.functions.kernels import KernelRegistry
 from siftspark.operators import dedup, evaluation, filters, joins, resources, sampling, scoring, sets, similarity, structure
 from siftspark.plans.queries import CURVE_COLUMNS, DOCK_SQL, MODELS_SQL, POINTS_SQL, PRINTS_SQL, SIM_SQL, SCORED_SQL, _curve_sql, _log, _models, _points, _prints, _props, _scored, _votes
+from siftspark.plans import active_loop
 from siftspark.plans.registry import query, scratch
 from siftspark.session import table
+from siftspark.sources import remote
 from siftspark.streaming import progress
 
 # --- molecules ---------------------------------------------------------------------------------
@@ -560,3 +560,61 @@ def followed_tail(s: SparkSession, d: str) -> DataFrame:
         _log(s, d).filter(F.col("seq") % 3 == k).coalesce(1).write.mode("append").json(f"{path}/log")
     progress.follow_tail(progress.read_log(s, f"{path}/log", files_per_batch=1), 1000, f"{path}/tail", lambda *_: None, f"{path}/state").awaitTermination()
     return s.read.parquet(f"{path}/tail/batch=2").select("seq")
+
+
+# --- training ----------------------------------------------------------------------------------
+
+#: Embeddings whose first number is well away from zero; its sign is the label.
+CLEAR_SQL = "cl AS (SELECT vec_id AS id, (embedding[1] > 0)::INTEGER AS label, vec_id % 3 AS fold FROM embeddings WHERE ABS(embedding[1]) > 0.08)"
+
+
+def _clear(s: SparkSession, d: str) -> DataFrame:
+    first = F.get("embedding", F.lit(0))
+    rows = table(s, d, "embeddings").filter(F.abs(first) > 0.08)
+    return rows.select(F.col("vec_id").alias("id"), (first > 0).cast("int").alias("label"), F.transform(F.slice("embedding", 1, 2), lambda v: v.cast("double") * 10).alias("features"), (F.col("vec_id") % 3).alias("fold"))
+
+
+@query(f"WITH {CLEAR_SQL} SELECT id, label, label AS predicted, TRUE AS loaded_same FROM cl", "M10 M15 M17")
+def trained_hits(s: SparkSession, d: str) -> DataFrame:
+    """A model of rows that a line parts, its predictions, and those of the model written and read again."""
+    rows, path = _clear(s, d), scratch(s)
+    model = training.train(rows, positive_weight=1.5, penalty=1e-4)
+    training.save(model, path, s.createDataFrame([("classes", 2)], "fact string, value int"))
+    again, facts = training.load(s, path)
+    both = training.scored(again, training.scored(model, rows), out="q").crossJoin(F.broadcast(facts.select(F.col("value").alias("_classes"))))
+    return both.select("id", "label", (F.col("p") >= 0.5).cast("int").alias("predicted"), ((F.col("p") == F.col("q")) & (F.col("_classes") == 2)).alias("loaded_same"))
+
+
+@query(f"WITH {CLEAR_SQL} SELECT fold::INTEGER AS fold, 1.0::DOUBLE AS auc, TRUE AS stopped FROM cl GROUP BY 1", "M9 M6")
+def cross_validation(s: SparkSession, d: str) -> DataFrame:
+    """Penalties from mild to so hard that nothing is learned: the last ones are not tried."""
+    found = training.cross_validated(_clear(s, d), "fold", (1e-4, 1e-3, 1e9, 1e9, 1e9, 1e9), patience=2, lasso=1.0)
+    return s.createDataFrame([(int(f.fold), round(f.auc, 6), f.tried == 4) for f, _ in found], "fold int, auc double, stopped boolean")
+
+
+@query(f"WITH {SCORED_SQL} SELECT ROUND(SUM(ROUND(CASE label WHEN 1 THEN -0.25 * POWER(1 - p, 2) * LN(p) ELSE -0.75 * POWER(p, 2) * LN(1 - p) END, 6)::DECIMAL(20,6))::DOUBLE, 6) AS loss, COUNT(*) AS n FROM (SELECT GREATEST(1e-7, LEAST(1 - 1e-7, score / 4000)) AS p, label FROM sc)", "M5")
+def focal_losses(s: SparkSession, d: str) -> DataFrame:
+    loss = F.round(training.focal_loss(F.col("score") / 4000, F.col("label")), 6).cast("decimal(20,6)")
+    return _scored(s, d).agg(F.round(F.sum(loss).cast("double"), 6).alias("loss"), F.count("*").alias("n"))
+
+
+@query("SELECT split, CASE split WHEN 'train' THEN 72 ELSE 24 END::BIGINT AS n, TRUE AS fewer, TRUE AS resumed_same FROM (VALUES ('train'), ('valid'), ('test')) v(split)", "E9 M10 M15")
+def active_learning(s: SparkSession, d: str) -> DataFrame:
+    """Two iterations over the customers, whose score falls with their balance; the run is started again and changes nothing."""
+    path = scratch(s)
+    library = table(s, d, "customer").select(F.col("c_custkey").alias("id"), F.array(F.col("c_acctbal") / 1000, (F.col("c_nationkey") % 5).cast("double")).alias("features"))
+    label = lambda rows: rows.withColumn("score", -F.get("features", F.lit(0)))
+    config = active_loop.LoopConfig(path, iterations=2, sample=120, hit_share=0.2)
+    left = active_loop.run(library, label, config)
+    n, again = left.count(), active_loop.run(library, label, config)
+    same = left.select("id").join(again.select("id"), "id").count() == n == again.count()
+    first = s.read.parquet(f"{path}/iteration=1/labels").groupBy("split").agg(F.count("*").alias("n"))
+    return first.withColumn("fewer", F.lit(0 < n < library.count())).withColumn("resumed_same", F.lit(same))
+
+
+@query("SELECT p_partkey AS row_id, 'nsteps = ' || (p_partkey * 10) || ' gen' AS value FROM part WHERE p_partkey % 4 > 0", "E8")
+def edited_files(s: SparkSession, d: str) -> DataFrame:
+    k = F.col("p_partkey")
+    value = F.when(k % 4 == 0, "; a comment").otherwise(F.concat(F.lit("nsteps   = "), k.cast("string"), F.lit(" old")))
+    lines = table(s, d, "part").select(k.alias("row_id"), value.alias("value"))
+    return remote.edit_lines(lines, [("\\s+", " "), ("(\\d) ", "$10 "), ("old$", "gen")], drop="^;").select("row_id", "value")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from siftspark.functions import models, processes
 from siftspark.functions import molecules as m
 from siftspark.plans import cli, control
+from siftspark.sources import remote
 
 
 @pytest.mark.parametrize(
@@ -106,3 +107,13 @@ def test_command_line(spark, tmp_path):
     cli.main(["fingerprints", "--library", f"{tmp_path}/one/library", "--out", f"{tmp_path}/bits"])
     cli.main(["cluster", "--bits", f"{tmp_path}/bits", "--out", f"{tmp_path}/clusters", "--threshold", "0.9"])
     assert spark.read.parquet(f"{tmp_path}/clusters/clusters").filter(F.col("sim") == 1.0).count() == 2
+
+
+def test_fetch(tmp_path):
+    (tmp_path / "a").write_text("x")
+    assert remote.fetch(f"file://{tmp_path}/a", f"{tmp_path}/b") and (tmp_path / "b").read_text() == "x"
+    (tmp_path / "a").write_text("y")
+    assert not remote.fetch(f"file://{tmp_path}/a", f"{tmp_path}/b") and (tmp_path / "b").read_text() == "x"
+    with pytest.raises(urllib.error.URLError):
+        remote.fetch(f"file://{tmp_path}/none", f"{tmp_path}/c")
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["a", "b"]
