@@ -70,9 +70,9 @@ def _joined(s: SparkSession, d: str) -> DataFrame:
 # --- ranking -----------------------------------------------------------------------------------
 
 
-@query(RANKED_SQL + "SELECT name, ROUND(dock_score, 6) AS dock_score, composite_score, CAST(RANK() OVER (ORDER BY composite_score DESC) AS INTEGER) AS rank FROM c")
+@query(RANKED_SQL + "SELECT name, ROUND(dock_score, 10) AS dock_score, composite_score, CAST(RANK() OVER (ORDER BY composite_score DESC) AS INTEGER) AS rank FROM c")
 def ranked_hits(s: SparkSession, d: str) -> DataFrame:
-    return scoring.ranked(scoring.composite(_joined(s, d))).select("name", F.round("dock_score", 6).alias("dock_score"), "composite_score", "rank")
+    return scoring.ranked(scoring.composite(_joined(s, d))).select("name", F.round("dock_score", 10).alias("dock_score"), "composite_score", "rank")
 
 
 @query(RANKED_SQL + "SELECT name, composite_score, CAST(RANK() OVER (ORDER BY composite_score DESC) AS INTEGER) AS rank FROM c ORDER BY composite_score DESC, name LIMIT 100")
