@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siftspark.session import checkpointed
+
 
 def with_extremes(df: DataFrame, *columns: str) -> DataFrame:
     """Add the least and largest value of each column (_lo_c, _hi_c): one row, joined to all."""
@@ -213,6 +215,12 @@ def ranked(df: DataFrame, score: str = "composite_score") -> DataFrame:
     return df.join(places, F.col(score).eqNullSafe(F.col("_s"))).drop("_s")
 
 
+def ranked_composite(df: DataFrame, terms: tuple[Term, ...] = DEFAULT_TERMS, places: int = 6) -> DataFrame:
+    """Composite score and rank. The rows are looked at four times (medians, extremes, distinct scores, themselves), so
+    what their joins give is written once, and once more with the scores."""
+    return ranked(checkpointed(composite(checkpointed(df), terms, places)))
+
+
 def top_n(df: DataFrame, n: int, key: str, rank: str = "rank") -> DataFrame:
     """The first n rows by rank; ties go by key."""
     return df.orderBy(rank, key).limit(n)

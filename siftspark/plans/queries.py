@@ -72,12 +72,12 @@ def _joined(s: SparkSession, d: str) -> DataFrame:
 
 @query(RANKED_SQL + "SELECT name, ROUND(dock_score, 10) AS dock_score, composite_score, CAST(RANK() OVER (ORDER BY composite_score DESC) AS INTEGER) AS rank FROM c")
 def ranked_hits(s: SparkSession, d: str) -> DataFrame:
-    return scoring.ranked(scoring.composite(_joined(s, d))).select("name", F.round("dock_score", 10).alias("dock_score"), "composite_score", "rank")
+    return scoring.ranked_composite(_joined(s, d)).select("name", F.round("dock_score", 10).alias("dock_score"), "composite_score", "rank")
 
 
 @query(RANKED_SQL + "SELECT name, composite_score, CAST(RANK() OVER (ORDER BY composite_score DESC) AS INTEGER) AS rank FROM c ORDER BY composite_score DESC, name LIMIT 100")
 def top_n_hits(s: SparkSession, d: str) -> DataFrame:
-    ranked = scoring.ranked(scoring.composite(_joined(s, d)))
+    ranked = scoring.ranked_composite(_joined(s, d))
     return scoring.top_n(ranked, 100, "name").select("name", "composite_score", "rank")
 
 

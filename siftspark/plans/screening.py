@@ -64,7 +64,7 @@ class Screening:
         admet = None if state.endpoints is None else state.endpoints.select("name", F.col("score").alias("admet_score"))
         dln = None if state.predictions is None else state.predictions.select("name", filters.votes(self.config.models).alias("dln_count"))
         joined = joins.left_join_all(base, [state.hbonds, state.physchem, admet, dln], "name")
-        return scoring.ranked(scoring.composite(joined))
+        return scoring.ranked_composite(joined)
 
 
 def funnel_counts(spark: SparkSession, states: list[tuple[str, Screening]]) -> DataFrame:
