@@ -28,13 +28,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftspark.llm.components import components, join_hot
 from siftspark.llm.order import order_table, with_order
-from siftspark.llm.tokens import mixed, pieces, texts_of, words
+from siftspark.llm.tokens import mixed, pieces, ragged, runs, texts_of, words
 from siftspark.session import find_package
 
 SEED = 42
@@ -57,31 +56,99 @@ class Params:
     small: int = 256
 
 
+#: The primes of XXH64.
+PRIMES = tuple(map(np.uint64, (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)))
+
+
+def _turned(x: np.ndarray, n: int) -> np.ndarray:
+    return x << np.uint64(n) | x >> np.uint64(64 - n)
+
+
+def _round(acc: np.ndarray, lane: np.ndarray) -> np.ndarray:
+    return _turned(acc + lane * PRIMES[1], 31) * PRIMES[0]
+
+
+def xxh64(raw: np.ndarray, begin: np.ndarray, size: np.ndarray, seed: int = SEED) -> np.ndarray:
+    """XXH64 of many stretches of bytes, all together: each step takes the stretches that have so many bytes left."""
+    p1, p2, p3, p4, p5 = PRIMES
+    raw = np.concatenate([raw, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
+    seed_ = np.uint64(seed)
+    with np.errstate(over="ignore"):
+        h = np.full(len(begin), seed_ + p5)
+        long = np.flatnonzero(size >= 32)
+        if len(long):
+            lanes = [np.full(len(long), v) for v in (seed_ + p1 + p2, seed_ + p2, seed_, seed_ - p1)]
+            at, stripes = begin[long], size[long] // 32
+            for k in range(int(stripes.max())):
+                on = np.flatnonzero(stripes > k)
+                for i in range(4):
+                    lanes[i][on] = _round(lanes[i][on], eight[at[on] + 32 * k + 8 * i])
+            merged = sum((_turned(v, n) for v, n in zip(lanes[1:], (7, 12, 18), strict=True)), _turned(lanes[0], 1))
+            for v in lanes:
+                merged = (merged ^ _round(np.zeros_like(v), v)) * p1 + p4
+            h[long] = merged
+        h += size.astype(np.uint64)
+        at, left = begin + size // 32 * 32, size % 32
+        for k in range(3):
+            on = np.flatnonzero(left >= 8 * (k + 1))
+            h[on] = _turned(h[on] ^ _round(np.zeros(len(on), np.uint64), eight[at[on] + 8 * k]), 27) * p1 + p4
+        at, left = at + left // 8 * 8, left % 8
+        on = np.flatnonzero(left >= 4)
+        h[on] = _turned(h[on] ^ (eight[at[on]] & np.uint64(0xFFFFFFFF)) * p1, 23) * p2 + p3
+        at, left = at + left // 4 * 4, left % 4
+        for k in range(3):
+            on = np.flatnonzero(left > k)
+            h[on] = _turned(h[on] ^ raw[at[on] + k].astype(np.uint64) * p5, 11) * p1
+        h ^= h >> np.uint64(33)
+        h *= p2
+        h ^= h >> np.uint64(29)
+        h *= p3
+        return h ^ h >> np.uint64(32)
+
+
+#: Hashes whose bits are counted together.
+BITS = 1 << 17
+
+
 def fingerprints_of(texts: pa.Array, shingle: int) -> np.ndarray:
     """One unsigned 64-bit fingerprint per text."""
     flat, off = words(texts)
-    out = np.zeros(len(texts), np.uint64)
     n = np.diff(off)
     # All words in a row, each after one space: a shingle is a stretch of these bytes.
-    lengths = np.concatenate([[0], np.cumsum(_byte_lengths(flat) + 1)])
-    joined = memoryview(" ".join(flat.to_pylist()).encode())
-    digest = xxhash.xxh64_intdigest
-    for i in np.flatnonzero(n):
-        first, last = int(off[i]), int(off[i + 1])
-        begins = lengths[first : max(last - shingle, first) + 1].tolist()
-        ends = (lengths[min(first + shingle, last) : last + 1] - 1).tolist()
-        hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(begins, ends, strict=True)), np.uint64, len(begins))
-        ones = np.zeros(64, np.int64)
-        for at in range(0, len(hashes), 1 << 14):  # unpacked bits take 64 times the space
-            ones += np.unpackbits(hashes[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-        out[i] = np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0]
-    return out
-
-
-def _byte_lengths(flat: pa.Array) -> np.ndarray:
-    import pyarrow.compute as pc
-
-    return pc.binary_length(flat).to_numpy(zero_copy_only=False).astype(np.int64)
+    raw, ends = _spaced(flat)
+    starts = np.concatenate([[0], ends])
+    count = np.where(n > 0, np.maximum(n - shingle + 1, 1), 0)
+    first = ragged(off[:-1], count)
+    last = np.minimum(first + shingle, np.repeat(off[1:], count)) - 1
+    text = np.repeat(np.arange(len(n)), count)
+    ones = np.zeros((len(n), 64), np.int64)
+    for k in range(0, len(first), BITS):
+        part = slice(k, k + BITS)
+        hashes = xxh64_at(raw, starts[first[part]], ends[last[part]] - 1)
+        new = np.flatnonzero(runs(text[part]))
+        bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        for t, x, y in zip(text[part][new].tolist(), new.tolist(), [*new[1:].tolist(), len(bits)], strict=True):
+            ones[t] += bits[x:y].sum(0, dtype=np.int64)
+    return np.packbits(2 * ones > count[:, None], axis=1, bitorder="little").view("<u8").ravel().astype(np.uint64)
+
+
+def _spaced(flat: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all words with one space after each, and where each ends, its space included."""
+    _, offsets, data = flat.buffers()
+    if not len(flat):
+        return np.zeros(0, np.uint8), np.zeros(0, np.int64)
+    at = np.frombuffer(offsets, np.int64 if pa.types.is_large_string(flat.type) else np.int32)[flat.offset : flat.offset + len(flat) + 1].astype(np.int64)
+    size = np.diff(at)
+    raw = np.full(int(size.sum()) + len(flat), 32, np.uint8)
+    raw[np.arange(size.sum()) + np.repeat(np.arange(len(flat)), size)] = np.frombuffer(data, np.uint8)[at[0] : at[-1]]
+    return raw, np.cumsum(size + 1)
+
+
+def xxh64_at(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The hashes of stretches that lie close together: only the bytes around them are copied."""
+    low, high = int(begin.min()), int(end.max())
+    return xxh64(raw[low:high], begin - low, end - begin)
 
 
 def fingerprints(docs: DataFrame, params: Params, *keep: str) -> DataFrame:

@@ -229,6 +229,15 @@ def brute_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
+def test_hashes_of_stretches():
+    rng = np.random.default_rng(1)
+    raw = rng.integers(0, 256, 5000, dtype=np.uint8)
+    begin = rng.integers(0, 4000, 300)
+    size = np.concatenate([np.arange(100), rng.integers(0, 900, 200)])
+    want = [xxhash.xxh64_intdigest(raw[a : a + n].tobytes(), 42) for a, n in zip(begin, size, strict=True)]
+    assert simhash.xxh64(raw, begin, size).tolist() == want
+
+
 def test_simhash_equals_brute_force(docs, texts):
     got = {r.doc_id: r for r in simhash.near_duplicates(docs).collect()}
     fp = {i: brute_fingerprint(t) for i, t in texts.items()}
