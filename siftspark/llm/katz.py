@@ -48,7 +48,7 @@ END = np.uint64(0x5DEECE66D5DEECE6)
 #: The number of what is before the first token; words have numbers from 1.
 START = 0
 #: Log-probabilities are added up as whole numbers of this part, so that the order of addition has no effect.
-GRAIN = 1e-8
+GRAIN = 1e-6
 
 
 @dataclass(frozen=True)
@@ -209,7 +209,7 @@ def pair_table(known: DataFrame, buckets: int, params: Params) -> DataFrame:
         use = ragged(begin[k], per[k])
         out.append({
             "bucket": int(head["chunk"] % buckets), "chunk": head["chunk"], "before": head["ids"], "word": head["n_tokens"], "unigram": squeeze(sums[0].astype(np.int64)),
-            "train": squeeze(np.rint(sums[1] / GRAIN).astype(np.int64) + (1 << 50)), "per": squeeze(per[k]), "texts": squeeze(text_of[use]), "times": squeeze(times[use]),
+            "train": pack(sums[1]), "per": squeeze(per[k]), "texts": squeeze(text_of[use]), "times": squeeze(times[use]),
         })
         return _table(out, PAIRS)
 
@@ -391,7 +391,7 @@ def text_scores(pairs: DataFrame, statistics: DataFrame, kind: str, params: Para
             total[expand(r["texts"])] -= expand(r["sums"])
         values = np.concatenate([np.zeros(0, np.int64), *(expand(r["values"]) for r in rows)])
         np.subtract.at(total, expand(head["dense_texts"]), np.repeat(values, expand(head["per"])) * expand(head["times"]))
-        base = (expand(head["numerators"]) - (1 << 50)) * GRAIN - n_tokens * np.log10(head["weight"])
+        base = unpack(head["numerators"], np.float64) - n_tokens * np.log10(head["weight"])
         ids = pa.ipc.open_stream(head["ids"]).read_all().column("doc_id")
         return pa.table({"doc_id": ids, "n_tokens": n_tokens, "n_known": expand(head["known"]), "train_tokens": np.full(len(n_tokens), head["total"]), "base_score": base, "score": total * GRAIN})
 

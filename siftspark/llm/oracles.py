@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from siftspark.llm import decontaminate, line_dedup
+from siftspark.llm import decontaminate, katz, line_dedup, quality_rules
 from siftspark.llm.mixing import PRODUCTION, Mix
 
 SPACES = "[ \\t\\n\\x0B\\f\\r]+"
@@ -109,3 +109,76 @@ sm AS (SELECT DISTINCT cd.b AS r FROM cd JOIN s x ON x.r = cd.a JOIN s y ON y.r
 g AS (SELECT l.doc_id, l.number FROM l JOIN s USING (ws) WHERE l.r > s.r OR s.r IN (SELECT r FROM sm)),
 a AS (SELECT doc_id, COUNT(*) AS n, string_agg(number::VARCHAR, ',' ORDER BY number) AS removed FROM g GROUP BY 1)
 SELECT doc_id, len(ls)::INTEGER AS n_lines, COALESCE(n, 0)::INTEGER AS n_removed, COALESCE(removed, '') AS removed FROM d LEFT JOIN a USING (doc_id)"""
+
+
+def _crc32(value: str) -> str:
+    """CRC-32 of a text of ASCII characters, bit by bit."""
+    step = "list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, k: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END))"
+    letters = f"list_transform(string_split({value}, ''), lambda s: ascii(s)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {letters}), lambda c, b: {step}), 4294967295)"
+
+
+def katz_sql(params: katz.Params = katz.Params()) -> str:
+    """Tokens one by one, joined with the counts of words, pairs and contexts. Start and end have a blank, so no word is like them."""
+    most = params.most_discounted
+    counts = ", ".join(f"COALESCE(MAX(n) FILTER (c = {k}), 0)::DOUBLE AS n{k}" for k in range(1, most + 2))
+    common = f"(CASE WHEN n1 > 0 THEN {most + 1} * n{most + 1} / n1 ELSE 1 END)"
+    absolute = "LEAST(CASE WHEN n1 > 0 AND n2 > 0 THEN n1 / (n1 + 2 * n2) ELSE 0.5 END, 0.9)"
+    discounts = " UNION ALL ".join(
+        f"SELECT {c} AS c, CASE WHEN d > 0 AND d < 1 THEN d ELSE ({c} - {absolute}) / {c} END AS disc FROM (SELECT *, CASE WHEN n{c} > 0 AND {common} < 1 THEN ({c + 1} * n{c + 1} / ({c} * n{c}) - {common}) / (1 - {common}) ELSE -1 END AS d FROM gt)"
+        for c in range(1, most + 1)
+    )
+    return f"""
+WITH tk AS (SELECT doc_id, COALESCE({_crc32("doc_id::VARCHAR")} % {params.folds} = {params.held_out_fold}, FALSE) AS held,
+  list_append(list_filter(regexp_split_to_array(translate(COALESCE(text, ''), '{UPPER}', '{LOWER}'), '{SPACES}'), lambda y: y <> ''), ' end') AS ws FROM documents),
+tok AS (SELECT doc_id, held, unnest(ws) AS w, unnest(list_prepend(' start', ws[1:len(ws) - 1])) AS b FROM tk),
+un AS (SELECT w, COUNT(*) AS c FROM tok WHERE NOT held GROUP BY 1),
+nv AS (SELECT COALESCE(SUM(c), 0)::BIGINT AS n, COALESCE(SUM(c), 0)::DOUBLE + 0.5 * (COUNT(*) + 1) AS wt FROM un),
+pr AS (SELECT b, w, COUNT(*) AS c FROM tok WHERE NOT held GROUP BY 1, 2),
+gt AS (SELECT {counts} FROM (SELECT c, COUNT(*) AS n FROM pr GROUP BY 1)),
+ds AS ({discounts}),
+pd AS (SELECT b, w, pr.c, pr.c * COALESCE(disc, 1) AS dc FROM pr LEFT JOIN ds USING (c)),
+c0 AS (SELECT b, SUM(pd.c)::DOUBLE AS total, SUM(dc) / SUM(pd.c) AS share, 1 - SUM((un.c + 0.5) / wt) AS unseen FROM pd JOIN un USING (w), nv GROUP BY 1),
+c1 AS (SELECT *, CASE WHEN unseen < 1e-9 AND share > 0 THEN 1 / share WHEN share > 1 - 1e-9 THEN total / (total + 1) ELSE 1 END AS scale FROM c0),
+cx AS (SELECT *, CASE WHEN unseen < 1e-9 THEN 0 ELSE (1 - share * scale) / unseen END AS backoff FROM c1)
+SELECT doc_id, held AS held_out, COUNT(*) AS n_tokens, COUNT(un.c) AS n_known, ANY_VALUE(n) AS train_tokens, ROUND(SUM(LOG10((COALESCE(un.c, 0) + 0.5) / wt)), 6) AS base_score,
+  SUM(ROUND(LOG10(CASE WHEN pd.c IS NOT NULL THEN scale * dc / total ELSE COALESCE(backoff, 1) * (COALESCE(un.c, 0) + 0.5) / wt END), 6)::DECIMAL(18,6))::DOUBLE AS score
+FROM tok LEFT JOIN un USING (w) LEFT JOIN pd USING (b, w) LEFT JOIN cx USING (b), nv GROUP BY doc_id, held"""
+
+
+def quality_sql() -> str:
+    """Statistics by lists and a count of windows; expectation-maximisation by recursion over the list of vote patterns."""
+    q = quality_rules
+    n = len(q.rules())
+    band = lambda value, bad, good: f"CASE WHEN {bad.format(value)} THEN -1 WHEN {good.format(value)} THEN 1 ELSE 0 END"
+    share = lambda a, b: f"({a} / GREATEST({b}, 1)::DOUBLE)"
+    votes = (
+        band(share("word_chars", "n_words"), "({0} < 2 OR {0} > 14)", "({0} >= 3 AND {0} <= 11)"),
+        band(share("n_symbols", "n_words"), "{0} > 0.1", "{0} < 0.02"),
+        band(share("n_symbols", "word_chars"), "{0} > 0.02", "{0} < 0.005"),
+        band(share("n_shouts", "n_words"), "{0} > 0.1", "{0} < 0.02"),
+        band(share("n_upper", "word_chars"), "{0} > 0.3", "{0} < 0.12"),
+        band(share("n_repeat_words", "n_words"), "{0} > 0.35", "{0} < 0.2"),
+        band(share("n_dup_lines", "n_lines"), "{0} > 0.5", "{0} < 0.2"),
+        band(share("n_distinct", "n_words"), "{0} < CASE WHEN n_words < 1000 THEN 0.3 ELSE 0.1 END", "{0} > 0.4"),
+        band(share("n_sentences", "n_words"), "{0} < 0.002", "{0} > 0.02"),
+    )
+    odds = lambda v: f"(LN(prior / (1 - prior)) + list_sum(list_transform(range(1, {n + 1}), lambda r: CASE {v}[r] WHEN 1 THEN LN(good[r] / (1 - bad[r])) WHEN -1 THEN LN((1 - good[r]) / bad[r]) ELSE 0 END)))"
+    total = lambda weight, test: f"list_sum(list_transform(range(1, len(p) + 1), lambda k: CASE WHEN {test} THEN {weight} ELSE 0 END))"
+    rate = lambda weight, vote, start, least: f"list_transform(range(1, {n + 1}), lambda r: LEAST(GREATEST(({q.PRIOR_VOTES} * {start} + {total(weight, f'p[k].v[r] = {vote}')}) / ({q.PRIOR_VOTES} + {total(weight, 'p[k].v[r] <> 0')}), {least}), 0.999))"
+    ones = lambda x: "[" + ", ".join([f"{x}::DOUBLE"] * n) + "]"
+    blank = "[ \\t\\n\\x0B\\f\\r]"
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, COALESCE(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, '{SPACES}'), lambda y: y <> '') AS ws, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^ \\t\\n\\x0B\\f\\r]')) AS ls FROM d),
+win AS (SELECT doc_id, i, COUNT(*) OVER (PARTITION BY doc_id, g) AS c FROM (SELECT doc_id, i, ws[i:i+2] AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w))),
+rep AS (SELECT doc_id, COUNT(DISTINCT i + k) AS n FROM win, range(3) r(k) WHERE c > 1 GROUP BY 1),
+st AS (SELECT doc_id, len(ws) AS n_words, length(regexp_replace(t, '{blank}', '', 'g')) AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines, len(ls) AS n_lines,
+  len(list_distinct(ws)) AS n_distinct, len(regexp_extract_all(t, '\\p{{Lu}}')) AS n_upper, len(regexp_extract_all(t, '!')) AS n_shouts, len(regexp_extract_all(t, '[.?]')) AS n_sentences, COALESCE(rep.n, 0) AS n_repeat_words FROM w LEFT JOIN rep USING (doc_id)),
+v AS (SELECT *, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT_PERCENT} * n_words AS failed, [{", ".join(votes)}] AS votes FROM st),
+pt AS (SELECT COALESCE(list({{'v': votes, 'n': n::DOUBLE}} ORDER BY votes), []) AS p, COALESCE(SUM(n), 0)::DOUBLE AS total FROM (SELECT votes, COUNT(*) AS n FROM v WHERE NOT failed GROUP BY 1)),
+em AS (SELECT 0 AS i, {q.PRIOR_GOOD}::DOUBLE AS prior, {ones(q.GOOD_ACCURACY)} AS good, {ones(q.BAD_ACCURACY)} AS bad
+  UNION ALL SELECT i + 1, LEAST(GREATEST((COALESCE(list_sum(g), 0) + 1) / (total + 2), 0.02), 0.98), {rate("g[k]", 1, q.GOOD_ACCURACY, q.GOOD_LEAST)}, {rate("(p[k].n - g[k])", -1, q.BAD_ACCURACY, q.BAD_LEAST)}
+  FROM (SELECT i, p, total, list_transform(p, lambda x: x.n / (1 + EXP(-{odds("x.v")}))) AS g FROM em, pt WHERE i < {q.EM_ROUNDS})),
+sc AS (SELECT v.*, 1 / (1 + EXP(-{odds("votes")})) AS posterior FROM v, em WHERE em.i = {q.EM_ROUNDS})
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, failed AS base_failed, NOT failed AND posterior >= 0.5 AS kept, ROUND(posterior, 6) AS posterior FROM sc"""

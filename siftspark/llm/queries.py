@@ -32,7 +32,8 @@ def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return katz.language_scores(table(spark, sf_dir, "documents"))
+    scores = katz.language_scores(table(spark, sf_dir, "documents"))
+    return scores.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,5 +77,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_mixing": oracles.mixing_sql(),
         "op2_decontamination": oracles.leaks_sql(),
+        "op5_katz": oracles.katz_sql(),
         "op7_line_dedup": oracles.lines_sql(),
+        "op9_quality_rules": oracles.quality_sql(),
     }

@@ -82,3 +82,33 @@ def test_urls(spark):
     assert (got[4].host, got[4].path, got[4].rule, got[4].verdict) == ("a.example.com", "/en/x", "example.com/en/", "block")
     assert got[5].path == "" and got[5].verdict == "block"  # the only class that the rules have shown
     assert url_filter.url_verdicts(pages.limit(0)).count() == 0
+
+
+def test_columns_that_clash_with_features(spark):
+    names = ["label", "rule", "verdict", "weight", "path", "url_length", "entropy", "_suffix1", "_f", "_rows", "block_probability", "_features"]
+    rows = [(i, f"http://{h}/x{i}", *(["q"] * len(names))) for i, h in enumerate(["a.com", "b.net", "example.com", "c.org"] * 5)]
+    pages = spark.createDataFrame(rows, "page_id int, url string, " + ", ".join(f"{n} string" for n in names))
+    plain = {r.page_id: tuple(r) for r in url_filter.url_verdicts(pages.select("page_id", "url")).collect()}
+    assert {r.page_id: tuple(r) for r in url_filter.url_verdicts(pages).collect()} == plain and len(plain) == 20
+
+
+def test_scores_at_the_threshold(docs, labels):
+    for scores, params, m in ((quality_model.quality_scores, quality_model.Params, quality_model), (toxicity.toxicity_scores, toxicity.Params, toxicity)):
+        some = sorted({r.score for r in scores(docs, labels).collect()})
+        tie = some[len(some) // 2]
+        got = scores(docs, labels, params(threshold=tie)).collect()
+        assert all(r.predicted == int(r.score >= tie) for r in got) and any(r.score == tie and r.predicted for r in got)
+
+
+def test_lines_of_texts_with_one_id(spark):
+    line = "one two three four five six"
+    rows = [(1, f"{line}\nalpha"), (1, f"beta\n{line}"), (1, f"{line}\nalpha"), (2, f"{line} seven"), (None, "alpha\nnull"), (0, "beta")]
+    got = sorted((r.doc_id or -1, r.n_lines, list(r.removed)) for r in line_dedup.line_verdicts(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    # The null id comes first, then 0; the twins of id 1 are judged alike, and the second line of their sibling repeats their first.
+    assert got == [(-1, 1, []), (-1, 2, []), (1, 2, [0, 1]), (1, 2, [1]), (1, 2, [1]), (2, 1, [0])]
+
+
+def test_marginals_of_the_mix(docs):
+    rows = {(r.axis, r.category): (r.target, r.fitted) for r in mixing.fitted_marginals(docs).collect()}
+    assert abs(sum(f for (axis, _), (_, f) in rows.items() if axis == "lang") - 1) < 1e-6
+    assert rows["source", "src5"][1] == 0  # no document of it
