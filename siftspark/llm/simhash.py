@@ -51,7 +51,7 @@ class Params:
 
     shingle: int = 3
     radius: int = 3
-    leaf: int = 100_000
+    leaf: int = 50_000
     sample: int = 50_000
     small: int = 256
 
