@@ -57,8 +57,8 @@ class Params:
     few: int = 16
     #: Sets from this size on have sketches of four words, as one is soon full.
     wide: int = 64
-    #: Sets without a verified candidate that are broadcast to be compared with all; more of them meet by shuffle.
-    broadcast: int = 50_000
+    #: Words of all sets without a verified candidate up to which these are broadcast to be compared with all; more of them meet by shuffle.
+    broadcast: int = 4_000_000
     #: Prefix words that one task should get, and the bytes of text in one piece.
     bucket: int = 400_000
     piece: int = 8 << 20
@@ -594,12 +594,11 @@ def similar_sets(every: DataFrame, params: Params, extra: DataFrame | None = Non
     similar = params.den * shared >= params.num * (F.size("_wa") + F.size("_wb") - shared)
     links = checkpointed(pairs.join(one, "a").join(two, "b").filter(similar).select("a", "b"))
     left = checkpointed(pairs.filter("more").select("b").distinct().join(links.select("b").distinct(), "b", "left_anti"))
-    n = left.count()
-    if not n:
+    if not left.limit(1).count():
         return links
     wanted = filter_of(left)
-    if n <= params.broadcast:
-        open_ = left.join(_with_places(table, wanted), F.col("b") == F.col("set_id")).join(sets, "set_id").select("b", "words", "o", "number")
+    open_ = checkpointed(left.join(_with_places(table, wanted), F.col("b") == F.col("set_id")).join(sets, "set_id").select("b", "words", "o", "number"))
+    if open_.agg(F.sum(F.size("words"))).first()[0] <= params.broadcast:
         return checkpointed(links.union(_search_few(table, open_.collect(), counts, params)).distinct())
     search = entries(table, counts, crowd, buckets, params, _prefix_filter(table, counts, wanted, params))
     hits = search.groupBy("bucket").applyInArrow(lambda part: _searched(part, wanted, params), "a bigint, b bigint")
