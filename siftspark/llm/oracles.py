@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from siftspark.llm import decontaminate, katz, line_dedup, quality_rules
+from siftspark.llm import decontaminate, katz, line_dedup, quality_rules, simhash
 from siftspark.llm.mixing import PRODUCTION, Mix
 
 SPACES = "[ \\t\\n\\x0B\\f\\r]+"
@@ -182,3 +182,53 @@ em AS (SELECT 0 AS i, {q.PRIOR_GOOD}::DOUBLE AS prior, {ones(q.GOOD_ACCURACY)} A
   FROM (SELECT i, p, total, list_transform(p, lambda x: x.n / (1 + EXP(-{odds("x.v")}))) AS g FROM em, pt WHERE i < {q.EM_ROUNDS})),
 sc AS (SELECT v.*, 1 / (1 + EXP(-{odds("votes")})) AS posterior FROM v, em WHERE em.i = {q.EM_ROUNDS})
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, failed AS base_failed, NOT failed AND posterior >= 0.5 AS kept, ROUND(posterior, 6) AS posterior FROM sc"""
+
+
+def _hash_steps(seed: int) -> list[str]:
+    """The steps of XXH64 as SELECTs, each over the one before (s, hx: the bytes in hexadecimal, n: their number, and h so far)."""
+    p1, p2, p3, p4, p5 = (f"{int(p)}::UHUGEINT" for p in simhash.PRIMES)
+    whole = f"{2**64}::UHUGEINT"
+    turned = lambda x, k: f"((({x}) * {2**k}::UHUGEINT) % {whole} + ({x}) // {2 ** (64 - k)}::UHUGEINT)"
+    times = lambda x, p: f"((({x}) * {p}) % {whole})"
+    either = lambda x, y: f"xor(({x})::UBIGINT, ({y})::UBIGINT)::UHUGEINT"
+    number = lambda at, k: "('0x' || " + " || ".join(f"substr(hx, (2 * ({at} + {i}) + 1)::BIGINT, 2)" for i in reversed(range(k))) + ")::UBIGINT::UHUGEINT"
+    lane = lambda acc, x: times(turned(f"(({acc}) + {times(x, p2)}) % {whole}", 31), p1)
+    starts = (seed + int(simhash.PRIMES[0]) + int(simhash.PRIMES[1])) % 2**64, (seed + int(simhash.PRIMES[1])) % 2**64, seed, (seed - int(simhash.PRIMES[0])) % 2**64
+    stripes = [f"list_reduce(list_prepend({v}::UHUGEINT, list_transform(range(n // 32), lambda k: {number(f'(32 * k + {8 * i})', 8)})), lambda acc, x: {lane('acc', 'x')})" for i, v in enumerate(starts)]
+    steps = [
+        "SELECT s, hex(s) AS hx, strlen(s) AS n FROM (SELECT DISTINCT s FROM sh)",
+        "SELECT *, " + ", ".join(f"CASE WHEN n >= 32 THEN {v} END AS v{i}" for i, v in enumerate(stripes)) + " FROM {0}",
+        f"SELECT *, CASE WHEN n >= 32 THEN ({turned('v0', 1)} + {turned('v1', 7)} + {turned('v2', 12)} + {turned('v3', 18)}) % {whole} ELSE {(seed + int(simhash.PRIMES[4])) % 2**64}::UHUGEINT END AS h FROM {{0}}",
+    ]
+    keep = "SELECT * REPLACE (CASE WHEN {test} THEN {value} ELSE h END AS h) FROM {{0}}"
+    step = lambda test, value: steps.append(keep.format(test=test, value=value))
+    for i in range(4):
+        step("n >= 32", f"({times(either('h', lane('0::UHUGEINT', f'v{i}')), p1)} + {p4}) % {whole}")
+    step("TRUE", f"(h + n::UHUGEINT) % {whole}")
+    for k in range(3):
+        step(f"n % 32 >= {8 * k + 8}", f"({times(turned(either('h', lane('0::UHUGEINT', number(f'(n // 32 * 32 + {8 * k})', 8))), 27), p1)} + {p4}) % {whole}")
+    step("n % 8 >= 4", f"({times(turned(either('h', times(number('(n // 8 * 8)', 4), p1)), 23), p2)} + {p3}) % {whole}")
+    for k in range(3):
+        step(f"n % 4 > {k}", times(turned(either("h", times(number(f"(n // 4 * 4 + {k})", 1), p5)), 11), p1))
+    for k, p in ((33, p2), (29, p3)):
+        step("TRUE", times(either("h", f"h // {2**k}::UHUGEINT"), p))
+    step("TRUE", either("h", f"h // {2**32}::UHUGEINT"))
+    return steps
+
+
+def simhash_sql(params: simhash.Params = simhash.Params()) -> str:
+    """XXH64 in whole numbers of 128 bits, bits counted one by one, all pairs of fingerprints, and what each reaches."""
+    steps = _hash_steps(simhash.SEED)
+    hashes = ",\n".join(f"x{i} AS MATERIALIZED ({q.replace('{0}', f'x{i - 1}')})" for i, q in enumerate(steps))
+    k = params.shingle
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(COALESCE(text, ''), '{UPPER}', '{LOWER}'), '{SPACES}'), lambda y: y <> '') AS ws FROM documents),
+sh AS (SELECT doc_id, s, COUNT(*) AS c FROM (SELECT doc_id, array_to_string(ws[i:i + {k - 1}], ' ') AS s FROM (SELECT doc_id, ws, unnest(range(1, GREATEST(len(ws) - {k - 2}, 2))) AS i FROM d WHERE len(ws) > 0)) GROUP BY 1, 2),
+{hashes},
+bt AS (SELECT doc_id, b, SUM(c * ((h::UBIGINT >> b) & 1)::BIGINT) AS ones, SUM(c) AS n FROM sh JOIN x{len(steps) - 1} USING (s), range(64) r(b) GROUP BY 1, 2),
+fp AS (SELECT doc_id, COALESCE(SUM(CASE WHEN 2 * ones > n THEN 1::HUGEINT << b::HUGEINT ELSE 0::HUGEINT END), 0)::UBIGINT AS f FROM d LEFT JOIN bt USING (doc_id) GROUP BY 1),
+un AS (SELECT f, MIN(doc_id) AS least FROM fp GROUP BY 1),
+l AS (SELECT x.f AS a, y.f AS b FROM un x JOIN un y ON x.f <> y.f AND bit_count(xor(x.f, y.f)::BIT) <= {params.radius}),
+r AS (SELECT f AS a, f AS b FROM un UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+co AS (SELECT r.a AS f, MIN(least) AS component_id FROM r JOIN un ON un.f = r.b GROUP BY 1)
+SELECT doc_id, lpad(lower(hex(f)), 16, '0') AS fingerprint, component_id FROM fp JOIN co USING (f)"""

@@ -79,5 +79,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_decontamination": oracles.leaks_sql(),
         "op5_katz": oracles.katz_sql(),
         "op7_line_dedup": oracles.lines_sql(),
+        "op8_simhash": oracles.simhash_sql(),
         "op9_quality_rules": oracles.quality_sql(),
     }
