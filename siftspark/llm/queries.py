@@ -73,7 +73,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """The others train models, hash texts or permute by key, which is beyond SQL; tests compare them with brute force."""
+    """The others train models or permute by key, which is beyond SQL; tests compare them with brute force."""
     return {
         "op1_mixing": oracles.mixing_sql(),
         "op2_decontamination": oracles.leaks_sql(),

@@ -134,6 +134,8 @@ def learned_terms(docs: DataFrame, labels: DataFrame, params: Params) -> list[st
     A word qualifies by the lower bound of its log-odds; all that do are taken, and the sample bounds
     their number. Contexts are counted by the word before, so that a passage copied many times does not qualify.
     """
+    from siftspark.session import checkpointed
+
     training = labels_by_document(labels, "toxic").filter(~held_out(F.col("doc_id"), params.folds, params.held_out_fold))
     sizes = {r["_label"]: r["n"] for r in training.groupBy("_label").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
@@ -169,7 +171,8 @@ def learned_terms(docs: DataFrame, labels: DataFrame, params: Params) -> list[st
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     words = chosen.select("text", "_label").mapInArrow(count, "word string, good bigint, bad bigint, contexts bigint")
     words = words.groupBy("word").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"), F.bit_count(F.bit_or("contexts")).alias("contexts"))
-    frequent = words.filter((F.col("word") == "") | ((F.col("bad") >= params.least_documents) & (F.col("contexts") >= params.least_contexts)))
+    # Written, as the totals and the terms both come from it.
+    frequent = checkpointed(words.filter((F.col("word") == "") | ((F.col("bad") >= params.least_documents) & (F.col("contexts") >= params.least_contexts))))
     total = frequent.filter("word = ''").select(F.col("good").alias("all_good"), F.col("bad").alias("all_bad"))
     bound = F.log((F.col("bad") / F.col("all_bad")) / ((F.col("good") + 0.5) / (F.col("all_good") + 1))) - 1.64 * F.sqrt(1 / F.col("bad") + 1 / (F.col("good") + 0.5))
     # The totals are one row.
