@@ -18,7 +18,7 @@ from siftspark.operators import evaluation, filters, sampling
 
 @dataclass(frozen=True)
 class LoopConfig:
-    """``sample``: rows to label in an iteration, split r : 1 : 1; ``hit_share``: share of the labelled scores that count as hits."""
+    """``sample``: rows to label in an iteration, split r : 1 : 1 in the first and in thirds later; ``hit_share``: share of the labelled scores that count as hits."""
 
     folder: str
     iterations: int = 3
@@ -55,7 +55,7 @@ def run(library: DataFrame, label: Callable[[DataFrame], DataFrame], config: Loo
     for i in range(1, config.iterations + 1):
         here = f"{config.folder}/iteration={i}"
         total = left.count()
-        sizes = sampling.split_ratio(min(config.sample, total), config.train_ratio)
+        sizes = sampling.split_ratio(min(config.sample, total), config.train_ratio if i == 1 else None)
         shards = left.withColumn("_shard", F.lit(0))
         wanted = spark.createDataFrame([(0, *sizes)], "_shard int, n_train bigint, n_valid bigint, n_test bigint")
         fresh = _stored(lambda s=shards, w=wanted, k=i: label(sampling.stratified_split(s, "_shard", "id", w, config.seed + k).drop("_shard")), spark, f"{here}/labels")
