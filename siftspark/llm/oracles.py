@@ -149,7 +149,6 @@ FROM tok LEFT JOIN un USING (w) LEFT JOIN pd USING (b, w) LEFT JOIN cx USING (b)
 def quality_sql() -> str:
     """Statistics by lists and a count of windows; expectation-maximisation by recursion over the list of vote patterns."""
     q = quality_rules
-    n = len(q.rules())
     band = lambda value, bad, good: f"CASE WHEN {bad.format(value)} THEN -1 WHEN {good.format(value)} THEN 1 ELSE 0 END"
     share = lambda a, b: f"({a} / GREATEST({b}, 1)::DOUBLE)"
     votes = (
@@ -163,6 +162,7 @@ def quality_sql() -> str:
         band(share("n_distinct", "n_words"), "{0} < CASE WHEN n_words < 1000 THEN 0.3 ELSE 0.1 END", "{0} > 0.4"),
         band(share("n_sentences", "n_words"), "{0} < 0.002", "{0} > 0.02"),
     )
+    n = len(votes)
     odds = lambda v: f"(LN(prior / (1 - prior)) + list_sum(list_transform(range(1, {n + 1}), lambda r: CASE {v}[r] WHEN 1 THEN LN(good[r] / (1 - bad[r])) WHEN -1 THEN LN((1 - good[r]) / bad[r]) ELSE 0 END)))"
     total = lambda weight, test: f"list_sum(list_transform(range(1, len(p) + 1), lambda k: CASE WHEN {test} THEN {weight} ELSE 0 END))"
     rate = lambda weight, vote, start, least: f"list_transform(range(1, {n + 1}), lambda r: LEAST(GREATEST(({q.PRIOR_VOTES} * {start} + {total(weight, f'p[k].v[r] = {vote}')}) / ({q.PRIOR_VOTES} + {total(weight, 'p[k].v[r] <> 0')}), {least}), 0.999))"
@@ -232,3 +232,30 @@ l AS (SELECT x.f AS a, y.f AS b FROM un x JOIN un y ON x.f <> y.f AND bit_count(
 r AS (SELECT f AS a, f AS b FROM un UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
 co AS (SELECT r.a AS f, MIN(least) AS component_id FROM r JOIN un ON un.f = r.b GROUP BY 1)
 SELECT doc_id, lpad(lower(hex(f)), 16, '0') AS fingerprint, component_id FROM fp JOIN co USING (f)"""
+
+
+def near_sql(source: str, shingle: int = 5, num: int = 4, den: int = 5) -> str:
+    """Shared shingles counted by pair, and the smallest id that each document reaches: those that stay."""
+    return f"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(COALESCE(text, ''), '{UPPER}', '{LOWER}'), '{SPACES}'), lambda y: y <> '') AS ws FROM {source}),
+g AS (SELECT DISTINCT doc_id, ws[i:i + {shingle - 1}] AS g FROM (SELECT doc_id, ws, unnest(range(1, GREATEST(len(ws) - {shingle - 2}, 2))) AS i FROM w)),
+n AS (SELECT doc_id, COUNT(*) AS n FROM g GROUP BY 1),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, COUNT(*) AS c FROM g x JOIN g y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE {den} * c >= {num} * (x.n + y.n - c)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b)
+SELECT a AS doc_id FROM r GROUP BY 1 HAVING MIN(b) = a"""
+
+
+def pipeline_sql() -> str:
+    """The stages in turn, each over what the one before kept."""
+    over = lambda sql, source: sql.replace("FROM documents", f"FROM {source}")
+    cut = "list_filter(list_zip(range(len(ls)), ls), lambda z: NOT list_contains(string_split(removed, ','), z[1]::VARCHAR))"
+    return f"""
+WITH s1 AS MATERIALIZED (SELECT d.* FROM documents d JOIN ({quality_sql()}) q USING (doc_id) WHERE q.kept),
+k2 AS MATERIALIZED ({over(lines_sql(), "s1")}),
+c2 AS MATERIALIZED (SELECT s1.* REPLACE (CASE WHEN n_removed = 0 THEN text ELSE array_to_string(list_transform({cut}, lambda z: z[2]), chr(10)) END AS text), n_removed FROM (SELECT *, string_split(text, chr(10)) AS ls FROM s1) s1 JOIN k2 USING (doc_id)),
+s2 AS MATERIALIZED (SELECT doc_id, text, lang, source, n_chars FROM c2 WHERE n_removed = 0 OR regexp_matches(text, '[^ \\t\\n\\x0B\\f\\r]')),
+s3 AS MATERIALIZED (SELECT s2.* FROM s2 JOIN ({near_sql("s2")}) k USING (doc_id)),
+s4 AS MATERIALIZED (SELECT s3.* FROM s3 JOIN ({over(leaks_sql(), "s3")}) k USING (doc_id) WHERE NOT contaminated),
+m5 AS MATERIALIZED ({over(mixing_sql(), "s4")})
+SELECT s4.*, rate AS mix_rate, copies AS mix_copies FROM s4 JOIN (SELECT doc_id, rate, copies FROM m5) m USING (doc_id), range(1000) c(i) WHERE c.i < copies"""
