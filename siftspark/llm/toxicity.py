@@ -249,8 +249,10 @@ def fit_curve(rows: DataFrame, params: Params) -> list[float]:
     """Logistic coefficients (constant, sum, density) by Newton steps over sums of all training rows."""
     beta, prior = np.array([-3.0, 2.0, 1.0]), np.array([-3.0, 2.0, 1.0])
     x = [F.lit(1.0), F.col("_a"), F.col("_b")]
-    # Rows with equal features are counted together first; most have no term at all.
-    rows = rows.groupBy(F.round("_a", 3).alias("_a"), F.round("_b", 3).alias("_b"), "_label").agg(F.count("*").alias("_n"))
+    from siftspark.session import checkpointed
+
+    # Rows with equal features are counted together first; most have no term at all. All steps go over these counts.
+    rows = checkpointed(rows.groupBy(F.round("_a", 3).alias("_a"), F.round("_b", 3).alias("_b"), "_label").agg(F.count("*").alias("_n")))
     for _ in range(12):
         p = 1 / (1 + F.exp(-sum(float(w) * v for w, v in zip(beta, x, strict=True))))
         sums = [F.sum(F.col("_n") * (F.col("_label") - p) * v) for v in x] + [F.sum(F.col("_n") * p * (1 - p) * x[i] * x[j]) for i in range(3) for j in range(i, 3)]
@@ -278,7 +280,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, params: Params = Params(
     counts = checkpointed(term_counts(docs, terms).withColumn("held_out", held_out(F.col("doc_id"), params.folds, params.held_out_fold)))
     labelled = checkpointed(counts.filter(~F.col("held_out")).join(labels_by_document(labels, "toxic"), "doc_id").select("terms", "counts", "n_words", "_label"))
     weights = term_weights(labelled, terms, params)
-    c = fit_curve(checkpointed(features(labelled, weights, terms).select("_a", "_b", "_label")), params)
+    c = fit_curve(features(labelled, weights, terms).select("_a", "_b", "_label"), params)
     score = 1 / (1 + F.exp(-(F.lit(c[0]) + c[1] * F.col("_a") + c[2] * F.col("_b"))))
     return features(counts, weights, terms).withColumn("score", score).select(
         "doc_id",
