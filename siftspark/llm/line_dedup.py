@@ -60,8 +60,8 @@ class Params:
     #: Words of all sets without a verified candidate up to which these are broadcast to be compared with all; more of them meet by shuffle.
     broadcast: int = 4_000_000
     #: Prefix words that one task should get, and the bytes of text in one piece.
-    bucket: int = 400_000
-    piece: int = 8 << 20
+    bucket: int = 200_000
+    piece: int = 4 << 20
     #: 0: the sets are the words of each line; k: the k-word shingles of each whole text, as one line.
     shingle: int = 0
 
