@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from siftspark.llm import decontaminate, katz, line_dedup, quality_rules, simhash
+from siftspark.llm import decontaminate, filter_audit, katz, line_dedup, merkle, quality_rules, simhash
 from siftspark.llm.mixing import PRODUCTION, Mix
 
 SPACES = "[ \\t\\n\\x0B\\f\\r]+"
@@ -234,6 +234,56 @@ co AS (SELECT r.a AS f, MIN(least) AS component_id FROM r JOIN un ON un.f = r.b
 SELECT doc_id, lpad(lower(hex(f)), 16, '0') AS fingerprint, component_id FROM fp JOIN co USING (f)"""
 
 
+def merkle_sql(fanout: int = merkle.Params().fanout, levels: int = 6, levels_above: int = 4) -> str:
+    """Trees level by level, over numbered rows and then over the groups' roots; levels suffice for 16 million rows of a source, 65,536 sources."""
+    digits = merkle.DIGITS
+    written = lambda c: f"COALESCE(strlen({c}) || ':' || {c}, '-')"
+    row = lambda text: "sha256(" + " || ".join(written(text if c == "text" else f"{c}::VARCHAR") for c in merkle.COLUMNS) + ")"
+    up = lambda name, k: f"""{name}{k + 1} AS MATERIALIZED (SELECT g, p AS i, c, n AS below, (n + {fanout - 1}) // {fanout} AS n, CASE WHEN n = 1 THEN c ELSE sha256(c) END AS h
+  FROM (SELECT g, n, i // {fanout} AS p, string_agg(h, '' ORDER BY i) AS c FROM {name}{k} GROUP BY ALL))"""
+    before, after = f"substr(c, 1, ({digits} * (r.i % {fanout}))::BIGINT)", f"substr(c, ({digits} * (r.i % {fanout}) + {digits + 1})::BIGINT)"
+    climbed = lambda rows, name, k: f"""{rows}{k + 1} AS (SELECT r.* REPLACE (r.i // {fanout} AS i, CASE WHEN below = 1 THEN x ELSE sha256({before} || x || {after}) END AS x, CASE WHEN below = 1 THEN proof ELSE proof || {before} || {after} END AS proof)
+  FROM {rows}{k} r JOIN {name}{k + 1} t ON r.g IS NOT DISTINCT FROM t.g AND t.i = r.i // {fanout})"""
+    return f"""
+WITH d AS (SELECT doc_id, source, {row("text")} AS leaf, CASE WHEN {_crc32("doc_id::VARCHAR")} % 5 = 0 THEN {row(f"translate(text, '{UPPER}', '{LOWER}')")} END AS bad FROM documents),
+l AS MATERIALIZED (SELECT *, ROW_NUMBER() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, COUNT(*) OVER (PARTITION BY source) AS n FROM d),
+t0 AS (SELECT source AS g, i, n, leaf AS h FROM l),
+{", ".join(up("t", k) for k in range(levels))},
+s AS (SELECT g AS source, h AS subroot, ROW_NUMBER() OVER (ORDER BY g NULLS FIRST) - 1 AS i, COUNT(*) OVER () AS n FROM t{levels}),
+u0 AS (SELECT 0 AS g, i, n, subroot AS h FROM s),
+{", ".join(up("u", k) for k in range(levels_above))},
+r0 AS (SELECT doc_id, leaf, source AS g, i, COALESCE(bad, leaf) AS x, '' AS proof FROM l),
+{", ".join(climbed("r", "t", k) for k in range(levels))},
+q0 AS (SELECT doc_id, leaf, subroot, 0 AS g, s.i, x, proof FROM r{levels} r JOIN s ON r.g IS NOT DISTINCT FROM s.source),
+{", ".join(climbed("q", "u", k) for k in range(levels_above))}
+SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, x AS folded_root, x = h AS verified FROM q{levels_above}, u{levels_above}"""
+
+
+def audit_sql(params: filter_audit.Params = filter_audit.Params()) -> str:
+    """Documents counted by what they fail, and every order of the filters applied to them step by step."""
+    p, k = params, len(filter_audit.FILTERS)
+    marks = "".join(f"\\{c}" for c in p.marks)
+    orders = " || ".join(f"c{i}.c" for i in range(k))
+    letters = ", ".join(f"letters c{i}" for i in range(k))
+    other = " AND ".join(f"c{i}.c <> c{j}.c" for i in range(k) for j in range(i))
+    passed = lambda upto: f"len(list_filter(range(1, {upto} + 1), lambda j: fails[ascii(filter_order[j]) - 64])) = 0"
+    count = lambda column, test: f"COALESCE(SUM({column}) FILTER ({test}), 0)::BIGINT"
+    here = "fails[ascii(filter_order[step]) - 64]"
+    return f"""
+WITH d AS (SELECT doc_id, COALESCE(source, '') AS part, COALESCE(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '{SPACES}'), lambda y: y <> '') AS ws, MIN(doc_id) OVER (PARTITION BY t) AS least FROM d),
+f AS (SELECT doc_id, part, [len(ws) < {p.least_words}, 100 * len(list_distinct(ws)) < {p.distinct_percent} * len(ws), 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > {p.capital_percent} * length(t),
+  regexp_matches(t, '[{marks}]'), COALESCE(doc_id > least, FALSE)] AS fails FROM w),
+lb AS (SELECT doc_id, COALESCE(MAX((quality = 1)::INT), 0) AS good, COALESCE(MAX((toxic = 1)::INT), 0) AS toxic FROM labels GROUP BY 1),
+x AS (SELECT part, fails, COUNT(*) AS n, COALESCE(SUM(good), 0) AS good, COALESCE(SUM(toxic), 0) AS toxic FROM f LEFT JOIN lb USING (doc_id) GROUP BY 1, 2),
+letters AS (SELECT chr(65 + i::INT) AS c FROM range({k}) r(i)),
+o AS (SELECT {orders} AS filter_order, s.i::INTEGER AS step FROM {letters}, range(1, {k + 1}) s(i) WHERE {other}),
+y AS (SELECT part, filter_order, step, {count("n", passed("step"))} AS kept, {count("n", f"{here} AND {passed('(step - 1)')}")} AS removed, {count("n", f"{here} AND NOT ({passed('(step - 1)')})")} AS redundant,
+  {count("n", f"{here} AND len(list_filter(fails, lambda b: b)) = 1")} AS unique_fails, {count("good", f"{here} AND {passed('(step - 1)')}")} AS good_lost, {count("toxic", f"{here} AND {passed('(step - 1)')}")} AS toxic_lost
+  FROM x, o GROUP BY 1, 2, 3)
+SELECT *, (SUM(removed) OVER (PARTITION BY part, filter_order[step]))::BIGINT AS shapley FROM y"""
+
+
 def near_sql(source: str, shingle: int = 5, num: int = 4, den: int = 5) -> str:
     """Shared shingles counted by pair, and the smallest id that each document reaches: those that stay."""
     return f"""

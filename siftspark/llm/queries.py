@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftspark.llm import decontaminate, katz, line_dedup, mixing, oracles, pii, quality_model, quality_rules, simhash, toxicity, url_filter
+from siftspark.llm import decontaminate, filter_audit, katz, line_dedup, merkle, mixing, oracles, pii, quality_model, quality_rules, simhash, token_counts, toxicity, url_filter
 from siftspark.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = merkle.leaves(table(spark, sf_dir, "documents")).withColumn("tampered", merkle.tampered())
+    found = merkle.proofs(docs.select("doc_id", "source", "leaf", "tampered"))
+    folded = merkle.fold(F.coalesce("_row.tampered", "_row.leaf"), F.col("siblings")).alias("folded_root")
+    row = found.select("_row.doc_id", "_row.leaf", "subroot", "root", merkle.proof_digest(F.col("siblings")).alias("proof_sha256"), folded)
+    return row.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    if vocabulary is None:
+        import public_tokenizers
+
+        vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), token_counts.read_vocabulary(vocabulary))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mixing": op1_mixing,
@@ -69,6 +89,9 @@ def queries() -> dict[str, Query]:
         "op8_simhash": op8_simhash,
         "op9_quality_rules": op9_quality_rules,
         "op10_toxicity": op10_toxicity,
+        "op11_merkle": op11_merkle,
+        "op12_filter_audit": op12_filter_audit,
+        "op13_token_counts": op13_token_counts,
     }
 
 
@@ -81,4 +104,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_line_dedup": oracles.lines_sql(),
         "op8_simhash": oracles.simhash_sql(),
         "op9_quality_rules": oracles.quality_sql(),
+        "op11_merkle": oracles.merkle_sql(),
+        "op12_filter_audit": oracles.audit_sql(),
     }
