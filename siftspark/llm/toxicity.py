@@ -20,8 +20,10 @@ from __future__ import annotations
 import math
 import unicodedata
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -120,10 +122,13 @@ def matches(text: str, found: ahocorasick.Automaton) -> dict[int, int]:
     hits = [(end - n + 1, end, k) for end, (k, n) in found.iter(f" {folded(text)} ")]
     if not hits:
         return {}
-    excused = [(a, b) for a, b, k in hits if k < 0]
+    excused = sorted((a, b) for a, b, k in hits if k < 0)
+    starts, reach = [a for a, _ in excused], list(accumulate((b for _, b in excused), max))
     counts: dict[int, int] = {}
     for a, b, k in hits:
-        if k >= 0 and not any(x <= a and b <= y for x, y in excused):
+        # Of the phrases that begin no later, the one that goes furthest decides.
+        before = bisect_right(starts, a)
+        if k >= 0 and not (before and b <= reach[before - 1]):
             counts[k] = counts.get(k, 0) + 1
     return counts
 
