@@ -13,8 +13,12 @@ NO_ID = -(2**63)
 
 
 def order_table(docs: DataFrame) -> DataFrame | None:
-    """(doc_id, _o): the distinct ids, numbered in their order; None where the ids are whole numbers already."""
-    if dict(docs.dtypes)["doc_id"] in WHOLE:
+    """(doc_id, _o): the distinct ids, numbered in their order; None where the ids are whole numbers already.
+
+    Whole numbers are numbered, too, where the least one of all is among them, as it stands for null.
+    """
+    kind = dict(docs.dtypes)["doc_id"]
+    if kind in WHOLE and (kind != "bigint" or not docs.select("doc_id").filter(F.col("doc_id") == NO_ID).limit(1).count()):
         return None
     return numbered(docs.select("doc_id").filter("doc_id IS NOT NULL").distinct(), ["doc_id"], "_o")
 

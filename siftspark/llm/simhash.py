@@ -37,8 +37,6 @@ from siftspark.llm.tokens import mixed, pieces, ragged, runs, texts_of, words
 from siftspark.session import find_package
 
 SEED = 42
-#: Above all document ids.
-NAMELESS = 2**62
 
 
 @dataclass(frozen=True)
@@ -284,7 +282,7 @@ def spanning_links(x: np.ndarray, radius: int, small: int = 256) -> list[tuple[i
 
 
 def fingerprint_links(distinct: DataFrame, params: Params) -> DataFrame:
-    """(a, b): links that span the components of the distinct fingerprints ``fp``, named by their ``v``.
+    """(a, b): links that span the components of the distinct fingerprints ``fp``.
 
     The tree is broadcast inside the tasks; its size follows ``sample``, not the data.
     """
@@ -298,32 +296,31 @@ def fingerprint_links(distinct: DataFrame, params: Params) -> DataFrame:
         for batch in batches:
             fp = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
             for shard, at in tree.deal(fp):
-                yield pa.record_batch([pa.array(np.full(len(at), shard, np.int32)), batch.column("fp").take(pa.array(at)), batch.column("v").take(pa.array(at))], names=["shard", "fp", "v"])
+                yield pa.record_batch([pa.array(np.full(len(at), shard, np.int32)), batch.column("fp").take(pa.array(at))], names=["shard", "fp"])
 
     def link(part: pa.Table) -> pa.Table:
-        fp = part.column("fp").to_numpy().view(np.uint64)
-        v = part.column("v").to_numpy()
-        pairs = np.array(spanning_links(fp, params.radius, params.small), np.int64).reshape(-1, 2)
-        return pa.table({"a": v[pairs[:, 0]], "b": v[pairs[:, 1]]})
+        fp = part.column("fp").to_numpy()
+        pairs = np.array(spanning_links(fp.view(np.uint64), params.radius, params.small), np.int64).reshape(-1, 2)
+        return pa.table({"a": fp[pairs[:, 0]], "b": fp[pairs[:, 1]]})
 
-    return distinct.mapInArrow(deal, "shard int, fp bigint, v bigint").groupBy("shard").applyInArrow(link, "a bigint, b bigint")
+    return distinct.select("fp").mapInArrow(deal, "shard int, fp bigint").groupBy("shard").applyInArrow(link, "a bigint, b bigint")
 
 
 def fingerprint_classes(rows: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
     """(fp, component) of each distinct fingerprint in ``rows`` (_o, doc_id, fp), the component by its smallest _o, null
-    where no row has an id; and the frequent fingerprints."""
+    where no row has an id; and the frequent fingerprints. Links and components are of fingerprints, so any id will do."""
     from siftspark.session import checkpointed
 
     named_rows = rows.filter("doc_id IS NOT NULL")
-    distinct = checkpointed(rows.groupBy("fp").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.col("_o"))).alias("v"), F.count("*").alias("n")))
-    # Without an id of its own, a fingerprint takes a name beyond all ids for the time being.
-    named = distinct.select("fp", F.coalesce("v", F.lit(NAMELESS) + F.pmod("fp", F.lit(2**61))).alias("v"))
-    links = fingerprint_links(named, params)
-    several = checkpointed(named_rows.groupBy("_o").agg(F.min("fp").alias("x"), F.max("fp").alias("y")).filter("x != y").select("_o"))
+    distinct = checkpointed(rows.groupBy("fp").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.col("_o"))).alias("least"), F.count("*").alias("n")))
+    links = fingerprint_links(distinct, params)
+    several = checkpointed(named_rows.groupBy("_o").agg(F.min("fp").alias("a"), F.max("fp").alias("y")).filter("a != y").select("_o", "a"))
     if several.limit(1).count():
-        links = links.union(named_rows.join(several, "_o", "left_semi").select("_o", "fp").distinct().join(named, "fp").select("_o", "v"))
-    component = F.coalesce("root", "v")
-    classes = checkpointed(named.join(components(links), "v", "left").select("fp", F.when(component < NAMELESS, component).alias("component")))
+        links = links.union(named_rows.join(several, "_o").select("a", F.col("fp").alias("b")))
+    rooted = checkpointed(distinct.join(components(links), F.col("fp") == F.col("v"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    # Most fingerprints are their own component; the others' least id is an aggregate of one row for each of them.
+    names = rooted.groupBy("root").agg(F.min("least").alias("component"))
+    classes = checkpointed(rooted.select("fp", "root").join(names, "root").select("fp", "component"))
     return classes, distinct.select("fp", "n")
 
 
