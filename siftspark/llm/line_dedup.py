@@ -208,6 +208,11 @@ def _sets_of(batch: pa.RecordBatch) -> Iterator[tuple[dict, Piece]]:
         yield r, Piece(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), unpack(r["set_id"], np.int64), codes, off, keys)
 
 
+def sets_of(batch: pa.RecordBatch) -> Iterator[Piece]:
+    """The sets of a batch of pieces."""
+    return (p for _, p in _sets_of(batch))
+
+
 def _lines_of(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of each line of a packed piece: place in the order and key of its text, text, number and set."""
     row = np.cumsum(expand(r["row"]))
@@ -254,6 +259,27 @@ def crowds(table: DataFrame, counts: np.ndarray, params: Params) -> np.ndarray:
     return added(table.mapInArrow(count, SLICED), params.slots)
 
 
+def hot_words(table: DataFrame, counts: np.ndarray, crowd: np.ndarray, params: Params) -> tuple[np.ndarray, np.ndarray]:
+    """The prefix words that more sets have than a block holds, sorted, and their blocks: 1 + sets // block.
+
+    Only words of crowded slots are counted one by one; those that are hot are fewer than all prefix words / block.
+    """
+    crowded = crowd > params.block
+    if not crowded.any():
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, p in _sets_of(batch):
+                word = prefixes(p, counts, params)[1]
+                word, n = np.unique(word[crowded[_slot(word, params.slots)]], return_counts=True)
+                if len(word):
+                    yield pa.record_batch([pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
+
+    hot = table.mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") > params.block).orderBy("word").collect()
+    return np.array([r["word"] for r in hot], np.int64).view(np.uint64), 1 + np.array([r["n"] for r in hot], np.int64) // params.block
+
+
 #: The prefix words of the sets of one piece that fall into one bucket: part of the word's hash, set id, sketch, place of
 #: the set's first line (differences to the least in the order, line number), size, and position of the word; for the large
 #: sets among them three of the four sketch words (the fourth follows, as all four make the sketch). ``words``: the whole sets, where asked for.
@@ -261,7 +287,7 @@ ENTRIES = "bucket int, word binary, set_id binary, sketch binary, least bigint,
 WIDE = 3
 
 
-def _sketches(p: Piece, params: Params) -> tuple[np.ndarray, np.ndarray]:
+def sketches(p: Piece, params: Params) -> tuple[np.ndarray, np.ndarray]:
     """The parity sketch of each set, and of the large sets three of its four words (0 for the others)."""
     bit = (np.uint64(1) << (p.keys & np.uint64(63)))[p.codes]
     sketch = np.bitwise_xor.reduceat(bit, p.off[:-1]) if len(bit) else np.zeros(0, np.uint64)
@@ -276,8 +302,9 @@ def _sketches(p: Piece, params: Params) -> tuple[np.ndarray, np.ndarray]:
     return sketch, wide
 
 
-def entries(table: DataFrame, counts: np.ndarray, crowd: np.ndarray, buckets: int, params: Params, only: Filter | None = None) -> DataFrame:
-    """The prefix words of all sets, or those that pass ``only``, with the whole sets. Words of a crowded slot go to pairs of blocks."""
+def entries(table: DataFrame, counts: np.ndarray, hot: tuple[np.ndarray, np.ndarray], buckets: int, params: Params, only: Filter | None = None) -> DataFrame:
+    """The prefix words of all sets, or those that pass ``only``, with the whole sets. Hot words go to pairs of blocks, all others to one."""
+    hot_word, hot_blocks = np.append(hot[0], np.uint64(2**64 - 1)), np.append(hot[1], 1)  # the last stands for none
 
     def rows(r: dict, p: Piece) -> Iterator[tuple]:
         chosen = None
@@ -292,8 +319,9 @@ def entries(table: DataFrame, counts: np.ndarray, crowd: np.ndarray, buckets: in
             return
         o, _, _, number, which = _lines_of(r)
         first = _earliest(len(p.set_id), which, o, number)
-        sketch, wide = _sketches(p, params)
-        blocks = 1 + crowd[_slot(word, params.slots)].astype(np.int64) // params.block
+        sketch, wide = sketches(p, params)
+        place = np.searchsorted(hot_word, word)
+        blocks = np.where(hot_word[place] == word, hot_blocks[place], 1)
         # What is in block b of B goes to the pairs of b and each other block, or to itself if B is 1.
         copies = np.maximum(blocks - 1, 1)
         own = np.repeat(mixed(p.set_id[j].view(np.uint64)) % blocks.astype(np.uint64), copies).astype(np.int64)
@@ -353,7 +381,7 @@ def _gathered(part: pa.Table, params: Params) -> dict[str, np.ndarray]:
     return t | {"group": group, "wide": wide[:, at[order]] if wide.size else np.zeros((WIDE, len(order)), np.uint64)}
 
 
-def _passes(t: dict[str, np.ndarray], a: np.ndarray, u: dict[str, np.ndarray], b: np.ndarray, params: Params) -> np.ndarray:
+def passes(t: dict[str, np.ndarray], a: np.ndarray, u: dict[str, np.ndarray], b: np.ndarray, params: Params) -> np.ndarray:
     """Which of the pairs (a of t, b of u) under one word may be similar: lengths, positions, and sketches."""
     na, nb = t["n"][a], u["n"][b]
     need = -(-params.num * (na + nb) // (params.num + params.den))
@@ -397,7 +425,7 @@ def candidate_pairs(t: dict[str, np.ndarray], params: Params) -> tuple[np.ndarra
     done = np.zeros(len(found), bool)
     out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for a, b in _windows(t, np.arange(len(found)), done, 2 * params.few):
-        ok = _passes(t, a, t, b, params)
+        ok = passes(t, a, t, b, params)
         out_a.append(a[ok])
         out_b.append(b[ok])
         np.add.at(found, b[ok], 1)
@@ -408,10 +436,9 @@ def candidate_pairs(t: dict[str, np.ndarray], params: Params) -> tuple[np.ndarra
 OFFERS = "a bigint, b bigint, more boolean"
 
 
-def _places(x: np.ndarray) -> np.ndarray:
-    """The place of each entry among the equal ones of a sorted array."""
-    new = runs(x)
-    return np.arange(len(x)) - np.flatnonzero(new)[np.cumsum(new) - 1] if len(x) else np.zeros(0, np.int64)
+def places(new: np.ndarray) -> np.ndarray:
+    """The place of each entry in its run; ``new``: where runs begin."""
+    return np.arange(len(new)) - np.flatnonzero(new)[np.cumsum(new) - 1] if len(new) else np.zeros(0, np.int64)
 
 
 def _offered(part: pa.Table, params: Params) -> pa.Table:
@@ -426,13 +453,13 @@ def _offered(part: pa.Table, params: Params) -> pa.Table:
     one = runs(sb) | runs(sa)
     many = np.unique(sb[more])
     rank = np.zeros(len(sa), np.int64)
-    rank[one] = _places(sb[one])
+    rank[one] = places(runs(sb[one]))
     keep = one & (rank < params.few)
     beyond = np.unique(sb[one & (rank >= params.few)])
     if params.shingle:
         back = np.zeros(len(sa), np.int64)
         first = oa[one[oa]]
-        back[first] = _places(sa[first])
+        back[first] = places(runs(sa[first]))
         keep |= one & (back < params.few)
     sa, sb = sa[keep], sb[keep]
     return pa.table({"a": sa, "b": sb, "more": np.isin(sb, many) | np.isin(sb, beyond)})
@@ -462,13 +489,12 @@ def _searched(part: pa.Table, wanted: Filter, params: Params) -> pa.Table:
     done = np.zeros(len(t["group"]), bool)
     out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for a, b in _windows(t, np.flatnonzero(wanted.has(t["set_id"])), done, 2 * params.few):
-        ok = _passes(t, a, t, b, params)
+        ok = passes(t, a, t, b, params)
         a, b = a[ok], b[ok]
         similar = _verified((words_, t["words_at"][a], t["n"][a]), (words_, t["words_at"][b], t["n"][b]), params)
         out_a.append(t["set_id"][a[similar]])
         out_b.append(t["set_id"][b[similar]])
-        if not params.shingle:  # for whole texts all links count
-            done[b[similar]] = True
+        done[b[similar]] = True
     return pa.table({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
 
 
@@ -488,7 +514,7 @@ def set_words(table: DataFrame, wanted: Filter) -> DataFrame:
     return table.mapInArrow(make, "set_id bigint, words array<bigint>").dropDuplicates(["set_id"])
 
 
-def _prefix_filter(table: DataFrame, counts: np.ndarray, wanted: Filter, params: Params) -> Filter:
+def prefix_filter(table: DataFrame, counts: np.ndarray, wanted: Filter, params: Params) -> Filter:
     """The prefix words of the sets that pass ``wanted``."""
     from siftspark.session import checkpointed
 
@@ -514,7 +540,7 @@ def _search_few(table: DataFrame, rows: list, counts: np.ndarray, params: Params
     owner, word, pos = prefixes(mine, counts, params)
     order = np.argsort(word, kind="stable")
     owner, word = owner[order], word[order]
-    sketch, wide = _sketches(mine, params)
+    sketch, wide = sketches(mine, params)
     u = {"set_id": mine.set_id[owner], "n": mine.n[owner], "pos": pos[order], "sketch": sketch[owner], "wide": wide[:, owner]}
     place = tuple(np.array([r[c] for r in rows], np.int64)[owner] for c in ("o", "number")) + (u["set_id"],)
     theirs = mine.words(np.arange(len(rows)))[0]
@@ -532,7 +558,7 @@ def _search_few(table: DataFrame, rows: list, counts: np.ndarray, params: Params
                     continue
                 o, _, _, number, which = _lines_of(r)
                 first = _earliest(len(p.set_id), which, o, number)
-                sketch, wide = _sketches(p, params)
+                sketch, wide = sketches(p, params)
                 t = {"set_id": p.set_id[j], "n": p.n[j], "pos": at, "sketch": sketch[j], "wide": wide[:, j]}
                 earlier = (o[first[j]], number[first[j]], t["set_id"])
                 total = np.concatenate([[0], np.cumsum(n)])
@@ -546,11 +572,10 @@ def _search_few(table: DataFrame, rows: list, counts: np.ndarray, params: Params
                         before = (x[a] < y[b]) | ((x[a] == y[b]) & before)
                     keep = before & ~done[owner[b]]
                     a, b = a[keep], b[keep]
-                    ok = _passes(t, a, u, b, params)
+                    ok = passes(t, a, u, b, params)
                     a, b = a[ok], b[ok]
                     similar = _verified((p.keys[p.codes], p.off[j[a]], t["n"][a]), (theirs, mine.off[owner[b]], u["n"][b]), params)
-                    if not params.shingle:
-                        done[owner[b[similar]]] = True
+                    done[owner[b[similar]]] = True
                     if similar.any():
                         yield pa.record_batch([pa.array(t["set_id"][a[similar]]), pa.array(u["set_id"][b[similar]])], names=["a", "b"])
 
@@ -573,8 +598,30 @@ def _with_places(table: DataFrame, wanted: Filter) -> DataFrame:
     return places.groupBy("set_id").agg(F.min(F.struct("o", "number")).alias("_p")).select("set_id", "_p.*")
 
 
-def similar_sets(every: DataFrame, params: Params, extra: DataFrame | None = None) -> DataFrame:
-    """(a, b): similar sets that are not equal, a before b; each set to which an earlier one is similar is a b.
+@dataclass(frozen=True)
+class Links:
+    """What the first candidates of all sets gave: the pieces, the frequencies of words, (a, b) similar sets, the words of these
+    and other candidates, and (b) the sets that had more candidates."""
+
+    table: DataFrame
+    counts: np.ndarray
+    hot: tuple[np.ndarray, np.ndarray]
+    buckets: int
+    links: DataFrame
+    sets: DataFrame
+    more: DataFrame
+
+
+def verified_pairs(pairs: DataFrame, sets: DataFrame, params: Params) -> DataFrame:
+    """Those of the candidates (a, b, ...) that are similar; the words of all are in ``sets`` (set_id, words)."""
+    one, two = sets.select(F.col("set_id").alias("a"), F.col("words").alias("_wa")), sets.select(F.col("set_id").alias("b"), F.col("words").alias("_wb"))
+    shared = F.size(F.array_intersect("_wa", "_wb"))
+    similar = params.den * shared >= params.num * (F.size("_wa") + F.size("_wb") - shared)
+    return pairs.join(one, "a").join(two, "b").filter(similar).select("a", "b")
+
+
+def first_links(every: DataFrame, params: Params, extra: DataFrame | None = None) -> Links:
+    """The similar sets among the first candidates, and which sets have more of them.
 
     ``extra``: candidates (a, b) that were found elsewhere, to be verified as well.
     """
@@ -583,26 +630,32 @@ def similar_sets(every: DataFrame, params: Params, extra: DataFrame | None = Non
     table = every.filter("piece IS NOT NULL").drop("k", "v")
     counts = added(every.filter("piece IS NULL"), params.slots)
     crowd = crowds(table, counts, params)
+    hot = hot_words(table, counts, crowd, params)
     buckets = max(16, int(crowd.sum(dtype=np.int64)) // params.bucket)
-    pairs = entries(table, counts, crowd, buckets, params).groupBy("bucket").applyInArrow(lambda part: _offered(part, params), OFFERS)
+    pairs = entries(table, counts, hot, buckets, params).groupBy("bucket").applyInArrow(lambda part: _offered(part, params), OFFERS)
     if extra is not None:
         pairs = pairs.unionByName(extra.select("a", "b", F.lit(False).alias("more")))
     pairs = checkpointed(pairs.groupBy("a", "b").agg(F.bool_or("more").alias("more")))
     sets = checkpointed(set_words(table, filter_of(pairs.select(F.explode(F.array("a", "b")).alias("id")))))
-    one, two = sets.select(F.col("set_id").alias("a"), F.col("words").alias("_wa")), sets.select(F.col("set_id").alias("b"), F.col("words").alias("_wb"))
-    shared = F.size(F.array_intersect("_wa", "_wb"))
-    similar = params.den * shared >= params.num * (F.size("_wa") + F.size("_wb") - shared)
-    links = checkpointed(pairs.join(one, "a").join(two, "b").filter(similar).select("a", "b"))
-    left = checkpointed(pairs.filter("more").select("b").distinct().join(links.select("b").distinct(), "b", "left_anti"))
+    links = checkpointed(verified_pairs(pairs, sets, params))
+    return Links(table, counts, hot, buckets, links, sets, pairs.filter("more").select("b").distinct())
+
+
+def similar_sets(every: DataFrame, params: Params) -> DataFrame:
+    """(a, b): similar sets that are not equal, a before b; each set to which an earlier one is similar is a b."""
+    from siftspark.session import checkpointed
+
+    x = first_links(every, params)
+    left = checkpointed(x.more.join(x.links.select("b").distinct(), "b", "left_anti"))
     if not left.limit(1).count():
-        return links
+        return x.links
     wanted = filter_of(left)
-    open_ = checkpointed(left.join(_with_places(table, wanted), F.col("b") == F.col("set_id")).join(sets, "set_id").select("b", "words", "o", "number"))
+    open_ = checkpointed(left.join(_with_places(x.table, wanted), F.col("b") == F.col("set_id")).join(x.sets, "set_id").select("b", "words", "o", "number"))
     if open_.agg(F.sum(F.size("words"))).first()[0] <= params.broadcast:
-        return checkpointed(links.union(_search_few(table, open_.collect(), counts, params)).distinct())
-    search = entries(table, counts, crowd, buckets, params, _prefix_filter(table, counts, wanted, params))
+        return checkpointed(x.links.union(_search_few(x.table, open_.collect(), x.counts, params)).distinct())
+    search = entries(x.table, x.counts, x.hot, x.buckets, params, prefix_filter(x.table, x.counts, wanted, params))
     hits = search.groupBy("bucket").applyInArrow(lambda part: _searched(part, wanted, params), "a bigint, b bigint")
-    return checkpointed(links.union(hits).distinct())
+    return checkpointed(x.links.union(hits).distinct())
 
 
 # --- what goes ---------------------------------------------------------------------------------
