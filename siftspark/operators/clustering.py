@@ -1,51 +1,94 @@
 """Taylor-Butina clustering.
 
-A member's priority is its number of neighbours, then its id, larger first. The
-centroids are the first maximal independent set in that order: in each round
-every live member that beats all its live neighbours becomes a centroid and
-takes them out. Few rounds are needed, each is a join on the edges, and every
-round is written to the checkpoint folder.
+A member's priority is its number of neighbours, then its id, larger first. The centroids are the first maximal
+independent set in that order: in each round every live member that beats all its live neighbours becomes a
+centroid and takes them out. That settles most members in a few rounds, but a path along which the priorities rise gives
+one centroid a round. So after a few rounds what is left is split into connected components, which cannot influence
+each other; those with few links are settled in order of priority, many of them in one task, and rounds go on in the large
+ones only. Every round is written to the checkpoint folder, and dead links are dropped.
 """
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftspark.session import checkpointed
-
-
-def butina(nodes: DataFrame, edges: DataFrame, rounds: int = 100) -> DataFrame:
+from siftspark.operators.graph import components
+from siftspark.session import checkpointed, find_package
+
+if TYPE_CHECKING:
+    import pandas as pd
+
+
+def _in_order(links: pd.DataFrame) -> pd.DataFrame:
+    """The centroids (id) of some whole components, from their links (a, b, deg) in both directions; deg is of a."""
+    near: dict = {}
+    for a, b in zip(links["a"], links["b"], strict=True):
+        near.setdefault(a, []).append(b)
+    taken, chosen = set(), []
+    for a in links[["a", "deg"]].drop_duplicates().sort_values(["deg", "a"], ascending=False)["a"]:
+        if a not in taken:
+            chosen.append(a)
+            taken.update(near[a])
+    return links[["a"]].drop_duplicates().loc[lambda x: x["a"].isin(chosen)]
+
+
+def _settle_small(live: DataFrame, open_: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
+    """(chosen, rest): centroids of the components of at most ``small`` links, and the live members of the larger ones."""
+    roots = checkpointed(components(open_.select("a", "b")))
+    rooted = checkpointed(open_.select("a", "b", F.col("pa.deg").alias("deg")).join(roots.withColumnRenamed("v", "a"), "a"))
+    sizes = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("_n"))
+    few = sizes.filter(F.col("_n") <= small).select("root")
+    tasks = F.lit(1 + rooted.count() // small)
+    kind = rooted.schema["a"].dataType.simpleString()
+    find_package(live.sparkSession)
+    chosen = rooted.join(few, "root", "left_semi").groupBy(F.pmod(F.xxhash64("root"), tasks)).applyInPandas(_in_order, f"a {kind}")
+    large = roots.join(sizes.filter(F.col("_n") > small).select("root"), "root", "left_semi")
+    return checkpointed(chosen.select(F.col("a").alias("id"))), checkpointed(live.join(large.select(F.col("v").alias("id")), "id", "left_semi"))
+
+
+def butina(nodes: DataFrame, edges: DataFrame, rounds: int = 3, small: int = 100_000) -> DataFrame:
     """(member, centroid, sim) from nodes (id) and undirected edges (a, b, sim) above the threshold.
 
-    A member joins its neighbouring centroid of highest priority; a centroid is its own with sim 1.
+    A member joins its neighbouring centroid of highest priority; a centroid is its own with sim 1. ``rounds``: before the rest is
+    split into components; ``small``: links of a component that one task settles.
     """
     both = edges.select("a", "b", "sim").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim")).filter("a != b").dropDuplicates(["a", "b"])
     degree = both.groupBy(F.col("a").alias("id")).agg(F.count("*").alias("deg"))
     rank = nodes.select("id").distinct().join(degree, "id", "left").select("id", F.struct(F.coalesce("deg", F.lit(0)).alias("deg"), F.col("id")).alias("p"))
     rank = checkpointed(rank)
     links = both.join(rank.select(F.col("id").alias("a"), F.col("p").alias("pa")), "a").join(rank.select(F.col("id").alias("b"), F.col("p").alias("pb")), "b")
-    links = checkpointed(links)
+    links = open_ = checkpointed(links)
     live = rank.filter("p.deg > 0").select("id", "p")
     centroids = rank.filter("p.deg = 0").select("id")
-    for _ in range(rounds):
-        if not live.limit(1).count():
-            break
-        ids = live.select("id")
-        inside = links.join(ids.withColumnRenamed("id", "a"), "a", "left_semi").join(ids.withColumnRenamed("id", "b"), "b", "left_semi")
-        strongest = inside.groupBy(F.col("a").alias("id")).agg(F.max("pb").alias("best"))
+    done = 0
+    while live.limit(1).count():
+        strongest = open_.groupBy(F.col("a").alias("id")).agg(F.max("pb").alias("best"))
         chosen = checkpointed(live.join(strongest, "id", "left").filter("best IS NULL OR p > best").select("id"))
-        taken = links.join(chosen.withColumnRenamed("id", "a"), "a", "left_semi").select(F.col("b").alias("id"))
+        taken = open_.join(chosen.withColumnRenamed("id", "a"), "a", "left_semi").select(F.col("b").alias("id"))
         live = checkpointed(live.join(chosen.union(taken).distinct(), "id", "left_anti"))
+        open_ = checkpointed(_between(open_, live))
         centroids = centroids.union(chosen)
-    else:
-        raise RuntimeError(f"clustering did not settle in {rounds} rounds")
+        done += 1
+        if done % rounds == 0 and open_.limit(1).count():
+            alone = live.join(open_.select(F.col("a").alias("id")).distinct(), "id", "left_anti").select("id")
+            chosen, live = _settle_small(live, open_, small)
+            centroids = centroids.union(checkpointed(alone)).union(chosen)
+            open_ = checkpointed(_between(open_, live))
     centroids = checkpointed(centroids)
     near = links.join(centroids.withColumnRenamed("id", "b"), "b", "left_semi").join(centroids.withColumnRenamed("id", "a"), "a", "left_anti")
     joined = near.groupBy(F.col("a").alias("member")).agg(F.max_by(F.struct("b", "sim"), "pb").alias("_c")).select("member", F.col("_c.b").alias("centroid"), F.col("_c.sim").alias("sim"))
     return centroids.select(F.col("id").alias("member"), F.col("id").alias("centroid"), F.lit(1.0).alias("sim")).union(joined)
 
 
+def _between(links: DataFrame, live: DataFrame) -> DataFrame:
+    """The links of which both ends are live."""
+    ids = live.select("id")
+    return links.join(ids.withColumnRenamed("id", "a"), "a", "left_semi").join(ids.withColumnRenamed("id", "b"), "b", "left_semi")
+
+
 def cluster_sizes(clusters: DataFrame) -> DataFrame:
     """(centroid, n_members, singleton), the largest first, ties by centroid."""
     sizes = clusters.groupBy("centroid").agg(F.count("*").alias("n_members"))

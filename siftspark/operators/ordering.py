@@ -67,6 +67,42 @@ def with_previous(df: DataFrame, order: Sequence[Order], column: str, name: str)
     return rows.join(F.broadcast(handed), "_part").withColumn(name, value[column]).drop("_part", "_at", "_handed")
 
 
+def ranked(df: DataFrame, column: str, name: str = "rank", descending: bool = True) -> DataFrame:
+    """Add one plus the number of rows that come before by ``column``; equal values have equal ranks, nulls are last.
+
+    Rows of one value may fall into several ranges. A value that is a range's first or last is looked up among the first
+    and last values of all ranges, one row for each, where its earliest place is.
+    """
+    order = F.desc_nulls_last(column) if descending else F.asc_nulls_last(column)
+    rows = dealt(df.withColumn("_v", F.col(f"`{column}`")).withColumn("_tie", F.xxhash64(F.monotonically_increasing_id())), [order, F.col("_tie")]).drop("_tie")
+    rows = rows.withColumn("_key", F.struct("_v"))  # equal to itself where null, too
+    ends = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min_by("_key", "_at").alias("_first"), F.max_by("_key", "_at").alias("_last"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ends = checkpointed(ends.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))))
+    inside = F.rank().over(Window.partitionBy("_part").orderBy(order))
+    placed = rows.join(F.broadcast(ends.select("_part", "_first", "_last", "_before")), "_part").withColumn("_rank", F.col("_before") + inside)
+    at_edge = F.col("_key").eqNullSafe(F.col("_first")) | F.col("_key").eqNullSafe(F.col("_last"))
+    start = placed.filter(at_edge).groupBy("_key").agg(F.min("_rank").alias("_start")).select(F.col("_key").alias("_k"), "_start")
+    least = F.least("_rank", F.coalesce("_start", "_rank")).cast("int")
+    return placed.join(F.broadcast(start), F.col("_key").eqNullSafe(F.col("_k")), "left").withColumn(name, least).select(*df.columns, name)
+
+
+def numbered_within(df: DataFrame, group: Sequence[str], order: Sequence[Order], name: str = "place", first: int = 1) -> DataFrame:
+    """Add the place of each row among those of its group, from ``first``, however large a group is: a group may take several
+    ranges, and each range gets one row for its first group about the earlier ranges."""
+    rows = dealt(df.withColumn("_group", F.struct(*group)), [*(F.col(f"_group.{g}").asc_nulls_first() for g in group), *order])
+    per = rows.groupBy("_part", "_group").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_begin"))
+    # Only a range's first group can have begun before it, and only its last one can go on after it.
+    ends = per.groupBy("_part").agg(F.min_by(F.struct("_group", "_n"), "_begin").alias("_a"), F.max_by(F.struct("_group", "_n"), "_begin").alias("_z"))
+    edges = ends.select("_part", F.inline(F.array_distinct(F.array("_a", "_z"))))
+    earlier = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = checkpointed(edges.select("_part", "_group", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_carried"))).filter("_carried > 0")
+    inside = F.row_number().over(Window.partitionBy("_part", "_group").orderBy("_at"))
+    before = F.broadcast(carried.select(F.col("_part").alias("_p"), F.col("_group").alias("_g"), "_carried"))
+    placed = rows.withColumn("_inside", inside).join(before, (F.col("_part") == F.col("_p")) & F.col("_group").eqNullSafe(F.col("_g")), "left")
+    return placed.withColumn(name, (F.coalesce("_carried", F.lit(0)) + F.col("_inside") + first - 1).cast("int")).select(*df.columns, name)
+
+
 def first_rows(df: DataFrame, order: Sequence[Order], n: int) -> DataFrame:
     """The first n rows of the order: what :func:`numbered` puts below n, so that n may be large."""
     return numbered(df, order, "_place").filter(F.col("_place") < n).drop("_place")

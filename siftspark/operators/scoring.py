@@ -6,9 +6,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftspark.operators import ordering, quantiles
 from siftspark.session import checkpointed
 
 
@@ -183,10 +184,12 @@ DEFAULT_TERMS = (
 def composite(df: DataFrame, terms: tuple[Term, ...] = DEFAULT_TERMS, places: int = 6) -> DataFrame:
     """Add composite_score: the weighted mean of the scaled terms. A term counts if its column has any value.
 
-    Two aggregate passes, one row each: medians and counts, then the extremes of the filled columns.
+    The exact medians of some columns are found first; then two aggregate passes give one row each: counts, and the
+    extremes of the filled columns.
     """
     present = [t for t in terms if t.column in df.columns]
-    stats = df.agg(*[F.count(t.column).alias(f"_n_{t.column}") for t in present], *[F.median(t.column).alias(f"_m_{t.column}") for t in present if t.fill == "median"])
+    middle = quantiles.medians(df, [t.column for t in present if t.fill == "median"]) if any(t.fill == "median" for t in present) else {}
+    stats = df.agg(*[F.count(t.column).alias(f"_n_{t.column}") for t in present], *[F.lit(v).cast("double").alias(f"_m_{c}") for c, v in middle.items()])
     df = df.crossJoin(F.broadcast(stats))
     for t in present:
         if t.fill is not None:
@@ -204,15 +207,8 @@ def composite(df: DataFrame, terms: tuple[Term, ...] = DEFAULT_TERMS, places: in
 
 
 def ranked(df: DataFrame, score: str = "composite_score") -> DataFrame:
-    """Add rank: one plus the number of rows with a higher score.
-
-    Scores are counted first and only the distinct ones are ranked, so that no
-    task sorts all rows; the ranks then join back.
-    """
-    counts = df.groupBy(F.col(score).alias("_s")).agg(F.count("*").alias("_n"))
-    above = F.sum("_n").over(Window.orderBy(F.desc_nulls_last("_s")).rowsBetween(Window.unboundedPreceding, -1))
-    places = counts.select("_s", (F.coalesce(above, F.lit(0)) + 1).cast("int").alias("rank"))
-    return df.join(places, F.col(score).eqNullSafe(F.col("_s"))).drop("_s")
+    """Add rank: one plus the number of rows with a higher score."""
+    return ordering.ranked(df, score)
 
 
 def ranked_composite(df: DataFrame, terms: tuple[Term, ...] = DEFAULT_TERMS, places: int = 6) -> DataFrame:
@@ -227,12 +223,13 @@ def top_n(df: DataFrame, n: int, key: str, rank: str = "rank") -> DataFrame:
 
 
 def summary(df: DataFrame, score: str, hbonds: str) -> DataFrame:
-    """One row: count, spread of the score, and the share with a key hydrogen bond."""
+    """One row: count, spread of the score, its exact median, and the share with a key hydrogen bond."""
+    middle = quantiles.medians(df, [score])[score]
     return df.agg(
         F.count("*").alias("n"),
         F.min(score).alias("min_score"),
         F.round(F.sum(F.col(score).cast("decimal(18,6)")).cast("double") / F.count(score), 6).alias("mean_score"),
-        F.round(F.median(score), 6).alias("median_score"),
+        F.round(F.lit(middle).cast("double"), 6).alias("median_score"),
         F.max(score).alias("max_score"),
         F.round(F.count_if(F.col(hbonds) >= 1) / F.count("*"), 6).alias("hbond_share"),
     )

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftspark.operators.spatial import within
+
 
 def bounding_box(atoms: DataFrame, by: Sequence[str] = (), extend: float = 0.0, least: float = 0.0) -> DataFrame:
     """Centre and size along each axis: the middle of the extremes, the range plus ``extend`` but at least ``least``."""
@@ -135,18 +137,8 @@ def hydrogen_bonds(donors: DataFrame, acceptors: DataFrame, cutoff: float = 3.5,
 
 
 def contacts(donors: DataFrame, acceptors: DataFrame, cutoff: float) -> DataFrame:
-    """(d, a, distance) of points (id, x, y, z) within the cutoff.
-
-    Points meet in cells as wide as the cutoff: a donor offers itself to the 27 cells around it.
-    """
-    cell = lambda c: F.floor(F.col(c) / cutoff)
-    around = F.sequence(F.lit(-1), F.lit(1))
-    d = donors.select(F.col("id").alias("d"), *[F.col(c).alias(f"d{c}") for c in "xyz"], *[cell(c).alias(f"k{c}") for c in "xyz"])
-    for c in "xyz":
-        d = d.withColumn(f"_{c}", F.explode(around)).withColumn(f"k{c}", F.col(f"k{c}") + F.col(f"_{c}")).drop(f"_{c}")
-    a = acceptors.select(F.col("id").alias("a"), *[F.col(c).alias(f"a{c}") for c in "xyz"], *[cell(c).alias(f"k{c}") for c in "xyz"])
-    square = sum((F.col(f"d{c}") - F.col(f"a{c}")) * (F.col(f"d{c}") - F.col(f"a{c}")) for c in "xyz")
-    return d.join(a, ["kx", "ky", "kz"]).withColumn("_q", square).filter(F.col("_q") <= cutoff * cutoff).select("d", "a", F.sqrt("_q").alias("distance"))
+    """(d, a, distance) of points (id, x, y, z) within the cutoff, in cells that follow the density."""
+    return within(donors, acceptors, cutoff)
 
 
 def unordered_pairs(df: DataFrame, key: str, a: str, b: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftspark.operators import clustering, dedup, evaluation, filters, joins, resources, sampling, scoring, sets, similarity, structure
+from siftspark.operators import clustering, dedup, evaluation, filters, joins, resources, sampling, scoring, sets, similarity, structure, topk
 from siftspark.plans.config import Config
 from siftspark.plans.registry import ORACLES, QUERIES, Query, query
 from siftspark.plans.screening import Screening, funnel_counts
@@ -293,7 +293,8 @@ def mean_similarity_filter(s: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {PRINTS_SQL} SELECT target, query, ROUND(sim, 6) AS sim FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY target ORDER BY sim DESC, query) rn FROM (SELECT a.id AS target, b.id AS query, {SIM_SQL} AS sim FROM fp a, fp b WHERE b.id % 20 = 0)) WHERE rn = 1")
 def nearest_neighbour(s: SparkSession, d: str) -> DataFrame:
     fp = _prints(s, d)
-    return similarity.nearest(fp, fp.filter("id % 20 = 0")).withColumn("sim", F.round("sim", 6))
+    found = topk.nearest_prints(fp, fp.filter("id % 20 = 0"))
+    return found.select("target", "query", F.round("sim", 6).alias("sim"))
 
 
 @query(f"WITH {PRINTS_SQL} SELECT a.id AS a, b.id AS b, ROUND({SIM_SQL}, 6) AS sim FROM fp a, fp b WHERE a.id < b.id AND {SIM_SQL} >= 0.6")

@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 
 from siftspark.functions import kernels, models, processes, standard, training
 from siftspark.functions.kernels import KernelRegistry
-from siftspark.operators import dedup, evaluation, filters, joins, resources, sampling, scoring, sets, similarity, structure
+from siftspark.operators import dedup, evaluation, filters, joins, resources, sampling, scoring, sets, similarity, structure, topk
 from siftspark.plans.queries import CURVE_COLUMNS, DOCK_SQL, MODELS_SQL, POINTS_SQL, PRINTS_SQL, SIM_SQL, SCORED_SQL, _curve_sql, _log, _models, _points, _prints, _props, _scored, _votes
 from siftspark.plans import active_loop
 from siftspark.plans.registry import query, scratch
 from siftspark.session import table
 from siftspark.sources import remote
-from siftspark.streaming import progress
+from siftspark.streaming import progress, runs
 
 # --- molecules ---------------------------------------------------------------------------------
 
@@ -280,6 +280,27 @@ def ranked_matches(s: SparkSession, d: str) -> DataFrame:
     return similarity.ranked_matches(similarity.similarity_matrix(fp, fp.filter("id % 20 = 0"))).withColumn("sim", F.round("sim", 6))
 
 
+@query(f"WITH {PRINTS_SQL} SELECT * FROM (SELECT target, query, ROUND(sim, 6) AS sim, (ROW_NUMBER() OVER (PARTITION BY query ORDER BY sim DESC, target))::INTEGER AS place FROM (SELECT a.id AS target, b.id AS query, {SIM_SQL} AS sim FROM fp a, fp b WHERE b.id % 20 = 0)) WHERE place <= 10", "O11 J17 W3")
+def top_matches(s: SparkSession, d: str) -> DataFrame:
+    """The ten most similar prints of each in a stated list."""
+    fp = _prints(s, d)
+    return topk.top_prints(fp, fp.filter("id % 20 = 0"), 10).withColumn("sim", F.round("sim", 6))
+
+
+@query("""WITH w AS (SELECT doc_id AS id, string_split(COALESCE(text, ''), ' ') AS ws FROM documents), g AS (SELECT DISTINCT id, ws[i:i+2] AS g FROM (SELECT id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)), c AS (SELECT id, COUNT(*) AS n FROM g GROUP BY 1),
+p AS (SELECT x.id AS query, y.id AS id, COUNT(*) AS o FROM g x JOIN g y USING (g) WHERE x.id % 20 = 0 GROUP BY 1, 2), r AS (SELECT p.query, p.id, o::DOUBLE / (a.n + b.n - o) AS sim FROM p JOIN c a ON a.id = p.query JOIN c b ON b.id = p.id)
+SELECT query, id, ROUND(sim, 6) AS sim, place FROM (SELECT *, (ROW_NUMBER() OVER (PARTITION BY query ORDER BY sim DESC, id))::INTEGER AS place FROM r) WHERE place <= 10""", "O11 J17 J16 W3")
+def similar_documents(s: SparkSession, d: str) -> DataFrame:
+    """The ten documents most similar to each twentieth one, as sets of three-word shingles."""
+    words = F.split(F.coalesce("text", F.lit("")), " ")
+    last = F.greatest(F.size(words) - 2, F.lit(0))
+    threes = F.arrays_zip(*[F.slice(words, k, last).alias(f"w{k}") for k in (1, 2, 3)])
+    shingles = F.transform(threes, lambda x: F.xxhash64(x["w1"], x["w2"], x["w3"]))
+    sets_ = table(s, d, "documents").select(F.col("doc_id").alias("id"), shingles.alias("bits"))
+    found = topk.top_similar(sets_.filter("id % 20 = 0"), sets_, 10)
+    return found.select("query", "id", F.round("sim", 6).alias("sim"), "place")
+
+
 @query("""WITH w AS (SELECT DISTINCT doc_id AS id, unnest(string_split(COALESCE(text, ''), ' ')) AS key FROM documents JOIN labels USING (doc_id) WHERE n_chars < 400), c AS (SELECT id, COUNT(*) AS n FROM w GROUP BY 1)
 SELECT x.id AS a, y.id AS b, ROUND(COUNT(*)::DOUBLE / (ANY_VALUE(cx.n) + ANY_VALUE(cy.n) - COUNT(*)), 6) AS sim FROM w x JOIN w y USING (key) JOIN c cx ON cx.id = x.id JOIN c cy ON cy.id = y.id WHERE x.id < y.id GROUP BY 1, 2 HAVING COUNT(*)::DOUBLE / (ANY_VALUE(cx.n) + ANY_VALUE(cy.n) - COUNT(*)) >= 0.6""", "J12 J13")
 def sparse_pairs(s: SparkSession, d: str) -> DataFrame:
@@ -562,6 +583,70 @@ def followed_tail(s: SparkSession, d: str) -> DataFrame:
     return s.read.parquet(f"{path}/tail/batch=2").select("seq")
 
 
+#: Events as lines of twelve runs.
+RUN_SQL = """ev AS (SELECT event_id AS seq, ts, 'run' || (user_id % 12) AS run, CASE WHEN event_type = 'signup' THEN LEAST(7, event_id * 8 // 12000) END AS k,
+  CASE WHEN event_type = 'click' THEN event_id % 100 END AS percent, CASE WHEN event_type = 'purchase' THEN event_id % 300 END AS size FROM events),
+m AS (SELECT run, k, MIN(seq) AS first, MAX(seq) AS last FROM ev WHERE k IS NOT NULL GROUP BY 1, 2), cur AS (SELECT run, arg_max(k, last) AS k FROM m GROUP BY 1),
+names AS (SELECT ['library', 'receptor', 'physchem', 'admet', 'druglikeness', 'prepare_ligand', 'docking', 'results'] AS n),
+cp AS (SELECT m.run, string_agg(n[m.k + 1], ',' ORDER BY first) AS completed FROM m JOIN cur USING (run), names WHERE m.k <> cur.k GROUP BY 1)
+SELECT run, COUNT(*) AS lines, CAST(COALESCE(SUM(size), 0) AS BIGINT) AS done, CAST(arg_max(percent, seq) FILTER (percent IS NOT NULL) AS INTEGER) AS percent, ANY_VALUE(n[cur.k + 1]) AS current, COALESCE(ANY_VALUE(completed), '') AS completed, MAX(ts) AS last_ts
+FROM ev LEFT JOIN cur USING (run) LEFT JOIN cp USING (run), names GROUP BY run"""
+
+
+def _run_log(s: SparkSession, d: str) -> DataFrame:
+    user = table(s, d, "events").select(F.col("event_id").alias("seq"), F.concat(F.lit("run"), F.col("user_id") % 12).alias("run"))
+    return _log(s, d).join(user, "seq").select("run", "seq", "ts", "message")
+
+
+def _shown(states: DataFrame) -> DataFrame:
+    return states.select("run", "lines", "done", "percent", "current", F.array_join("completed", ",").alias("completed"), F.col("last_ts").cast("timestamp_ntz").alias("last_ts"))
+
+
+@query(f"WITH {RUN_SQL}", "T1 T2 T3 T4")
+def run_states(s: SparkSession, d: str) -> DataFrame:
+    """The status of each of many runs, from their whole log."""
+    return _shown(runs.run_states(_run_log(s, d)))
+
+
+@query(f"WITH {RUN_SQL}", "T1 T2 T3 T4 T6")
+def followed_runs(s: SparkSession, d: str) -> DataFrame:
+    """The same, followed as a stream that brings the runs' lines mixed, in three batches, a third of them twice."""
+    path, log = scratch(s), _run_log(s, d)
+    for k in range(3):
+        log.filter((F.col("seq") % 3 == k) | (F.col("seq") % 9 == (k + 2) % 3)).coalesce(1).write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(f"{path}/log")
+    stream = s.readStream.schema(runs.RUN_LOG).option("maxFilesPerTrigger", 1).json(f"{path}/log")
+    runs.write_updates(runs.follow_runs(stream, late="60 days"), f"{path}/updates", f"{path}/state").awaitTermination()
+    return _shown(runs.latest_states(s, f"{path}/updates"))
+
+
+def _jobs(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    events = table(s, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    jobs = events.filter("event_type = 'signup'").select(F.col("user_id").alias("job"), F.col("ts").alias("submitted"))
+    return jobs, events.filter("event_type = 'purchase'").select(F.col("user_id").alias("job"), F.col("ts").alias("finished"))
+
+
+OVERDUE_SQL = """WITH j AS (SELECT user_id AS job, ts AS submitted FROM events WHERE event_type = 'signup'), c AS (SELECT user_id AS job, ts AS finished FROM events WHERE event_type = 'purchase')
+SELECT j.job, submitted, finished FROM j LEFT JOIN c ON j.job = c.job AND finished >= submitted AND finished <= submitted + INTERVAL 12 HOUR"""
+
+
+@query(OVERDUE_SQL, "T7")
+def overdue_jobs(s: SparkSession, d: str) -> DataFrame:
+    """Jobs with their completions as two streams, in two runs from one checkpoint; a last line of a clock lets all deadlines pass."""
+    path, sides = scratch(s), _jobs(s, d)
+    names = (("job", "submitted"), ("job", "finished"))
+    schemas = [", ".join(f"{n} {'bigint' if n == 'job' else 'timestamp'}" for n in pair) for pair in names]
+    middle, end = F.lit("2024-01-15").cast("timestamp"), F.lit("2030-01-01").cast("timestamp")
+    for half in range(2):
+        for k, (rows, (_, time)) in enumerate(zip(sides, names, strict=True)):
+            rows.filter(F.col(time) < middle if half == 0 else F.col(time) >= middle).write.mode("append").parquet(f"{path}/{k}")
+            if half:
+                s.range(1).select(F.lit(-1).cast("bigint").alias("job"), end.alias(time)).write.mode("append").parquet(f"{path}/{k}")
+        jobs, completions = (s.readStream.schema(x).parquet(f"{path}/{k}") for k, x in enumerate(schemas))
+        runs.write_updates(runs.overdue(jobs, completions, "12 HOURS"), f"{path}/out", f"{path}/state", "append").awaitTermination()
+    found = s.read.schema("job bigint, submitted timestamp, finished timestamp, batch int").parquet(f"{path}/out").filter("job >= 0")
+    return found.select("job", F.col("submitted").cast("timestamp_ntz").alias("submitted"), F.col("finished").cast("timestamp_ntz").alias("finished"))
+
+
 # --- training ----------------------------------------------------------------------------------
 
 #: Embeddings whose first number is well away from zero; its sign is the label.
