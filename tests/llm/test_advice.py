@@ -11,7 +11,6 @@ import pytest
 
 import corpus_pipeline
 from siftspark.llm import document_dedup, katz, pii, url_filter
-from siftspark.operators import similarity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -74,13 +73,6 @@ def test_url_suffixes_are_counted_apart(spark):
             assert math.isclose(have, (bad[key, fold[i]] + 5) / (known[key, fold[i]] + 10))
 
 
-def test_similarity_of_many_queries(spark):
-    df = spark.createDataFrame([(i, [i * 2654435761 % 2**40]) for i in range(50)], "id bigint, fp array<bigint>")
-    key = lambda r: tuple(r)
-    want = sorted(map(key, similarity.similarity_matrix(df, df).collect()))
-    assert len(want) == 2500 and sorted(map(key, similarity.similarity_matrix(df, df, most_queries=7).collect())) == want
-
-
 @pytest.mark.parametrize(
     ("text", "kind", "value"),
     [
