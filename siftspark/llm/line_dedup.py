@@ -280,7 +280,7 @@ def hot_words(table: DataFrame, counts: np.ndarray, crowd: np.ndarray, params: P
     return np.array([r["word"] for r in hot], np.int64).view(np.uint64), 1 + np.array([r["n"] for r in hot], np.int64) // params.block
 
 
-#: The prefix words of the sets of one piece that fall into one bucket: part of the word's hash, set id, sketch, place of
+#: The prefix words of the sets of one piece that fall into one bucket: part of the word's hash (as differences), set id, sketch, place of
 #: the set's first line (differences to the least in the order, line number), size, and position of the word; for the large
 #: sets among them three of the four sketch words (the fourth follows, as all four make the sketch). ``words``: the whole sets, where asked for.
 ENTRIES = "bucket int, word binary, set_id binary, sketch binary, least bigint, o binary, number binary, n binary, pos binary, wide binary, words binary"
@@ -338,7 +338,7 @@ def entries(table: DataFrame, counts: np.ndarray, hot: tuple[np.ndarray, np.ndar
             s = j[k]
             big = s[p.n[s] >= params.wide]
             whole = pack(p.words(s)[0]) if only is not None else b""
-            yield (int(bucket[k[0]]), short[k].tobytes(), p.set_id[s].tobytes(), sketch[s].tobytes(), int(least), squeeze(o[s]), squeeze(number[s]), squeeze(p.n[s]), squeeze(pos[k]), wide[:, big].tobytes(), whole)
+            yield (int(bucket[k[0]]), squeeze(np.diff(short[k], prepend=np.uint32(0))), p.set_id[s].tobytes(), sketch[s].tobytes(), int(least), squeeze(o[s]), squeeze(number[s]), squeeze(p.n[s]), squeeze(pos[k]), wide[:, big].tobytes(), whole)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -355,7 +355,7 @@ def _gathered(part: pa.Table, params: Params) -> dict[str, np.ndarray]:
     rows = part.to_pylist()
     join = lambda f: np.concatenate([f(r) for r in rows])
     t = {
-        "word": join(lambda r: np.frombuffer(r["word"], np.uint32)),
+        "word": join(lambda r: np.cumsum(expand(r["word"]))),
         "set_id": join(lambda r: np.frombuffer(r["set_id"], np.int64)),
         "sketch": join(lambda r: np.frombuffer(r["sketch"], np.uint64)),
         "o": join(lambda r: expand(r["o"]) + r["least"]),
@@ -661,6 +661,7 @@ def similar_sets(every: DataFrame, params: Params) -> DataFrame:
 # --- what goes ---------------------------------------------------------------------------------
 
 #: Of the sets of one piece in one bucket: ids, and the place of the first line of each; rows with a null piece have the ids of sets that go.
+#: Half of the text key is enough: it only parts the rows of one doc_id.
 FIRSTS = "bucket int, piece bigint, set_id binary, o binary, number binary, text_key binary"
 #: Of each of these sets whether no line stays (0), or only the first place in this piece (1).
 VERDICTS = "piece bigint, bucket int, stays binary"
@@ -684,7 +685,7 @@ def _judged(part: pa.Table) -> pa.Table:
     mine = [r for r in rows if r["piece"] is not None]
     if not mine:
         return _table([], VERDICTS)
-    parts = [[unpack(r[c], np.int64) for c in ("set_id", "o", "number", "text_key")] for r in mine]
+    parts = [[unpack(r[c], np.int32 if c == "text_key" else np.int64) for c in ("set_id", "o", "number", "text_key")] for r in mine]
     ids, *place = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.lexsort((*place[::-1], ids))
     new = runs(ids[order])
@@ -714,7 +715,7 @@ def removed_lines(docs: DataFrame, params: Params = Params()) -> DataFrame:
                 ids = unpack(r["set_id"], np.int64)
                 o, key, _, number, which = _lines_of(r)
                 at = _earliest(len(ids), which, o, number, key)
-                yield _batch([(b, r["piece"], *(pack(x) for x in (ids[k], o[at[k]], number[at[k]], key[at[k]]))) for b, k in _dealt(_bucket_of(ids, buckets))], FIRSTS)
+                yield _batch([(b, r["piece"], *(pack(x) for x in (ids[k], o[at[k]], number[at[k]], (key[at[k]] >> 32).astype(np.int32)))) for b, k in _dealt(_bucket_of(ids, buckets))], FIRSTS)
 
     def going(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -123,7 +123,7 @@ def test_only_hot_words_get_blocks(spark):
     want = {w: 1 + n // params.block for w, n in held.items() if n > params.block}
     assert dict(zip(hot.tolist(), blocks.tolist(), strict=True)) == want and 0 < len(want) < 10
     sent = line_dedup.entries(table, counts, (hot, blocks), 16, params).toArrow().to_pylist()
-    assert sum(len(r["word"]) // 4 for r in sent) == sum(n * max(1, want.get(w, 1) - 1) for w, n in held.items())
+    assert sum(len(r["set_id"]) // 8 for r in sent) == sum(n * max(1, want.get(w, 1) - 1) for w, n in held.items())
 
 
 def test_many_exceptions_in_one_text_take_no_square_of_time():
