@@ -1,8 +1,10 @@
 """Scoring with trained models: a catalogue of model files, loaded once in each worker, over Arrow batches.
 
 What a file holds is up to ``load``, a function from a path to a callable that maps a matrix of features to scores
-or representations. The loader that comes with this package reads linear and logistic models from JSON:
-``{"kind": "logistic", "weights": [...], "bias": 0.0}``.
+or representations. The loader that comes with this package reads linear, logistic, dense and tree models from JSON:
+``{"kind": "logistic", "weights": [...], "bias": 0.0}``; ``{"kind": "dense", "layers": [{"weights": [[...]], "bias": [...]}, ...]}``
+as :mod:`siftspark.functions.networks` writes it; ``{"kind": "trees", "trees": [{"feature": [...], "threshold": [...], "left": [...],
+"right": [...], "value": [...]}, ...], "base": 0.0, "squash": true}``, where a node's feature of -1 marks a leaf.
 """
 
 from __future__ import annotations
@@ -12,17 +14,42 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftspark.functions import networks
 from siftspark.session import find_package
 
 Model = Callable[[np.ndarray], np.ndarray]
 
 
+class Trees:
+    """The sum of the leaves that a row reaches in each tree; rows go left up to the threshold."""
+
+    def __init__(self, spec: dict) -> None:
+        self.trees = [{k: np.asarray(t[k], float if k in ("threshold", "value") else int) for k in ("feature", "threshold", "left", "right", "value")} for t in spec["trees"]]
+        self.base, self.squash = float(spec.get("base", 0.0)), bool(spec.get("squash"))
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        total = np.full(len(x), self.base)
+        for t in self.trees:
+            node = np.zeros(len(x), int)
+            while len(open_ := np.flatnonzero(t["feature"][node] >= 0)):
+                at = node[open_]
+                left = x[open_, t["feature"][at]] <= t["threshold"][at]
+                node[open_] = np.where(left, t["left"][at], t["right"][at])
+            total += t["value"][node]
+        return 1 / (1 + np.exp(-total)) if self.squash else total
+
+
 def from_json(text: str) -> Model:
-    """A linear or logistic model."""
+    """A linear, logistic, dense or tree model."""
     spec = json.loads(text)
+    if spec["kind"] == "dense":
+        return networks.from_spec(spec)
+    if spec["kind"] == "trees":
+        return Trees(spec)
     weights, bias = np.asarray(spec["weights"], float), float(spec.get("bias", 0.0))
     if spec["kind"] not in ("linear", "logistic"):
         raise ValueError(f"unknown model {spec['kind']}")
@@ -51,17 +78,17 @@ def ensemble(df: DataFrame, catalogue: dict[str, Sequence[str]], features: str |
     column_of = {p: features if isinstance(features, str) else features[p] for p in catalogue}
     columns = sorted(set(column_of.values()))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = {p: [load(path) for path in paths] for p, paths in catalogue.items()}
         for batch in batches:
-            out = {key: batch[key]}
-            x = {c: np.stack([np.array([np.nan if v is None else v for v in row], float) for row in batch[c]]) if len(batch) else np.zeros((0, 1)) for c in columns}
-            for p, mine in models.items():
-                out[p] = np.mean([guarded(model, x[column_of[p]]) for model in mine], axis=0) if len(batch) else np.zeros(0)
-            yield pd.DataFrame(out)
+            if not batch.num_rows:
+                continue
+            x = {c: networks.matrix(batch.column(c)) for c in columns}
+            means = [pa.array(np.mean([guarded(model, x[column_of[p]]) for model in mine], axis=0)) for p, mine in models.items()]
+            yield pa.record_batch([batch.column(key), *means], names=[key, *models])
 
     schema = f"{key} {dict(df.dtypes)[key]}, " + ", ".join(f"`{p}` double" for p in catalogue)
-    scored = df.select(key, *columns).mapInPandas(run, schema)
+    scored = df.select(key, *columns).mapInArrow(run, schema)
     return scored.select(key, *[F.when(~F.isnan(f"`{p}`"), F.col(f"`{p}`")).alias(p) for p in catalogue])
 
 

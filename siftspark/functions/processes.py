@@ -7,6 +7,7 @@ have GPUs, and how many a task takes, is for the cluster's resource profiles; se
 from __future__ import annotations
 
 import os
+import re
 import subprocess
 import sys
 from collections.abc import Callable, Iterator, Sequence
@@ -39,6 +40,11 @@ def _run_one(command: Sequence[str], text: str | None, timeout: float, env: dict
     return ("ok", done.stdout) if done.returncode == 0 else (f"exit {done.returncode}", done.stderr)
 
 
+def _filled(part: str, row: dict) -> str:
+    """The argument with the values of its columns; other braces stay as they are."""
+    return re.sub(r"\{(\w+)\}", lambda m: str(row[m[1]]) if m[1] in row else m[0], part)
+
+
 def for_each(df: DataFrame, command: Sequence[str], stdin: str | None = None, timeout: float = 300.0, env: Callable[[int], dict[str, str]] | None = None) -> DataFrame:
     """Add status (ok, timeout, exit N, not started: why) and output of a program that is run for each row.
 
@@ -54,7 +60,7 @@ def for_each(df: DataFrame, command: Sequence[str], stdin: str | None = None, ti
         for batch in batches:
             results = []
             for row in batch.to_dict("records"):
-                filled = [part.format(**row) for part in command]
+                filled = [_filled(part, row) for part in command]
                 text = None if stdin is None else "" if row[stdin] is None else str(row[stdin])
                 results.append(_run_one(filled, text, timeout, extra))
             yield batch.assign(status=[r[0] for r in results], output=[r[1] for r in results])

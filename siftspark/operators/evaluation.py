@@ -179,6 +179,11 @@ def hyper_grid(spark, grid: dict[str, tuple] = GRID) -> DataFrame:  # noqa: ANN0
     return spark.createDataFrame(rows, "model_no int, " + ", ".join(f"{k} {kinds[type(v[0])]}" for k, v in grid.items()))
 
 
+def grids_for(targets: DataFrame, grid: DataFrame) -> DataFrame:
+    """Each row of the grid, a few literal combinations, for each target."""
+    return targets.crossJoin(F.broadcast(grid)).select(*grid.columns, *targets.columns)
+
+
 def job_specs(grid: DataFrame, command: str, **settings: str) -> DataFrame:
     """(model_no, command): a command line for each row of a grid, its columns and the settings as options."""
     options = [F.concat(F.lit(f" --{c.replace('_', '-')} "), F.col(c).cast("string")) for c in grid.columns]

@@ -64,16 +64,19 @@ def route(library: DataFrame, splits: DataFrame, order: Sequence[str] = ("train"
     return first_wins(library.join(wanted, "id"), ["id"], F.col(row_id))
 
 
-def off_target_jobs(targets: DataFrame, ligands: DataFrame, available: DataFrame, ligand: str = "ligand") -> DataFrame:
-    """Each target with each ligand that has a prepared file. Every such pair is a docking run to make, so the result is the
-    product by definition; the targets, a list made by hand, are counted and broadcast."""
-    if (n := targets.count()) > MOST_TARGETS:
-        raise ValueError(f"{n} targets: dock them in parts")
-    return ligands.join(available.select(ligand).distinct(), ligand, "left_semi").crossJoin(F.broadcast(targets))
+#: Targets that are sent to all tasks at once.
+MOST_TARGETS = 10_000
+SEED = 42
 
 
-#: Targets of one call of off_target_jobs.
-MOST_TARGETS = 10_000
+def off_target_jobs(targets: DataFrame, ligands: DataFrame, available: DataFrame, ligand: str = "ligand", most: int = MOST_TARGETS) -> DataFrame:
+    """Each target with each ligand that has a prepared file. Every such pair is a docking run to make, so the result is the
+    product by definition. The targets, a list made by hand, are counted; a longer list is dealt to blocks that are broadcast in turn."""
+    n = targets.count()
+    blocks = 1 if n <= most else -(-4 * n // (3 * most))  # a quarter to spare, as blocks by hash differ
+    ready = ligands.join(available.select(ligand).distinct(), ligand, "left_semi")
+    mine = lambda k: targets if blocks == 1 else targets.filter(F.pmod(F.xxhash64(F.lit(SEED), *targets.columns), F.lit(blocks)) == k)
+    return reduce(DataFrame.unionByName, [ready.crossJoin(F.broadcast(mine(k))) for k in range(blocks)])
 
 
 def with_features(labels: DataFrame, library: DataFrame, key: str = "id") -> DataFrame:

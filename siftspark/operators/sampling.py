@@ -4,16 +4,23 @@ from __future__ import annotations
 
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftspark.operators.ordering import first_rows, numbered
+from siftspark.operators.quantiles import order_statistics
 from siftspark.session import checkpointed
 
 
-def shuffled(seed: int, key: str) -> Column:
-    """A value to order by in place of a random permutation."""
-    return F.xxhash64(F.lit(seed), key)
+#: Hashes in place of random numbers have so many bits, which a double holds exactly.
+HASH_BITS = 52
+
+
+def shuffled(seed: int, *key: str) -> Column:
+    """A whole number below 2 ** HASH_BITS to order by in place of a random permutation: the first digits of the MD5 of
+    ``seed:key``, so that any other engine can draw the same rows. A null key counts as empty."""
+    text = F.concat(F.lit(str(seed)), *[x for k in key for x in (F.lit(":"), F.coalesce(F.col(k).cast("string"), F.lit("")))])
+    return F.conv(F.left(F.md5(text), F.lit(HASH_BITS // 4)), 16, 10).cast("bigint")
 
 
 def shard_counts(df: DataFrame, shard: str) -> DataFrame:
@@ -33,7 +40,7 @@ def allocate(counts: DataFrame, total_sample: int) -> DataFrame:
 
 
 def _unit(seed: int, key: str) -> Column:
-    return F.pmod(shuffled(seed, key), F.lit(2**53)) / F.lit(float(2**53))
+    return shuffled(seed, key) / F.lit(float(2**HASH_BITS))
 
 
 def stratified_split(df: DataFrame, shard: str, key: str, sizes: DataFrame, seed: int) -> DataFrame:
@@ -160,7 +167,7 @@ def draws_with_replacement(df: DataFrame, label: str, key: str, factor: int, see
     placed = numbered(df.filter(F.col(label).isin(0, 1)), [F.col(label), shuffled(seed, key), F.col(key)], "_i")
     classes = df.sparkSession.createDataFrame([(k, n[k], n.get(0, 0) * k) for k in (0, 1) if n.get(k)], f"_l {dict(df.dtypes)[label]}, _n bigint, _first bigint")
     draws = df.sparkSession.range(size).crossJoin(F.broadcast(classes))
-    picked = draws.select((F.col("_first") + F.pmod(F.xxhash64(F.lit(seed + 1), "id", "_l"), F.col("_n"))).alias("_i")).groupBy("_i").agg(F.count("*").alias("n_draws"))
+    picked = draws.select((F.col("_first") + F.pmod(shuffled(seed + 1, "id", "_l"), F.col("_n"))).alias("_i")).groupBy("_i").agg(F.count("*").alias("n_draws"))
     return placed.join(picked, "_i").select(*df.columns, "n_draws")
 
 
@@ -178,9 +185,26 @@ def cyclic_mix(tables: dict[str, DataFrame], weights: dict[str, int], key: str,
 
 
 def weighted_order(df: DataFrame, weight: str, key: str, seed: int) -> DataFrame:
-    """Order for drawing without replacement in proportion to the weights: by -ln(u) / w."""
-    u = (F.pmod(shuffled(seed, key), F.lit(2**52)) + 1) / F.lit(float(2**52 + 1))
-    return df.withColumn("draw_key", -F.log(u) / F.col(weight)).filter(F.col(weight) > 0)
+    """Add draw_key: rows drawn without replacement in proportion to the weights come in order of -ln(u) / w. Rows
+    without a weight above zero are never drawn."""
+    u = (shuffled(seed, key) + 1) / F.lit(float(2**HASH_BITS + 1))
+    return df.filter(F.col(weight) > 0).withColumn("draw_key", -F.log(u) / F.col(weight))
+
+
+def weighted_draw(df: DataFrame, weight: str, key: str, n: int, seed: int) -> DataFrame:
+    """n rows drawn without replacement in proportion to the weights; all that have one if they are fewer.
+
+    The n-th least draw key is found by counting, so nothing is sorted and n may be as large as the table; only rows that tie
+    there are put in order, by key.
+    """
+    keyed = checkpointed(weighted_order(df, weight, key, seed))
+    found = order_statistics(keyed, {"draw_key": [n - 1]}) if n > 0 else {}
+    if not found:
+        return (keyed if n > 0 else keyed.limit(0)).select(*df.columns)
+    (cut,) = found.values()
+    below = keyed.filter(F.col("draw_key") < cut)
+    ties = first_rows(keyed.filter(F.col("draw_key") == cut), [F.col(key)], n - below.count())
+    return below.unionByName(ties).select(*df.columns)
 
 
 def linear_schedule(first: int, last: int, iteration: int, iterations: int) -> int:
@@ -189,6 +213,13 @@ def linear_schedule(first: int, last: int, iteration: int, iterations: int) -> i
     return int(first + passed * (last - first))
 
 
-def hit_counts(spark: SparkSession, first: int, last: int, iterations: int) -> DataFrame:
-    """(iteration, n): the schedule as a table."""
-    return spark.createDataFrame([(i, linear_schedule(first, last, i, iterations)) for i in range(1, iterations + 1)], "iteration int, n bigint")
+def last_hits(n_scores: int, share: float | None = None) -> int:
+    """Hits of the last iteration: a share of the validation scores, or 100; never more than there are."""
+    return min(n_scores, 100 if share is None else int(share * n_scores))
+
+
+def hit_schedules(df: DataFrame, first: str, last: str, iterations: int) -> DataFrame:
+    """Rows with a first and a last number of hits, once for each iteration, with n: see :func:`linear_schedule`."""
+    passed = (F.col("iteration") - 1) / F.lit(float(max(iterations - 1, 1)))
+    n = F.col(first) + passed * (F.col(last) - F.col(first))
+    return df.withColumn("iteration", F.explode(F.sequence(F.lit(1), F.lit(iterations)))).withColumn("n", n.cast("bigint"))

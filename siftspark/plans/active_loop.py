@@ -1,7 +1,7 @@
 """The active-learning loop: sample, label, train, predict, keep the survivors, again.
 
-Every iteration writes its splits, labels and survivors as Parquet, so a run
-that was stopped goes on with the first iteration that is not complete.
+Every iteration commits its splits, labels and survivors under a manifest, so a run that was stopped goes on with the
+first iteration that is not complete, and what an interrupted one has written is not seen.
 """
 
 from __future__ import annotations
@@ -14,30 +14,27 @@ from pyspark.sql import functions as F
 
 from siftspark.functions import training
 from siftspark.operators import evaluation, filters, sampling
+from siftspark.sources import commits
 
 
 @dataclass(frozen=True)
 class LoopConfig:
-    """``sample``: rows to label in an iteration, split r : 1 : 1 in the first and in thirds later; ``hit_share``: share of the labelled scores that count as hits."""
+    """``sample``: rows to label in an iteration, split r : 1 : 1 in the first and in thirds later; ``hit_share``: share of the labelled
+    scores that count as hits; ``last_share``: in the last of several iterations, or 100 of them for None."""
 
     folder: str
     iterations: int = 3
     sample: int = 3000
     train_ratio: float = 3.0
     hit_share: float = 0.1
+    last_share: float | None = 0.01
     recall: float = 0.9
     seed: int = 11
 
 
-def _done(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-
-
 def _stored(df_of: Callable[[], DataFrame], spark: SparkSession, path: str) -> DataFrame:
-    if not _done(spark, path):
-        df_of().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    commits.append(df_of, path, "all")
+    return commits.read(spark, path)
 
 
 def evaluation_label(score: Column, cutoff: float) -> Column:
@@ -63,7 +60,9 @@ def run(library: DataFrame, label: Callable[[DataFrame], DataFrame], config: Loo
             fresh = fresh.withColumn("split", F.lit("train"))
         labelled = fresh if labelled is None else labelled.unionByName(fresh.join(labelled.select("id"), "id", "left_anti"))
         valid = labelled.filter("split = 'valid'")
-        good = sampling.linear_schedule(int(valid.count() * config.hit_share), max(1, int(valid.count() * config.hit_share / 10)), i, config.iterations) if config.iterations > 1 else int(valid.count() * config.hit_share)
+        n_valid = valid.count()
+        first, last = int(n_valid * config.hit_share), sampling.last_hits(n_valid, config.last_share)
+        good = last if i == config.iterations > 1 else sampling.linear_schedule(first, last, i, config.iterations)
         cutoff = evaluation.lowered_cutoff(valid, "score", max(1, good)).first()["cutoff"]
         rows = labelled.withColumn("label", evaluation_label(F.col("score"), cutoff))
         train = sampling.rebalance(rows.filter("split = 'train'"), "label", "id", config.seed)

@@ -7,6 +7,9 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from pathlib import Path
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from siftspark.operators.filters import PHYSCHEM_BOUNDS, Bounds
 
 MODULES = ("library", "physchem", "admet", "druglikeness", "docking", "results")
@@ -39,6 +42,14 @@ class Config:
         return module in self.active and MODULES.index(module) >= MODULES.index(self.start)
 
 
+def gates(runs: DataFrame, modules: tuple[str, ...] = MODULES) -> DataFrame:
+    """(..., module, runs): for each run (active: its modules, start: the first of them) whether it runs each module."""
+    order = F.array(*map(F.lit, modules))
+    each = runs.select("*", F.posexplode(order).alias("_i", "module"))
+    from_start = F.col("_i") >= F.array_position(order, F.col("start")) - 1
+    return each.withColumn("runs", F.array_contains("active", F.col("module")) & from_start).drop("_i")
+
+
 def from_mapping(tree: Mapping) -> Config:
     """A config from sections named like the fields; limits are pairs of low and high."""
     tree = dict(tree)

@@ -463,9 +463,11 @@ def model_selection(s: SparkSession, d: str) -> DataFrame:
     return evaluation.select_models(models, 0.9).select("cutoff", "model_no", "pr_te")
 
 
-@query("SELECT a.v AS n_layers, b.v AS n_units, c.v AS dropout, d.v AS class_weight FROM (VALUES (2::BIGINT), (3)) a(v), (VALUES (1500::BIGINT), (2000)) b(v), (VALUES (0.2::DOUBLE), (0.5)) c(v), (VALUES (2.0::DOUBLE), (3.0)) d(v)")
+@query("SELECT s_suppkey AS target, a.v AS n_layers, b.v AS n_units, c.v AS dropout, d.v AS class_weight FROM supplier, (VALUES (2::BIGINT), (3)) a(v), (VALUES (1500::BIGINT), (2000)) b(v), (VALUES (0.2::DOUBLE), (0.5)) c(v), (VALUES (2.0::DOUBLE), (3.0)) d(v)")
 def hyper_grid(s: SparkSession, d: str) -> DataFrame:
-    return evaluation.hyper_grid(s).select("n_layers", "n_units", "dropout", "class_weight")
+    """The settings to try for each target."""
+    targets = table(s, d, "supplier").select(F.col("s_suppkey").alias("target"))
+    return evaluation.grids_for(targets, evaluation.hyper_grid(s)).select("target", "n_layers", "n_units", "dropout", "class_weight")
 
 
 @query("WITH p AS (SELECT s_name AS node, GREATEST((s_suppkey % 16) * 1.5 - (s_nationkey % 9), 0)::DOUBLE * (1 + s_suppkey % 2) AS power FROM supplier) SELECT node, power, CAST(ROUND_EVEN(60 * power / ((SELECT SUM(power) FROM p) * 0.6), 0) AS INTEGER) AS slots FROM p")

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 from siftspark.functions import scalars
 from siftspark.operators import clustering, joins, sampling, similarity, structure
-from siftspark.plans.config import MODULES, Config
+from siftspark.plans.config import MODULES, gates
 from siftspark.plans.queries import PRINTS_SQL, SIM_SQL, _prints
 from siftspark.plans.registry import query, scratch
 from siftspark.session import table
-from siftspark.sources import reports, text
+from siftspark.sources import commits, reports, text
 
 def K() -> Column:  # noqa: N802
     return F.col("p_partkey")
@@ -331,10 +331,13 @@ def catalogue_rows(s: SparkSession, d: str) -> DataFrame:
     return text.model_catalogue(table(s, d, "part").select(F.col("p_name").alias("property"), K().alias("model_no"), path.alias("path")))
 
 
-@query("SELECT s.m AS start, x.m AS module, x.i >= s.i AND x.m <> 'admet' AS runs FROM (VALUES ('library', 0), ('physchem', 1), ('admet', 2), ('druglikeness', 3), ('docking', 4), ('results', 5)) s(m, i), (VALUES ('library', 0), ('physchem', 1), ('admet', 2), ('druglikeness', 3), ('docking', 4), ('results', 5)) x(m, i)", "S28 P28 F31 2.16-main")
+@query("WITH m AS (SELECT * FROM (VALUES ('library', 0), ('physchem', 1), ('admet', 2), ('druglikeness', 3), ('docking', 4), ('results', 5)) m(m, i)) SELECT c_custkey AS run, m AS module, i >= c_custkey % 6 AND i <> c_nationkey % 6 AS runs FROM customer, m", "S28 P28 F31 2.16-main")
 def module_gate(s: SparkSession, d: str) -> DataFrame:
-    active = tuple(m for m in MODULES if m != "admet")
-    return s.createDataFrame([(start, m, Config(active=active, start=start).runs(m)) for start in MODULES for m in MODULES], "start string, module string, runs boolean")
+    """Which modules each run goes through: it starts with one and leaves one out."""
+    order = F.array(*map(F.lit, MODULES))
+    at = lambda c: F.get(order, (F.col(c) % 6).cast("int"))
+    settings = table(s, d, "customer").select(F.col("c_custkey").alias("run"), at("c_custkey").alias("start"), F.array_remove(order, at("c_nationkey")).alias("active"))
+    return gates(settings).select("run", "module", "runs")
 
 
 @query("SELECT 'box' AS kind, p_partkey AS k, p_size AS v FROM part UNION ALL SELECT 'again', p_partkey, p_size + 1 FROM part WHERE p_partkey % 2 = 0", "K14 K15 K16")
@@ -345,6 +348,19 @@ def appended_rows(s: SparkSession, d: str) -> DataFrame:
     return s.read.parquet(path)
 
 
+@query("SELECT 'box' AS kind, p_partkey AS k, p_size AS v FROM part UNION ALL SELECT 'again', p_partkey, p_size + 1 FROM part WHERE p_partkey % 2 = 0", "K14 K15 K16 E9")
+def committed_rows(s: SparkSession, d: str) -> DataFrame:
+    """Two jobs append, one of them twice; a third has written its rows and was stopped before its manifest."""
+    path, rows = scratch(s), table(s, d, "part")
+    first = rows.select(F.lit("box").alias("kind"), K().alias("k"), Z().alias("v"))
+    commits.append(first, path, "first")
+    commits.append(rows.filter(K() % 2 == 0).select(F.lit("again").alias("kind"), K().alias("k"), (Z() + 1).alias("v")), path, "second")
+    commits.append(first, path, "first")
+    first.write.parquet(f"{path}/data/job=stopped")
+    return commits.read(s, path)
+
+
+
 @query("SELECT vec_id, len(embedding)::INTEGER AS width, ROUND(embedding[1]::DOUBLE, 6) AS first, ROUND(embedding[64]::DOUBLE, 6) AS last FROM embeddings", "K19")
 def representation_files(s: SparkSession, d: str) -> DataFrame:
     path = scratch(s)
@@ -467,11 +483,10 @@ def numbered_rows(s: SparkSession, d: str) -> DataFrame:
     return numbered(table(s, d, "lineitem").select(F.col("l_orderkey").alias("name"), F.col("l_linenumber").cast("bigint").alias("n_rows")), ["name", "n_rows"], "place")
 
 
-@query("SELECT (p - 1)::BIGINT AS place, TRUE AS is_part FROM (SELECT ROW_NUMBER() OVER (ORDER BY p_partkey) AS p FROM part)", "O12")
+@query("SELECT p_partkey, ROW_NUMBER() OVER (ORDER BY ('0x' || substr(md5('5:' || p_partkey), 1, 13))::BIGINT, p_partkey) - 1 AS place FROM part", "O12")
 def shuffled_rows(s: SparkSession, d: str) -> DataFrame:
-    """A random order has each place once and each row once."""
+    """The rows in a random order."""
     from siftspark.operators.ordering import numbered
 
     part = table(s, d, "part").select("p_partkey")
-    placed = numbered(part, [sampling.shuffled(5, "p_partkey"), K()], "place")
-    return placed.join(part.withColumn("is_part", F.lit(True)), "p_partkey").select("place", "is_part")
+    return numbered(part, [sampling.shuffled(5, "p_partkey"), K()], "place").select("p_partkey", "place")

@@ -15,7 +15,7 @@ from siftspark.plans.queries import CURVE_COLUMNS, DOCK_SQL, MODELS_SQL, POINTS_
 from siftspark.plans import active_loop
 from siftspark.plans.registry import query, scratch
 from siftspark.session import table
-from siftspark.sources import remote
+from siftspark.sources import commits, remote
 from siftspark.streaming import progress, runs
 
 # --- molecules ---------------------------------------------------------------------------------
@@ -395,48 +395,80 @@ def single_series(s: SparkSession, d: str) -> DataFrame:
 # --- sampling and learning ---------------------------------------------------------------------
 
 
-@query("SELECT i::INTEGER AS iteration, (100 - (i - 1) * 10)::BIGINT AS n FROM range(1, 12) r(i) WHERE i <= 10", "F25")
+@query("WITH c AS (SELECT source, COUNT(*) // 5 AS f, COUNT(*) // 50 AS l FROM documents GROUP BY 1) SELECT source, i::INTEGER AS iteration, FLOOR(f + (i - 1) / 9.0::DOUBLE * (l - f))::BIGINT AS n FROM c, range(1, 11) r(i)", "F25")
 def hit_schedule(s: SparkSession, d: str) -> DataFrame:
-    return sampling.hit_counts(s, 100, 10, 10)
+    """Hits to keep of each source in ten iterations, from a fifth of its rows to a fiftieth."""
+    counts = table(s, d, "documents").groupBy("source").agg(F.floor(F.count("*") / 5).alias("first"), F.floor(F.count("*") / 50).alias("last"))
+    return sampling.hit_schedules(counts, "first", "last", 10).select("source", "iteration", "n")
 
 
-@query("WITH n AS (SELECT COUNT(*) AS n FROM documents) SELECT f::INTEGER AS fold, n // 5 + CASE WHEN f < n % 5 THEN 1 ELSE 0 END AS n, n // 5 + CASE WHEN f < n % 5 THEN 1 ELSE 0 END AS n_ids FROM n, range(5) r(f)", "M6")
+def draw_sql(seed: int, *key: str) -> str:
+    """What stands for a random number: see sampling.shuffled."""
+    return f"('0x' || substr(md5('{seed}:' || {" || ':' || ".join(key)}), 1, 13))::BIGINT"
+
+
+@query(f"SELECT doc_id, ((ROW_NUMBER() OVER (ORDER BY {draw_sql(3, 'doc_id')}, doc_id) - 1) % 5)::INTEGER AS fold FROM documents", "M6")
 def shuffled_folds(s: SparkSession, d: str) -> DataFrame:
-    folds = sampling.shuffled_folds(table(s, d, "documents").select("doc_id"), "doc_id", 5, 3)
-    return folds.groupBy("fold").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("n_ids"))
+    return sampling.shuffled_folds(table(s, d, "documents").select("doc_id"), "doc_id", 5, 3)
 
 
-@query("WITH n AS (SELECT COUNT(*) AS n FROM nation) SELECT 'nation' AS task, 40 * 3 AS n, (40 * 3 // n)::BIGINT AS least, ((40 * 3 + n - 1) // n)::BIGINT AS most, 40::BIGINT AS n_rounds FROM n UNION ALL SELECT 'region', 40, 8, 8, 40", "M7")
+@query(f"""WITH t AS (SELECT 'nation' AS task, 3 AS w, n_name AS name, ROW_NUMBER() OVER (ORDER BY {draw_sql(1, 'n_name')}, n_name) - 1 AS i, COUNT(*) OVER () AS n FROM nation
+UNION ALL SELECT 'region', 1, r_name, ROW_NUMBER() OVER (ORDER BY {draw_sql(1, 'r_name')}, r_name) - 1, COUNT(*) OVER () FROM region)
+SELECT task, k // w AS round, k AS place, name FROM t, range(120) r(k) WHERE k < 40 * w AND k % n = i""", "M7")
 def cyclic_mixture(s: SparkSession, d: str) -> DataFrame:
-    """How often the rows of each table are drawn in forty rounds of three nations and one region."""
+    """The rows of forty rounds of three nations and one region."""
     tables = {"nation": table(s, d, "nation").select(F.col("n_name").alias("name")), "region": table(s, d, "region").select(F.col("r_name").alias("name"))}
-    drawn = sampling.cyclic_mix(tables, {"nation": 3, "region": 1}, "name", 40, 1)
-    per = drawn.groupBy("task", "name").agg(F.count("*").alias("c"))
-    rounds = drawn.groupBy("task").agg(F.countDistinct("round").alias("n_rounds"))
-    return per.groupBy("task").agg(F.sum("c").alias("n"), F.min("c").alias("least"), F.max("c").alias("most")).join(rounds, "task")
+    return sampling.cyclic_mix(tables, {"nation": 3, "region": 1}, "name", 40, 1)
+
 
+@query(f"SELECT p_partkey, p_size FROM part WHERE p_size > 0 ORDER BY -LN(({draw_sql(4, 'p_partkey')} + 1) / {float(2**52 + 1)!r}::DOUBLE) / p_size, p_partkey LIMIT 300", "M7")
+def weighted_draw(s: SparkSession, d: str) -> DataFrame:
+    """Parts drawn without replacement, large ones more often."""
+    return sampling.weighted_draw(table(s, d, "part").select("p_partkey", "p_size"), "p_size", "p_partkey", 300, 4)
 
-@query("WITH c AS (SELECT COUNT(*) FILTER (toxic = 0) AS n0, COUNT(*) FILTER (toxic = 1) AS n1 FROM labels) SELECT toxic, LEAST(n0, n1 * 3) AS n FROM c, (VALUES (0), (1)) v(toxic)", "M11")
+
+@query(f"""WITH p AS (SELECT doc_id, toxic, ROW_NUMBER() OVER (PARTITION BY toxic ORDER BY {draw_sql(5, 'doc_id')}, doc_id) - 1 AS i, COUNT(*) OVER (PARTITION BY toxic) AS n FROM labels),
+m AS (SELECT LEAST(MAX(n) FILTER (toxic = 0), 3 * MAX(n) FILTER (toxic = 1)) AS m FROM p), k AS (SELECT unnest(range(m)) AS k FROM m), v AS (SELECT k, toxic, {draw_sql(6, 'k', 'toxic')} AS u FROM k, (VALUES (0), (1)) v(toxic))
+SELECT doc_id, toxic, COUNT(*) AS n_draws FROM p JOIN v USING (toxic) WHERE i = u % n GROUP BY 1, 2""", "M11")
 def oversampled_draws(s: SparkSession, d: str) -> DataFrame:
-    draws = sampling.draws_with_replacement(table(s, d, "labels").select("doc_id", "toxic"), "toxic", "doc_id", 3, 5)
-    return draws.groupBy("toxic").agg(F.sum("n_draws").alias("n"))
+    """How often each labelled row is drawn."""
+    return sampling.draws_with_replacement(table(s, d, "labels").select("doc_id", "toxic"), "toxic", "doc_id", 3, 5)
 
 
-@query("SELECT LEAST(COUNT(*), 100) AS n, LEAST(COUNT(*), 100) AS n_ids, LEAST(COUNT(*), 100) AS n_known FROM labels", "M13 M12")
+@query(f"SELECT doc_id FROM labels ORDER BY {draw_sql(9, 'doc_id')}, doc_id LIMIT 100", "M13 M12")
 def random_subset(s: SparkSession, d: str) -> DataFrame:
-    ids = table(s, d, "labels").select("doc_id")
-    some = sampling.random_subset(ids, 100, "doc_id", 9)
-    return some.join(ids.distinct().withColumn("_k", F.lit(1)), "doc_id", "left").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("n_ids"), F.count("_k").alias("n_known"))
+    return sampling.random_subset(table(s, d, "labels").select("doc_id"), 100, "doc_id", 9)
 
 
-@query("WITH c AS (SELECT MIN(n) AS m FROM (SELECT toxic, COUNT(*) AS n FROM labels GROUP BY 1)) SELECT toxic, m AS n FROM c, (VALUES (0), (1)) v(toxic)", "M8")
+@query(f"SELECT doc_id, toxic FROM (SELECT doc_id, toxic, ROW_NUMBER() OVER (PARTITION BY toxic ORDER BY {draw_sql(2, 'doc_id')}, doc_id) AS i FROM labels), (SELECT MIN(n) AS m FROM (SELECT COUNT(*) AS n FROM labels GROUP BY toxic)) WHERE i <= m", "M8")
 def downsampled(s: SparkSession, d: str) -> DataFrame:
-    return sampling.downsample(table(s, d, "labels"), "toxic", "doc_id", 2).groupBy("toxic").agg(F.count("*").alias("n"))
+    """The smaller class, and as many rows of the larger."""
+    return sampling.downsample(table(s, d, "labels"), "toxic", "doc_id", 2).select("doc_id", "toxic")
+
 
+@query(f"""WITH l AS (SELECT doc_id, lang, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY {draw_sql(8, 'doc_id')}, doc_id) AS i, COUNT(*) OVER (PARTITION BY lang) // 10 AS n FROM documents)
+SELECT doc_id, lang, CASE WHEN i <= 3 * n THEN 'train' WHEN i <= 4 * n THEN 'valid' ELSE 'test' END AS split FROM l WHERE i <= 5 * n""", "M12 W4 M10")
+def split_rows(s: SparkSession, d: str) -> DataFrame:
+    """The documents of each language that go to each split."""
+    docs = table(s, d, "documents").select("doc_id", "lang")
+    tenth = F.floor(F.col("n_rows") / 10).cast("bigint")
+    sizes = sampling.shard_counts(docs, "lang").select("lang", (3 * tenth).alias("n_train"), tenth.alias("n_valid"), tenth.alias("n_test"))
+    return sampling.stratified_split(docs, "lang", "doc_id", sizes, 8)
 
-@query("SELECT (i + 1)::INTEGER AS model_no, 'train --model-no ' || (i + 1) || ' --n-layers ' || (CASE WHEN i < 2 THEN 2 ELSE 3 END) || ' --n-units ' || (CASE WHEN i % 2 = 0 THEN 1500 ELSE 2000 END) || ' --iteration 1' AS command FROM range(4) r(i)", "M16 E10")
+
+@query(f"""WITH p AS (SELECT doc_id, toxic, ROW_NUMBER() OVER (PARTITION BY toxic ORDER BY {draw_sql(3, 'doc_id')}, doc_id) AS i, COUNT(*) OVER (PARTITION BY toxic) AS n FROM labels), m AS (SELECT MAX(n) AS m FROM p)
+SELECT doc_id, toxic, (m // n + CASE WHEN i <= m % n THEN 1 ELSE 0 END)::BIGINT AS copies FROM p, m""", "M8")
+def rebalanced_rows(s: SparkSession, d: str) -> DataFrame:
+    """How often each row occurs when both classes have equally many."""
+    return sampling.rebalance(table(s, d, "labels"), "toxic", "doc_id", 3).groupBy("doc_id", "toxic").agg(F.count("*").alias("copies"))
+
+
+@query("SELECT (i + 1)::INTEGER AS model_no, 'train --model-no ' || (i + 1) || ' --n-layers ' || (CASE WHEN i < 2 THEN 2 ELSE 3 END) || ' --n-units ' || (CASE WHEN i % 2 = 0 THEN 1500 ELSE 2000 END) || ' --target ' || s_suppkey || ' --iteration 1' AS command FROM supplier, range(4) r(i)", "M16 E10")
 def job_specs(s: SparkSession, d: str) -> DataFrame:
-    return evaluation.job_specs(evaluation.hyper_grid(s, {"n_layers": (2, 3), "n_units": (1500, 2000)}), "train", iteration="1")
+    """A command line for each target and setting."""
+    targets = table(s, d, "supplier").select(F.col("s_suppkey").alias("target"))
+    grid = evaluation.hyper_grid(s, {"n_layers": (2, 3), "n_units": (1500, 2000)})
+    return evaluation.job_specs(evaluation.grids_for(targets, grid), "train", iteration="1")
 
 
 #: Two logistic models and a linear one over the first three numbers of an embedding.
@@ -466,6 +498,40 @@ def catalogue_scores(s: SparkSession, d: str) -> DataFrame:
     return found.withColumns({c: F.round(c, 6) for c in ("toxicity", "solubility")})
 
 
+#: Five networks of three inputs, two rectified units and one output, by a rule; and a forest of two trees.
+NETS = [{"kind": "dense", "layers": [{"weights": [[round(0.3 * (i - j) + 0.1 * k, 2) for j in range(2)] for i in range(3)], "bias": [0.1, -0.05 * k]}, {"weights": [[1.0 + 0.2 * k], [-0.7]], "bias": [0.05 * k]}]} for k in range(5)]
+FOREST = {"kind": "trees", "base": 0.2, "trees": [{"feature": [0, -1, 1, -1, -1], "threshold": [0.0, 0, 0.05, 0, 0], "left": [1, 0, 3, 0, 0], "right": [2, 0, 4, 0, 0], "value": [0, -1.0, 0, 0.5, 2.0]}, {"feature": [2, -1, -1], "threshold": [-0.02, 0, 0], "left": [1, 0, 0], "right": [2, 0, 0], "value": [0, 0.25, -0.25]}]}
+
+
+def _load_net(name: str) -> models.Model:
+    return models.from_json(json.dumps(FOREST if name == "forest" else NETS[int(name)]))
+
+
+def _unit_sql(net: dict, j: int) -> str:
+    hidden = net["layers"][0]
+    return "GREATEST(0, " + " + ".join(f"({hidden['weights'][i][j]!r}) * x{i}" for i in range(3)) + f" + ({hidden['bias'][j]!r}))"
+
+
+def _net_sql(net: dict) -> str:
+    out = net["layers"][1]
+    return "1 / (1 + EXP(-(" + " + ".join(f"({out['weights'][j][0]!r}) * {_unit_sql(net, j)}" for j in range(2)) + f" + ({out['bias'][0]!r}))))"
+
+
+@query(f"WITH {FEATURES_SQL} SELECT name, CASE WHEN NOT bad THEN ROUND(({' + '.join(map(_net_sql, NETS))}) / 5, 6) END AS toxicity, CASE WHEN NOT bad THEN ROUND(0.2 + CASE WHEN x0 <= 0 THEN -1.0 WHEN x1 <= 0.05 THEN 0.5 ELSE 2.0 END + CASE WHEN x2 <= -0.02 THEN 0.25 ELSE -0.25 END, 6) END AS permeability FROM ft", "M1 M2 M15 J23 2.13-model")
+def network_scores(s: SparkSession, d: str) -> DataFrame:
+    """The mean of five networks for one property, a forest for another."""
+    found = models.ensemble(_features(s, d), {"toxicity": list("01234"), "permeability": ["forest"]}, "x", _load_net)
+    return found.withColumns({c: F.round(c, 6) for c in ("toxicity", "permeability")})
+
+
+@query(f"WITH {FEATURES_SQL} SELECT name, ROUND({_unit_sql(NETS[0], 0)}, 6) AS a0, ROUND({_unit_sql(NETS[0], 1)}, 6) AS a1, ROUND({_unit_sql(NETS[4], 0)}, 6) AS b0, ROUND({_unit_sql(NETS[4], 1)}, 6) AS b1 FROM ft WHERE NOT bad", "M3 K19")
+def hidden_layers(s: SparkSession, d: str) -> DataFrame:
+    """What the hidden units of two networks give for each row."""
+    load = lambda name: lambda x: _load_net(name).layers(x)[1]
+    found = models.represent(_features(s, d).filter("name % 9 != 0"), "x", {"a": "0", "b": "4"}, load)
+    return found.select("name", *[F.round(F.get(c, F.lit(k)), 6).alias(f"{c}{k}") for c in "ab" for k in (0, 1)])
+
+
 @query(f"WITH {FEATURES_SQL} SELECT name, 1 AS width, ROUND({_spec_sql('c')}, 6) AS value FROM ft WHERE NOT bad", "M3 K19")
 def representations(s: SparkSession, d: str) -> DataFrame:
     found = models.represent(_features(s, d).filter("name % 9 != 0"), "x", {"layer": "c"}, _load_spec)
@@ -546,32 +612,29 @@ def best_node(s: SparkSession, d: str) -> DataFrame:
 # --- streams -----------------------------------------------------------------------------------
 
 
-def _streamed(s: SparkSession, d: str, views: dict[str, progress.View]) -> dict[str, list]:
-    """The last state of each view after the log has come in three batches."""
-    path, seen = scratch(s), {}
-    log = _log(s, d)
+def _streamed(s: SparkSession, d: str, views: dict[str, progress.View]) -> dict[str, DataFrame]:
+    """The last state of each view after the log has come in three batches, as it was written."""
+    path, log = scratch(s), _log(s, d)
     for k in range(3):
         log.filter(F.col("seq") % 3 == k).coalesce(1).write.mode("append").json(f"{path}/log")
     stream = progress.read_log(s, f"{path}/log", files_per_batch=1)
-    for q in progress.follow(stream, views, lambda name, rows, number: seen.__setitem__(name, (number, rows.collect())), f"{path}/state"):
+    for q in progress.follow(stream, views, lambda name, rows, number: rows.write.mode("overwrite").parquet(f"{path}/out/{name}/{number}"), f"{path}/state"):
         q.awaitTermination()
         if q.exception():
             raise q.exception()
-    assert all(number == 2 for number, _ in seen.values())
-    return {k: rows for k, (_, rows) in seen.items()}
+    return {name: s.read.parquet(f"{path}/out/{name}/2") for name in views}
 
 
 @query("""WITH m AS (SELECT event_id, LEAST(7, event_id * 8 // 12000) AS k FROM events WHERE event_type = 'signup'), g AS (SELECT k, MIN(event_id) AS first_seq, MAX(event_id) AS last FROM m GROUP BY 1)
 SELECT ['library', 'receptor', 'physchem', 'admet', 'druglikeness', 'prepare_ligand', 'docking', 'results'][k + 1] AS module, first_seq, last <> (SELECT MAX(last) FROM g) AS completed, CAST(k * 100 // 7 AS INTEGER) AS progress FROM g""", "T1 T2 T6")
 def followed_modules(s: SparkSession, d: str) -> DataFrame:
-    rows = _streamed(s, d, {"modules": progress.transition_view()})["modules"]
-    return s.createDataFrame(rows, "module string, first_seq bigint, completed boolean, progress int")
+    return _streamed(s, d, {"modules": progress.transition_view()})["modules"].select("module", "first_seq", "completed", "progress")
 
 
 @query("SELECT CAST(SUM(event_id % 300) AS BIGINT) AS done, CAST(LEAST(100, FLOOR(SUM(event_id % 300) * 100 / 500000.0)) AS INTEGER) AS percent, (SELECT CAST(event_id % 100 AS INTEGER) FROM events WHERE event_type = 'click' ORDER BY event_id DESC LIMIT 1) AS latest FROM events WHERE event_type = 'purchase'", "T3 T4 A29")
 def followed_progress(s: SparkSession, d: str) -> DataFrame:
-    rows = _streamed(s, d, {"done": progress.batch_view(500_000), "latest": progress.percent_view()})
-    return s.createDataFrame([(*rows["done"][0], rows["latest"][0][0])], "done bigint, percent int, latest int")
+    shown = _streamed(s, d, {"done": progress.batch_view(500_000), "latest": progress.percent_view()})
+    return shown["done"].select("done", "percent").crossJoin(F.broadcast(shown["latest"].select(F.col("percent").alias("latest"))))  # one row each
 
 
 @query("SELECT event_id AS seq FROM events ORDER BY event_id DESC LIMIT 1000", "T5 T6")
@@ -683,18 +746,18 @@ def focal_losses(s: SparkSession, d: str) -> DataFrame:
     return _scored(s, d).agg(F.round(F.sum(loss).cast("double"), 6).alias("loss"), F.count("*").alias("n"))
 
 
-@query("SELECT split, CASE split WHEN 'train' THEN 72 ELSE 24 END::BIGINT AS n, TRUE AS fewer, TRUE AS resumed_same FROM (VALUES ('train'), ('valid'), ('test')) v(split)", "E9 M10 M15")
+@query(f"SELECT id, CASE WHEN i <= 72 THEN 'train' WHEN i <= 96 THEN 'valid' ELSE 'test' END AS split, ROUND(-balance / 1000, 6) AS score, TRUE AS resumed_same FROM (SELECT c_custkey AS id, c_acctbal AS balance, ROW_NUMBER() OVER (ORDER BY {draw_sql(12, 'c_custkey')}, c_custkey) AS i FROM customer) WHERE i <= 120", "E9 M10 M15")
 def active_learning(s: SparkSession, d: str) -> DataFrame:
-    """Two iterations over the customers, whose score falls with their balance; the run is started again and changes nothing."""
+    """What two iterations over the customers, whose score falls with their balance, label first; the run is started again and its
+    survivors stay the same, some but not all of the library."""
     path = scratch(s)
     library = table(s, d, "customer").select(F.col("c_custkey").alias("id"), F.array(F.col("c_acctbal") / 1000, (F.col("c_nationkey") % 5).cast("double")).alias("features"))
     label = lambda rows: rows.withColumn("score", -F.get("features", F.lit(0)))
     config = active_loop.LoopConfig(path, iterations=2, sample=120, hit_share=0.2)
     left = active_loop.run(library, label, config)
     n, again = left.count(), active_loop.run(library, label, config)
-    same = left.select("id").join(again.select("id"), "id").count() == n == again.count()
-    first = s.read.parquet(f"{path}/iteration=1/labels").groupBy("split").agg(F.count("*").alias("n"))
-    return first.withColumn("fewer", F.lit(0 < n < library.count())).withColumn("resumed_same", F.lit(same))
+    same = left.select("id").join(again.select("id"), "id").count() == n == again.count() and 0 < n < library.count()
+    return commits.read(s, f"{path}/iteration=1/labels").select("id", "split", F.round("score", 6).alias("score"), F.lit(same).alias("resumed_same"))
 
 
 @query("SELECT p_partkey AS row_id, 'nsteps = ' || (p_partkey * 10) || ' gen' AS value FROM part WHERE p_partkey % 4 > 0", "E8")

@@ -274,7 +274,8 @@ def write_scores(df: DataFrame, path: str, mode: str = "error") -> None:
 
 
 def append_rows(df: DataFrame, path: str) -> None:
-    """Add rows to a table that may be there already: logs, experiments, rejected lines."""
+    """Add rows to a table that may be there already: logs, experiments, rejected lines. See :mod:`siftspark.sources.commits` for
+    appends that can be repeated."""
     df.write.mode("append").parquet(path)
 
 

@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from siftspark.operators import clustering, graph, similarity, spatial, structure
+from siftspark.functions import processes
+from siftspark.operators import clustering, graph, joins, similarity, spatial, structure
 
 
 def cloud(n, seed, dense=0):
@@ -135,3 +136,19 @@ def test_clusters_of_random_links(spark, small):
 def test_components_of_text_ids(spark):
     links = spark.createDataFrame([("b", "c"), ("c", "d"), ("x", "y")], "a string, b string")
     assert {r.v: r.root for r in graph.components(links).collect()} == {"b": "b", "c": "b", "d": "b", "x": "x", "y": "x"}
+
+
+# --- lists in blocks ----------------------------------------------------------------------------
+
+
+def test_many_targets_go_in_blocks(spark):
+    targets = spark.createDataFrame([(f"t{i}",) for i in range(40)], "target string")
+    ligands = spark.createDataFrame([(i,) for i in range(5)], "ligand int")
+    got = joins.off_target_jobs(targets, ligands, ligands.filter("ligand > 1"), most=7).collect()
+    assert sorted((r.target, r.ligand) for r in got) == sorted((f"t{i}", k) for i in range(40) for k in (2, 3, 4))
+
+
+def test_braces_in_arguments(spark):
+    df = spark.createDataFrame([(1, "x")], "id int, name string")
+    (r,) = processes.for_each(df, ["printf", "%s", "{name} {id} {{other}} {}"]).collect()
+    assert (r.status, r.output) == ("ok", "x 1 {{other}} {}")

@@ -5,7 +5,8 @@ from siftspark.functions import scalars
 from siftspark.functions.kernels import KernelRegistry
 from siftspark.plans import config
 from siftspark.plans.active_loop import LoopConfig, run
-from siftspark.sources import reports, text
+from siftspark.operators import sampling
+from siftspark.sources import commits, reports, text
 from siftspark.streaming import progress
 
 
@@ -97,3 +98,37 @@ def test_active_loop(spark, tmp_path):
     left = run(library, label, LoopConfig(str(tmp_path), iterations=2, sample=300, hit_share=0.2))
     assert 0 < left.count() < 600
     assert run(library, label, LoopConfig(str(tmp_path), iterations=2, sample=300, hit_share=0.2)).count() == left.count()
+
+
+def test_jobs_append_once(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    rows = lambda *ids: spark.createDataFrame([(i, f"x{i}") for i in ids], "id int, name string")
+    assert not commits.done(spark, folder, "a")
+    assert commits.append(rows(1, 2), folder, "a") and commits.append(rows(3), folder, "b")
+    assert not commits.append(rows(1, 2), folder, "a")  # a retry
+    asked = []
+    assert not commits.append(lambda: asked.append(1), folder, "b") and not asked
+    rows(9).write.parquet(f"{folder}/data/job=c")  # a job that was stopped before its manifest
+    ids = lambda **kw: sorted(r["id"] for r in commits.read(spark, folder, **kw).collect())
+    assert ids() == [1, 2, 3] and ids(jobs=["b"]) == [3]
+    assert commits.append(rows(4), folder, "c") and ids() == [1, 2, 3, 4]  # and is started again
+    assert commits.append(rows(5).withColumn("extra", F.lit(True)), folder, "d")
+    assert sorted((r["id"], r["extra"]) for r in commits.read(spark, folder).filter("id > 3").collect()) == [(4, None), (5, True)]
+    commits.forget(spark, folder, "a")
+    assert ids() == [3, 4, 5] and commits.append(rows(1), folder, "a") and ids() == [1, 3, 4, 5]
+    assert {r["job"]: r["n_rows"] for r in commits.manifests(spark, folder).collect()} == {"a": 1, "b": 1, "c": 1, "d": 1}
+    assert commits.append(rows(1).limit(0), folder, "none") and ids() == [1, 3, 4, 5]
+
+
+def test_gates_are_those_of_the_settings(spark):
+    rows = [(i, start, [m for m in config.MODULES if m != left]) for i, (start, left) in enumerate((a, b) for a in config.MODULES for b in config.MODULES)]
+    got = config.gates(spark.createDataFrame(rows, "run int, start string, active array<string>")).collect()
+    assert len(got) == len(rows) * len(config.MODULES)
+    assert all(r["runs"] == config.Config(active=tuple(r["active"]), start=r["start"]).runs(r["module"]) for r in got)
+
+
+def test_hit_schedules_are_linear(spark):
+    df = spark.createDataFrame([("a", 100, 10), ("b", 7, 0), ("c", 3, 9)], "k string, first bigint, last bigint")
+    got = sampling.hit_schedules(df, "first", "last", 10).collect()
+    assert len(got) == 30 and all(r["n"] == sampling.linear_schedule(r["first"], r["last"], r["iteration"], 10) for r in got)
+    assert [r["n"] for r in sampling.hit_schedules(df, "first", "last", 1).filter("k = 'a'").collect()] == [100]

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from siftspark.operators import ordering, quantiles, similarity, topk
+from siftspark.operators import ordering, quantiles, sampling, similarity, topk
 
 
 def sim(a, b):
@@ -177,6 +177,36 @@ def test_no_window_of_ranks_sees_all_rows(spark):
 def test_similarity_of_many_queries(spark):
     df = spark.createDataFrame([(i, [i * 2654435761 % 2**40]) for i in range(50)], "id bigint, fp array<bigint>")
     want = sorted(map(tuple, similarity.similarity_matrix(df, df).collect()))
-    assert len(want) == 2500 and sorted(map(tuple, similarity.similarity_matrix(df, df, most_queries=7).collect())) == want
+    assert len(want) == 2500 and sorted(map(tuple, similarity.similarity_matrix(df, df, most_bytes=300).collect())) == want
     ranked = similarity.ranked_matches(similarity.similarity_matrix(df, df)).collect()
     assert sorted((r["query"], r["place"]) for r in ranked) == [(q, p) for q in range(50) for p in range(1, 51)]
+
+
+# --- draws --------------------------------------------------------------------------------------
+
+
+def test_weighted_draws_follow_the_weights(spark):
+    n, drawn = 400, 60
+    rows = [(i, float(1 + i % 4)) for i in range(n)] + [(1000, 0.0), (1001, None), (1002, -1.0)]
+    df = spark.createDataFrame(rows, "id int, w double").repartition(3)
+    hits = np.zeros(5)
+    for seed in range(12):
+        got = [r["id"] for r in sampling.weighted_draw(df, "w", "id", drawn, seed).collect()]
+        assert len(set(got)) == len(got) == drawn and max(got) < n
+        for i in got:
+            hits[1 + i % 4] += 1
+    # Of weights 1 to 4 in equal numbers, the chance of inclusion is near the weight's share as few are drawn.
+    r, keys = np.random.default_rng(1), np.zeros(5)
+    for _ in range(400):
+        order = np.argsort(-np.log(r.random(n)) / (1 + np.arange(n) % 4))[:drawn]
+        np.add.at(keys, 1 + order % 4, 1)
+    assert np.abs(hits / hits.sum() - keys / keys.sum()).max() < 0.05
+    assert sampling.weighted_draw(df, "w", "id", 0, 1).count() == 0
+    assert sampling.weighted_draw(df, "w", "id", 10_000, 1).count() == n
+    twice = df.unionByName(df)
+    assert sampling.weighted_draw(twice, "w", "id", 31, 1).count() == 31
+
+
+def test_hits_of_the_last_iteration():
+    assert [sampling.last_hits(n, 0.01) for n in (50, 5000, 100_000)] == [0, 50, 1000]
+    assert [sampling.last_hits(n) for n in (50, 5000)] == [50, 100]
