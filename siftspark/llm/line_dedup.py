@@ -282,13 +282,13 @@ def hot_words(table: DataFrame, counts: np.ndarray, crowd: np.ndarray, params: P
 
 #: The prefix words of the sets of one piece that fall into one bucket: part of the word's hash (as differences), set id, sketch, place of
 #: the set's first line (differences to the least in the order, line number), size, and position of the word; for the large
-#: sets among them three of the four sketch words (the fourth follows, as all four make the sketch). ``words``: the whole sets, where asked for.
+#: sets among them a sketch of four words. ``words``: the whole sets, where asked for.
 ENTRIES = "bucket int, word binary, set_id binary, sketch binary, least bigint, o binary, number binary, n binary, pos binary, wide binary, words binary"
-WIDE = 3
+WIDE = 4
 
 
 def sketches(p: Piece, params: Params) -> tuple[np.ndarray, np.ndarray]:
-    """The parity sketch of each set, and of the large sets three of its four words (0 for the others)."""
+    """The parity sketch of each set, folded to 32 bits, and a sketch of four words of the large sets (0 for the others)."""
     bit = (np.uint64(1) << (p.keys & np.uint64(63)))[p.codes]
     sketch = np.bitwise_xor.reduceat(bit, p.off[:-1]) if len(bit) else np.zeros(0, np.uint64)
     wide = np.zeros((WIDE, len(sketch)), np.uint64)
@@ -299,7 +299,7 @@ def sketches(p: Piece, params: Params) -> tuple[np.ndarray, np.ndarray]:
         part, bit = (p.keys >> np.uint64(6) & np.uint64(3))[p.codes[at]], bit[at]
         for k in range(WIDE):
             wide[k, large] = np.bitwise_xor.reduceat(np.where(part == k, bit, np.uint64(0)), begin)
-    return sketch, wide
+    return (sketch ^ sketch >> np.uint64(32)) & LOW, wide
 
 
 def entries(table: DataFrame, counts: np.ndarray, hot: tuple[np.ndarray, np.ndarray], buckets: int, params: Params, only: Filter | None = None) -> DataFrame:
@@ -338,7 +338,7 @@ def entries(table: DataFrame, counts: np.ndarray, hot: tuple[np.ndarray, np.ndar
             s = j[k]
             big = s[p.n[s] >= params.wide]
             whole = pack(p.words(s)[0]) if only is not None else b""
-            yield (int(bucket[k[0]]), squeeze(np.diff(short[k], prepend=np.uint32(0))), p.set_id[s].tobytes(), sketch[s].tobytes(), int(least), squeeze(o[s]), squeeze(number[s]), squeeze(p.n[s]), squeeze(pos[k]), wide[:, big].tobytes(), whole)
+            yield (int(bucket[k[0]]), squeeze(np.diff(short[k], prepend=np.uint32(0))), p.set_id[s].tobytes(), sketch[s].astype(np.uint32).tobytes(), int(least), squeeze(o[s]), squeeze(number[s]), squeeze(p.n[s]), squeeze(pos[k]), wide[:, big].tobytes(), whole)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -357,7 +357,7 @@ def _gathered(part: pa.Table, params: Params) -> dict[str, np.ndarray]:
     t = {
         "word": join(lambda r: np.cumsum(expand(r["word"]))),
         "set_id": join(lambda r: np.frombuffer(r["set_id"], np.int64)),
-        "sketch": join(lambda r: np.frombuffer(r["sketch"], np.uint64)),
+        "sketch": join(lambda r: np.frombuffer(r["sketch"], np.uint32)).astype(np.uint64),
         "o": join(lambda r: expand(r["o"]) + r["least"]),
     }
     t |= {c: join(lambda r, c=c: expand(r[c])) for c in ("number", "n", "pos")}
@@ -393,7 +393,6 @@ def passes(t: dict[str, np.ndarray], a: np.ndarray, u: dict[str, np.ndarray], b:
     large = np.flatnonzero(np.minimum(t["n"][a], u["n"][b]) >= params.wide)
     if len(large):
         parts = [v[a[large]] ^ w[b[large]] for v, w in zip(t["wide"], u["wide"], strict=True)]
-        parts.append(t["sketch"][a[large]] ^ u["sketch"][b[large]] ^ parts[0] ^ parts[1] ^ parts[2])
         keep = np.ones(len(a), bool)
         keep[large] = sum(np.bitwise_count(w).astype(np.int64) for w in parts) <= most[large]
         ok = ok[keep]
