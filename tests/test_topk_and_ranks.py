@@ -65,6 +65,41 @@ def test_top_similar_on_odd_sets(spark, block):
     assert topk.top_similar(frame(spark, queries).limit(0), frame(spark, library), 4).count() == 0
 
 
+@pytest.mark.parametrize("most_bytes", [300, 32 << 20])
+def test_top_shared_is_exact_and_shuffles_no_postings(spark, most_bytes):
+    library = prints(300, width=300) | {1000: set(), 1001: {5}, 1002: {5}, 1003: {5, 2**60 + 6}, 1004: set(range(300)), 1005: {-79}}
+    queries = {i: x for i, x in library.items() if i % 20 == 0} | {1: {5}, 2: set(), 3: {999}, 4: {5, 999, -79}, 7: {5, 2**60 + 6}}
+    sets_ = lambda x: spark.createDataFrame([(i, sorted(b) * 2) for i, b in x.items()], "id bigint, bits array<bigint>")
+    # One id twice, halves of a set each.
+    whole = sorted(library.pop(40))
+    both = sets_(library).union(sets_({40: set(whole[::2])})).union(sets_({40: set(whole[1::2])}))
+    library[40] = set(whole)
+    got = places(topk.top_shared(sets_(queries), both, 4, most_bytes=most_bytes).collect())
+    want = {q: x for q, x in brute(queries, library, 4).items() if x}
+    assert {q: [i for i, _ in x] for q, x in got.items()} == {q: [i for i, _ in x] for q, x in want.items()}
+    assert all(math.isclose(a, b, abs_tol=1e-11) for q in want for (_, a), (_, b) in zip(got[q], want[q]))
+    assert topk.top_shared(sets_(queries), both.limit(0), 4).count() == 0 == topk.top_shared(sets_(queries).limit(0), both, 4).count()
+    # Of the library's bits only those go on that a query may have, so what is written does not grow with the others.
+    far = sets_({i: set(range(1 << 20, (1 << 20) + 500)) | {i} for i in range(50)})
+    kept = topk._asked_only(topk._distinct_sets(far), topk._distinct_sets(sets_({1: {3, 4}})), 2)
+    assert sum(len(r["bits"]) for r in kept.collect()) < 50 * 501 / 4
+
+
+def test_postings_count_in_pieces():
+    import pyarrow as pa
+
+    library = prints(200, width=100)
+    rows = pa.table({"id": pa.array([1, 2, 3]), "bits": pa.array([sorted(library[i]) for i in (1, 2, 3)], pa.list_(pa.int64()))})
+    size = np.array([len(x) for x in library.values()])
+    lists = pa.array([sorted(x) for x in library.values()], pa.list_(pa.int64()))
+    found = []
+    for cells in (7, 8_000_000):
+        postings = topk.Postings(rows, 5)
+        postings.meet(np.arange(200), size, lists, cells)
+        found.append(postings.found().to_pylist())
+    assert found[0] == found[1] and [r["id"] for r in found[0]] == [i for q in (1, 2, 3) for i, _ in brute({q: library[q]}, library, 5)[q]]
+
+
 def packed(spark, sets_, words):
     rows = [(i, [int(np.uint64(sum(1 << (b - 64 * w) for b in x if b // 64 == w)).view(np.int64)) for w in range(words)]) for i, x in sets_.items()]
     return spark.createDataFrame(rows, "id bigint, fp array<bigint>")
