@@ -57,6 +57,21 @@ def test_models_guard_and_average(spark, tmp_path):
     assert models.ensemble(df.limit(0), {"p": [f"{tmp_path}/a.json"]}, "f").count() == 0
 
 
+def test_conformers_are_made_together(monkeypatch):
+    from siftspark.functions import molecules as m
+
+    texts = ["CCO", "C1CCCC1", "nothing(", None, "c1ccccc1CC", "CCO", "CCN", "C", "CO.Cl"]
+    rounds = []
+    monkeypatch.setattr(m, "_relaxed", lambda x, b, f=m._relaxed: rounds.append(len(x)) or f(x, b))
+    got = m.conformers_of(texts, 3)
+    assert sum(rounds) == 3 * 6 and len(rounds) < 6  # each text once, equal sizes together
+    assert got == [list(m.conformers(t, 3)) if t else [] for t in texts] == m.conformers_of(texts, 3, most=1)
+    assert [len(x) for x in got] == [3, 3, 0, 0, 3, 3, 3, 3, 3] and got[0] == got[5] != got[6]
+    for c in got[1]:
+        away = [sum((p - q) ** 2 for p, q in zip(c[i][1:], c[(i + 1) % 5][1:], strict=True)) ** 0.5 for i in range(5)]
+        assert all(1.2 < r < 2.0 for r in away), away
+
+
 def test_programs(spark):
     out = []
     assert processes.run_command(["printf", "a\nb\n"], out.append) == 0 and out == ["a\n", "b\n"]
