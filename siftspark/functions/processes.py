@@ -1,5 +1,6 @@
 """External programs: one on the driver, or one run for each row inside the tasks, with a time limit and a status.
 
+:func:`prepare` makes equal calls, of the same arguments and input, once and gives the result to all their rows.
 A task that is run again runs its programs again, so a program must not mind being repeated. Which executors
 have GPUs, and how many a task takes, is for the cluster's resource profiles; see :func:`with_gpus`.
 """
@@ -69,14 +70,41 @@ def for_each(df: DataFrame, command: Sequence[str], stdin: str | None = None, ti
     return df.mapInPandas(run, schema)
 
 
-def prepare(df: DataFrame, commands: Sequence[Sequence[str]], stdin: str, timeout: float = 300.0) -> DataFrame:
-    """A chain of programs, each reading what the one before wrote; the first that fails gives the status, the last the output."""
-    rows = df.withColumn("_in", F.col(stdin)).withColumn("status", F.lit("ok")).withColumn("output", F.col(stdin))
-    for k, command in enumerate(commands):
-        ran = for_each(rows.drop("status").withColumnRenamed("output", "_done"), command, "_in", timeout) if not k else for_each(rows.filter("status = 'ok'").drop("status").withColumnRenamed("output", "_done"), command, "_in", timeout)
-        ran = ran.drop("_done").withColumn("_in", F.when(F.col("status") == "ok", F.col("output")))
-        rows = ran if not k else ran.unionByName(rows.filter("status != 'ok'"))
-    return rows.drop("_in")
+def _once(df: DataFrame, commands: Sequence[Sequence[str]], stdin: str, run: Callable[[DataFrame], DataFrame], order: str | None = None) -> DataFrame:
+    """Add what ``run`` adds, status and output, to the rows with distinct calls: those that differ in a column that a command names or reads."""
+    names = {m for command in commands for part in command for m in re.findall(r"\{(\w+)\}", part)} | {stdin}
+    keys = [c for c in df.columns if c in names]
+    calls = df.groupBy(*keys).agg(F.min(order).alias("_order")) if order else df.select(*keys).distinct()
+    done = run(calls).select(*[F.col(c).alias(f"_{k}") for k, c in enumerate(keys)], "status", "output")
+    same = [F.col(c).eqNullSafe(F.col(f"_{k}")) for k, c in enumerate(keys)]
+    return df.join(done, same).select(*df.columns, "status", "output")
+
+
+def prepare(df: DataFrame, commands: Sequence[Sequence[str]], stdin: str, timeout: float = 300.0, tasks: int | None = None) -> DataFrame:
+    """A chain of programs, each reading what the one before wrote; the first that fails gives the status, the last the output.
+
+    Each program runs once for each distinct call, in ``tasks`` tasks, by default four for each core.
+    """
+    find_package(df.sparkSession)
+
+    def chained(row: dict) -> tuple[str, str | None]:
+        status, text = "ok", row[stdin]
+        for command in commands:
+            status, text = _run_one([_filled(part, row) for part in command], "" if text is None else str(text), timeout, None)
+            if status != "ok":
+                break
+        return status, text
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            results = [chained(row) for row in batch.to_dict("records")]
+            yield batch.assign(status=[r[0] for r in results], output=[r[1] for r in results])
+
+    def in_tasks(calls: DataFrame) -> DataFrame:
+        schema = T.StructType([*calls.schema.fields, T.StructField("status", T.StringType()), T.StructField("output", T.StringType())])
+        return calls.repartition(tasks or 4 * df.sparkSession.sparkContext.defaultParallelism).mapInPandas(run, schema)
+
+    return _once(df, commands, stdin, in_tasks)
 
 
 def on_gpus(gpus: int) -> Callable[[int], dict[str, str]]:

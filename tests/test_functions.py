@@ -82,6 +82,19 @@ def test_programs(spark):
     assert sorted((r.k, r.status, r.output) for r in got) == [(1, "ok", "x1"), (2, "ok", "2")]
 
 
+def test_equal_calls_are_made_once_and_each_program_once(spark, tmp_path):
+    rows = spark.createDataFrame([(k, ["a b", "bad", None, ""][k % 4], k % 2) for k in range(40)], "k int, text string, side int").repartition(3)
+    log = f"{tmp_path}/log"
+    chain = [["sh", "-c", f'read -r x; echo "1 $x" >> {log}; [ "$x" = bad ] && exit 3; printf %s "$x"'], ["sh", "-c", f"echo 2 >> {log}; tr a-z A-Z"]]
+    got = processes.prepare(rows, chain, "text", timeout=20).collect()
+    want = {0: ("ok", "A B"), 1: ("exit 3", ""), 2: ("ok", ""), 3: ("ok", "")}
+    assert len(got) == 40 and all((r.status, r.output) == want[r.k % 4] and r.text == ["a b", "bad", None, ""][r.k % 4] for r in got)
+    lines = open(log).read().split("\n")[:-1]
+    assert len(lines) == 4 + 3, lines
+    assert [f.name for f in processes.prepare(rows, chain, "text").schema] == ["k", "text", "side", "status", "output"]
+    assert processes.for_each(rows, ["true"]).filter("status = 'ok'").count() == 40
+
+
 def ask(port, path, body=None):
     request = urllib.request.Request(f"http://127.0.0.1:{port}{path}", None if body is None else json.dumps(body).encode())
     try:
