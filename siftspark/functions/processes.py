@@ -1,6 +1,6 @@
 """External programs: one on the driver, or one run for each row inside the tasks, with a time limit and a status.
 
-:func:`prepare` makes equal calls, of the same arguments and input, once and gives the result to all their rows.
+:func:`prepare` and :func:`dock` make equal calls, of the same arguments and input, once and give the result to all their rows.
 A task that is run again runs its programs again, so a program must not mind being repeated. Which executors
 have GPUs, and how many a task takes, is for the cluster's resource profiles; see :func:`with_gpus`.
 """
@@ -113,8 +113,10 @@ def on_gpus(gpus: int) -> Callable[[int], dict[str, str]]:
 
 
 def dock(df: DataFrame, command: Sequence[str], stdin: str, order: str, workers: int, gpus: int = 0, timeout: float = 300.0) -> DataFrame:
-    """The rows dealt to ``workers`` tasks by a range of their order, a program run for each, on GPUs in turn where there are some."""
-    return for_each(df.repartitionByRange(workers, order), command, stdin, timeout, on_gpus(gpus) if gpus else None)
+    """A program run for each distinct call, on GPUs in turn where there are some; the calls are dealt to ``workers`` tasks by a range of
+    the order in which they first come."""
+    env = on_gpus(gpus) if gpus else None
+    return _once(df, [command], stdin, lambda calls: for_each(calls.repartitionByRange(workers, "_order"), command, stdin, timeout, env), order)
 
 
 def interactions(complexes: DataFrame, analyse: Callable[[str], tuple[int, int]], key: str = "name", text: str = "value") -> DataFrame:

@@ -92,6 +92,9 @@ def test_equal_calls_are_made_once_and_each_program_once(spark, tmp_path):
     lines = open(log).read().split("\n")[:-1]
     assert len(lines) == 4 + 3, lines
     assert [f.name for f in processes.prepare(rows, chain, "text").schema] == ["k", "text", "side", "status", "output"]
+    docked = processes.dock(rows, ["sh", "-c", f"echo 3 >> {log}; printf {{side}}; cat"], "text", "k", workers=2, gpus=1).collect()
+    assert sorted((r.k, r.status, r.output) for r in docked) == [(k, "ok", f"{k % 2}" + (["a b", "bad", None, ""][k % 4] or "")) for k in range(40)]
+    assert open(log).read().count("3\n") == 4
     assert processes.for_each(rows, ["true"]).filter("status = 'ok'").count() == 40
 
 
