@@ -217,6 +217,21 @@ def test_similarity_of_many_queries(spark):
     assert sorted((r["query"], r["place"]) for r in ranked) == [(q, p) for q in range(50) for p in range(1, 51)]
 
 
+@pytest.mark.parametrize("words", [1, 3])
+def test_mean_similarity_without_pairs(spark, words):
+    r = random.Random(words)
+    sets_ = {i: set(r.sample(range(64 * words), r.randrange(64 * words))) for i in range(90)} | {90: set(), 91: {0}, 92: set(range(16)), 93: set(range(64 * words))}
+    df = packed(spark, sets_, words)
+    queries = df.filter("id % 3 = 0")
+    want = {r["target"]: r["mean_sim"] for r in similarity.mean_similarity_filter(similarity.similarity_matrix(df, queries), 0.2).collect()}
+    for most_bytes in (300, 32 << 20):
+        got = similarity.mean_similarity_prints(df, queries, 0.2, most_bytes)
+        assert {r["target"]: r["mean_sim"] for r in got.collect()} == want and 0 < len(want) < len(sets_)
+    plan = got._jdf.queryExecution().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    assert similarity.mean_similarity_prints(df, queries.limit(0), 0.2).count() == 0 == similarity.mean_similarity_prints(df.limit(0), queries, 0.2).count()
+
+
 # --- draws --------------------------------------------------------------------------------------
 
 
