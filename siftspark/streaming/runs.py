@@ -1,7 +1,8 @@
 """Following many runs at once: keyed state of each run's log, and jobs that no completion answers.
 
 :func:`follow_runs` keeps a state for each run id: the modules it has announced, its last percentage, the sum of its batch
-sizes, and the lines that may still come again. Only runs with news are sent on. A run that is silent for long is
+sizes. Lines that may still come again are kept by Spark, spread by run and line, so a run's state stays small however many lines
+it has. Only runs with news are sent on. A run that is silent for long is
 reported by a timer on event time, and takes up its work again with its next line.
 
 :func:`overdue` joins jobs with their completions as streams. A job is answered once for each completion in time, or once
@@ -50,7 +51,7 @@ def run_states(log: DataFrame, modules: tuple[str, ...] = MODULES) -> DataFrame:
 
 
 class RunTracker(StatefulProcessor):
-    """The state of one run: its sums, the modules it has announced, and the lines that the watermark has not passed."""
+    """The state of one run: its sums and the modules it has announced. Each line must come once."""
 
     def __init__(self, silence_ms: int) -> None:
         self.silence_ms = silence_ms
@@ -59,19 +60,13 @@ class RunTracker(StatefulProcessor):
         self.handle = handle
         self.sums = handle.getValueState("sums", "lines bigint, done bigint, percent int, percent_seq bigint, last_us bigint, timer bigint")
         self.modules = handle.getListState("modules", "module string, first bigint, last bigint")
-        self.recent = handle.getListState("recent", "seq bigint, us bigint")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803 - Spark's names
         lines, done, percent, percent_seq, last, timer = self.sums.get() if self.sums.exists() else (0, 0, None, -1, 0, -1)
         modules = {m: [a, z] for m, a, z in self.modules.get()} if self.modules.exists() else {}
         passed = timerValues.getCurrentWatermarkInMs()
-        recent = {s: us for s, us in self.recent.get()} if self.recent.exists() else {}
-        known = len(recent)
         for frame in rows:
             for seq, us, module, p, size in zip(frame["seq"], frame["us"], frame["module"], frame["percent"], frame["size"], strict=True):
-                if seq in recent:
-                    continue
-                recent[int(seq)] = int(us)
                 lines, last = lines + 1, max(last, int(us))
                 if size == size and size is not None:
                     done += int(size)
@@ -80,10 +75,6 @@ class RunTracker(StatefulProcessor):
                 if isinstance(module, str):
                     span = modules.setdefault(module, [int(seq), int(seq)])
                     span[0], span[1] = min(span[0], int(seq)), max(span[1], int(seq))
-        if len(recent) == known:
-            return  # nothing but repeated lines
-        # A line that the watermark has passed cannot come again: Spark drops it as late.
-        self.recent.put([(s, us) for s, us in recent.items() if us >= 1000 * passed])
         if modules:
             self.modules.put([(m, a, z) for m, (a, z) in modules.items()])
         if timer >= 0:
@@ -94,10 +85,6 @@ class RunTracker(StatefulProcessor):
         yield self._status(key, False)
 
     def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        passed = timerValues.getCurrentWatermarkInMs()
-        if self.recent.exists():
-            kept = [(s, us) for s, us in self.recent.get() if us >= 1000 * passed]
-            self.recent.put(kept) if kept else self.recent.clear()
         lines, done, percent, percent_seq, last, _ = self.sums.get()
         self.sums.update((lines, done, percent, percent_seq, last, -1))
         yield self._status(key, True)
@@ -125,11 +112,13 @@ def follow_runs(log: DataFrame, late: str = "1 hour", silence_ms: int = 6 * 3600
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass") != PROVIDER:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
     find_package(spark)
-    rows = parsed(log.withWatermark("ts", late), modules).withColumn("us", F.unix_micros("ts"))
-    return rows.groupBy("run").transformWithStateInPandas(statefulProcessor=RunTracker(silence_ms), outputStructType=STATUS, outputMode="Update", timeMode="EventTime")
+    # A line that the watermark has passed cannot come again: Spark drops it as late.
+    lines = parsed(log.withWatermark("ts", late), modules).dropDuplicatesWithinWatermark(["run", "seq"])
+    rows = lines.withColumn("us", F.unix_micros("ts"))
+    return rows.groupBy("run").transformWithStateInPandas(statefulProcessor=RunTracker(silence_ms), outputStructType=STATUS, outputMode="Append", timeMode="EventTime")
 
 
-def write_updates(stream: DataFrame, folder: str, checkpoint: str, mode: str = "update", **trigger: object) -> StreamingQuery:
+def write_updates(stream: DataFrame, folder: str, checkpoint: str, mode: str = "append", **trigger: object) -> StreamingQuery:
     """Write each micro-batch's rows to a part of the folder of its own; a repeated batch replaces its part."""
 
     def each(batch: DataFrame, number: int) -> None:

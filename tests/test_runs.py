@@ -68,6 +68,21 @@ def test_followed_runs_equal_the_whole_log(spark, tmp_path, follow):
     assert shown(states) == shown(runs.run_states(everything).collect())
 
 
+def test_a_run_keeps_no_lines_in_its_state(spark, tmp_path, follow):
+    names = []
+
+    class Handle:
+        def __getattr__(self, kind):
+            return lambda name, schema: names.append((kind, name))
+
+    runs.RunTracker(1).init(Handle())
+    assert names == [("getValueState", "sums"), ("getListState", "modules")]
+    for k in range(2):
+        add(tmp_path / "log", f"{k}.json", [line("a", seq, seq / 10, "Batch 1 size: 3") for seq in range(100 * k, 1000)])
+    follow(late="60 days")
+    assert shown(runs.latest_states(spark, str(tmp_path / "updates")).collect()) == {"a": (1000, 3000, None, None, [])}
+
+
 def test_run_states_of_an_empty_log(spark):
     assert runs.run_states(spark.createDataFrame([], runs.RUN_LOG)).count() == 0
 
