@@ -324,8 +324,7 @@ g AS (SELECT 1::BIGINT AS i, list_transform(range(1, n + 1), lambda j: NULL::BIG
 f AS (SELECT unnest(range(1, n + 1)) AS k, unnest(c) AS c FROM g, st WHERE i = n + 1)
 SELECT m.id AS member, h.id AS centroid, CASE WHEN m.id = h.id THEN 1.0 ELSE ROUND(e.sim, 6) END::DOUBLE AS sim FROM f JOIN r m ON m.k = f.k JOIN r h ON h.k = f.c LEFT JOIN e ON e.a = m.id AND e.b = h.id""")
 def butina_clusters(s: SparkSession, d: str) -> DataFrame:
-    fp = _prints(s, d)
-    return clustering.butina(fp, similarity.dense_pairs(fp.select("id", "fp"), 0.5)).withColumn("sim", F.round("sim", 6))
+    return clustering.butina_prints(_prints(s, d).select("id", "fp"), 0.5).withColumn("sim", F.round("sim", 6))
 
 
 # --- structures --------------------------------------------------------------------------------

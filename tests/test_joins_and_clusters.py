@@ -1,5 +1,6 @@
 """Joins with dense cells and hot bits, and clusters along long chains, against brute force."""
 
+import itertools
 import random
 
 import numpy as np
@@ -133,6 +134,22 @@ def test_clusters_of_random_links(spark, small):
     assert clusters(spark, ids, []) == {i: i for i in ids}
 
 
+def test_clusters_of_prints_without_a_table_of_links(spark, monkeypatch):
+    r = random.Random(5)
+    bits = {i: frozenset(b for b in range(90) if b != 63 and r.random() < 0.12) for i in range(300)}
+    bits |= {i: bits[i % 7] for i in range(300, 340)} | {340: frozenset(), 341: frozenset()}
+    words = lambda x: [sum(1 << (b - 64 * w) for b in x if b // 64 == w) for w in (0, 1)]
+    links = [(a, b) for a, b in itertools.combinations(bits, 2) if bits[a] | bits[b] and len(bits[a] & bits[b]) / len(bits[a] | bits[b]) >= 0.3]
+    df = spark.createDataFrame([(i, words(x)) for i, x in bits.items()] + [(342, None)], "id bigint, fp array<bigint>")
+    monkeypatch.setattr(clustering, "_between", None)  # the rounds over links
+    want = butina([*bits, 342], links)
+    for block in (17, 32_768):
+        got = clustering.butina_prints(df, 0.3, block=block).collect()
+        assert {x.member: x.centroid for x in got} == want and len(got) == len(want)
+        sim = lambda a, b: 1.0 if a == b else len(bits[a] & bits[b]) / len(bits[a] | bits[b])
+        assert all(abs(x.sim - sim(x.member, x.centroid)) < 1e-12 for x in got)
+
+
 def test_components_of_text_ids(spark):
     links = spark.createDataFrame([("b", "c"), ("c", "d"), ("x", "y")], "a string, b string")
     assert {r.v: r.root for r in graph.components(links).collect()} == {"b": "b", "c": "b", "d": "b", "x": "x", "y": "x"}
