@@ -55,7 +55,7 @@ class Params:
     slots: int = 1 << 18
     block: int = 20_000
     few: int = 16
-    #: Sets from this size on have sketches of four words, as one is soon full.
+    #: Sets from this size on have sketches of two words, as one is soon full, and those of twice the size have four.
     wide: int = 64
     #: Words of all sets without a verified candidate up to which these are broadcast to be compared with all; more of them meet by shuffle.
     broadcast: int = 4_000_000
@@ -281,14 +281,15 @@ def hot_words(table: DataFrame, counts: np.ndarray, crowd: np.ndarray, params: P
 
 
 #: The prefix words of the sets of one piece that fall into one bucket: part of the word's hash (as differences), set id, sketch, place of
-#: the set's first line (differences to the least in the order, line number), size, and position of the word; for the large
-#: sets among them three of the four sketch words (the fourth follows, as all four make the sketch). ``words``: the whole sets, where asked for.
+#: the set's first line (differences to the least in the order, line number), size, and position of the word; ``wide``: the further
+#: sketch words, one for sets of a middle size and three for the large. ``words``: the whole sets, where asked for.
 ENTRIES = "bucket int, word binary, set_id binary, sketch binary, least bigint, o binary, number binary, n binary, pos binary, wide binary, words binary"
 WIDE = 3
 
 
 def sketches(p: Piece, params: Params) -> tuple[np.ndarray, np.ndarray]:
-    """The parity sketch of each set, and of the large sets three of its four words (0 for the others)."""
+    """The parity sketch of each set, and what is known of its parts (0 for smaller sets): of two parts, by the lowest bit, the second;
+    for the large sets also the first two of four parts. The others follow, as the parts of one level make those of the level above."""
     bit = (np.uint64(1) << (p.keys & np.uint64(63)))[p.codes]
     sketch = np.bitwise_xor.reduceat(bit, p.off[:-1]) if len(bit) else np.zeros(0, np.uint64)
     wide = np.zeros((WIDE, len(sketch)), np.uint64)
@@ -297,8 +298,9 @@ def sketches(p: Piece, params: Params) -> tuple[np.ndarray, np.ndarray]:
         at = ragged(p.off[large], p.n[large])
         begin = np.cumsum(p.n[large]) - p.n[large]
         part, bit = (p.keys >> np.uint64(6) & np.uint64(3))[p.codes[at]], bit[at]
-        for k in range(WIDE):
-            wide[k, large] = np.bitwise_xor.reduceat(np.where(part == k, bit, np.uint64(0)), begin)
+        for k, mine in enumerate((part & np.uint64(1) == 1, part == 0, part == 1)):
+            wide[k, large] = np.bitwise_xor.reduceat(np.where(mine, bit, np.uint64(0)), begin)
+        wide[1:, p.n < 2 * params.wide] = 0
     return sketch, wide
 
 
@@ -336,9 +338,9 @@ def entries(table: DataFrame, counts: np.ndarray, hot: tuple[np.ndarray, np.ndar
         o, number = (o.view(np.uint64) - least.view(np.uint64))[first], number[first]
         for k in np.split(np.arange(len(j)), np.flatnonzero(runs(bucket))[1:]):
             s = j[k]
-            big = s[p.n[s] >= params.wide]
+            far = wide[0, s[p.n[s] >= params.wide]].tobytes() + wide[1:, s[p.n[s] >= 2 * params.wide]].tobytes()
             whole = pack(p.words(s)[0]) if only is not None else b""
-            yield (int(bucket[k[0]]), squeeze(np.diff(short[k], prepend=np.uint32(0))), p.set_id[s].tobytes(), sketch[s].tobytes(), int(least), squeeze(o[s]), squeeze(number[s]), squeeze(p.n[s]), squeeze(pos[k]), wide[:, big].tobytes(), whole)
+            yield (int(bucket[k[0]]), squeeze(np.diff(short[k], prepend=np.uint32(0))), p.set_id[s].tobytes(), sketch[s].tobytes(), int(least), squeeze(o[s]), squeeze(number[s]), squeeze(p.n[s]), squeeze(pos[k]), far, whole)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -350,6 +352,14 @@ def entries(table: DataFrame, counts: np.ndarray, hot: tuple[np.ndarray, np.ndar
     return table.mapInArrow(make, ENTRIES)
 
 
+def _parts(words_: np.ndarray, n: np.ndarray, params: Params) -> np.ndarray:
+    """The further sketch words of sets of these sizes, as :func:`sketches` gives them."""
+    wide, far, further = np.zeros((WIDE, len(n)), np.uint64), n >= params.wide, n >= 2 * params.wide
+    wide[0, far] = words_[: far.sum()]
+    wide[1:, further] = words_[far.sum() :].reshape(WIDE - 1, -1)
+    return wide
+
+
 def _gathered(part: pa.Table, params: Params) -> dict[str, np.ndarray]:
     """The entries of a bucket whose word has several, by word and then by place, each set once per word; ``group``: the word's number."""
     rows = part.to_pylist()
@@ -361,8 +371,7 @@ def _gathered(part: pa.Table, params: Params) -> dict[str, np.ndarray]:
         "o": join(lambda r: expand(r["o"]) + r["least"]),
     }
     t |= {c: join(lambda r, c=c: expand(r[c])) for c in ("number", "n", "pos")}
-    wide = np.concatenate([np.frombuffer(r["wide"], np.uint64).reshape(WIDE, -1) for r in rows], axis=1)
-    at = np.cumsum(t["n"] >= params.wide) - 1
+    t["wide"] = np.concatenate([_parts(np.frombuffer(r["wide"], np.uint64), expand(r["n"]), params) for r in rows], axis=1)
     if rows[0]["words"]:
         t["words_at"] = np.cumsum(t["n"]) - t["n"]
     order = np.argsort(t["word"], kind="stable")
@@ -377,8 +386,7 @@ def _gathered(part: pa.Table, params: Params) -> dict[str, np.ndarray]:
     _, one = np.unique(key, return_index=True)
     one = np.sort(one)
     order, group = order[one], group[one]
-    t = {c: v[order] for c, v in t.items()}
-    return t | {"group": group, "wide": wide[:, at[order]] if wide.size else np.zeros((WIDE, len(order)), np.uint64)}
+    return {c: v[..., order] for c, v in t.items()} | {"group": group}
 
 
 def passes(t: dict[str, np.ndarray], a: np.ndarray, u: dict[str, np.ndarray], b: np.ndarray, params: Params) -> np.ndarray:
@@ -390,13 +398,15 @@ def passes(t: dict[str, np.ndarray], a: np.ndarray, u: dict[str, np.ndarray], b:
     a, b, most = a[ok], b[ok], (na + nb - 2 * need)[ok]
     near = np.bitwise_count(t["sketch"][a] ^ u["sketch"][b]) <= most
     ok, a, b, most = ok[near], a[near], b[near], most[near]
-    large = np.flatnonzero(np.minimum(t["n"][a], u["n"][b]) >= params.wide)
-    if len(large):
-        parts = [v[a[large]] ^ w[b[large]] for v, w in zip(t["wide"], u["wide"], strict=True)]
-        parts.append(t["sketch"][a[large]] ^ u["sketch"][b[large]] ^ parts[0] ^ parts[1] ^ parts[2])
-        keep = np.ones(len(a), bool)
-        keep[large] = sum(np.bitwise_count(w).astype(np.int64) for w in parts) <= most[large]
-        ok = ok[keep]
+    for level in (1, 2):
+        large = np.flatnonzero(np.minimum(t["n"][a], u["n"][b]) >= level * params.wide)
+        if len(large):
+            whole = t["sketch"][a[large]] ^ u["sketch"][b[large]]
+            odd, *quarters = (v[a[large]] ^ w[b[large]] for v, w in zip(t["wide"][: 2 * level - 1], u["wide"], strict=False))
+            parts = [odd, whole ^ odd] if level == 1 else [*quarters, whole ^ odd ^ quarters[0], odd ^ quarters[1]]
+            keep = np.ones(len(a), bool)
+            keep[large] = sum(np.bitwise_count(w).astype(np.int64) for w in parts) <= most[large]
+            ok, a, b, most = ok[keep], a[keep], b[keep], most[keep]
     return ok
 
 

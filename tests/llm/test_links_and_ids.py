@@ -3,11 +3,13 @@
 import random
 import time
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from siftspark.llm import document_dedup, line_dedup, simhash, toxicity
 from siftspark.llm.order import NO_ID
-from siftspark.llm.tokens import added
+from siftspark.llm.tokens import added, expand
 
 LEAST, MOST = -(2**63), 2**63 - 1
 
@@ -126,6 +128,39 @@ def test_only_hot_words_get_blocks(spark):
     assert sum(len(r["set_id"]) // 8 for r in sent) == sum(n * max(1, want.get(w, 1) - 1) for w, n in held.items())
 
 
+def test_sets_of_a_middle_size_send_one_further_word(spark):
+    r = random.Random(3)
+    sizes = [40, 63, 64, 100, 127, 128, 200]
+    docs = spark.createDataFrame([(i, " ".join(f"w{r.randrange(10**9)}" for _ in range(n))) for i, n in enumerate(sizes)], "_o bigint, text string")
+    params = line_dedup.Params(slots=64)
+    every = line_dedup.piece_table(docs.withColumn("text_key", line_dedup.text_key()), params)
+    none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    sent = line_dedup.entries(every.filter("piece IS NOT NULL").drop("k", "v"), np.zeros(64, np.int64), none, 1, params).toArrow().to_pylist()
+    n = np.concatenate([expand(x["n"]) for x in sent])
+    assert set(n.tolist()) == set(sizes)
+    assert sum(len(x["wide"]) for x in sent) == 8 * ((n >= 64).sum() + 2 * (n >= 128).sum())
+
+
+def test_sketches_bound_the_difference_of_sets():
+    r = np.random.default_rng(4)
+    texts = []
+    for n in (60, 64, 90, 127, 128, 300):
+        base = [f"w{k}" for k in r.integers(0, 10**9, n)]
+        texts += [" ".join([*base[k:], *(f"x{n}_{k}_{j}" for j in range(k))]) for k in (0, 1, n // 10, n // 4, n)]
+    params = line_dedup.Params()
+    p = line_dedup.piece_of(pa.array(texts))
+    sketch, wide = line_dedup.sketches(p, params)
+    t = {"n": p.n, "pos": np.zeros(len(p.n), np.int64), "set_id": p.set_id, "sketch": sketch, "wide": wide}
+    a, b = (x.ravel() for x in np.indices((len(p.n), len(p.n))))
+    kept = np.zeros(len(a), bool)
+    kept[line_dedup.passes(t, a, t, b, params)] = True
+    words = [frozenset(p.words(np.array([j]))[0].tolist()) for j in range(len(p.n))]
+    similar = np.array([x != y and 5 * len(words[x] & words[y]) >= 4 * len(words[x] | words[y]) for x, y in zip(a, b, strict=True)])
+    apart = np.array([x != y and not words[x] & words[y] for x, y in zip(a, b, strict=True)])
+    assert similar.sum() >= 20 and kept[similar].all()
+    assert not kept[apart].any()
+
+
 def test_many_exceptions_in_one_text_take_no_square_of_time():
     found = toxicity.automaton(list(toxicity.TERMS))
     took = []
