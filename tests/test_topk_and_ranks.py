@@ -217,6 +217,30 @@ def test_similarity_of_many_queries(spark):
     assert sorted((r["query"], r["place"]) for r in ranked) == [(q, p) for q in range(50) for p in range(1, 51)]
 
 
+@pytest.mark.parametrize("words", [1, 3])
+def test_ranks_of_prints_without_a_sort_of_pairs(spark, monkeypatch, words):
+    r = random.Random(words)
+    rows = [(i * 8 % 301 - 50, [sum(1 << b for b in range(63) if r.random() < 0.3) for _ in range(words)]) for i in range(301)]
+    rows = [(i, f if i % 9 else [0] * words) for i, f in rows] + [(500, None), (520, None), (-60, rows[5][1])]
+    df = spark.createDataFrame(rows, "id bigint, fp array<bigint>")
+    prints = dict(rows)
+
+    def sim(a, b):
+        if a is None or b is None:
+            return None
+        shared, either = (sum(f(x, y).bit_count() for x, y in zip(a, b, strict=True)) for f in (int.__and__, int.__or__))
+        return shared / either if either else 0.0
+
+    want = []
+    for q in (i for i in prints if i % 20 == 0):
+        order = sorted(((sim(prints[i], prints[q]), i) for i in prints), key=lambda x: (x[0] is None, -(x[0] or 0), x[1]))
+        want += [(i, q, s, k + 1) for k, (s, i) in enumerate(order)]
+    monkeypatch.setattr(similarity, "numbered_within", None)  # places by a sort of all pairs
+    for block, query_rows in ((16_384, 512), (40, 3)):
+        got = topk.ranked_prints(df, df.filter("id % 20 = 0"), block, query_rows)
+        assert sorted(map(tuple, got.collect()), key=lambda x: x[1::2]) == sorted(want, key=lambda x: x[1::2])
+
+
 @pytest.mark.parametrize("words", [1, 3])
 def test_mean_similarity_without_pairs(spark, words):
     r = random.Random(words)
