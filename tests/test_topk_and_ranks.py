@@ -241,6 +241,18 @@ def test_ranks_of_prints_without_a_sort_of_pairs(spark, monkeypatch, words):
         assert sorted(map(tuple, got.collect()), key=lambda x: x[1::2]) == sorted(want, key=lambda x: x[1::2])
 
 
+@pytest.mark.parametrize("words", [1, 3])
+def test_matrix_of_prints_compares_numbers(spark, words):
+    df = spark.createDataFrame([(1, [7] * words), (2, [0] * words), (3, None), (4, [1] * words), (5, [-1] * words)], "id bigint, fp array<bigint>")
+    matrix = similarity.similarity_matrix(df, df)
+    pair = df.select(F.col("id").alias("a"), F.col("fp").alias("x")).crossJoin(df.select(F.col("id").alias("b"), F.col("fp").alias("y")))
+    want = pair.select("a", "b", F.when(F.col("x").isNotNull() & F.col("y").isNotNull(), similarity.tanimoto(F.col("x"), F.col("y")))).collect()
+    key = lambda r: (r[0], r[1])
+    assert sorted(map(tuple, matrix.collect()), key=key) == sorted(map(tuple, want), key=key)
+    joined = matrix._jdf.queryExecution().executedPlan().toString()
+    assert "zip_with" not in joined  # no array is walked for a pair
+
+
 @pytest.mark.parametrize("words", [1, 3])
 def test_mean_similarity_without_pairs(spark, words):
     r = random.Random(words)
