@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -268,6 +269,22 @@ def test_mean_similarity_without_pairs(spark, words):
     assert similarity.mean_similarity_prints(df, queries.limit(0), 0.2).count() == 0 == similarity.mean_similarity_prints(df.limit(0), queries, 0.2).count()
 
 
+def written_bytes(df, folder):
+    """Bytes a row that the columns take in the files of a result."""
+    df.write.parquet(str(folder))
+    files = [pq.ParquetFile(f).metadata for f in folder.glob("*.parquet")]
+    groups = [m.row_group(g) for m in files for g in range(m.num_row_groups)]
+    n = sum(g.num_rows for g in groups)
+    return n, {c: sum(g.column(i).total_compressed_size for g in groups) / n for i, c in enumerate(df.columns)}
+
+
+def test_ranks_are_written_in_few_bytes(spark, tmp_path):
+    r = np.random.default_rng(1)
+    prints = lambda n: spark.createDataFrame([(i, [int(x)]) for i, x in enumerate(r.integers(-(2**63), 2**63 - 1, n))], "id bigint, fp array<bigint>")
+    n, size = written_bytes(topk.ranked_prints(prints(20_000), prints(100)), tmp_path / "ranks")
+    assert n == 2_000_000 and size["target"] < 2.2 and sum(size.values()) < 4.5
+
+
 # --- draws --------------------------------------------------------------------------------------
 
 
