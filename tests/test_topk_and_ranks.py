@@ -285,6 +285,13 @@ def test_ranks_are_written_in_few_bytes(spark, tmp_path):
     assert n == 2_000_000 and size["target"] < 2.2 and sum(size.values()) < 4.5
 
 
+def test_matrix_is_written_in_few_bytes(spark, tmp_path):
+    r = np.random.default_rng(2)
+    prints = lambda n: spark.createDataFrame([(i, [int(x)]) for i, x in enumerate(r.integers(-(2**63), 2**63 - 1, n))], "id bigint, fp array<bigint>")
+    n, size = written_bytes(similarity.similarity_matrix(prints(300), prints(25_000)), tmp_path / "matrix")
+    assert n == 7_500_000 and size["query"] < 0.3 and sum(size.values()) < 1.5
+
+
 # --- draws --------------------------------------------------------------------------------------
 
 
